@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import markup, pii, unicode_forms
+from . import markup, names, pii, survivors, unicode_forms
 from .common import table
 
 
@@ -47,6 +47,27 @@ def p4_normalized(spark: SparkSession, sf: str) -> DataFrame:
     return unicode_forms.normalized(a, "value", "normalized_value").drop("value")
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return survivors.found(table(spark, sf, "candidates"))
+
+
+def p5_fused(spark: SparkSession, sf: str) -> DataFrame:
+    return survivors.fused(table(spark, sf, "candidates"))
+
+
+def p5_built(spark: SparkSession, sf: str) -> DataFrame:
+    out = survivors.built(table(spark, sf, "candidates"))
+    return out.withColumn("bounding_box", F.to_json("bounding_box"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return names.found(names.names_of(table(spark, sf, "candidates")))
+
+
+def p6_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return names.entities(names.names_of(table(spark, sf, "candidates")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n[0] == "p" and n[1:2].isdigit() and callable(f)}
 
