@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import markup, names, pii, survivors, unicode_forms
+from . import leakage, markup, names, packing, pii, splitting, survivors, unicode_forms
 from .common import table
 
 
@@ -68,6 +68,18 @@ def p6_entities(spark: SparkSession, sf: str) -> DataFrame:
     return names.entities(names.names_of(table(spark, sf, "candidates")))
 
 
+def p7_packed(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.packed(table(spark, sf, "documents"), table(spark, sf, "size_limits"))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.found(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return splitting.split(table(spark, sf, "documents"), table(spark, sf, "size_limits"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n[0] == "p" and n[1:2].isdigit() and callable(f)}
 
