@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leakage, markup, names, packing, pii, splitting, survivors, unicode_forms
+from . import leakage, markup, names, ocr, packing, pii, splitting, survivors, unicode_forms
 from .common import table
 
 
@@ -36,6 +36,14 @@ def p2_wrapped(spark: SparkSession, sf: str) -> DataFrame:
     return markup.induce_wrappers(a, ["source_engine"])
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return ocr.found(table(spark, sf, "raw_artifacts"), table(spark, sf, "candidates"))
+
+
+def p3_reflowed(spark: SparkSession, sf: str) -> DataFrame:
+    return ocr.reflowed(table(spark, sf, "raw_artifacts"), table(spark, sf, "candidates"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     a = unicode_forms.found(table(spark, sf, "raw_artifacts"), "artifact_id", "text", "raw_artifacts")
     b = unicode_forms.found(table(spark, sf, "candidates"), "cand_id", "value", "candidates")
