@@ -59,7 +59,7 @@ def all_values(df: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
 
 def repaired_email(text: Column) -> Column:
     """A mailbox whose @ was read as another sign; null where none is found."""
-    m = r"(?i)(?:e-?mail|correio eletr[oô]nico)\W{0,4}([a-z0-9._+-]{2,}?)(?:©|\(arroba\)|\[at\]|[QO])([a-z0-9-]{2,}(?:\.[a-z0-9-]+)+)"
+    m = r"(?iu:e-?mail|correio eletr[oô]nico)\W{0,4}([a-z0-9._+-]{2,}?) ?(?:©|\((?i:arroba)\)|\[(?i:at)\]|[QO]) ?([a-z0-9-]{2,}(?:\.[a-z0-9-]+)+)"
     user, host = F.regexp_extract(text, m, 1), F.regexp_extract(text, m, 2)
     return F.when((user != "") & ~text.contains("@"), F.lower(F.concat(user, F.lit("@"), host)))
 
