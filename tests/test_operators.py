@@ -109,8 +109,8 @@ def test_files_and_sinks(spark, tmp_path):
 
 
 def test_email_repair(spark):
-    rows = [("E-mail: contatoQtal.example",), ("E-mail: a@b.c",), ("E-mail: nfe (arroba) x.test",), (None,)]
-    assert one(spark, "v string", rows, C.repaired_email(F.col("v"))) == ["contato@tal.example", None, "nfe@x.test", None]
+    rows = [("E-mail: contatoQtal.example",), ("E-mail: a@b.c",), ("E-mail: nfe (arroba) xyz.test",), (None,)]
+    assert one(spark, "v string", rows, C.repaired_email(F.col("v"))) == ["contato@tal.example", None, "nfe@xyz.test", None]
 
 
 def test_resolve_conflict(spark):
