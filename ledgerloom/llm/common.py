@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -100,6 +99,3 @@ def latest(df: DataFrame, key: str, ts: str, cols: list[str]) -> DataFrame:
     at = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(-(2**62)).cast("long"))
     g = df.groupBy(key).agg(F.max(F.struct(at.alias("_at"), *cols)).alias("_r"))
     return g.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
-
-
-GIVEN_SPLIT = re.compile(r"\s+")

@@ -160,14 +160,14 @@ def source_quality(records: DataFrame, rounds: int = 30) -> tuple[dict[str, tupl
     sources = sorted(r[0] for r in records.select("source").distinct().limit(13).collect())
     if len(sources) > 12:
         raise ValueError("more than 12 sources: name coarser ones")
+    if not sources:
+        return {}, records.select("document_id", "field_name", "vkey", F.lit(None).cast("double").alias("p_true"))
     stated = [F.max(F.when(F.col("source") == s, 1).otherwise(0)).alias(f"s{i}") for i, s in enumerate(sources)]
     values = records.groupBy("document_id", "field_name", "vkey").agg(*stated)
     read = values.groupBy("document_id", "field_name").agg(*[F.max(f"s{i}").alias(f"r{i}") for i in range(len(sources))])
     pattern = F.concat(*[(F.col(f"s{i}") + F.col(f"r{i}")).cast("int").cast("string") for i in range(len(sources))])
     values = values.join(read, ["document_id", "field_name"]).select("document_id", "field_name", "vkey", pattern.alias("pattern"))
     got = values.groupBy("pattern").count().collect()  # at most 3^sources rows
-    if not got:
-        return {}, values.withColumn("p_true", F.lit(None).cast("double"))
     x = np.array([[int(c) for c in r[0]] for r in got])
     n = np.array([r[1] for r in got], float)
     seen, said = x > 0, x == 2
