@@ -43,7 +43,7 @@ NICKS = {
     "vini": "vinicius", "leo": "leonardo", "guga": "gustavo", "gu": "gustavo", "rick": "henrique", "ric": "ricardo", "tonho": "antonio", "toninho": "antonio", "tony": "antonio", "nina": "ines",
     "lena": "helena", "leninha": "helena", "tere": "teresa", "cris": "cristina", "isa": "isabela", "bela": "isabela", "elis": "elisangela", "quim": "joaquim", "juca": "jose", "rai": "raimundo", "mundinho": "raimundo",
     "ceica": "conceicao", "dri": "adriana", "drica": "adriana", "sil": "silvana", "debi": "debora", "deb": "debora", "paulinho": "paulo", "carlinhos": "carlos", "landinho": "orlando",
-    "bene": "benedito", "dito": "benedito", "val": "valdir", "ceci": "cecilia", "marcinha": "marcia", "paty": "patricia", "pati": "patricia", "ti": "tiago", "caco": "carlos", "tete": "teresa", "dudu": "eduardo", "wag": "wagner", "tavinho": "otavio", "re": "renata", "soninha": "sonia", "liv": "livia",
+    "bene": "benedito", "dito": "benedito", "val": "valdir", "ceci": "cecilia", "cica": "cecilia", "marcinha": "marcia", "paty": "patricia", "pati": "patricia", "ti": "tiago", "caco": "carlos", "tete": "teresa", "dudu": "eduardo", "wag": "wagner", "tavinho": "otavio", "re": "renata", "soninha": "sonia", "liv": "livia",
 }
 HEADINGS = {
     "tomador de servicos", "prestador de servicos", "razao social", "nome razao social", "nome", "cpf cnpj", "cnpj cpf", "cnpj", "cpf", "c n p j", "endereco",
