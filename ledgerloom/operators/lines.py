@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,13 +100,8 @@ STATES = [(s, r, v) for s in SECTIONS for r in (False, True) for v in (False, Tr
 START = ("header", False, False)
 
 
-def _run(rows: list[tuple], state: tuple[str, bool, bool]) -> tuple[list[tuple[str, float, str]], tuple[str, bool, bool]]:
-    out = []
-    for r in rows:
-        s = step(state, *r)
-        out.append(s)
-        state = (s[0], state[1] or s[0] == "recipient", state[2] or s[0] == "service")
-    return out, state
+def _next(state: tuple[str, bool, bool], section: str) -> tuple[str, bool, bool]:
+    return section, state[1] or section == "recipient", state[2] or section == "service"
 
 
 FEATURES = ["section_explicit", "section_score", "party", "service_like", "value_like", "municipal"]
@@ -121,26 +117,48 @@ def classify_sections(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     scored = line_features(score_sections(lines)).withColumn("block_no", (F.col("line_index") / block).cast("int"))
     key = [*KEY, "block_no"]
 
-    def tables(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("line_index")
-        rows = list(pdf[FEATURES].itertuples(index=False, name=None))
-        end = [STATES.index(_run(rows, s)[1]) for s in STATES]
-        return pd.DataFrame([[*pdf[key].iloc[0].tolist(), end]], columns=[*key, "next"])
-
-    maps = scored.select(*key, "line_index", *FEATURES).groupBy(*key).applyInPandas(tables, "document_id string, engine_id string, block_no int, next array<int>")
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        last, states = None, []
+        for b in batches:
+            for k0, k1, k2, *f in zip(*(b.column(c).to_pylist() for c in [*key, *FEATURES])):
+                if (k0, k1, k2) != last:
+                    if last is not None:
+                        out.append((*last, [STATES.index(x) for x in states]))
+                    last, states = (k0, k1, k2), list(STATES)
+                states = [_next(x, step(x, *f)[0]) for x in states]
+        if last is not None:
+            out.append((*last, [STATES.index(x) for x in states]))
+        cols = list(zip(*out)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.list_(pa.int32()))], names=[*key, "next"])
+
+    # only documents of several blocks need maps; the first block of any begins at the start
+    several = scored.groupBy(*KEY).agg(F.max("block_no").alias("last")).filter("last > 0").select(*KEY)
+    cells = scored.select(*key, "line_index", *FEATURES).join(several, KEY, "left_semi")
+    maps = cells.repartition(*key).sortWithinPartitions(*key, "line_index").drop("line_index").mapInArrow(tables, "document_id string, engine_id string, block_no int, next array<int>")
     w = Window.partitionBy(*KEY).orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
     first = F.aggregate(F.collect_list("next").over(w), F.lit(STATES.index(START)), lambda acc, m: F.element_at(m, acc + 1))
     begins = maps.select(*key, first.alias("state"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("line_index")
-        out, _ = _run(list(pdf[FEATURES].itertuples(index=False, name=None)), STATES[int(pdf["state"].iloc[0])])
-        pdf["section"], pdf["section_confidence"], pdf["section_rule"] = zip(*out) if out else ([], [], [])
-        return pdf[[*KEY, "line_index", "page_number", "text", "section_explicit", "section_score", "section", "section_confidence", "section_rule"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, state = None, START
+        for b in batches:
+            sections, confidences, rules = [], [], []
+            for k0, k1, k2, begin, *f in zip(*(b.column(c).to_pylist() for c in [*key, "state", *FEATURES])):
+                if (k0, k1, k2) != last:
+                    last, state = (k0, k1, k2), STATES[begin]
+                r = step(state, *f)
+                state = _next(state, r[0])
+                sections.append(r[0])
+                confidences.append(r[1])
+                rules.append(r[2])
+            kept = [b.column(c) for c in [*KEY, "line_index", "page_number", "text", "section_explicit", "section_score"]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sections, pa.string()), pa.array(confidences, pa.float64()), pa.array(rules, pa.string())], names=[*KEY, "line_index", "page_number", "text", "section_explicit", "section_score", "section", "section_confidence", "section_rule"])
 
     schema = "document_id string, engine_id string, line_index int, page_number int, text string, section_explicit string, section_score int, section string, section_confidence double, section_rule string"
-    ready = scored.join(begins, key).select(*key, "line_index", "page_number", "text", *FEATURES, "state")
-    return ready.groupBy(*key).applyInPandas(run, schema)
+    ready = scored.join(begins, key, "left").withColumn("state", F.coalesce("state", F.lit(STATES.index(START))))
+    ready = ready.select(*key, "line_index", "page_number", "text", *FEATURES, "state")
+    return ready.repartition(*key).sortWithinPartitions(*key, "line_index").mapInArrow(run, schema)
 
 
 def party_marker(lines: DataFrame) -> DataFrame:
