@@ -177,7 +177,13 @@ def forms(cp: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # a letter of the other script without a Latin twin: a foreign word or a symbol
         alien = np.zeros(n, bool)
         alien[run[word & ((c & GREEKCYR) != 0) & ((c & ALIKE) == 0)]] = True
-        bad = ((c & ALIKE) != 0) & has[run] & ~alien[run]
+        # a short word that lost all its letters to look-alikes: the text around it is Latin throughout
+        rows_latin = np.zeros(rows, bool)
+        rows_latin[r[(c & LATIN) != 0]] = True
+        rows_alien = np.zeros(rows, bool)
+        rows_alien[r[word & ((c & GREEKCYR) != 0) & ((c & ALIKE) == 0)]] = True
+        around = rows_latin[r] & ~rows_alien[r]
+        bad = ((c & ALIKE) != 0) & (has[run] & ~alien[run] | around)
         swap[see[bad]] = True
         np.bitwise_or.at(kinds, r[bad], 16)
     return kinds, swap
