@@ -6,8 +6,8 @@
    a document is a running header.
 3. Cut words are joined unless the compound itself is a known word; page numbers are known by form and,
    where they are bare numbers, by place and value.
-4. `reflowed` drops headers and page numbers, repairs words and joins the lines of a page into paragraphs
-   with windows over (document, engine, page).
+4. `reflowed` takes header lines and page numbers out of the elements (the rest of an element stays), repairs
+   words and joins the lines of a page into paragraphs with windows over (document, engine, page).
 
 The frequent words (a share of all words, so at most 1 / SHARE of them) are broadcast; rare words and
 headers are joined by shuffle. Odd input: null and blank texts have no noise; a null page counts as one more
@@ -67,6 +67,8 @@ PAGES = re.compile(
 DASHED = re.compile(r"(?:^|\n)[ \t]*(?:[-–—]\s?\d{1,4}\s?[-–—]|\[\s?\d{1,4}\s?\])[ \t]*(?=\n|$)")
 DASHED_FIRST = re.compile(r"^(?:- \d{1,4} -|\[\d{1,4}\]) (?=\S)")
 BARE_PAGE = re.compile(r"\W*(\d{1,5})(?:\s?/\s?(\d{1,4}))?\W*")
+#: What may stand between a page number and the rest of its line.
+SEPARATED, SEPARATES = re.compile(r"(?:^|[-–—|·•:;,(\[]|\s{2,})[\W_]*$"), re.compile(r"\W*$|\s*[-–—|·•:;,]|\s{3,}")
 SPOILT = re.compile(r"</?\w+[^>]*>|<!--.*?-->|&#?\w+;|\\(?:begin|end)\{\w+\}|\\[A-Za-z]+|[*#`|<>{}$\\]|'''|''|\[\[(?:[\w ]{1,30}\||Categoria:\w+)?|\]\]|\]\(#\w+\)")
 
 
@@ -112,6 +114,28 @@ def line_key(line: str) -> str:
     return "".join(out)
 
 
+def _blank(m: re.Match) -> str:
+    return " " * (m.end() - m.start())
+
+
+def key_words(line: str) -> list[tuple[str, int, int]]:
+    """(part of the key, start, end in the line) of the words of a line; the parts joined are its line_key."""
+    line = SPOILT.sub(_blank, line)
+    line = PAGES.sub(_blank, line)
+    out: list[tuple[str, int, int]] = []
+    for m in re.finditer(r"[\w!|]+", bare(line)):
+        w = m.group()
+        n = sum(c.isdigit() for c in w)
+        if n and n * 2 >= len(w):
+            if out and out[-1][0] == "#":
+                out[-1] = ("#", out[-1][1], m.end())
+            else:
+                out.append(("#", m.start(), m.end()))
+        else:
+            out.append((skeleton(w), m.start(), m.end()))
+    return out
+
+
 def word_counts(texts: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     """(word, n): words of letters (and compounds) of all texts; counted in Python by partition, then summed."""
 
@@ -227,15 +251,20 @@ def detect(text: str, original: str, lex: Lexicon) -> tuple[int, list[str]]:
         m = LABELLED_MAIL.search(text)
         if m and not any(x in text for x in ("(arroba)", "[at]", "(at)")):
             out |= MISREAD
+    return out | page_bits(text), rare if not out & MISREAD else []
+
+
+def page_bits(text: str) -> int:
+    """PAGE or BARE of a text in its consistent form."""
     if PAGES.search(text) or DASHED.search(text) or DASHED_FIRST.match(text):
-        out |= PAGE
-    elif len(text) < 16 and BARE_PAGE.fullmatch(text):
-        out |= BARE
-    elif "\n" in text:
+        return PAGE
+    if len(text) < 16 and BARE_PAGE.fullmatch(text):
+        return BARE
+    if "\n" in text:
         last = text.rstrip().rsplit("\n", 1)[-1]
         if len(last) < 10 and BARE_PAGE.fullmatch(last) and len(text) > 200:
-            out |= BARE
-    return out, rare if not out & MISREAD else []
+            return BARE
+    return 0
 
 
 def _mixed(w: str, text: str, at: int, lex: Lexicon) -> bool:
@@ -260,13 +289,15 @@ def _mixed(w: str, text: str, at: int, lex: Lexicon) -> bool:
 
 
 def flags(df: DataFrame, key: str, fields: list[str], lexicon, layout: bool) -> DataFrame:
-    """(row_key, at, mask, rare): bits of every delivery; rare holds "field:word" to look up."""
+    """(row_key, at, mask, rare): bits of every delivery; rare holds "field:word" to look up. Without a lexicon: page numbers only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, memo = lexicon.value, {}
+        lex, memo = lexicon and lexicon.value, {}
 
         def fn(texts: list) -> list:
             normal = normalize(pa.array(texts, pa.large_string()))[0].to_pylist()
+            if lex is None:
+                return [(page_bits(n), []) if n else (0, []) for n in normal]
             return [detect(n, t, lex) if t else (0, []) for n, t in zip(normal, texts)]
 
         for b in batches:
@@ -378,7 +409,10 @@ def _time(df: DataFrame) -> DataFrame:
 
 
 def header_rows(elements: DataFrame, headers: DataFrame) -> DataFrame:
-    """(row_key, at, mask) of elements with a line that is a header of their document."""
+    """(row_key, at, mask, lines, parts) of elements with a line that is a header of their document.
+
+    lines: keys that a line, or the whole text, is; parts: keys that a text with markup contains.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict = {}
@@ -398,14 +432,15 @@ def header_rows(elements: DataFrame, headers: DataFrame) -> DataFrame:
     docs = headers.select("document_id").distinct()
     short = elements.filter("text is not null").join(docs, "document_id", "left_semi").select("row_key", "at", "document_id", "text")
     keyed = short.mapInArrow(run, "row_key long, at long, document_id string, key string")
-    exact = keyed.join(headers, ["document_id", "key"], "left_semi").select("row_key", "at", F.lit(HEADER).cast("long").alias("mask"))
+    exact = keyed.join(headers, ["document_id", "key"], "left_semi").select("row_key", "at", F.lit(HEADER).cast("long").alias("mask"), F.array("key").alias("lines"), F.array().cast("array<string>").alias("parts"))
     # markup around a header adds words of its own: such elements are searched for the headers of their document
     marked = short.filter((F.length("text") < 400) & F.col("text").rlike(r"[\\`{}~>]|\*\*|''"))
-    return exact.unionByName(header_fields(marked, headers, ["text"]).filter("mask <> 0"))
+    inside = header_fields(marked, headers, ["text"]).filter("mask <> 0").withColumn("lines", F.array().cast("array<string>"))
+    return exact.unionByName(inside)
 
 
 def header_fields(rows: DataFrame, headers: DataFrame, fields: list[str]) -> DataFrame:
-    """(row_key, at, mask) of one-line fields that contain a header of their document."""
+    """(row_key, at, mask, parts) of one-line fields that contain a header of their document; parts: the keys of these headers."""
     arrays = headers.groupBy("document_id").agg(F.collect_set("key").alias("keys"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -413,6 +448,7 @@ def header_fields(rows: DataFrame, headers: DataFrame, fields: list[str]) -> Dat
         for b in batches:
             keys = b.column("keys").to_pylist()
             mask = np.zeros(b.num_rows, np.int64)
+            parts: list[list[str]] = [[] for _ in range(b.num_rows)]
             for f, name in enumerate(fields):
                 raw = b.column(name).to_pylist()
                 new = [t for t in dict.fromkeys(raw) if t not in memo]
@@ -423,12 +459,14 @@ def header_fields(rows: DataFrame, headers: DataFrame, fields: list[str]) -> Dat
                     memo[t] = line_key(n) if n else ""
                 for i, t in enumerate(raw):
                     k = memo[t]
-                    if k and any(x in k for x in keys[i]):
+                    hit = [x for x in keys[i] if x in k] if k else []
+                    if hit:
                         mask[i] |= HEADER << (f * BITS)
-            yield pa.RecordBatch.from_arrays([b.column("row_key"), b.column("at"), pa.array(mask)], names=["row_key", "at", "mask"])
+                        parts[i] += hit
+            yield pa.RecordBatch.from_arrays([b.column("row_key"), b.column("at"), pa.array(mask), pa.array(parts, pa.list_(pa.string()))], names=["row_key", "at", "mask", "parts"])
 
     both = rows.select("row_key", "at", "document_id", *fields).join(arrays, "document_id").select("row_key", "at", "keys", *fields)
-    return both.mapInArrow(run, "row_key long, at long, mask long")
+    return both.mapInArrow(run, "row_key long, at long, mask long, parts array<string>")
 
 
 def collect_lexicon(words: DataFrame, wrong: DataFrame):
@@ -457,29 +495,33 @@ def merged(parts: list[DataFrame]) -> DataFrame:
     return both.groupBy("row_key").agg(F.max(F.struct("at", "mask"))["mask"].alias("mask")).filter("mask <> 0")
 
 
+CAND_FIELDS = ["line_text", "context_text"]
+
+
 def analysed(artifacts: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, object]:
-    """(masks of artifacts, masks of candidates, misread forms, the broadcast lexicon)."""
-    cols = ["line_text", "context_text"]
+    """(elements with key, time and margin, (document_id, key) of headers, misread forms, the broadcast lexicon)."""
     artifacts = artifacts.select("artifact_id", "document_id", "engine_id", "text", "page_number", "bounding_box", "element_type", "loaded_at")
-    candidates = candidates.select("cand_id", "document_id", *cols, "loaded_at")
-    words = cut(word_counts([(artifacts, ["text"]), (candidates, cols)]))
+    words = cut(word_counts([(artifacts, ["text"]), (candidates, CAND_FIELDS)]))
     wrong = cut(misread_forms(words))
     lexicon = collect_lexicon(words, wrong)
     elements = _time(margins(artifacts)).withColumnRenamed("artifact_id", "row_key")
-    cands = _time(candidates).withColumnRenamed("cand_id", "row_key")
-    headers = cut(header_keys(elements))
-    a = cut(flags(elements.select("row_key", "at", "text", "page_number", "margin", "element_type"), "row_key", ["text"], lexicon, True))
-    c = cut(flags(cands.select("row_key", "at", *cols), "row_key", cols, lexicon, False))
-    masks_a = merged([a, looked_up(a, wrong), header_rows(elements, headers)])
-    masks_c = merged([c, looked_up(c, wrong), header_fields(cands, headers, cols)])
-    return masks_a, masks_c, wrong, lexicon
+    return elements, cut(header_keys(elements)), wrong, lexicon
+
+
+def element_flags(elements: DataFrame, lexicon) -> DataFrame:
+    return cut(flags(elements.select("row_key", "at", "text", "page_number", "margin", "element_type"), "row_key", ["text"], lexicon, True))
 
 
 def found(artifacts: DataFrame, candidates: DataFrame) -> DataFrame:
     """(source_table, row_key, field_name, noise_kind)."""
-    a, c, _, _ = analysed(artifacts, candidates)
-    kinds = explode_masks(a, ["text"], KINDS, BITS, "noise_kind", "raw_artifacts")
-    return kinds.unionByName(explode_masks(c, ["line_text", "context_text"], KINDS, BITS, "noise_kind", "candidates"))
+    elements, headers, wrong, lexicon = analysed(artifacts, candidates)
+    cands = _time(candidates.select("cand_id", "document_id", *CAND_FIELDS, "loaded_at")).withColumnRenamed("cand_id", "row_key")
+    a = element_flags(elements, lexicon)
+    c = cut(flags(cands.select("row_key", "at", *CAND_FIELDS), "row_key", CAND_FIELDS, lexicon, False))
+    masks_a = merged([a, looked_up(a, wrong), header_rows(elements, headers)])
+    masks_c = merged([c, looked_up(c, wrong), header_fields(cands, headers, CAND_FIELDS)])
+    kinds = explode_masks(masks_a, ["text"], KINDS, BITS, "noise_kind", "raw_artifacts")
+    return kinds.unionByName(explode_masks(masks_c, CAND_FIELDS, KINDS, BITS, "noise_kind", "candidates"))
 
 
 def repair(text: str, wrong: dict[str, str], lex: Lexicon) -> str:
@@ -542,17 +584,96 @@ def repaired(rows: DataFrame, text: str, wrong: DataFrame, lexicon) -> DataFrame
 LAYOUT = re.compile(r"\|\s*:?-{2,}|<t[dr]\b")
 
 
+def without_pages(line: str) -> str:
+    """A line without the page numbers printed in it; one that a sentence mentions stays."""
+    if DASHED.fullmatch(line):
+        return ""
+    line = DASHED_FIRST.sub("", line)
+    out, at = [], 0
+    for m in PAGES.finditer(line):
+        a, b = line[at : m.start()], line[m.end() :]
+        last = not re.search(r"\w", b)
+        if SEPARATED.search(a) and SEPARATES.match(b) or last and re.search(r"\d\s*(?:/|de|of|dc|0f)\s*\w+$", m.group(), re.I):
+            out.append(re.sub(r"[\s\-–—|·•:;,]+$", " ", a) if last else a)
+            at = m.end()
+    return "".join(out) + line[at:]
+
+
+def without_noise(text: str, page: bool, lines: list[str], parts: list[str]) -> str:
+    """A text in its consistent form without the header lines of these keys and, if page, without page numbers; empty if nothing else is left.
+
+    parts: keys of headers amid markup; they are cut out where they begin or end a line.
+    """
+    rows = text.split("\n")
+    if lines:
+        keys = set(lines)
+        if len(text) < 240 and line_key(" ".join(x for x in rows if x.strip())) in keys:
+            return ""
+        rows = [x for x in rows if not x.strip() or line_key(x) not in keys]
+    if parts:
+        text = "\n".join(rows)
+        for key in sorted(parts, key=len, reverse=True):
+            words = key_words(text)
+            starts, ends, at = {}, {}, 0
+            for x, a, b in words:
+                starts.setdefault(at, a)
+                at += len(x)
+                ends[at] = b
+            whole = "".join(x for x, _, _ in words)
+            at = whole.find(key)
+            while at >= 0:
+                a, b = starts.get(at), ends.get(at + len(key))
+                if a is not None and b is not None:
+                    before, after = text[:a].rsplit("\n", 1)[-1], text[b:].split("\n", 1)[0]
+                    if not line_key(before) or not line_key(after):
+                        text = text[:a] + text[b:]
+                        break
+                at = whole.find(key, at + 1)
+        rows = [x for x in text.split("\n") if line_key(x) or PAGES.search(x) or not SPOILT.search(x)]
+    if page:
+        if any(PAGES.search(x) or DASHED.search(x) or DASHED_FIRST.match(x) for x in rows):
+            rows = [y for x in rows if (y := without_pages(x)) == x or re.search(r"\w", SPOILT.sub(" ", y))]
+        else:
+            last = max((i for i, x in enumerate(rows) if x.strip()), default=-1)
+            if last >= 0 and BARE_PAGE.fullmatch(rows[last]):
+                del rows[last]
+    if not re.search(r"\w", SPOILT.sub(" ", "\n".join(rows))):
+        return ""
+    return "\n".join(rows)
+
+
+def cleared(rows: DataFrame) -> DataFrame:
+    """rows with text rid of its noise. rows: with at and noise (what was seen in each delivery), which are dropped."""
+    keep = [n for n in rows.columns if n not in ("at", "noise")]
+    kinds = dict(rows.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text, noise, at = (b.column(c).to_pylist() for c in ("text", "noise", "at"))
+            hit = [i for i, x in enumerate(noise) if x and text[i]]
+            for i, t in zip(hit, normalize(pa.array([text[i] for i in hit], pa.large_string()))[0].to_pylist() if hit else ()):
+                seen = [x for x in noise[i] if x["at"] == at[i]]
+                if seen:
+                    text[i] = without_noise(t, any(x["mask"] & PAGE for x in seen), [k for x in seen for k in x["lines"]], list({k for x in seen for k in x["parts"]}))
+            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if c == "text" else b.column(c) for c in keep], names=keep)
+
+    return rows.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in keep))
+
+
 def reflowed(artifacts: DataFrame, candidates: DataFrame) -> DataFrame:
     """(document_id, engine_id, page_number, paragraph_no, paragraph): continuous paragraphs of every page.
 
-    Elements that are headers or page numbers are dropped; a paragraph goes on in the next element unless
-    it ends a sentence or the next one is a heading, a label or a table.
+    Header lines and page numbers are taken out, and elements of nothing else dropped; a paragraph goes on in the
+    next element unless it ends a sentence or the next one is a heading, a label or a table.
     """
-    masks, _, wrong, lexicon = analysed(artifacts, candidates)
+    elements, keys, wrong, lexicon = analysed(artifacts, candidates)
+    headers, marked = header_rows(elements, keys), element_flags(elements, None)
     at = F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(-(2**62)).cast("long"))
-    base = artifacts.groupBy("artifact_id").agg(F.max(F.struct(at.alias("at"), "document_id", "engine_id", "page_number", "ordinal", "element_type", "text")).alias("r")).select("artifact_id", "r.*").drop("at")
-    noise = masks.filter(F.col("mask").bitwiseAND(HEADER | PAGE) != 0).select(F.col("row_key").alias("artifact_id"))
-    kept = base.join(noise, "artifact_id", "left_anti").filter("text is not null and trim(text) <> ''")
+    base = artifacts.groupBy("artifact_id").agg(F.max(F.struct(at.alias("at"), "document_id", "engine_id", "page_number", "ordinal", "element_type", "text")).alias("r")).select("artifact_id", "r.*")
+    none = F.array().cast("array<string>")
+    noise = headers.select("row_key", "at", "mask", "lines", "parts").unionByName(marked.filter(F.col("mask").bitwiseAND(PAGE) != 0).select("row_key", "at", "mask", none.alias("lines"), none.alias("parts")))
+    noise = noise.groupBy(F.col("row_key").alias("artifact_id")).agg(F.collect_list(F.struct("at", "mask", "lines", "parts")).alias("noise"))
+    kept = cleared(base.join(noise, "artifact_id", "left")).filter("text is not null and trim(text) <> ''")
     fixed = repaired(kept, "text", wrong, lexicon)
     w = Window.partitionBy("document_id", "engine_id", "page_number").orderBy("ordinal", "artifact_id")
     before, kind = F.lag("text").over(w), F.lag("element_type").over(w)

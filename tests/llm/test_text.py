@@ -220,3 +220,30 @@ def test_reflow(spark):
     out = ocr.reflowed(spark.createDataFrame(rows, ART), spark.createDataFrame([], CAND))
     assert [r.paragraph for r in out.filter("document_id = 'y'").collect()] == ["O campo destinado às observações foi preenchido"]
     assert out.filter("paragraph like '%Página%' or paragraph like '%Relatório%'").count() == 0
+
+
+def test_reflow_keeps_the_rest_of_noisy_elements(spark):
+    head = "Empresa Azul 1 | Relatório de faturamento"
+    body = ["O campo destinado às observações foi preenchido", "Os valores foram conferidos pelo setor", "A entrega ocorreu conforme combinado", "O serviço foi prestado na sede"]
+    texts = {
+        900: "\n".join([head, *body, "Página 4 de 5"]),
+        901: "\n".join([*body, "- 4 -"]),
+        902: "\n".join([head, *body, "O total consta abaixo e o saldo em aberto não foi incluído", "4"]),
+        903: "O anexo da Folha 12 foi conferido",
+        904: "Consulta de notas - Página 4 de 5",
+        905: f"**{head}** {{.topo}}\nTexto que fica",
+        906: f"{head}\nPágina 4 de 5",
+        907: f"<div>{head}</div>",
+    }
+    rows = [r for r in pages() if r[1] == "d1"]
+    rows += [(k, "d1", f"e{k}", 1, "para", t, 4, (10.0, 300.0, 100.0, 600.0), T0, 0, 0) for k, t in texts.items()]
+    # an earlier delivery with noise of its own
+    rows += [(903, "d1", "e903", 1, "para", head, 4, (10.0, 40.0, 100.0, 20.0), None, 0, 0)]
+    out = ocr.reflowed(spark.createDataFrame(rows, ART), spark.createDataFrame([], CAND))
+    got = {r.engine_id: r.paragraph for r in out.filter("engine_id <> 'e'").collect()}
+    whole = " ".join(body)
+    assert got["e900"] == whole and got["e901"] == whole
+    assert got["e902"] == whole + " O total consta abaixo e o saldo em aberto não foi incluído"
+    assert got["e903"] == texts[903] and got["e904"].strip() == "Consulta de notas"
+    assert got["e905"].endswith("Texto que fica") and "Relat" not in got["e905"]
+    assert "e906" not in got and "e907" not in got
