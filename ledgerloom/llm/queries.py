@@ -11,6 +11,11 @@ from . import leakage, markup, names, ocr, packing, pii, splitting, survivors, u
 from .common import table
 
 
+def _rows(df: DataFrame, source: str, key: str, field: str) -> DataFrame:
+    """(source_table, row_key, field_name, loaded_at, text) of one field: every delivery."""
+    return df.select(F.lit(source).alias("source_table"), F.col(key).cast("long").alias("row_key"), F.lit(field).alias("field_name"), "loaded_at", F.col(field).alias("text"))
+
+
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     a = pii.found(table(spark, sf, "raw_artifacts"), "artifact_id", ["text"], "raw_artifacts")
     b = pii.found(table(spark, sf, "candidates"), "cand_id", ["line_text", "context_text"], "candidates")
@@ -51,8 +56,9 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_normalized(spark: SparkSession, sf: str) -> DataFrame:
-    a = table(spark, sf, "candidates").select("cand_id", "loaded_at", "value")
-    return unicode_forms.normalized(a, "value", "normalized_value").drop("value")
+    a = _rows(table(spark, sf, "raw_artifacts"), "raw_artifacts", "artifact_id", "text")
+    b = _rows(table(spark, sf, "candidates"), "candidates", "cand_id", "value")
+    return unicode_forms.normalized(a.unionByName(b), "text", "normalized_text").drop("text")
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

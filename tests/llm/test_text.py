@@ -8,7 +8,7 @@ import unicodedata
 import pyarrow as pa
 import pytest
 
-from ledgerloom.llm import markup, ocr, pii, unicode_forms
+from ledgerloom.llm import markup, ocr, pii, queries, unicode_forms
 
 T0, T1 = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2)
 
@@ -181,6 +181,13 @@ def test_unicode_tables(spark):
     assert unicode_forms.found(spark.createDataFrame([], schema), "cand_id", "value", "candidates").count() == 0
 
 
+def test_normalized_query_covers_both_tables(spark, tmp_path):
+    spark.createDataFrame([(1, "ｎｏｔａ", T0), (2, None, T0)], "artifact_id long, text string, loaded_at timestamp").write.parquet(f"{tmp_path}/raw_artifacts.parquet")
+    spark.createDataFrame([(1, "cafe\u0301", T0)], "cand_id long, value string, loaded_at timestamp").write.parquet(f"{tmp_path}/candidates.parquet")
+    got = {(r.source_table, r.row_key, r.field_name, r.normalized_text) for r in queries.p4_normalized(spark, str(tmp_path)).collect()}
+    assert got == {("raw_artifacts", 1, "text", "nota"), ("raw_artifacts", 2, "text", None), ("candidates", 1, "value", "café")}
+
+
 ART = "artifact_id long, document_id string, engine_id string, ordinal int, element_type string, text string, page_number int, bounding_box struct<x:double,y:double,w:double,h:double>, loaded_at timestamp, row_key int, at int"
 CAND = "cand_id long, document_id string, line_text string, context_text string, loaded_at timestamp, row_key int"
 
