@@ -19,7 +19,7 @@ import hmac
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -214,6 +214,7 @@ def _person(words: list[re.Match], i: int, loose: bool, reach: int = 6) -> tuple
             break
         seq.append((k, w, b))
         k += 1
+    whole = len(seq) >= reach  # the words were cut by reach only
     if any(x[2] in ("F", "&") or len(x[2]) > 3 and close(x[2], FIRMS, NEAR_FIRM) and not close(x[2], GIVEN, NEAR_GIVEN) for x in seq):
         return None
     while seq and seq[-1][2] in ("+", ","):
@@ -231,6 +232,7 @@ def _person(words: list[re.Match], i: int, loose: bool, reach: int = 6) -> tuple
     # a sentence may go on after the name: stop at the first lower-case word of a capitalised name
     if real[0][1][0].isupper():
         stop = next((q for q, x in enumerate(seq) if x[2] not in ("+", ",") and x[1].islower()), len(seq))
+        whole = whole and stop == len(seq)
         seq = seq[:stop]
         while seq and seq[-1][2] in ("+", ","):
             seq.pop()
@@ -242,7 +244,26 @@ def _person(words: list[re.Match], i: int, loose: bool, reach: int = 6) -> tuple
     if loose and not titled and not any(close(x[2], GIVEN | NICK, NEAR_GIVEN) for x in real[:3]) and not any(len(x[2]) == 1 for x in real[:3]):
         if len(real) > 4 or any(len(x[2]) < 4 for x in real):
             return None
-    return i, seq[min(len(seq), 5) - 1][0] + 1
+    if real[0][1].islower():  # nothing tells where a name without capitals ends: parts after a connective are taken for it
+        return i, _name_end(words, seq[min(len(seq), 5) - 1][0] + 1, str.islower, True)
+    end = seq[-1][0] + 1
+    return i, _name_end(words, end, str.isupper if real[0][1].isupper() and len(real[0][1]) > 2 else lambda w: w[0].isupper(), False) if whole else end
+
+
+def _name_end(words: list[re.Match], end: int, like: Callable[[str], bool], linked: bool) -> int:
+    """One past the last word of a name that goes on at word end in this lettering; linked: only with words after a connective."""
+    k, joined = end, end > 0 and bare(words[end - 1].group()) in CONNECT
+    while k < len(words):
+        w = words[k].group()
+        b = bare(w.rstrip("."))
+        if b in CONNECT and (not w[0].isupper() or w.isupper()):
+            joined = True
+        elif not b[:1].isalpha() or b in PLAINS or b in FIRMS and len(b) > 1 or not like(w) or linked and not joined:
+            break
+        else:
+            end, joined = k + 1, False
+        k += 1
+    return end
 
 
 TITLES_SET = set(TITLES.split())
@@ -391,6 +412,31 @@ def _id_word(w: str) -> bool:
     return w in ("cpf", "cnpj", "cpfcnpj", "usuario", "cnpi", "cnpl", "cpe") or w == "j"
 
 
+def pieces(text: str, low: str | None = None, letters: str | None = None) -> list[tuple[int, int, int]]:
+    """spans of a text in its consistent form, with those that are found only when words cut at line ends are joined."""
+    plain = spans(text, low, letters)
+    if "\n" not in text or not HYPHEN.search(text):
+        return plain
+    kept, at, places = [], 0, []
+    for m in HYPHEN.finditer(text):
+        kept.append(text[at : m.start()])
+        places += range(at, m.start())
+        at = m.end()
+    kept.append(text[at:])
+    places += range(at, len(text))
+    out = [(places[a], places[b - 1] + 1, k) for a, b, k in spans("".join(kept)) if b > a]
+    covered = {i for a, b, _ in out for i in range(a, b)}
+    out += [x for x in plain if not covered.issuperset(range(x[0], x[1]))]
+    merged: list[tuple[int, int, int]] = []
+    for a, b, k in sorted(out, key=lambda x: (x[0], -x[1])):
+        if merged and a < merged[-1][1]:  # the longer piece names the kind
+            x, y, j = merged[-1]
+            merged[-1] = (x, max(b, y), j if y - x >= b - a else k)
+        else:
+            merged.append((a, b, k))
+    return merged
+
+
 def kinds_of_normal(text: str | None, low: str | None = None, letters: str | None = None) -> int:
     """Bits of the kinds in a text that is in its consistent form already."""
     if not text:
@@ -543,7 +589,7 @@ def _replace(text: str, normal: str, found: list[tuple[int, int, int]], key: byt
         out, at = [], 0
         for a, b, k in found:
             x, y = places[a], places[b]
-            out += [text[at:x], placeholder(k, normal[a:b], key)]
+            out += [text[at:x], placeholder(k, HYPHEN.sub("", normal[a:b]), key)]
             at = y
         out.append(text[at:])
         text = "".join(out)
@@ -557,7 +603,7 @@ def redact_all(texts: list[str | None], key: bytes = KEY, dates: bool = False) -
     normal = normalize(pa.array(texts, pa.large_string()))[0]
     low, letters = bare_forms(normal)
     rows = zip(texts, normal.to_pylist(), low.to_pylist(), letters.to_pylist())
-    return [_replace(t, n, spans(n, a, b), key, dates) if t else t for t, n, a, b in rows]
+    return [_replace(t, n, pieces(n, a, b), key, dates) if t else t for t, n, a, b in rows]
 
 
 def redact(text: str | None, key: bytes = KEY, dates: bool = False) -> str | None:

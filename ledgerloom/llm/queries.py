@@ -23,7 +23,10 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_redacted(spark: SparkSession, sf: str) -> DataFrame:
-    a = table(spark, sf, "raw_artifacts").select("artifact_id", "loaded_at", "text")
+    a = _rows(table(spark, sf, "raw_artifacts"), "raw_artifacts", "artifact_id", "text")
+    c = table(spark, sf, "candidates")
+    for field in ("line_text", "context_text"):
+        a = a.unionByName(_rows(c, "candidates", "cand_id", field))
     return pii.redacted(a, {"text": "redacted_text"}).drop("text")
 
 

@@ -61,6 +61,30 @@ def test_redact_odd_characters():
     assert re.fullmatch(r"E-mail: \[EMAIL \d{8}\] fim\u200b", out)
 
 
+@pytest.mark.parametrize("name", ["Maria Aparecida dos Santos de Oliveira", "MARIA APARECIDA DOS SANTOS DE OLIVEIRA", "Maria Clara Aparecida dos Santos de Oliveira e Souza", "maria aparecida dos santos de oliveira"])
+def test_redact_whole_names(name):
+    out = pii.redact(f"Falar com {name} em 10/05/2024; protocolo 123.")
+    assert re.fullmatch(r"Falar com \[NAME \d{8}\] em 10/05/2024; protocolo 123\.", out)
+
+
+def test_redact_words_cut_at_line_ends():
+    text = "Falar com Car-\nlos Men-\ndoca em 10/05/2024, na obser-\nvação"
+    out = pii.redact(text)
+    assert kinds(text) == {"name"}
+    assert out == "Falar com " + pii.placeholder(4, "Carlos Mendoca", pii.KEY) + " em 10/05/2024, na obser-\nvação"
+    assert pii.redact("Falar com Carlos Men-\ndoca em 10/05/2024") == "Falar com " + pii.placeholder(4, "Carlos Mendoca", pii.KEY) + " em 10/05/2024"
+
+
+def test_redacted_query_covers_all_fields(spark, tmp_path):
+    mail = "E-mail: ana@xpto.test"
+    spark.createDataFrame([(1, mail, T0)], "artifact_id long, text string, loaded_at timestamp").write.parquet(f"{tmp_path}/raw_artifacts.parquet")
+    spark.createDataFrame([(1, mail, None, T0), (2, "nada", mail, T0)], "cand_id long, line_text string, context_text string, loaded_at timestamp").write.parquet(f"{tmp_path}/candidates.parquet")
+    got = {(r.source_table, r.row_key, r.field_name): r.redacted_text for r in queries.p1_redacted(spark, str(tmp_path)).collect()}
+    red = pii.redact(mail)
+    assert "ana@" not in red
+    assert got == {("raw_artifacts", 1, "text"): red, ("candidates", 1, "line_text"): red, ("candidates", 1, "context_text"): None, ("candidates", 2, "line_text"): "nada", ("candidates", 2, "context_text"): red}
+
+
 def test_pseudonyms_link_and_keep_format():
     a, b = pii.placeholder(2, "529.982.247-25", pii.KEY), pii.placeholder(2, "52998224725", pii.KEY)
     assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b) and re.fullmatch(r"\[ID_NUMBER \d{3}\.\d{3}\.\d{3}-\d{2}\]", a)
