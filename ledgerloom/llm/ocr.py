@@ -2,8 +2,8 @@
 
 1. Words are counted over all texts; words of one confusable-glyph skeleton form a group, and a form that
    is a misreading (glyph by glyph) of a far more frequent one of its group is taken for it.
-2. Lines at the top or bottom of pages are keyed by skeleton with digits masked; a key on several pages of
-   a document is a running header.
+2. Lines at the top or bottom of pages are keyed by skeleton with digits masked; a key on two or more pages of
+   a document of any size is a running header, if one of its boxes is in the margin or all its lines have the form of one (else if it is on PART of the pages).
 3. Cut words are joined unless the compound itself is a known word; page numbers are known by form and,
    where they are bare numbers, by place and value.
 4. `reflowed` takes header lines and page numbers out of the elements (the rest of an element stays), repairs
@@ -36,7 +36,7 @@ BITS = 8
 SHARE, LEAST = 2e-6, 30
 RATIO_RARE, RATIO_FREQUENT = 4, 20
 TOP, BOTTOM = 0.08, 0.93
-#: A running header is on two pages at least, and on this part of the document's pages.
+#: A repeated edge line without a box in the margin and without the form of a header is one on this part of the pages.
 PART = 0.05
 
 # What a scanner reads for what is printed.
@@ -360,37 +360,52 @@ def header_keys(elements: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             normal = normalize(b.column("text"))[0].to_pylist()
-            at, keys = [], []
+            at, keys, boxed, formed = [], [], [], []
             for i, (t, m) in enumerate(zip(normal, b.column("margin").to_pylist())):
-                for k in edge_keys(t, bool(m)):
+                for k, box, form in edge_keys(t, bool(m)):
                     at.append(i)
                     keys.append(k)
+                    boxed.append(box)
+                    formed.append(form)
             idx = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(idx) for c in ("document_id", "engine_id", "page_number")), pa.array(keys, pa.string())], names=["document_id", "engine_id", "page_number", "key"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(idx) for c in ("document_id", "engine_id", "page_number")), pa.array(keys, pa.string()), pa.array(boxed, pa.bool_()), pa.array(formed, pa.bool_())], names=["document_id", "engine_id", "page_number", "key", "boxed", "formed"])
 
+    how = F.max("boxed").alias("boxed"), F.min("formed").alias("formed")
     edge = elements.filter("text is not null and (margin or (length(text) > 200 and instr(text, '\n') > 0))").select("document_id", "engine_id", "page_number", "text", "margin")
-    seen = edge.mapInArrow(run, "document_id string, engine_id string, page_number int, key string").distinct()
-    pages = elements.filter("page_number is not null").select("document_id", "page_number").distinct().groupBy("document_id").agg(F.count("*").alias("pages"))
+    seen = edge.mapInArrow(run, "document_id string, engine_id string, page_number int, key string, boxed boolean, formed boolean").groupBy("document_id", "engine_id", "page_number", "key").agg(*how)
     # an element without a page is on another page than those that the same engine has numbered
-    by_engine = seen.groupBy("document_id", "engine_id", "key").agg(F.count("*").alias("n")).select("document_id", "key", "n")
-    numbered = seen.filter("page_number is not null").select("document_id", "page_number", "key").distinct().groupBy("document_id", "key").agg(F.count("*").alias("n"))
-    keys = by_engine.unionByName(numbered).groupBy("document_id", "key").agg(F.max("n").alias("n")).filter("n > 1")
-    return keys.join(pages, "document_id").filter(f"n >= {PART} * pages").select("document_id", "key")
+    by_engine = seen.groupBy("document_id", "engine_id", "key").agg(F.count("*").alias("n"), *how).select("document_id", "key", "n", "boxed", "formed")
+    numbered = seen.filter("page_number is not null").groupBy("document_id", "page_number", "key").agg(*how).groupBy("document_id", "key").agg(F.count("*").alias("n"), *how)
+    keys = by_engine.unionByName(numbered).groupBy("document_id", "key").agg(F.max("n").alias("n"), *how)
+    pages = elements.filter("page_number is not null").select("document_id", "page_number").distinct().groupBy("document_id").agg(F.count("*").alias("pages"))
+    return keys.filter("n > 1").join(pages, "document_id", "left").filter(f"boxed or formed or n >= {PART} * pages").select("document_id", "key")
+
+
+#: A line of the body: an amount or a share, a list, table or heading sign first, a lower-case beginning, a sentence's end or a cut.
+BODY_LINE = re.compile(r"R\$|\d,\d{2}(?!\d)|\d ?%|^\s*(?:[-*•=#|>{]|\\|<h\d|[a-zà-ú])|[a-zà-ú\d]{3}[.;]\W*$|[,:\-‐¬]\s*$")
 
 
-def edge_keys(text: str | None, margin: bool) -> list[str]:
-    """Keys of the lines of a text that may be running headers."""
+def edge_keys(text: str | None, margin: bool) -> list[tuple[str, bool, bool]]:
+    """(key, in the margin by its box, in form a header) of the lines of a text that may be running headers."""
     if not text or not text.strip():
         return []
     lines = [x for x in text.split("\n") if x.strip()]
-    whole = len(lines) >= 6
-    if whole:
-        chosen = [lines[0], lines[-1] if line_key(lines[-1]) not in ("", "#") else lines[-2]]
+    if len(lines) >= 6:
+        last = -1 if line_key(lines[-1]) not in ("", "#") else -2
+        # a line that goes on in the next one is wrapped text
+        first_form = not BODY_LINE.search(lines[0]) and not lines[1].lstrip()[:1].islower()
+        last_form = not BODY_LINE.search(lines[last]) and not re.search(r"\d", lines[last]) and bool(re.search(r"[.!?:;]\W*$|\d\W*$", lines[last - 1]))
+        chosen = [(lines[0], False, first_form), (lines[last], False, last_form)]
     elif margin:
-        chosen = [" ".join(lines)]
+        chosen = [(" ".join(lines), True, True)]
     else:
         return []
-    return [k for k in dict.fromkeys(line_key(x) for x in chosen) if len(k) >= 8 and k != "#"]
+    out: dict[str, tuple[str, bool, bool]] = {}
+    for x, box, form in chosen:
+        k = line_key(x)
+        if len(k) >= 8 and k != "#":
+            out.setdefault(k, (k, box, form))
+    return list(out.values())
 
 
 def all_keys(text: str | None) -> list[str]:

@@ -245,6 +245,18 @@ def test_scanned_pages(spark):
     assert ocr.found(spark.createDataFrame([], ART), spark.createDataFrame([], CAND)).count() == 0
 
 
+def test_headers_on_few_pages_of_a_large_document(spark):
+    box, body = (10.0, 40.0, 100.0, 20.0), (10.0, 300.0, 100.0, 900.0)
+    fill = [f"Linha {'abcdef'[k]} do texto que a página traz por inteiro." for k in range(6)]
+    rows = [(p, "big", "e", p, "para", f"Empresa Verde Serviços - Lote geral {p}", p, box, T0, 0, 0) for p in range(1, 121)]
+    rows += [(1000 + p, "big", "e", 500 + p, "para", "Setor de Obras - Filial Norte", p, box, T0, 0, 0) for p in (10, 11)]
+    rows += [(1100, "big", "e", 600, "para", "Setor de Compras - Filial Sul", 12, box, T0, 0, 0)]  # one page only
+    rows += [(1200 + p, "big", "e", 700 + p, "para", "\n".join(["Anexo do Contrato - Filial Leste", *fill, f"R$ {p},36 já abatidos do total"]), p, body, T0, 0, 0) for p in (20, 21)]
+    rows += [(1300 + p, "big", "e", 800 + p, "para", "\n".join([f"Registro de ocorrência {p}: a leitura do documento", "foi feita no balcão.", *fill]), p, body, T0, 0, 0) for p in (30, 31)]
+    got = {r.row_key for r in ocr.found(spark.createDataFrame(rows, ART), spark.createDataFrame([], CAND)).filter("noise_kind = 'running_header'").collect()}
+    assert got == {*range(1, 121), 1010, 1011, 1220, 1221}
+
+
 def test_reflow(spark):
     rows = [r for r in pages() if r[1] != "x"]
     rows += [(900, "y", "e", 1, "para", "O campo destinado às obser-", 1, (1.0, 200.0, 1.0, 1.0), T0, 0, 0), (901, "y", "e", 2, "para", "vações foi preenchido", 1, (1.0, 230.0, 1.0, 1.0), T0, 0, 0)]
