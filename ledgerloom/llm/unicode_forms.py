@@ -1,7 +1,8 @@
 """Problem 4: one consistent form for texts that look alike.
 
-Arrow text buffers become numpy code-point arrays; every step is a table gather, a scatter or a
-cumulative sum over the whole batch. No Python string is made for a row.
+Arrow text buffers become numpy code-point arrays; every step is a table gather, a scatter, a sort or a
+cumulative sum over the whole batch. No Python string is made for a row. Letters with marks are taken apart,
+their marks put in canonical order and composed again, so that it does not matter in which order they were typed.
 
 Results for odd input: null stays null and has no form; empty stays empty; a text of marks only keeps
 them (nothing to compose with); ties and repeated rows do not matter (row-wise); extra columns are ignored.
@@ -33,6 +34,69 @@ INVISIBLE = [0x00AD, 0x034F, 0x061C, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x1
 TOP = 0x110000
 
 
+def offsets(long: dict[int, list[int]], width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each code point's expansion begins, all expansions in a row); their lengths go into width."""
+    at = np.zeros(TOP, np.int32)
+    to: list[int] = []
+    for c, x in long.items():
+        at[c], width[c] = len(to), len(x)
+        to += x
+    return at, np.array(to, np.uint32)
+
+
+def expanded(out: np.ndarray, cp: np.ndarray, start: np.ndarray, width: np.ndarray, at: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, row starts): out where the width is one, the expansion of cp where it is more, nothing where it is none."""
+    where = np.concatenate([[0], np.cumsum(width)])
+    res = np.zeros(where[-1], np.uint32)
+    one = width == 1
+    res[where[:-1][one]] = out[one]
+    many = np.flatnonzero(width > 1)
+    if len(many):
+        n = width[many]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        res[np.repeat(where[many], n) + inner] = to[np.repeat(at[cp[many]], n) + inner]
+    return res, where[start]
+
+
+def composed(res: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, row starts) with the marks of every letter in canonical order and composed with it as far as they go."""
+    t = Tables.get()
+    if not (t.order[res] > 0).any():
+        return res, start
+    begins = np.zeros(len(res) + 1, bool)
+    begins[start] = True
+    follows = np.append(t.order[res[1:]] > 0, False) & ~begins[1:]  # a mark comes next
+    width = np.where(follows | (t.order[res] > 0), t.apart[res], 1).astype(np.int64)
+    if (width > 1).any():
+        res, start = expanded(res, res, start, width, t.apart_at, t.apart_to)
+        begins = np.zeros(len(res) + 1, bool)
+        begins[start] = True
+    mark = np.flatnonzero(t.order[res] > 0)
+    fresh = np.ones(len(mark), bool)
+    fresh[1:] = (mark[1:] != mark[:-1] + 1) | begins[mark[1:]]
+    run = np.cumsum(fresh) - 1
+    res[mark] = res[mark[np.lexsort((mark, t.order[res[mark]], run))]]
+    first = mark[fresh]
+    length = np.bincount(run)
+    has = ~begins[first] & (first > 0)  # marks that begin a text have no letter
+    first, length = first[has], length[has]
+    last = np.zeros(len(first), np.uint8)
+    keep = np.ones(len(res), bool)
+    live, k = np.arange(len(first)), 0
+    while len(live):
+        at = first[live] + k
+        own = t.order[res[at]]
+        key = (res[first[live] - 1].astype(np.uint64) << np.uint64(21)) | res[at].astype(np.uint64)
+        j = np.minimum(np.searchsorted(t.pair_keys, key), len(t.pair_keys) - 1)
+        ok = (t.pair_keys[j] == key) & ((last[live] == 0) | (last[live] < own))
+        res[first[live[ok]] - 1] = t.pair_to[j[ok]]
+        keep[at[ok]] = False
+        last[live[~ok]] = own[~ok]
+        k += 1
+        live = live[length[live] > k]
+    return res[keep], np.concatenate([[0], np.cumsum(keep)])[start]
+
+
 class Tables:
     """Lookup tables over code points, made once a worker."""
 
@@ -63,13 +127,23 @@ class Tables:
                     alike[ord(x)] = ord(y)
         cls[alike > 0] |= ALIKE
         # compatibility characters that become several: offsets into one array
-        self.long = {}
-        for c in [*range(0xFB00, 0xFB07), 0x2026, 0x2025, 0x00BC, 0x00BD, 0x00BE, 0x2103]:
-            self.long[c] = [ord(x) for x in unicodedata.normalize("NFKC", chr(c)).replace("⁄", "/")]
+        long = {c: [ord(x) for x in unicodedata.normalize("NFKC", chr(c)).replace("⁄", "/")] for c in [*range(0xFB00, 0xFB07), 0x2026, 0x2025, 0x00BC, 0x00BD, 0x00BE, 0x2103]}
         width = np.ones(TOP, np.uint8)
         width[np.array(INVISIBLE)] = 0
-        for c, x in self.long.items():
-            width[c] = len(x)
+        self.long_at, self.long_to = offsets(long, width)
+        # letters with marks: their full decomposition, and the classes that order marks
+        apart = {}
+        for c in range(0xC0, 0x3000):
+            if unicodedata.decomposition(chr(c)) and unicodedata.decomposition(chr(c))[0] != "<":
+                x = unicodedata.normalize("NFC", chr(c))
+                if len(x) == 1:
+                    to[c] = ord(x)
+                apart[c] = [ord(y) for y in unicodedata.normalize("NFD", x)]
+        self.apart = np.ones(TOP, np.uint8)
+        self.apart_at, self.apart_to = offsets(apart, self.apart)
+        order = np.zeros(TOP, np.uint8)
+        order[marks] = [unicodedata.combining(chr(c)) for c in marks]
+        self.order = order
         pairs = {}
         for c in range(0xC0, 0x2000):
             d = unicodedata.decomposition(chr(c))
@@ -195,37 +269,12 @@ def normalize(arr: pa.Array) -> tuple[pa.Array, np.ndarray]:
     cp, start = decode(arr)
     t = Tables.get()
     kinds, swap = forms(cp, start)
-    if not kinds.any() and not (t.width[cp] != 1).any():
+    if not kinds.any() and not ((t.width[cp] != 1) | (t.to[cp] != cp) | (t.order[cp] > 0)).any():
         return arr, kinds
     out = t.to[cp]
     out[swap] = t.alike[cp[swap]]
-    width = t.width[cp].astype(np.int64)
-    at = np.concatenate([[0], np.cumsum(width)])
-    res = np.zeros(at[-1], np.uint32)
-    one = width == 1
-    res[at[:-1][one]] = out[one]
-    for p in np.flatnonzero(width > 1):  # ligatures and fractions: rare
-        x = t.long[int(cp[p])]
-        res[at[p] : at[p] + len(x)] = x
-    start = at[start]
-    for _ in range(3):  # one round composes one mark of every letter
-        mark = np.flatnonzero((t.cls[res] & COMB) != 0)
-        mark = mark[mark > 0]
-        begins = np.zeros(len(res) + 1, bool)
-        begins[start] = True
-        mark = mark[~begins[mark]]
-        if not len(mark):
-            break
-        key = (res[mark - 1].astype(np.uint64) << np.uint64(21)) | res[mark].astype(np.uint64)
-        j = np.minimum(np.searchsorted(t.pair_keys, key), len(t.pair_keys) - 1)
-        ok = t.pair_keys[j] == key
-        if not ok.any():
-            break
-        res[mark[ok] - 1] = t.pair_to[j[ok]]
-        keep = np.ones(len(res), bool)
-        keep[mark[ok]] = False
-        start = np.concatenate([[0], np.cumsum(keep)])[start]
-        res = res[keep]
+    res, start = expanded(out, cp, start, t.width[cp].astype(np.int64), t.long_at, t.long_to)
+    res, start = composed(res, start)
     return encode(res, start, arr), kinds
 
 

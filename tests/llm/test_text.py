@@ -187,6 +187,15 @@ def test_unicode_against_the_standard_library():
         assert bool(b & 4) == any(c in zero for c in text) and bool(b & 8) == any(c in spaces for c in text)
 
 
+def test_marks_in_any_order():
+    rnd = random.Random(8)
+    texts = ["a\u0323\u0302", "a\u0302\u0323", "\u00e2\u0323", "\u1ea1\u0302", "A\u030a\u0323x", "\u212b", "o\u0304\u0303" * 300]
+    texts += ["".join(rnd.choice("aeouAxç\u00e2\u1ead\u01d5" + "\u0300\u0301\u0302\u0303\u0304\u0307\u0308\u030a\u031b\u0323\u0327\u0328\u0331") for _ in range(rnd.randrange(1, 40))) for _ in range(600)]
+    out = unicode_forms.normalize(pa.array(texts))[0].to_pylist()
+    assert out[:4] == ["\u1ead"] * 4
+    assert out == [unicodedata.normalize("NFC", t) for t in texts]
+
+
 def test_look_alikes():
     texts = ["Pаgina", "Оплата по договору", "Δt = 5", "kΩ µm", "Νº 5", "ЅERVIÇOS", "Τιμολόγιο", "Vaca/ΕЅ", "ver СОРА e Завод"]
     out, bits = unicode_forms.normalize(pa.array(texts))
