@@ -4,8 +4,10 @@
 `redact` writes `[TYPE pseudonym]` in their place and leaves everything else as it was. Pseudonyms are
 format-preserving: digits go through a keyed Feistel permutation of their own length, so an equal number
 has an equal pseudonym in every document, whatever its notation; a number with valid check digits keeps
-valid ones; dates (option) are permuted among real dates. Texts (names, mailboxes, streets) are
-linked by a Feistel-permuted number of their normalised form.
+valid ones; dates of birth are permuted among real dates. Texts (names, mailboxes, streets) are linked by
+a keyed permutation of 128 bits of their normalised form, a space in which different texts do not meet.
+`found` reads its rows off the placeholders that the redaction of a text has written. The key is the
+caller's: there is no default, and without it nothing can be undone.
 
 Odd input: null stays null; blank and empty texts are unchanged; long texts are read whole; repeated
 rows give equal results; extra columns are kept by `redacted`, a clash with its output column is an error.
@@ -13,23 +15,24 @@ rows give equal results; extra columns are kept by `redacted`, a clash with its
 
 from __future__ import annotations
 
+import base64
 import datetime
 import hashlib
 import hmac
 import math
 import re
+import secrets
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .common import MEMO, explode_masks, flag_masks
 from .unicode_forms import Tables, bare_forms, normalize
 
 KINDS = ["email", "phone", "id_number", "address", "name"]
-KEY = b"ledgerloom"  # a parameter of redact; real runs pass their own
 
 # Common Brazilian given names and short forms, without accents.
 GIVEN_NAMES = """
@@ -84,6 +87,10 @@ INSTITUTE = {"instituto", "padaria", "fundacao", "colegio", "escola", "hospital"
 ALLSTREET = {"av", "al", "tv", "pca", "r", "rod"}
 
 
+#: Words that a sentence has and an address has not.
+SENTENCE = {"que", "para", "foi", "foram", "deve", "devem", "sera", "serao", "esta", "este", "pelo", "pela", "conforme", "sao", "informado", "cadastrado", "acima", "abaixo", "pagamento", "emissao", "data", "nota", "fiscal", "servico", "servicos", "valor"}
+
+
 def _near(words: set[str]) -> dict[str, str]:
     out: dict[str, str] = {}
     for w in words:
@@ -118,7 +125,10 @@ def close(w: str, words: set[str], near: dict[str, str]) -> bool:
 
 
 # Patterns.
-_DOM = r"(?:test|example|invalid|com|net|org|gov|edu|info|br|pt|io)"
+#: Top domains of addresses without an @: the common generic ones, those of Portuguese-speaking and neighbouring countries, and the reserved ones.
+_DOM = r"(?:com|net|org|gov|edu|info|biz|app|dev|adv|eng|ind|br|pt|ao|mz|ar|uy|py|cl|us|uk|eu|io|me|co|tv|test|example|invalid|localhost)"
+#: Mailboxes of roles, which companies use whatever their name.
+_ROLE = r"(?:nfe|nfse|nf|contato|contact|financeiro|fiscal|faturamento|cobranca|contabil|contabilidade|comercial|vendas|compras|atendimento|suporte|support|sac|rh|adm|administrativo|diretoria|secretaria|info|sales|billing|admin|noreply|ouvidoria)"
 EMAILS = [
     re.compile(r"[\w.+%-]+ ?[@©] ?[\w-]+(?:[.,][\w-]+)+"),
     re.compile(r"[\w.+%-]+\s*[(\[{<]\s?(?:arr?oba|at|a|@)\s?[)\]}>]\s*[\w-]+(?:\.[\w-]+|\s*[(\[]?\b(?:ponto|dot)\b[)\]]?\s*[\w-]+)+", re.I),
@@ -126,7 +136,8 @@ EMAILS = [
     re.compile(r"(?<![\w@.])[a-z0-9._+-]{2,}[QOG0][a-z0-9-]{2,}(?:\.[a-z0-9-]+)*\." + _DOM + r"(?![\w])"),
     re.compile(r"(?i:e-?mai[l1i]|corre[il1!]o e[l1i]etr[ôo0]n[il1!]co)\W{0,6}([\w.+-]+(?:\.[\w-]+)*\." + _DOM + r")\b", re.I),
     re.compile(r"(?i:e-?mai[l1i]|corre[il1!]o e[l1i]etr[ôo0]n[il1!]co)\W{0,6}([\w.+-]+ [QOG0] [\w-]+(?:\.[\w-]+)*\." + _DOM + r")\b"),
-    re.compile(r"(?<![\w@.])(?:nfe|contato|financeiro)[QOG0a]?[a-z0-9-]{3,}(?:\.[a-z0-9-]+)*\." + _DOM + r"(?![\w])", re.I),
+    re.compile(r"(?<![\w@.])" + _ROLE + r"[QOG0a][a-z0-9-]{3,}(?:\.[a-z0-9-]+)*\." + _DOM + r"(?![\w])", re.I),
+    re.compile(r"(?<![\w@.])(?:nfe|contato|financeiro|faturamento|cobranca|atendimento)[a-z0-9-]{3,}(?:\.[a-z0-9-]+)*\." + _DOM + r"(?![\w])", re.I),
 ]
 PHONE = re.compile(r"(?<![\w.,/-])(?<!\d )(?:\+ ?55[ -]?)?(?:\(0?\d{2}\) ?|\(0[xX]{2}\d{2}\) ?|0[xX]{2} ?\d{2}[ -]?|0?\d{2}[ -.]|0?\d{2} - )9? ?\d{4}[ .-]?\d{4}(?![\d/])(?!-\d)(?![.,]\d)(?! \d{4}\b)")
 PHONE_BARE = re.compile(r"(?<![\w.,/-])(?<!\d )(?:\+?55)?0?[1-9]\d9?\d{8}(?![\w/])(?!-\d)(?![.,]\d)")
@@ -144,7 +155,7 @@ ADDRESS = re.compile(
 )
 # without a number the name must be written as a name
 ADDRESS_NAME = re.compile(r"(?<![\w.])(?:(?:Rua|Avenida|Alameda|Travessa|Praça|Pça\.|Rodovia|Estrada|Av\.|Tv\.)|(?:RUA|AVENIDA|ALAMEDA|TRAVESSA|PRAÇA|PÇA\.|RODOVIA|ESTRADA|AV\.|TV\.)) (?:(?:d[aeo]s?|D[AEO]S?) )?(?!(?:de|DE) )[A-ZÀ-Ú][\w.]+")
-ADDRESS_LABEL = re.compile(r"(?<!\w)(?:Endere[çc]o|End\.|ENDERE[ÇC]O|E[nm]c?[l1]?dere[çc]o|Endcre[çc]o|Enderc[çc]o|Endereç0)\s*(?::|-)?\s*((?!eletr)[^\W\d_][^:]{2,70}?\d|\d+ [^\W\d_]+ [^:]{0,40})")
+ADDRESS_LABEL = re.compile(r"(?<!\w)(?:Endere[çc]o|End\.|ENDERE[ÇC]O|E[nm]c?[l1]?dere[çc]o|Endcre[çc]o|Enderc[çc]o|Endereç0)\s*(?::|-)?\s*((?!eletr)[^\W\d_][^:;?!|\d]+\d\w*|\d+ [^\W\d_]+ [^:;?!|\d]*)")
 ADDRESS_HINT = re.compile(r"\b(?:rua|av|avenida|al|alameda|tv|travessa|pca|praca|largo|rod|rodovia|estrada|quadra|r)\b|street|end\.|e[nm].{0,3}.rec|dere[cg]")
 # over the bare text
 CONTEXT = re.compile(r"(?:cuidados de|falar com|aprovado por|conferido por|responsavel tecnico\W{1,4}|beneficiario\W{1,4}|socio administrador|hospede|recebido por|conversado com|encaminhadas a|digitalmente por|motorista)\s+")
@@ -178,7 +189,10 @@ LEGAL_FORM = re.compile(r"\bS ?\.A\b|\bS ?/ ?A\b|\bM\.E\b|\bE\.I\.R\.|\bL\.T\.D\
 
 
 def _person(words: list[re.Match], i: int, loose: bool, reach: int = 6) -> tuple[int, int] | None:
-    """The name that begins at word i: (first, one past last) word, or None."""
+    """The name that begins at word i: (first, one past last) word, or None.
+
+    Its first `reach` words decide whether it is one; it goes on as far as its lettering does.
+    """
     n = len(words)
     if i < n and NO_PERSON.match(words[i].string, words[i].start()):
         return None
@@ -271,9 +285,7 @@ TITLES_SET = set(TITLES.split())
 
 def _names(d: str, low: str, letters: str, out: list) -> None:
     has_given = not GIVEN.isdisjoint(letters.split())
-    marks = [(m.end(), True) for m in LABEL.finditer(low)]
-    if len(d) > 25:
-        marks += [(m.end(), False) for m in CONTEXT.finditer(low)]
+    marks = [(m.end(), True) for m in LABEL.finditer(low)] + [(m.end(), False) for m in CONTEXT.finditer(low)]
     if not has_given and not marks:
         return
     words = list(WORD.finditer(d))
@@ -313,10 +325,11 @@ def _names(d: str, low: str, letters: str, out: list) -> None:
                 f = bare(words[i - 2].group())
                 if f not in PLAINS and f not in FIRMS and f not in GIVEN and words[i - 2].group()[0].isupper() and not re.search(r"\d", d[max(0, words[i - 2].start() - 1)]):
                     taken.append((words[i - 2].start(), w.end()))
-            elif i >= 1 and len(d) < 60:
-                # surname and given name without a comma, alone in the field
+            elif i >= 1:
+                # surname and given name without a comma, alone in the field or up to the next label
                 f = bare(words[i - 1].group())
-                if f.isalpha() and len(f) > 3 and f not in PLAINS and f not in FIRMS and f not in INSTITUTE and words[i - 1].group()[0].isupper() and (i == 1 or LABEL.match(d)):
+                alone = i + 1 == len(words) or not words[i + 1].group()[0].islower()
+                if alone and f.isalpha() and len(f) > 3 and f not in PLAINS and f not in FIRMS and f not in INSTITUTE and words[i - 1].group()[0].isupper() and (i == 1 or LABEL.match(d)):
                     taken.append((words[i - 1].start(), w.end()))
     out += [(a, b, 4) for a, b in taken]
 
@@ -325,8 +338,24 @@ _PHONE_BAD = re.compile(r"(?:protocolo|chave|c[óo]digo|pedido|ordem|relat[óo]r
 _PHONE_WORDS = {"telefone", "fone", "tel", "cel", "celular", "whatsapp", "para", "comercial", "contato", "ligar"}
 
 
+PHONE_LABELS, ID_LABELS = ("telefone", "fone", "tel"), ("cpf", "cnpj", "cpfcnpj")
+#: Glyphs that a scanner takes for each other, by their plainest form.
+GLYPHS = str.maketrans("e0l1!|jfh", "coiiiiitn")
+
+
+def glyphs(w: str) -> str:
+    for a, b in (("rn", "m"), ("ii", "n"), ("ni", "m")):
+        w = w.replace(a, b)
+    return w.translate(GLYPHS)
+
+
+def misread_label(w: str, labels: tuple[str, ...]) -> bool:
+    """Is a word one of the labels with misread glyphs, or with one other letter in a place of it, or cut by its last letter?"""
+    return any(glyphs(w) == glyphs(x) or len(w) == len(x) > 2 and sum(a != b for a, b in zip(w, x)) == 1 and w[0] == x[0] or len(x) == 3 and w == x[:2] and x != "cpf" for x in labels)
+
+
 def _context_word(d: str, at: int) -> str:
-    m = re.search(r"([^\W\d_]+)[\W_]*$", d[max(0, at - 30) : at])
+    m = re.search(r"([^\W\d_](?:[^\W\d_]|[0!|](?=[^\W\d_]))*)[\W_]*$", d[max(0, at - 30) : at])
     return bare(m.group(1)) if m else ""
 
 
@@ -384,7 +413,7 @@ def spans(text: str, low: str | None = None, letters: str | None = None) -> list
                 out.append((m.start(), m.end(), 1))
         for m in PHONE_BARE.finditer(d) if run else ():
             w = _context_word(d, m.start())
-            if (w in _PHONE_WORDS or close(w, {"telefone", "celular"}, NEAR_PHONE) or w in ("te", "fonc", "teiefone", "telefoiie", "f0ne", "foiie", "fohe", "fane")) and not any(a < m.end() and m.start() < b for a, b, _ in ids):
+            if (w in _PHONE_WORDS or close(w, {"telefone", "celular"}, NEAR_PHONE) or misread_label(w, PHONE_LABELS)) and not any(a < m.end() and m.start() < b for a, b, _ in ids):
                 out.append((m.start(), m.end(), 1))
         for m in PHONE_LOCAL.finditer(d) if "tel" in low or "fone" in low or "cel" in low or "whats" in low or "ligar" in low else ():
             out.append((m.start(1), m.end(1), 1))
@@ -392,8 +421,8 @@ def spans(text: str, low: str | None = None, letters: str | None = None) -> list
     if ADDRESS_HINT.search(low):
         streets = [(m.start(), m.end()) for p in (ADDRESS, ADDRESS_NAME) for m in p.finditer(d) if d[m.start() : m.start() + 2] not in ("R.", "r.") or not _after_given(d, m.start())]
         for m in ADDRESS_LABEL.finditer(d) if "en" in low else ():
-            first = bare(m.group(1)).split()[0].strip(".:,-")
-            if first not in PLAINS and first not in FIRMS and not _label_like(first):
+            inner = [x.strip(".:,-()") for x in bare(m.group(1)).split()]
+            if inner[0] not in PLAINS and inner[0] not in FIRMS and not any(_label_like(x) for x in inner) and not any(x in SENTENCE for x in inner):
                 streets.append((m.start(1), m.end(1)))
         out += [(a, b, 3) for a, b in streets]
     _names(d, low, letters, out)
@@ -409,7 +438,7 @@ def spans(text: str, low: str | None = None, letters: str | None = None) -> list
 
 
 def _id_word(w: str) -> bool:
-    return w in ("cpf", "cnpj", "cpfcnpj", "usuario", "cnpi", "cnpl", "cpe") or w == "j"
+    return w in ID_LABELS or w == "usuario" or misread_label(w, ID_LABELS) or w == "j"
 
 
 def pieces(text: str, low: str | None = None, letters: str | None = None) -> list[tuple[int, int, int]]:
@@ -437,23 +466,9 @@ def pieces(text: str, low: str | None = None, letters: str | None = None) -> lis
     return merged
 
 
-def kinds_of_normal(text: str | None, low: str | None = None, letters: str | None = None) -> int:
-    """Bits of the kinds in a text that is in its consistent form already."""
-    if not text:
-        return 0
-    out = 0
-    for _, _, k in spans(text, low, letters):
-        out |= 1 << k
-    if "\n" in text and HYPHEN.search(text):  # words cut at a line end
-        for _, _, k in spans(HYPHEN.sub("", text)):
-            out |= 1 << k
-    return out
-
-
-def kinds_of(texts: list[str | None]) -> list[int]:
-    normal = normalize(pa.array(texts, pa.large_string()))[0]
-    low, letters = bare_forms(normal)
-    return [kinds_of_normal(*x) for x in zip(normal.to_pylist(), low.to_pylist(), letters.to_pylist())]
+def kinds_of(texts: list[str | None], key: bytes) -> list[int]:
+    """Bits of the kinds whose placeholders the redaction of each text writes."""
+    return [bits for _, bits in redactions(texts, key)]
 
 
 # ---- pseudonyms ---------------------------------------------------------------------------------
@@ -474,21 +489,6 @@ def feistel(value: int, size: int, key: bytes, tweak: bytes = b"", rounds: int =
             return value
 
 
-def unfeistel(value: int, size: int, key: bytes, tweak: bytes = b"", rounds: int = 8) -> int:
-    """The inverse of feistel."""
-    if size < 2:
-        return value
-    half = math.isqrt(size - 1) + 1
-    while True:
-        a, b = divmod(value, half)
-        for r in reversed(range(rounds)):
-            f = int.from_bytes(hmac.digest(key, tweak + bytes([r]) + a.to_bytes(16, "big"), "sha256")[:8], "big")
-            a, b = (b - f) % half, a
-        value = a * half + b
-        if value < size:
-            return value
-
-
 def check_digits(base: str) -> str:
     """The two check digits of a CPF (9 digits) or CNPJ (12 digits)."""
     out = base
@@ -544,10 +544,10 @@ def permute_date(piece: str, key: bytes) -> str:
 
 @lru_cache(100_000)
 def link(piece: str, key: bytes, tweak: bytes) -> str:
-    """Eight digits that stand for the normalised form of a text piece."""
+    """26 letters and digits (128 bits) that stand for the normalised form of a text piece."""
     form = re.sub(r"[\W_]+", " ", bare(piece)).strip()
-    n = int.from_bytes(hashlib.sha256(form.encode()).digest()[:8], "big") % 10**8
-    return str(feistel(n, 10**8, key, tweak)).zfill(8)
+    n = feistel(int.from_bytes(hashlib.sha256(form.encode()).digest()[:16], "big"), 2**128, key, tweak)
+    return base64.b32encode(n.to_bytes(16, "big")).decode().rstrip("=").lower()
 
 
 BORN = re.compile(r"(?:nascid[oa] em|nascimento\W{0,4})\s*(\d{1,2}[/.-]\d{1,2}[/.-]\d{4})", re.I)
@@ -581,7 +581,9 @@ def fold_map(text: str, normal: str) -> list[int]:
 BORN_HINT = re.compile(r"nasc", re.I)
 
 
-def _replace(text: str, normal: str, found: list[tuple[int, int, int]], key: bytes, dates: bool) -> str:
+def _replace(text: str, normal: str, found: list[tuple[int, int, int]], key: bytes, dates: bool) -> tuple[str, int]:
+    """(text with placeholders, bits of the kinds that were written)."""
+    bits = 0
     if found:
         places = fold_map(text, normal)
         if not places:
@@ -590,27 +592,30 @@ def _replace(text: str, normal: str, found: list[tuple[int, int, int]], key: byt
         for a, b, k in found:
             x, y = places[a], places[b]
             out += [text[at:x], placeholder(k, HYPHEN.sub("", normal[a:b]), key)]
+            bits |= 1 << k
             at = y
         out.append(text[at:])
         text = "".join(out)
     if dates and BORN_HINT.search(text):
         text = BORN.sub(lambda m: m.group().replace(m.group(1), permute_date(m.group(1), key)), text)
-    return text
+    return text, bits
 
 
-def redact_all(texts: list[str | None], key: bytes = KEY, dates: bool = False) -> list[str | None]:
-    """Texts with every piece of personal information replaced by its placeholder."""
+def redactions(texts: list[str | None], key: bytes, dates: bool = True) -> list[tuple[str | None, int]]:
+    """(text with every piece of personal information replaced by its placeholder, bits of the kinds replaced)."""
+    if not key:
+        raise ValueError("a key is needed")
     normal = normalize(pa.array(texts, pa.large_string()))[0]
     low, letters = bare_forms(normal)
     rows = zip(texts, normal.to_pylist(), low.to_pylist(), letters.to_pylist())
-    return [_replace(t, n, pieces(n, a, b), key, dates) if t else t for t, n, a, b in rows]
+    return [_replace(t, n, pieces(n, a, b), key, dates) if t else (t, 0) for t, n, a, b in rows]
 
 
-def redact(text: str | None, key: bytes = KEY, dates: bool = False) -> str | None:
-    return redact_all([text], key, dates)[0]
+def redact(text: str | None, key: bytes, dates: bool = True) -> str | None:
+    return redactions([text], key, dates)[0][0]
 
 
-def redacted(df: DataFrame, columns: dict[str, str], key: bytes = KEY, dates: bool = False) -> DataFrame:
+def redacted(df: DataFrame, columns: dict[str, str], key: bytes, dates: bool = True) -> DataFrame:
     """df with a redacted column for each text column: {text column: new column}."""
     clash = set(columns.values()) & set(df.columns)
     if clash:
@@ -624,7 +629,7 @@ def redacted(df: DataFrame, columns: dict[str, str], key: bytes = KEY, dates: bo
             for src in columns:
                 vals = b.column(src).to_pylist()
                 fresh = list(set(vals) - memo.keys())
-                memo.update(zip(fresh, redact_all(fresh, key, dates)))
+                memo.update((t, x[0]) for t, x in zip(fresh, redactions(fresh, key, dates)))
                 new.append(pa.array([memo[v] for v in vals], pa.string()))
             if len(memo) > MEMO:
                 memo.clear()
@@ -633,7 +638,17 @@ def redacted(df: DataFrame, columns: dict[str, str], key: bytes = KEY, dates: bo
     return df.mapInArrow(run, schema)
 
 
-def found(df: DataFrame, key: str, fields: list[str], source: str) -> DataFrame:
-    """(source_table, row_key, field_name, pii_type) of the latest delivery of every key."""
-    masks = flag_masks(df, key, fields, lambda: kinds_of, 8)
+def found(df: DataFrame, row_key: str, fields: list[str], source: str, key: bytes) -> DataFrame:
+    """(source_table, row_key, field_name, pii_type) of the latest delivery of every row: what its redaction replaced."""
+    masks = flag_masks(df, row_key, fields, lambda: lambda texts: kinds_of(texts, key), 8)
     return explode_masks(masks, fields, KINDS, 8, "pii_type", source)
+
+
+#: The session's setting that holds the key of the pseudonyms, in hexadecimal.
+SETTING = "spark.ledgerloom.pseudonym.key"
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The session's key; where it has none, a random one, whose pseudonyms link only the rows of one run."""
+    own = spark.conf.get(SETTING, None)
+    return bytes.fromhex(own) if own else secrets.token_bytes(32)

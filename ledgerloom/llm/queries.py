@@ -17,8 +17,9 @@ def _rows(df: DataFrame, source: str, key: str, field: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    a = pii.found(table(spark, sf, "raw_artifacts"), "artifact_id", ["text"], "raw_artifacts")
-    b = pii.found(table(spark, sf, "candidates"), "cand_id", ["line_text", "context_text"], "candidates")
+    key = pii.session_key(spark)
+    a = pii.found(table(spark, sf, "raw_artifacts"), "artifact_id", ["text"], "raw_artifacts", key)
+    b = pii.found(table(spark, sf, "candidates"), "cand_id", ["line_text", "context_text"], "candidates", key)
     return a.unionByName(b)
 
 
@@ -27,7 +28,7 @@ def p1_redacted(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "candidates")
     for field in ("line_text", "context_text"):
         a = a.unionByName(_rows(c, "candidates", "cand_id", field))
-    return pii.redacted(a, {"text": "redacted_text"}).drop("text")
+    return pii.redacted(a, {"text": "redacted_text"}, pii.session_key(spark)).drop("text")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
