@@ -331,7 +331,8 @@ def _names(d: str, low: str, letters: str, out: list) -> None:
                 alone = i + 1 == len(words) or not words[i + 1].group()[0].islower()
                 if alone and f.isalpha() and len(f) > 3 and f not in PLAINS and f not in FIRMS and f not in INSTITUTE and words[i - 1].group()[0].isupper() and (i == 1 or LABEL.match(d)):
                     taken.append((words[i - 1].start(), w.end()))
-    out += [(a, b, 4) for a, b in taken]
+    # the stop of a sentence is no part of a name, that of an initial or a short form is
+    out += [(a, b - 1 if d[b - 1] == "." and d[max(a, b - 4) : b - 1].isalpha() else b, 4) for a, b in taken]
 
 
 _PHONE_BAD = re.compile(r"(?:protocolo|chave|c[óo]digo|pedido|ordem|relat[óo]rio|contrato|inscri|linha|conta|usu[áa]rio|c\.?p\.?f|c\.?n\.?p\.?j|rg|nota|n[ºo°]|refer[êe]ncia|cep)\W{0,6}(?:n[ºo°.]* ?)?$", re.I)
