@@ -12,6 +12,7 @@ whole (linear patterns); repeated rows give the same result; extra columns are k
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -40,19 +41,19 @@ TOKEN = re.compile(
     rf"|(?P<h_ent>&(?:#\d{{2,6}}|#[xX][0-9a-fA-F]{{2,5}}|{_ents});)"
     r"|(?P<m_fence>^[ \t]*```[\w+-]*[ \t]*$)"
     r"|(?P<w_open>^\{\|[^\n]*$)|(?P<w_end>^\|\}[ \t]*$)|(?P<w_row>^\|-[^\n|]*$)"
-    r"|(?P<w_head>^={2,6}[ \t]*[^=\s][^=]{0,4000}?={2,6}[ \t]*$)"
-    r"|(?P<w_link>\[\[[^\[\]]{1,2000}\]\])|(?P<w_tpl>\{\{[^{}]{1,2000}\}\})"
+    r"|(?P<w_head>^={2,6}[ \t]*[^=\s][^=]*+={2,6}[ \t]*$)"
+    r"|(?P<w_link>\[\[[^\[\]]++\]\])|(?P<w_tpl>\{\{[^{}]++\}\})"
     r"|(?P<w_bold>'''(?=[^'])(?:[^']|'(?!''))+?''')|(?P<w_ital>(?<!')''(?=[^'\s])(?:[^'\n]|'(?!'))+?''(?!'))"
     r"|(?P<l_disp>\$\$.+?\$\$|\\\[.+?\\\]|\\\(.+?\\\))"
-    r"|(?P<l_math>(?<![\w\\$R])\$(?=[^\s$])(?:(?=[^$\n]*[\\^_{}])[^$\n]{1,300}|[A-Za-z]\w{0,30})(?<!\s)\$(?![\w$]))"
+    r"|(?P<l_math>(?<![\w\\$R])\$(?=[^\s$])(?:(?=[^$\n]*[\\^_{}])[^$\n]++|[A-Za-z]\w*+)(?<!\s)\$(?![\w$]))"
     r"|(?P<l_env>\\(?:begin|end)\{(?P<env>\w+)\*?\}(?:\[[^\]\n]*\])?(?:\{[^{}\n]*\})?)"
     rf"|(?P<l_cmd>(?<!:)\\(?:(?:{_cmds})(?![A-Za-z])|[A-Za-z]{{2,20}}(?=\{{))\*?)"
     r"|(?P<l_esc>\\[%$&_{}])|(?P<l_brk>\\\\(?=\s|\Z|\[))"
-    r"|(?P<m_img>!?\[[^\]\n]*\]\([^()\s]{1,300}\)|!?\[[^\]]{1,2000}\]\(#[^()\s]{1,100}\))"
-    r"|(?P<m_code>`[^`\n]{1,300}`)"
-    r"|(?P<m_bold>\*\*(?=[^\s*])(?:[^*]|\*(?!\*)){1,4000}?(?<=\S)\*\*)|(?P<m_strike>~~(?=\S)[^~]{1,4000}?(?<=\S)~~)|(?P<m_under>(?<!\w)__(?=[^\s_])[^_\n]{1,300}__(?!\w))"
+    r"|(?P<m_img>!?\[(?:[^\[\]\n]|!\[[^\[\]\n]*+\]\([^()\s]++\))*+\]\([^()\s]++\)|!?\[[^\[\]]++\]\(#[^()\s]++\))"
+    r"|(?P<m_code>`[^`\n]++`)"
+    r"|(?P<m_bold>\*\*(?=[^\s*])(?:[^*]|\*(?!\*))++(?<=\S)\*\*)|(?P<m_strike>~~(?=\S)[^~]++(?<=\S)~~)|(?P<m_under>(?<!\w)__(?=[^\s_])[^_\n]++__(?!\w))"
     r"|(?P<m_head>^#{1,6}[ \t]+(?=\S))"
-    r"|(?P<m_rule>^[ \t]*\|?[ \t]*:?-{2,}:?(?:[ \t]*\|[ \t]*:?-{2,}:?)+[ \t]*\|?[ \t]*$|^[ \t]*-{3,}(?:[ \t]{1,4}-{3,})+[ \t]*$|^[ \t]*\|[ \t]*:?-{2,}:?[ \t]*\|[ \t]*$)"
+    r"|(?P<m_rule>^[ \t]*\|?[ \t]*:?-{2,}:?(?:[ \t]*\|[ \t]*:?-{2,}:?)+[ \t]*\|?[ \t]*$|^[ \t]*-{3,}(?:[ \t]+-{3,})+[ \t]*$|^[ \t]*\|[ \t]*:?-{2,}:?[ \t]*\|[ \t]*$)"
     r"|(?P<m_row>^[ \t]*\|(?![|}-])[^\n]*\|[ \t]*$)"
     r"|(?P<m_set>(?<=\S\n)={3,}[ \t]*$)"
     r"|(?P<m_quote>^>[ \t]+(?=\S))|(?P<m_task>^[ \t]*[-*+][ \t]+\[[ xX]\][ \t])",
@@ -139,7 +140,7 @@ def parse(text: str) -> Node:
                 put("html", tag)
             else:
                 if tag in ("li", "tr", "td", "th", "p"):
-                    for i in range(len(stack) - 1, max(0, len(stack) - 4), -1):
+                    for i in range(len(stack) - 1, 0, -1):
                         if stack[i].tag == tag or tag == "tr" and stack[i].tag in ("td", "th"):
                             del stack[i:]
                             break
@@ -337,7 +338,7 @@ def found(df: DataFrame, key: str = "artifact_id") -> DataFrame:
 # ---- wrapper induction -------------------------------------------------------------------------
 
 
-def flat_tree(root: Node, limit: int = 400) -> list:
+def flat_tree(root: Node) -> list:
     """[[depth, tag, text]...] in document order; texts squeezed."""
     out: list = []
     stack = [(root, 0)]
@@ -352,52 +353,91 @@ def flat_tree(root: Node, limit: int = 400) -> list:
 
 
 def _nest(flat: list) -> list:
-    """[index, tag, text, children] trees of a flat tree."""
-    root: list = [-1, "root", "", []]
+    """[index, tag, text, children, size, shape] trees of a flat tree; shape: equal for trees of equal tags."""
+    root: list = [-1, "root", "", [], 1, 0]
     path = [(0, root)]
+    every = [root]
     for i, (d, tag, text) in enumerate(flat):
         while path[-1][0] >= d:
             path.pop()
-        n = [i, tag, text, []]
+        n = [i, tag, text, [], 1, 0]
         path[-1][1][3].append(n)
         path.append((d, n))
+        every.append(n)
+    for n in reversed(every):  # children come after their parent
+        n[4] = 1 + sum(k[4] for k in n[3])
+        n[5] = hash((n[1], tuple(k[5] for k in n[3])))
     return root
 
 
+def _twins(a: list, b: list, pairs: list) -> None:
+    """The node pairs of two trees of one shape."""
+    stack = [(a, b)]
+    while stack:
+        x, y = stack.pop()
+        pairs.append((x[0], y[0]))
+        stack.extend(zip(x[3], y[3]))
+
+
 def simple_tree_match(a: list, b: list) -> tuple[int, list]:
-    """Size and node pairs of the largest order-keeping top-down matching of two trees."""
+    """Size and node pairs of the largest order-keeping top-down matching of two trees.
+
+    Trees of one shape match node by node. Otherwise the table over the two child sequences is filled; children of
+    one shape at both ends are matched first, which loses nothing, so a long page costs what differs in it.
+    """
     if a[1] != b[1]:
         return 0, []
+    pairs: list = []
+    if a[5] == b[5]:
+        _twins(a, b, pairs)
+        return a[4], pairs
+    pairs.append((a[0], b[0]))
     x, y = a[3], b[3]
-    best = [[(0, None)] * (len(y) + 1) for _ in range(len(x) + 1)]
-    sub: dict = {}
-    for i in range(1, len(x) + 1):
-        for j in range(1, len(y) + 1):
-            w = simple_tree_match(x[i - 1], y[j - 1])
-            sub[i, j] = w
-            best[i][j] = max((best[i - 1][j][0], "u"), (best[i][j - 1][0], "l"), (best[i - 1][j - 1][0] + w[0], "d"), key=lambda z: (z[0], z[1] == "d"))
-    pairs = [(a[0], b[0])]
-    i, j = len(x), len(y)
-    while i and j:
-        how = best[i][j][1]
-        if how == "d":
-            pairs += sub[i, j][1]
-            i, j = i - 1, j - 1
-        elif how == "u":
-            i -= 1
-        else:
-            j -= 1
-    return best[-1][-1][0] + 1, pairs
+    lo, m, n = 0, len(x), len(y)
+    while lo < m and lo < n and x[lo][5] == y[lo][5]:
+        _twins(x[lo], y[lo], pairs)
+        lo += 1
+    while m > lo and n > lo and x[m - 1][5] == y[n - 1][5]:
+        m, n = m - 1, n - 1
+        _twins(x[m], y[n], pairs)
+    x, y = x[lo:m], y[lo:n]
+    if x and y:
+        sub: dict = {}
+        best = [[0] * (len(y) + 1)]
+        for i, p in enumerate(x):
+            row, up = [0], best[-1]
+            for j, q in enumerate(y):
+                w = 0
+                if p[1] == q[1]:
+                    sub[i, j] = got = simple_tree_match(p, q)
+                    w = got[0]
+                row.append(max(up[j + 1], row[j], up[j] + w))
+            best.append(row)
+        i, j = len(x), len(y)
+        while i and j:
+            w = sub.get((i - 1, j - 1), (0, []))
+            if w[0] and best[i][j] == best[i - 1][j - 1] + w[0]:
+                pairs += w[1]
+                i, j = i - 1, j - 1
+            elif best[i][j] == best[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+    return len(pairs), pairs
+
+
+#: Tasks over which the pages of a host are spread.
+SALT = 32
 
 
 def induce_wrappers(df: DataFrame, host: list[str], share: float = 0.6, least: int = 3) -> DataFrame:
     """(row_key, host, template, content): every marked-up page split by its host's wrapper.
 
     df: row_key, text and the host columns. A host is those columns and the tree's tag outline; its
-    reference page is the one with the smallest key. Pages are aligned with the reference in parallel;
-    only (host, node, equal, matched) counts are grouped, with partial aggregation, so a host with a
-    third of all pages costs no more than others. A node is template where at least `share` of at least
-    `least` aligned pages have the reference's text there.
+    reference page is the one with the smallest key. Pages meet the reference under (host, salt), so that a host with a
+    third of all pages is spread over SALT tasks; only (host, node, equal, matched) counts are grouped, with partial
+    aggregation. A node is template where at least `share` of at least `least` aligned pages have the reference's
+    text there. Trees are aligned whole, whatever their size.
     """
     tree_type = T.StructType([T.StructField("row_key", T.LongType()), T.StructField("host", T.StringType()), T.StructField("tree", T.StringType())])
 
@@ -408,15 +448,17 @@ def induce_wrappers(df: DataFrame, host: list[str], share: float = 0.6, least: i
             for r in rows:
                 if kinds_of(r["text"]):
                     flat = flat_tree(parse(r["text"]))
-                    outline = ">".join(dict.fromkeys(x[1] for x in flat if x[1] != "text"))[:200]
+                    outline = ">".join(dict.fromkeys(x[1] for x in flat if x[1] != "text"))
                     keys.append(r["row_key"])
-                    hosts.append("|".join(str(r[h]) for h in host) + "|" + outline)
+                    hosts.append("|".join(str(r[h]) for h in host) + "|" + hashlib.sha1(outline.encode()).hexdigest())
                     out.append(json.dumps(flat, ensure_ascii=False))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.string()), pa.array(out, pa.string())], names=["row_key", "host", "tree"])
 
     pages = df.select("row_key", "text", *host).filter("text is not null").mapInArrow(trees, tree_type)
     ref = pages.groupBy("host").agg(F.min(F.struct("row_key", "tree"))["tree"].alias("ref"))
-    both = pages.join(ref, "host")
+    spread = ref.select("host", "ref", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    pages = pages.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALT)).cast("int"))
+    both = pages.join(spread, ["host", "salt"]).drop("salt")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -451,14 +493,10 @@ def induce_wrappers(df: DataFrame, host: list[str], share: float = 0.6, least: i
     return done.mapInArrow(split, "row_key long, host string, template string, content string")
 
 
-#: Nodes of a tree that are aligned; the rest of a longer page is content.
-WIDE = 2_000
-
-
 def _aligned(tree: str, ref: str, known: dict[str, tuple]) -> tuple[list, list, list]:
     a = json.loads(tree)
     if ref not in known:
         r = json.loads(ref)
-        known[ref] = (r, _nest(r[:WIDE]))
+        known[ref] = (r, _nest(r))
     r, nested = known[ref]
-    return a, r, simple_tree_match(_nest(a[:WIDE]), nested)[1]
+    return a, r, simple_tree_match(_nest(a), nested)[1]

@@ -164,6 +164,44 @@ def test_markup(text, want, plain):
         assert markup.clean_text(text) == text
 
 
+@pytest.mark.parametrize("n", [1, 299, 300, 301, 2_200, 10_000, 200_000])
+def test_markup_of_any_length(n):
+    w = "a" * n
+    for text, kind in ((f"`{w}`", "markdown"), (f"[[{w}]]", "wiki"), (f"{{{{{w}}}}}", "wiki"), (f"**{w}**", "markdown"), (f"== {w} ==", "wiki"), (f"~~{w}~~", "markdown"), (f"__{w}__", "markdown"), (f"[a](http://{w})", "markdown"), (f"[{w}](#{w})", "markdown"), (f"$x^{w}$", "latex"), (f"${w}$", "latex"), (f"--- {' ' * n}---", "markdown")):
+        assert markup.kinds_of(text) == 1 << markup.KINDS.index(kind), text[:20]
+    for text in ("[" * n, "{{" * n, "**" + w, "`" + w, "~~" + w, "$" + w, "![" * n):
+        markup.kinds_of(text)
+
+
+def test_matching_of_long_trees():
+    rows = "".join(f"<tr><td>{i}</td></tr>" for i in range(3_000))
+    a = markup._nest(markup.flat_tree(markup.parse(f"<table>{rows}</table>")))
+    b = markup._nest(markup.flat_tree(markup.parse(f"<table><tr><td>x</td><td>y</td></tr>{rows}</table><p>z</p>")))
+    assert markup.simple_tree_match(a, b)[0] == a[4] == 3_000 * 3 + 2
+
+
+def test_tree_matching_brute_force():
+    rnd = random.Random(4)
+
+    def tree(depth):
+        return "<{0}>{1}</{0}>".format(rnd.choice(["div", "p", "b"]), "".join(tree(depth - 1) if depth and rnd.random() < 0.7 else rnd.choice("xy") for _ in range(rnd.randrange(0, 4))))
+
+    def size(a, b):
+        if a[1] != b[1]:
+            return 0
+        x, y = a[3], b[3]
+        m = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i in range(len(x)):
+            for j in range(len(y)):
+                m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + size(x[i], y[j]))
+        return m[-1][-1] + 1
+
+    for _ in range(200):
+        a, b = (markup._nest(markup.flat_tree(markup.parse(tree(3) + tree(2)))) for _ in range(2))
+        n, pairs = markup.simple_tree_match(a, b)
+        assert n == size(a, b) == len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
+
+
 def test_labels():
     assert [markup.clean_label(x) for x in ("<b>para</b>", "$equ$", "PARA ", "[[sec]]", None, " ")] == ["para", "equ", "para", "sec", None, None]
 
