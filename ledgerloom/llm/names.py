@@ -4,7 +4,9 @@ A noisy channel: every distinct spelling is read into a form (kind, name, line o
 or given, middle and family name). Spellings that are written often and in full are candidate canonical
 forms; a form is attached to the candidate with the greatest posterior, log prior (how often the candidate
 is written) plus log likelihood (typing errors, abbreviations, lost or reordered parts). Candidates are
-found by keys of one lost letter, so no pair is formed outside a family of near-equal names.
+found by keys of one lost letter (two for long names) together with what else must agree - a line of business,
+or the initials of given and middle name - so that a common family name is no block of its own, and no pair
+is formed outside a family of near-equal names. Chains of attachments are followed to their end.
 
 Odd input: null, blank and heading values are no names and link to nothing; equal strings are one spelling
 however many rows have it; ties of posterior go to the smaller key; other columns are ignored.
@@ -72,6 +74,44 @@ def deletes(w: str) -> list[str]:
     return [w] if len(w) < 5 else list(dict.fromkeys([w, *(w[:i] + w[i + 1 :] for i in range(len(w)))]))
 
 
+def deletes2(w: str) -> list[str]:
+    """deletes, and for words of eight letters or more (where two errors are allowed) those with two letters less."""
+    one = deletes(w)
+    return one if len(w) < 8 else list(dict.fromkeys([*one, *(x[:i] + x[i + 1 :] for x in one[1:] for i in range(len(x)))]))
+
+
+def blocks_of(f: dict) -> tuple[set[str], set[str]]:
+    """(keys of a form as one to be explained, keys of it as a candidate): a candidate that explains a form shares one.
+
+    A firm must have the form's lines of business among its own: the form asks for its first, the candidate answers for
+    each. A person must have the form's given initial (or, if that was mistyped, the rest of the given name) and its
+    first middle initial if it has one. Forms without a line of business also meet by all their letters in a row.
+    """
+    asks: set[str] = set()
+    answers: set[str] = set()
+    if f["kind"] == "f":
+        own = f["biz"].split()
+        for k in deletes2(f["name"]):
+            asks.add(f"f{k}|{own[0] if own else ''}")
+            answers.update(f"f{k}|{b}" for b in ("", *own))
+    else:
+        middle = f["middle"].split()
+        first = middle[0][:1] if middle else ""
+        given = f["given"]
+        heads = {given[:1], "~" + given[1:], "~" + given} if len(given) > 3 else {given[:1]}
+        for k in deletes2(f["name"]):
+            for g in heads:
+                asks.add(f"p{k}|{g}|{first}")
+                answers.add(f"p{k}|{g}|")
+                if first:
+                    answers.add(f"p{k}|{g}|{first}")
+    if not f["biz"]:
+        flat = {" " + k for k in deletes(f["flat"])}
+        asks |= flat
+        answers |= flat
+    return asks, answers
+
+
 def distance(a: str, b: str, most: int = 2) -> int:
     """Letters added, lost, changed or swapped with the next (optimal string alignment); most + 1 where it is more."""
     if a == b:
@@ -321,22 +361,20 @@ def attach(forms: DataFrame) -> DataFrame:
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            d = b.to_pydict()
-            idx, blocks = [], []
-            for i, (kind, name, flat, biz) in enumerate(zip(d["kind"], d["name"], d["flat"], d["biz"])):
-                for k in deletes(name):
-                    idx.append(i)
-                    blocks.append(kind + k)
-                for k in deletes(flat) if not biz else ():
-                    idx.append(i)
-                    blocks.append(" " + k)
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(idx, pa.int64())) for c in cols), pa.array(blocks, pa.string())], names=[*cols, "block"])
+            idx, keys, asked = [], [], []
+            for i, f in enumerate(b.select(FIELDS).to_pylist()):
+                asks, answers = blocks_of(f)
+                idx += [i] * (len(asks) + len(answers))
+                keys += [*asks, *answers]
+                asked += [True] * len(asks) + [False] * len(answers)
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(idx, pa.int64())) for c in cols), pa.array(keys, pa.string()), pa.array(asked, pa.bool_())], names=[*cols, "block", "asks"])
 
     form_type = "key string, n long, " + ", ".join(f"{c} string" for c in FIELDS)
-    blocked = forms.select(*cols).mapInArrow(block, form_type + ", block string")
-    right = blocked.select("block", *[F.col(c).alias("c_" + c) for c in cols])
+    blocked = cut(forms.select(*cols).mapInArrow(block, form_type + ", block string, asks boolean"))
+    left = blocked.filter("asks").drop("asks")
+    right = blocked.filter("not asks").select("block", *[F.col(c).alias("c_" + c) for c in cols])
     # of the spellings under one key only those that could explain the other are compared
-    pairs = blocked.join(right, "block").filter("key <> c_key and (kind = 'p' or (legal = '' or c_legal = '' or legal = c_legal)) and (kind = 'f' or c_kind = 'f' or left(given, 1) = left(c_given, 1) or levenshtein(flat, c_flat) < 3)").drop("block")
+    pairs = left.join(right, "block").filter("key <> c_key and (kind = 'p' or (legal = '' or c_legal = '' or legal = c_legal))").drop("block")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -363,15 +401,23 @@ def attach(forms: DataFrame) -> DataFrame:
     return forms.select("key").join(best, "key", "left").select("key", F.coalesce("parent", "key").alias("parent"))
 
 
-def entities(df: DataFrame, value: str = "value", rounds: int = 4) -> DataFrame:
+def roots(link: DataFrame) -> DataFrame:
+    """(key, parent) with every chain of parents followed to its end. link: a parent outranks its child, so there is no cycle.
+
+    Each round doubles the way and is written to the shared folder; it ends when no parent has a parent of its own.
+    """
+    while True:
+        up = link.filter("key <> parent").select(F.col("key").alias("parent"), F.col("parent").alias("grand"))
+        link = cut(link.join(up, "parent", "left").select("key", F.coalesce("grand", "parent").alias("parent"), F.col("grand").isNotNull().alias("moved")))
+        if link.filter("moved").isEmpty():
+            return link.drop("moved")
+
+
+def entities(df: DataFrame, value: str = "value") -> DataFrame:
     """(value, entity): the canonical key of every spelling of a name."""
     words = cut(spellings(df, value))
     forms = words.groupBy("key").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in FIELDS])
-    link = cut(attach(forms))
-    # follow the chain of parents: each round doubles the way; a parent outranks its child, so there is no cycle
-    for _ in range(rounds):
-        up = link.select(F.col("key").alias("parent"), F.col("parent").alias("grand"))
-        link = link.join(up, "parent", "left").select("key", F.coalesce("grand", "parent").alias("parent"))
+    link = roots(cut(attach(forms)))
     return words.join(link, "key").select("value", F.col("parent").alias("entity"))
 
 
