@@ -1,23 +1,30 @@
 """Problem 5: one surviving record for every group of records that state the same value.
 
 Values are brought to one notation by field (names: by their entity), and (document, field, value) is a
-group. A latent two-sided quality model judges the values: every source has a sensitivity (how often it
-states a true value of a field it read) and a specificity (how often it is silent about a false one),
-inferred by expectation-maximisation without labels; a field with several values keeps each that is judged
-true. The sources are engine x (value on the label's line or elsewhere), so at most 3^4 patterns of
-(not read, silent, stated) exist for two engines: the patterns are counted in Spark and only those counts go
-to the driver. The survivor of a group is the record that is best in confidence, section confidence, time
-and evidence (in this order), then in its source's quality; `found` keeps those that nobody beats in any.
+group. A latent two-sided quality model judges the values: every witness has a sensitivity (how often it
+speaks for a true value) and a specificity (how often it is silent about a false one), inferred by
+expectation-maximisation without labels. Witnesses are the sources (engine x value on the label's line or
+elsewhere), which state a value, are silent about it, or have not read its field; and the respects of a
+value's records: sure (confidence), placed (section confidence), fresh (as new as any of the field), full
+(no evidence missing). Only (pattern of witnesses, count) is looked at in a round: on the driver while there are
+at most PATTERNS of them, else by the workers, with the same result; any number of sources will do.
+
+A field with several values keeps each that is judged true. The survivor of a group is the record of the
+greatest score: confidence, section confidence, time and evidence, each weighed by how well its witness was found to
+tell true values from false ones; ties go to the greater of these in turn, then to the better source. A record
+that nobody beats has the greatest score under any positive weights, so the weights settle the groups in which
+records beat each other; `found` keeps the survivors that, checked exactly, nobody beats.
 
 Odd input: null and blank values and headings are in no group; a null confidence counts lowest; exact
 repeats are one record (every aggregate is idempotent); a full tie of two records is no case in `found`
-and goes to the smaller cand_id in `survivors`; extra columns are ignored.
+and goes to the better source, then the smaller cand_id, in `survivors`; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -71,42 +78,42 @@ def _date(s: str, low: str) -> str | None:
     return _date(fixed, low) if fixed != s else None
 
 
-def value_key(field: str, value: str, low: str) -> str | None:
-    """One notation for the values of a field; value is in its consistent form, low is its bare form."""
+def value_key(name: str, value: str, low: str) -> str | None:
+    """One notation for the values of a field (name); value is in its consistent form, low is its bare form."""
     v = value.strip()
     if not v:
         return None
-    if field.endswith("_amount"):
+    if name.endswith("_amount"):
         return _decimal(v)
-    if field.endswith("_rate"):
+    if name.endswith("_rate"):
         v = v.replace("%", "").strip()
         return _decimal(v if "," in v else v.replace(".", ","))
-    if field.endswith("_date"):
+    if name.endswith("_date"):
         return _date(v, low)
-    if field.endswith("_document"):
+    if name.endswith("_document"):
         d = re.sub(r"\D", "", re.sub(r"[A-Za-z]", lambda m: m.group().translate(DIGITS), v) if len(re.sub(r"\D", "", v)) not in (11, 14) else v)
         return d or None
-    if field.endswith("_phone"):
+    if name.endswith("_phone"):
         d = re.sub(r"\D", "", v)
         d = d[2:] if len(d) > 11 and d.startswith("55") else d
         return d.lstrip("0") or None
-    if field.endswith("_number"):
+    if name.endswith("_number"):
         d = re.sub(r"\D", "", re.sub(r"^\s*n\W{0,3}(?:nfs-?e)?", "", low))
         return d.lstrip("0") or d or None
-    if field.endswith("_code") and field != "service_code":
+    if name.endswith("_code") and name != "service_code":
         return re.sub(r"[^A-Z0-9]", "", v.upper()) or None
-    if field == "service_code":
+    if name == "service_code":
         return re.sub(r"\D", "", v).lstrip("0") or None
-    if field.endswith("_email"):
+    if name.endswith("_email"):
         s = re.sub(r"[(\[{<]\s*(?:arroba|at|a)\s*[)\]}>]| arroba | at |©", "@", v)
         if "@" not in s:
             s = re.sub(r"^([a-z0-9._+-]+) ?[QO0] ?([a-z0-9-]+\.)", r"\1@\2", s)
         s = re.sub(r"[(\[]?\s*\b(?:ponto|dot)\b\s*[)\]]?", ".", s)
         return re.sub(r"\s", "", s).lower().strip(".,;") or None
-    if field.endswith("_uf"):
+    if name.endswith("_uf"):
         return re.sub(r"[^a-z]", "", low) or None
     words = re.findall(r"[a-z0-9]+", low.replace("º", " ").replace("°", " "))
-    if field.endswith("_address"):
+    if name.endswith("_address"):
         words = [x for w in words if (x := STREET.get(w, w))]
     return " ".join(words) or None
 
@@ -151,55 +158,140 @@ def grouped(candidates: DataFrame) -> DataFrame:
     return other.filter("vkey is not null").unionByName(named)
 
 
-def source_quality(records: DataFrame, rounds: int = 30) -> tuple[dict[str, tuple[float, float]], DataFrame]:
-    """({source: (sensitivity, specificity)}, values with their pattern) by expectation-maximisation.
+RESPECTS = ["sure", "placed", "fresh", "full"]
+#: Confidence and section confidence from which a respect speaks for a value.
+SURE, PLACED = 0.85, 0.85
+#: Patterns of witnesses that the driver holds.
+PATTERNS = 100_000
+#: Least weight of a respect: none counts against its record.
+LEAST = 0.05
 
-    A source has read a field of a document where it states any value of it. The pattern of a value has one
-    sign for every source: 0 not read, 1 read but silent, 2 stated.
-    """
-    sources = sorted(r[0] for r in records.select("source").distinct().limit(13).collect())
-    if len(sources) > 12:
-        raise ValueError("more than 12 sources: name coarser ones")
-    if not sources:
-        return {}, records.select("document_id", "field_name", "vkey", F.lit(None).cast("double").alias("p_true"))
-    stated = [F.max(F.when(F.col("source") == s, 1).otherwise(0)).alias(f"s{i}") for i, s in enumerate(sources)]
-    values = records.groupBy("document_id", "field_name", "vkey").agg(*stated)
-    read = values.groupBy("document_id", "field_name").agg(*[F.max(f"s{i}").alias(f"r{i}") for i in range(len(sources))])
-    pattern = F.concat(*[(F.col(f"s{i}") + F.col(f"r{i}")).cast("int").cast("string") for i in range(len(sources))])
-    values = values.join(read, ["document_id", "field_name"]).select("document_id", "field_name", "vkey", pattern.alias("pattern"))
-    got = values.groupBy("pattern").count().collect()  # at most 3^sources rows
-    x = np.array([[int(c) for c in r[0]] for r in got])
-    n = np.array([r[1] for r in got], float)
+
+@dataclass
+class Quality:
+    """What was inferred: {witness: (sensitivity, specificity)}, weights of the respects, the span of time."""
+
+    sources: dict[str, tuple[float, float]] = field(default_factory=dict)
+    respects: dict[str, tuple[float, float]] = field(default_factory=dict)
+    weights: dict[str, float] = field(default_factory=lambda: dict.fromkeys(RESPECTS, 1.0))
+    span: tuple[int, int] = (0, 1)
+
+    def trust(self, source: str) -> float:
+        a, b = self.sources.get(source, (0.5, 0.5))
+        return float(np.log(a / (1 - b)))
+
+
+def _signs(patterns: list[str], index: dict[str, int]) -> np.ndarray:
+    """One row a pattern, one column a witness: 0 no word, 1 silent, 2 speaks for the value."""
+    x = np.zeros((len(patterns), len(index)), np.int8)
+    for r, p in enumerate(patterns):
+        for sign, part in zip((2, 1), p.split("\n")):
+            for w in part.split("\t") if part else ():
+                x[r, index[w]] = sign
+    return x
+
+
+def _posterior(x: np.ndarray, sens: np.ndarray, spec: np.ndarray, prior: float) -> np.ndarray:
+    seen, said = x > 0, x == 2
+    t = np.log(prior) + (seen * np.where(said, np.log(sens), np.log1p(-sens))).sum(1)
+    f = np.log1p(-prior) + (seen * np.where(said, np.log1p(-spec), np.log(spec))).sum(1)
+    return 1 / (1 + np.exp(np.clip(f - t, -500, 500)))
+
+
+def _expect(x: np.ndarray, n: np.ndarray, sens: np.ndarray, spec: np.ndarray, prior: float) -> np.ndarray:
+    """Sums of one round: for each witness (true & said, true & seen, false & silent, false & seen), then (true, all)."""
+    p = _posterior(x, sens, spec, prior)
+    w, v = (n * p)[:, None], (n * (1 - p))[:, None]
     seen, said = x > 0, x == 2
-    sens, spec, prior = np.full(len(sources), 0.8), np.full(len(sources), 0.7), 0.6
+    return np.concatenate([(w * said).sum(0), (w * seen).sum(0), (v * (seen & ~said)).sum(0), (v * seen).sum(0), [(n * p).sum(), n.sum()]])
+
+
+def witnessed(records: DataFrame) -> DataFrame:
+    """(document_id, field_name, vkey, pattern) of every value: the witnesses for it, a line break, those silent about it."""
+    values = records.groupBy("document_id", "field_name", "vkey").agg(
+        F.collect_set("source").alias("said"), F.max("conf").alias("conf"), F.max("sec").alias("sec"), F.max("at").alias("at"),  # a set is at most the sources
+        F.max(F.bit_count("bits")).alias("bits"),
+    )
+    read = values.groupBy("document_id", "field_name").agg(F.array_distinct(F.flatten(F.collect_set("said"))).alias("read"), F.max("at").alias("newest"))
+    both = values.join(read, ["document_id", "field_name"])
+    tests = {"sure": (F.col("conf") >= SURE, F.col("conf") >= 0), "placed": (F.col("sec") >= PLACED, F.col("sec") >= 0), "fresh": (F.col("at") == F.col("newest"), F.lit(True)), "full": (F.col("bits") == len(EVIDENCE), F.lit(True))}
+    yes = F.array_compact(F.array(*[F.when(known & c, F.lit(f"*{r}")) for r, (c, known) in tests.items()]))
+    no = F.array_compact(F.array(*[F.when(known & ~c, F.lit(f"*{r}")) for r, (c, known) in tests.items()]))
+    sign = lambda a, b: F.array_join(F.concat(F.array_sort(a), b), "\t")
+    pattern = F.concat(sign(F.col("said"), yes), F.lit("\n"), sign(F.array_except("read", "said"), no))
+    return both.select("document_id", "field_name", "vkey", pattern.alias("pattern"))
+
+
+def source_quality(records: DataFrame, rounds: int = 30, held: int = PATTERNS) -> tuple[Quality, DataFrame]:
+    """(what was inferred of sources and respects, values with p_true) by expectation-maximisation."""
+    none = -(2**62)
+    low, high, names_ = records.agg(F.min(F.when(F.col("at") > none, F.col("at"))), F.max("at"), F.array_sort(F.collect_set("source"))).first()
+    if not names_:
+        return Quality(), records.select("document_id", "field_name", "vkey", F.lit(None).cast("double").alias("p_true"))
+    witnesses = [*names_, *(f"*{r}" for r in RESPECTS)]
+    index = {w: i for i, w in enumerate(witnesses)}
+    k = len(witnesses)
+    values = cut(witnessed(records))
+    counts = values.groupBy("pattern").count()
+    got = counts.limit(held + 1).collect()
+    if len(got) <= held:
+        x, n = _signs([r[0] for r in got], index), np.array([r[1] for r in got], float)
+        sums = lambda *q: _expect(x, n, *q)
+    else:
+        counts = cut(counts)
+
+        def sums(*q):
+            def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    yield pa.RecordBatch.from_arrays([pa.array([_expect(_signs(b.column(0).to_pylist(), index), np.asarray(b.column(1), float), *q).tolist()], pa.list_(pa.float64()))], names=["s"])
+
+            # one short row a batch of patterns
+            return np.sum([r[0] for r in counts.mapInArrow(part, "s array<double>").collect()], axis=0)
+
+    sens, spec, prior = np.full(k, 0.8), np.full(k, 0.7), 0.6
     for _ in range(rounds):
-        t = np.log(prior) + (seen * np.where(said, np.log(sens), np.log1p(-sens))).sum(1)
-        f = np.log1p(-prior) + (seen * np.where(said, np.log1p(-spec), np.log(spec))).sum(1)
-        p = 1 / (1 + np.exp(np.clip(f - t, -500, 500)))
-        w, v = (n * p)[:, None], (n * (1 - p))[:, None]
-        sens = np.clip(((w * said).sum(0) + 4) / ((w * seen).sum(0) + 5), 0.02, 0.98)
-        spec = np.clip(((v * (seen & ~said)).sum(0) + 3.5) / ((v * seen).sum(0) + 5), 0.02, 0.98)
-        prior = float(np.clip((n * p).sum() / n.sum(), 0.02, 0.98))
-    p_of = F.create_map(*[F.lit(y) for r, q in zip(got, p) for y in (r[0], float(q))])
-    return dict(zip(sources, zip(sens.tolist(), spec.tolist()))), values.withColumn("p_true", p_of[F.col("pattern")])
-
-
-def survivors(records: DataFrame, quality: dict[str, tuple[float, float]]) -> DataFrame:
+        s = sums(sens, spec, prior)
+        a, b, c, d = s[:k], s[k : 2 * k], s[2 * k : 3 * k], s[3 * k : 4 * k]
+        sens = np.clip((a + 4) / (b + 5), 0.02, 0.98)
+        spec = np.clip((c + 3.5) / (d + 5), 0.02, 0.98)
+        prior = float(np.clip(s[-2] / s[-1], 0.02, 0.98))
+    both = {w: (float(sens[i]), float(spec[i])) for w, i in index.items()}
+    respects = {r: both.pop(f"*{r}") for r in RESPECTS}
+    weights = {r: max(LEAST, float(np.log(a * b / ((1 - a) * (1 - b))))) for r, (a, b) in respects.items()}
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = _posterior(_signs(b.column("pattern").to_pylist(), index), sens, spec, prior)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("document_id", "field_name", "vkey")), pa.array(p)], names=["document_id", "field_name", "vkey", "p_true"])
+
+    judged = values.mapInArrow(judge, "document_id string, field_name string, vkey string, p_true double")
+    return Quality(both, respects, weights, (low if low is not None else 0, max(high, (low or 0) + 1))), judged
+
+
+def scored(records: DataFrame, quality: Quality) -> DataFrame:
+    """records with score (respects by their weights) and q (trust in their source)."""
+    w, (low, high) = quality.weights, quality.span
+    time = (F.greatest(F.col("at"), F.lit(low)) - F.lit(low)) / F.lit(float(high - low))
+    score = F.greatest("conf", F.lit(0.0)) * w["sure"] + F.greatest("sec", F.lit(0.0)) * w["placed"] + time * w["fresh"] + F.bit_count("bits") / len(EVIDENCE) * w["full"]
+    trust = {s: quality.trust(s) for s in quality.sources}
+    known = records.sparkSession.createDataFrame(list(trust.items()), "source string, q double")  # one row a source
+    return records.withColumn("score", score).join(F.broadcast(known), "source", "left").withColumn("q", F.coalesce("q", F.lit(0.0)))
+
+
+def survivors(records: DataFrame, quality: Quality) -> DataFrame:
     """(document_id, field_name, vkey, group_id, survivor_id, several, sole): one row a group.
 
     sole: the survivor is beaten by none in any respect and is the only such record. One shuffle with
     partial aggregation: a group of any size is never gathered.
     """
-    good = {s: float(np.log(a / (1 - b))) for s, (a, b) in quality.items()}
-    q = F.create_map(*[F.lit(y) for s, v in good.items() for y in (s, v)])[F.col("source")] if good else F.lit(0.0)
     rank = lambda *last: F.struct("conf", "sec", "at", F.bit_count("bits").alias("seen"), "bits", *last)
-    g = records.withColumn("q", F.coalesce(q, F.lit(0.0))).groupBy("document_id", "field_name", "vkey").agg(
+    best = F.struct("score", "conf", "sec", "at", F.bit_count("bits").alias("seen"), "bits", "q", (-F.col("cand_id")).alias("c"))
+    g = scored(records, quality).groupBy("document_id", "field_name", "vkey").agg(
         F.min("cand_id").alias("group_id"), F.max("cand_id").alias("last_id"), F.max("conf").alias("conf"), F.max("sec").alias("sec"), F.max("at").alias("at"), F.bit_or("bits").alias("bits"),
-        F.max(rank("q", (-F.col("cand_id")).alias("c"))).alias("low"), F.max(rank(F.col("cand_id").alias("c"))).alias("high"),
-        F.max(rank((-F.col("cand_id")).alias("c"))).alias("first"),
+        F.max(best).alias("best"), F.max(rank(F.col("cand_id").alias("c"))).alias("high"), F.max(rank((-F.col("cand_id")).alias("c"))).alias("first"),
     )
-    sole = (F.col("high.c") == -F.col("first.c")) & (F.col("high.conf") == F.col("conf")) & (F.col("high.sec") == F.col("sec")) & (F.col("high.at") == F.col("at")) & (F.col("high.bits") == F.col("bits"))
-    return g.select("document_id", "field_name", "vkey", "group_id", (-F.col("low.c")).alias("survivor_id"), (F.col("group_id") < F.col("last_id")).alias("several"), sole.alias("sole"))
+    sole = (F.col("high.c") == -F.col("first.c")) & (F.col("best.conf") == F.col("conf")) & (F.col("best.sec") == F.col("sec")) & (F.col("best.at") == F.col("at")) & (F.col("best.bits") == F.col("bits"))
+    return g.select("document_id", "field_name", "vkey", "group_id", (-F.col("best.c")).alias("survivor_id"), (F.col("group_id") < F.col("last_id")).alias("several"), sole.alias("sole"))
 
 
 def found(candidates: DataFrame) -> DataFrame:
@@ -224,9 +316,15 @@ def fused(candidates: DataFrame) -> DataFrame:
 
 
 def built(candidates: DataFrame) -> DataFrame:
-    """A record built field by field for every group: each attribute from the newest, most confident record that has it."""
-    records = grouped(candidates).select("cand_id", "document_id", "field_name", "vkey", "conf", "at")
-    extra = candidates.select("cand_id", *EVIDENCE, "value").groupBy("cand_id").agg(*[F.max(c).alias(c) for c in (*EVIDENCE, "value")])
-    both = records.distinct().join(extra, "cand_id")
-    pick = [F.max(F.when(F.col(c).isNotNull(), F.struct("at", "conf", "cand_id", F.col(c).alias("v"))))["v"].alias(c) for c in ("value", *EVIDENCE)]
+    """A record built field by field for every group: each attribute from the record of the greatest score that has it.
+
+    Of a record delivered several times the latest delivery counts, whole.
+    """
+    records = cut(grouped(candidates))
+    quality, _ = source_quality(records)
+    at = F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(-(2**62)).cast("long"))
+    latest = candidates.select("cand_id", at.alias("at"), *EVIDENCE, "value").groupBy("cand_id").agg(F.max(F.struct("at", *EVIDENCE, "value")).alias("r")).select("cand_id", *[F.col(f"r.{c}").alias(c) for c in (*EVIDENCE, "value")])
+    best = scored(records, quality).groupBy("cand_id", "document_id", "field_name", "vkey").agg(F.max(F.struct("at", "score", "conf")).alias("m")).select("cand_id", "document_id", "field_name", "vkey", "m.*")
+    both = best.join(latest, "cand_id")
+    pick = [F.max(F.when(F.col(c).isNotNull(), F.struct("score", "at", "cand_id", F.col(c).alias("v"))))["v"].alias(c) for c in ("value", *EVIDENCE)]
     return both.groupBy("document_id", "field_name", "vkey").agg(F.min("cand_id").alias("group_id"), F.max("conf").alias("confidence"), *pick)
