@@ -1,17 +1,21 @@
 """Problem 3: noise of scanned pages: cut words, misread characters, running headers, page numbers.
 
-1. Words are counted over all texts; words of one confusable-glyph skeleton form a group, and a form that
-   is a misreading (glyph by glyph) of a far more frequent one of its group is taken for it.
+1. Words are counted with the word before them over all texts. Words of one confusable-glyph skeleton form a group; a
+   form is taken for a more frequent word of its group that it misreads (glyph by glyph) if both stand beside a common
+   neighbour: the chosen word must be one that the form's context supports.
 2. Lines at the top or bottom of pages are keyed by skeleton with digits masked; a key on two or more pages of
    a document of any size is a running header, if one of its boxes is in the margin or all its lines have the form of one (else if it is on PART of the pages).
 3. Cut words are joined unless the compound itself is a known word; page numbers are known by form and,
    where they are bare numbers, by place and value.
 4. `reflowed` takes header lines and page numbers out of the elements (the rest of an element stays), repairs
-   words and joins the lines of a page into paragraphs with windows over (document, engine, page).
-
-The frequent words (a share of all words, so at most 1 / SHARE of them) are broadcast; rare words and
-headers are joined by shuffle. Odd input: null and blank texts have no noise; a null page counts as one more
-page of its engine for headers; a null box is in no margin; an exact repeat is one record; long texts are read whole.
+   words and joins the lines of a page into paragraphs with windows over (document, engine, page). `repaired_fields`
+   does the same for one-line fields.
+
+The frequent words (a share of all words, so at most 1 / SHARE of them) are broadcast; rare words are joined by
+shuffle. Rows meet the headers of their document in sorted streams of (document, salt): a document with a third of
+all rows is spread over SALT tasks, and no row carries its document's headers. Odd input: null and blank texts have no
+noise; a null page counts as one more page of its engine for headers; a null box is in no margin; an exact repeat is one
+record; texts and lines of any length are read whole.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -136,29 +141,52 @@ def key_words(line: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def word_counts(texts: list[tuple[DataFrame, list[str]]]) -> DataFrame:
-    """(word, n): words of letters (and compounds) of all texts; counted in Python by partition, then summed."""
+#: Stands before the first word of a text.
+BEGIN = "\x02"
+WORDS = re.compile(BEGIN + "|" + ALPHA.pattern)
+
+
+def neighbours(texts: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(before, word, n): words of letters (and compounds) of all texts with the word before them.
+
+    Counted in Python by partition, then summed. A word that ends a text is `before` of BEGIN.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+
+        def rows() -> pa.RecordBatch:
+            pairs = list(counts)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.string()), pa.array([y for _, y in pairs], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["before", "word", "n"])
+
         for b in batches:
             for col in b.columns:
                 normal = normalize(col)[0]
-                counts.update(ALPHA.findall("\n\n".join(t for t in normal.to_pylist() if t)))
+                found = WORDS.findall(BEGIN + f"\n{BEGIN}\n".join(t for t in normal.to_pylist() if t) + "\n" + BEGIN)
+                counts.update(zip(found, found[1:]))
             if len(counts) > 400_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+                yield rows()
                 counts = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        yield rows()
 
-    parts = [df.select(*cols).mapInArrow(run, "word string, n long") for df, cols in texts]
+    parts = [df.select(*cols).mapInArrow(run, "before string, word string, n long") for df, cols in texts]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("word").agg(F.sum("n").alias("n"))
+    return out.groupBy("before", "word").agg(F.sum("n").alias("n"))
 
 
-def misread_forms(words: DataFrame) -> DataFrame:
-    """(word, meant, n, times): forms that misread a more frequent form of their skeleton group."""
+def word_counts(pairs: DataFrame) -> DataFrame:
+    """(word, n)."""
+    return pairs.filter(F.col("word") != BEGIN).groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def misread_forms(words: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """(word, meant, n, times): forms that misread a more frequent word of their skeleton group, in a context of that word.
+
+    One misread glyph: the form's readings are joined with the words. Two: the most frequent word of the group is
+    compared. pairs: neighbours(); without them any context will do.
+    """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -167,12 +195,20 @@ def misread_forms(words: DataFrame) -> DataFrame:
             idx = pa.array([i for i, k in enumerate(keys) for _ in k], pa.int64())
             yield pa.RecordBatch.from_arrays([*(c.take(idx) for c in b.columns), pa.array([x for k in keys for x in k], pa.string())], names=["word", "n", "skeleton"])
 
-    base = words.filter("word not like '%-%'").mapInArrow(keyed, "word string, n long, skeleton string")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = b.column(0).to_pylist()
+            as_ = [{y.lower() for y in reversals(x) if bare(y) != bare(x) and y.lower() != x.lower()} for x in w]
+            idx = pa.array([i for i, k in enumerate(as_) for _ in k], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.take(idx) for c in b.columns), pa.array([x for k in as_ for x in k], pa.string())], names=["word", "n", "low"])
+
+    plain = words.filter("word not like '%-%'").select("word", "n")
+    base = plain.mapInArrow(keyed, "word string, n long, skeleton string")
     # in a group only the strongest forms can be meant: the top by count for each lettering
     style = F.when(F.upper("word") == F.col("word"), "U").when(F.initcap("word") == F.col("word"), "T").otherwise("l")
     base = base.withColumn("style", F.when(F.col("word").rlike("[A-Z][A-Z]"), "U").otherwise(style))
     top = base.groupBy("skeleton", "style").agg(F.max(F.struct("n", "word")).alias("t")).select("skeleton", "style", F.col("t.word").alias("meant"), F.col("t.n").alias("times"))
-    pairs = base.join(top, ["skeleton", "style"]).filter(f"word <> meant and times >= {RATIO_RARE} * n").select("word", "meant", "n", "times").distinct()
+    two = base.join(top, ["skeleton", "style"]).filter(f"word <> meant and times >= {RATIO_RARE} * n").select("word", "meant", "n", "times").distinct()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -180,10 +216,30 @@ def misread_forms(words: DataFrame) -> DataFrame:
             keep = [i for i, (x, y) in enumerate(zip(w, m)) if _misreads(x, y)]
             yield b.take(pa.array(keep, pa.int64()))
 
-    fits = pairs.mapInArrow(check, "word string, meant string, n long, times long")
+    known = plain.groupBy(F.lower("word").alias("low")).agg(F.max(F.struct("n", "word")).alias("t")).select("low", F.col("t.word").alias("meant"), F.col("t.n").alias("times"))
+    one = plain.mapInArrow(read, "word string, n long, low string").join(known, "low").filter(f"times >= {RATIO_RARE} * n").select("word", "meant", "n", "times")
+    fits = one.unionByName(two.mapInArrow(check, "word string, meant string, n long, times long")).distinct()
+    if pairs is not None:
+        fits = supported(cut(fits), pairs)
     return fits.groupBy("word").agg(F.max(F.struct("times", "meant", "n")).alias("m")).select("word", "m.meant", "m.n", "m.times")
 
 
+def supported(fits: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of fits whose word and meant word stand after, or before, the same word somewhere in the corpus.
+
+    Only pairs with a word of fits are looked at; they are joined by (word, neighbour), so a frequent neighbour is no key of its own.
+    """
+    low = pairs.select(F.lower("before").alias("before"), F.lower("word").alias("word"))
+    some = fits.select(F.lower("word").alias("w")).unionByName(fits.select(F.lower("meant").alias("w"))).distinct()
+    after = low.filter(F.col("word") != BEGIN).join(some, F.col("word") == F.col("w"), "left_semi").select(F.col("word").alias("w"), F.concat(F.lit("<"), "before").alias("side"))
+    ahead = low.filter(F.col("before") != BEGIN).join(some, F.col("before") == F.col("w"), "left_semi").select(F.col("before").alias("w"), F.concat(F.lit(">"), "word").alias("side"))
+    sides = cut(after.unionByName(ahead).distinct())
+    asked = fits.select("word", "meant", F.lower("word").alias("w"), F.lower("meant").alias("m")).join(sides, "w")
+    told = sides.select(F.col("w").alias("m"), "side")
+    yes = asked.join(told, ["m", "side"], "left_semi").select("word", "meant").distinct()
+    return fits.join(yes, ["word", "meant"], "left_semi")
+
+
 def _misreads(word: str, meant: str) -> bool:
     """Is word a misreading of meant by one glyph or two?"""
     a, b = bare(word), bare(meant)
@@ -198,11 +254,12 @@ def _misreads(word: str, meant: str) -> bool:
 class Lexicon:
     """Frequent words and what the detector needs of them; bounded by the share of a frequent word."""
 
-    def __init__(self, words: list[tuple[str, int]], misread: list[str]) -> None:
+    def __init__(self, words: list[tuple[str, int]], misread: dict[str, str]) -> None:
         plain = [w for w, _ in words if "-" not in w]
         self.words = frozenset(plain)
         self.lower = frozenset(w.lower() for w in plain if len(w) >= 3)
         self.bad = frozenset(misread)
+        self.meant = misread
         compounds = {w.lower() for w, _ in words if "-" in w}
         self.compounds = frozenset(compounds)
         heads = {w.split("-")[0] for w in compounds}
@@ -258,13 +315,7 @@ def page_bits(text: str) -> int:
     """PAGE or BARE of a text in its consistent form."""
     if PAGES.search(text) or DASHED.search(text) or DASHED_FIRST.match(text):
         return PAGE
-    if len(text) < 16 and BARE_PAGE.fullmatch(text):
-        return BARE
-    if "\n" in text:
-        last = text.rstrip().rsplit("\n", 1)[-1]
-        if len(last) < 10 and BARE_PAGE.fullmatch(last) and len(text) > 200:
-            return BARE
-    return 0
+    return BARE if BARE_PAGE.fullmatch(text.rstrip().rsplit("\n", 1)[-1]) else 0
 
 
 def _mixed(w: str, text: str, at: int, lex: Lexicon) -> bool:
@@ -337,8 +388,7 @@ def bare_page(text: str, page: int | None, margin: bool | None, kind: str | None
     n, total = int(m.group(1)), int(m.group(2)) if m.group(2) else None
     if total is not None and n > total:
         return False
-    whole = "\n" in text
-    place = margin or whole or (kind or "").strip().lower() == "foot"
+    place = margin or whole_page(text, kind) or (kind or "").strip().lower() == "foot"
     if page is None:
         return bool(place)
     if n != page:
@@ -346,6 +396,11 @@ def bare_page(text: str, page: int | None, margin: bool | None, kind: str | None
     return bool(place) or total is not None and margin is None
 
 
+def whole_page(text: str, kind: str | None) -> bool:
+    """Is an element a page that the engine gave in one piece: several lines that no layout label sets apart?"""
+    return "\n" in text.strip() and (kind or "text").strip().lower() in ("text", "para", "line", "")
+
+
 def margins(elements: DataFrame) -> DataFrame:
     """elements with margin: is its box at the top or bottom of the page? Null where it has no box."""
     height = elements.select(F.percentile_approx(F.col("bounding_box.y") + F.coalesce("bounding_box.h", F.lit(0.0)), 0.99, 10_000).alias("h")).first()[0]
@@ -371,7 +426,7 @@ def header_keys(elements: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(idx) for c in ("document_id", "engine_id", "page_number")), pa.array(keys, pa.string()), pa.array(boxed, pa.bool_()), pa.array(formed, pa.bool_())], names=["document_id", "engine_id", "page_number", "key", "boxed", "formed"])
 
     how = F.max("boxed").alias("boxed"), F.min("formed").alias("formed")
-    edge = elements.filter("text is not null and (margin or (length(text) > 200 and instr(text, '\n') > 0))").select("document_id", "engine_id", "page_number", "text", "margin")
+    edge = elements.filter("text is not null and (margin or instr(trim(text), '\n') > 0)").select("document_id", "engine_id", "page_number", "text", "margin")
     seen = edge.mapInArrow(run, "document_id string, engine_id string, page_number int, key string, boxed boolean, formed boolean").groupBy("document_id", "engine_id", "page_number", "key").agg(*how)
     # an element without a page is on another page than those that the same engine has numbered
     by_engine = seen.groupBy("document_id", "engine_id", "key").agg(F.count("*").alias("n"), *how).select("document_id", "key", "n", "boxed", "formed")
@@ -390,98 +445,124 @@ def edge_keys(text: str | None, margin: bool) -> list[tuple[str, bool, bool]]:
     if not text or not text.strip():
         return []
     lines = [x for x in text.split("\n") if x.strip()]
-    if len(lines) >= 6:
+    if margin:
+        chosen = [(" ".join(lines), True, True)]
+    elif len(lines) > 1:
         last = -1 if line_key(lines[-1]) not in ("", "#") else -2
         # a line that goes on in the next one is wrapped text
         first_form = not BODY_LINE.search(lines[0]) and not lines[1].lstrip()[:1].islower()
-        last_form = not BODY_LINE.search(lines[last]) and not re.search(r"\d", lines[last]) and bool(re.search(r"[.!?:;]\W*$|\d\W*$", lines[last - 1]))
-        chosen = [(lines[0], False, first_form), (lines[last], False, last_form)]
-    elif margin:
-        chosen = [(" ".join(lines), True, True)]
+        chosen = [(lines[0], False, first_form)]
+        if len(lines) + last > 0:
+            last_form = not BODY_LINE.search(lines[last]) and not re.search(r"\d", lines[last]) and bool(re.search(r"[.!?:;]\W*$|\d\W*$", lines[last - 1]))
+            chosen.append((lines[last], False, last_form))
     else:
         return []
     out: dict[str, tuple[str, bool, bool]] = {}
     for x, box, form in chosen:
         k = line_key(x)
-        if len(k) >= 8 and k != "#":
+        if k.strip("#"):
             out.setdefault(k, (k, box, form))
     return list(out.values())
 
 
+def joined_key(keys: list[str]) -> str:
+    """The key of lines written in one: numbers that meet are one sign."""
+    out = ""
+    for k in keys:
+        out += k[1:] if k[:1] == "#" and out[-1:] == "#" else k
+    return out
+
+
 def all_keys(text: str | None) -> list[str]:
-    """Keys under which a text may contain a header: the whole text if it is short, and its lines."""
-    if not text or len(text) < 8:
+    """Keys under which a text may contain a header: its lines, and the whole text."""
+    if not text:
         return []
-    lines = [x for x in text.split("\n") if x.strip()]
-    out = [line_key(" ".join(lines))] if len(text) < 240 else []
-    if len(lines) > 1:
-        out += [line_key(x) for x in lines if len(x) < 240]
-    return [k for k in dict.fromkeys(out) if len(k) >= 8]
+    lines = [line_key(x) for x in text.split("\n") if x.strip()]
+    return [k for k in dict.fromkeys([joined_key(lines), *lines]) if k.strip("#")]
 
 
 def _time(df: DataFrame) -> DataFrame:
     return df.withColumn("at", F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(-(2**62)).cast("long")))
 
 
-def header_rows(elements: DataFrame, headers: DataFrame) -> DataFrame:
-    """(row_key, at, mask, lines, parts) of elements with a line that is a header of their document.
+#: Tasks over which the rows of one document are spread when they meet its headers.
+SALT = 32
+MARKED = re.compile(r"[\\`{}~>]|\*\*|''")
+
+
+def header_hits(rows: DataFrame, headers: DataFrame, fields: list[str], contains: bool) -> DataFrame:
+    """(row_key, at, mask, lines, parts) of rows with a header of their document in one of the fields.
 
-    lines: keys that a line, or the whole text, is; parts: keys that a text with markup contains.
+    lines: keys that a line of a field, or the whole of it, is; parts: keys that a field contains. A field is
+    searched for contained headers if `contains`, or if it has markup, whose words would change a line's key.
+    Rows and headers come in one stream sorted by (document, salt), headers first: only the headers of the
+    document in hand are held.
     """
+    salt = F.pmod(F.xxhash64("row_key"), F.lit(SALT)).cast("int")
+    some = rows.filter(F.coalesce(*fields).isNotNull()).join(headers.select("document_id").distinct(), "document_id", "left_semi")
+    a = some.select("document_id", salt.alias("salt"), F.lit(1).alias("turn"), "row_key", "at", *fields)
+    none = F.lit(None).cast("string")
+    b = headers.select("document_id", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"), F.lit(0).alias("turn"), F.lit(None).cast("long").alias("row_key"), F.lit(None).cast("long").alias("at"), F.col("key").alias(fields[0]), *[none.alias(f) for f in fields[1:]])
+    stream = a.unionByName(b).repartition("document_id", "salt").sortWithinPartitions("document_id", "salt", "turn")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict = {}
+        here, keys, tree = None, set(), None
         for b in batches:
-            raw = b.column("text").to_pylist()
-            new = [t for t in dict.fromkeys(raw) if t not in memo]
+            docs, salts, turn = (b.column(c).to_pylist() for c in ("document_id", "salt", "turn"))
+            cols = [b.column(f).to_pylist() for f in fields]
+            new = [t for t in dict.fromkeys(t for c in cols for t, k in zip(c, turn) if k) if t and t not in memo]
             if len(memo) > MEMO:
                 memo.clear()
-                new = list(dict.fromkeys(raw))
-            for t, n in zip(new, normalize(pa.array(new, pa.large_string()))[0].to_pylist()):
-                memo[t] = all_keys(n)
-            at = [i for i, t in enumerate(raw) for _ in memo[t]]
-            idx = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("row_key").take(idx), b.column("at").take(idx), b.column("document_id").take(idx), pa.array([k for t in raw for k in memo[t]], pa.string())], names=["row_key", "at", "document_id", "key"])
+                new = list(dict.fromkeys(t for c in cols for t, k in zip(c, turn) if k and t))
+            for t, n in zip(new, normalize(pa.array(new, pa.large_string()))[0].to_pylist() if new else ()):
+                memo[t] = ([] if contains else all_keys(n), joined_key([line_key(x) for x in n.split("\n")]) if contains or MARKED.search(n) else "")
+            idx, masks, lines, parts = [], [], [], []
+            for i, (d, z, k) in enumerate(zip(docs, salts, turn)):
+                if (d, z) != here:
+                    here, keys, tree = (d, z), set(), None
+                if not k:
+                    keys.add(cols[0][i])
+                    continue
+                mask, mine, inner = 0, [], []
+                for f, c in enumerate(cols):
+                    if not c[i]:
+                        continue
+                    own, whole = memo[c[i]]
+                    hit = [x for x in own if x in keys]
+                    if whole:
+                        if tree is None:
+                            tree = ahocorasick.Automaton()
+                            for x in keys:
+                                tree.add_word(x, x)
+                            tree.make_automaton()
+                        within = [x for x in dict.fromkeys(x for _, x in tree.iter(whole)) if contains or x not in hit]
+                    else:
+                        within = []
+                    if hit or within:
+                        mask |= HEADER << (f * BITS)
+                        mine += hit
+                        inner += within
+                if mask:
+                    idx.append(i)
+                    masks.append(mask)
+                    lines.append(mine)
+                    parts.append(inner)
+            at = pa.array(idx, pa.int64())
+            strings = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("row_key").take(at), b.column("at").take(at), pa.array(masks, pa.int64()), pa.array(lines, strings), pa.array(parts, strings)], names=["row_key", "at", "mask", "lines", "parts"])
+
+    return stream.mapInArrow(run, "row_key long, at long, mask long, lines array<string>, parts array<string>")
 
-    # only documents with a header are keyed
-    docs = headers.select("document_id").distinct()
-    short = elements.filter("text is not null").join(docs, "document_id", "left_semi").select("row_key", "at", "document_id", "text")
-    keyed = short.mapInArrow(run, "row_key long, at long, document_id string, key string")
-    exact = keyed.join(headers, ["document_id", "key"], "left_semi").select("row_key", "at", F.lit(HEADER).cast("long").alias("mask"), F.array("key").alias("lines"), F.array().cast("array<string>").alias("parts"))
-    # markup around a header adds words of its own: such elements are searched for the headers of their document
-    marked = short.filter((F.length("text") < 400) & F.col("text").rlike(r"[\\`{}~>]|\*\*|''"))
-    inside = header_fields(marked, headers, ["text"]).filter("mask <> 0").withColumn("lines", F.array().cast("array<string>"))
-    return exact.unionByName(inside)
 
+def header_rows(elements: DataFrame, headers: DataFrame) -> DataFrame:
+    """header_hits of elements, line by line."""
+    return header_hits(elements.select("row_key", "at", "document_id", "text"), headers, ["text"], False)
 
-def header_fields(rows: DataFrame, headers: DataFrame, fields: list[str]) -> DataFrame:
-    """(row_key, at, mask, parts) of one-line fields that contain a header of their document; parts: the keys of these headers."""
-    arrays = headers.groupBy("document_id").agg(F.collect_set("key").alias("keys"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict = {}
-        for b in batches:
-            keys = b.column("keys").to_pylist()
-            mask = np.zeros(b.num_rows, np.int64)
-            parts: list[list[str]] = [[] for _ in range(b.num_rows)]
-            for f, name in enumerate(fields):
-                raw = b.column(name).to_pylist()
-                new = [t for t in dict.fromkeys(raw) if t not in memo]
-                if len(memo) > MEMO:
-                    memo.clear()
-                    new = list(dict.fromkeys(raw))
-                for t, n in zip(new, normalize(pa.array(new, pa.large_string()))[0].to_pylist()):
-                    memo[t] = line_key(n) if n else ""
-                for i, t in enumerate(raw):
-                    k = memo[t]
-                    hit = [x for x in keys[i] if x in k] if k else []
-                    if hit:
-                        mask[i] |= HEADER << (f * BITS)
-                        parts[i] += hit
-            yield pa.RecordBatch.from_arrays([b.column("row_key"), b.column("at"), pa.array(mask), pa.array(parts, pa.list_(pa.string()))], names=["row_key", "at", "mask", "parts"])
-
-    both = rows.select("row_key", "at", "document_id", *fields).join(arrays, "document_id").select("row_key", "at", "keys", *fields)
-    return both.mapInArrow(run, "row_key long, at long, mask long, parts array<string>")
+def header_fields(rows: DataFrame, headers: DataFrame, fields: list[str]) -> DataFrame:
+    """header_hits of one-line fields, which may contain a header."""
+    return header_hits(rows.select("row_key", "at", "document_id", *fields), headers, fields, True)
 
 
 def collect_lexicon(words: DataFrame, wrong: DataFrame):
@@ -489,9 +570,8 @@ def collect_lexicon(words: DataFrame, wrong: DataFrame):
     total = words.agg(F.sum("n")).first()[0] or 0
     least = max(LEAST, int(SHARE * total))
     frequent = [(r[0], r[1]) for r in words.filter(F.col("n") >= least).collect()]  # at most 1 / SHARE rows
-    bad = [r[0] for r in wrong.filter(f"n >= {least} and times >= {RATIO_FREQUENT} * n").select("word").collect()]
-    bad_set = set(bad)
-    return words.sparkSession.sparkContext.broadcast(Lexicon([x for x in frequent if x[0] not in bad_set], bad))
+    bad = {r[0]: r[1] for r in wrong.filter(f"n >= {least} and times >= {RATIO_FREQUENT} * n").select("word", "meant").collect()}  # frequent themselves
+    return words.sparkSession.sparkContext.broadcast(Lexicon([x for x in frequent if x[0] not in bad], bad))
 
 
 def looked_up(flagged: DataFrame, wrong: DataFrame) -> DataFrame:
@@ -516,8 +596,9 @@ CAND_FIELDS = ["line_text", "context_text"]
 def analysed(artifacts: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, object]:
     """(elements with key, time and margin, (document_id, key) of headers, misread forms, the broadcast lexicon)."""
     artifacts = artifacts.select("artifact_id", "document_id", "engine_id", "text", "page_number", "bounding_box", "element_type", "loaded_at")
-    words = cut(word_counts([(artifacts, ["text"]), (candidates, CAND_FIELDS)]))
-    wrong = cut(misread_forms(words))
+    pairs = cut(neighbours([(artifacts, ["text"]), (candidates, CAND_FIELDS)]))
+    words = cut(word_counts(pairs))
+    wrong = cut(misread_forms(words, pairs))
     lexicon = collect_lexicon(words, wrong)
     elements = _time(margins(artifacts)).withColumnRenamed("artifact_id", "row_key")
     return elements, cut(header_keys(elements)), wrong, lexicon
@@ -566,34 +647,43 @@ def repair(text: str, wrong: dict[str, str], lex: Lexicon) -> str:
     return ODD_NUMBER.sub(lambda m: m.group().translate(str.maketrans("OolISBZ", "0011582")) if any(c.isdigit() for c in m.group()) else m.group(), text)
 
 
-#: Misread forms that one pass of repair holds.
-REPAIRS = 500_000
+def fixes(rows: DataFrame, key: str, text: str, wrong: DataFrame, lexicon) -> DataFrame:
+    """(key, fixes): {misread word: meant word} of every row that has one. Rare words are joined, each under its own key."""
+    kind = dict(rows.dtypes)[key]
 
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = lexicon.value
+        for b in batches:
+            idx, out = [], []
+            for i, t in enumerate(normalize(b.column(1))[0].to_pylist()):
+                for w in set(ALPHA.findall(t)) - lex.words if t else ():
+                    if w not in lex.bad:
+                        idx.append(i)
+                        out.append(w)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(idx, pa.int64())), pa.array(out, pa.string())], names=[key, "word"])
+
+    words = rows.select(key, text).mapInArrow(rare, f"`{key}` {kind}, word string")
+    hit = words.join(wrong.select("word", "meant"), "word").groupBy(key).agg(F.collect_set(F.struct("word", "meant")).alias("pairs"))
+    return hit.select(key, F.map_from_entries("pairs").alias("fixes"))
+
+
+def repaired(rows: DataFrame, text: str, lexicon) -> DataFrame:
+    """rows with text repaired by the words of their column fixes (dropped) and the frequent misread forms."""
+    keep = [n for n in rows.columns if n != "fixes"]
+    kinds = dict(rows.dtypes)
 
-def repaired(rows: DataFrame, text: str, wrong: DataFrame, lexicon) -> DataFrame:
-    """rows with text repaired. The misread forms are broadcast in blocks of about REPAIRS, one pass for each block."""
-    passes = -(-wrong.count() // REPAIRS) or 1
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
-    for p in range(passes):
-        block = wrong.filter(F.pmod(F.xxhash64("word"), F.lit(passes)) == p).select("word", "meant").collect()
-        table = rows.sparkSession.sparkContext.broadcast({r[0]: r[1] for r in block})
-        last = p == passes - 1
-
-        def run(batches: Iterator[pa.RecordBatch], table=table, last=last) -> Iterator[pa.RecordBatch]:
-            lex, bad = lexicon.value, table.value
-            for b in batches:
-                at = b.schema.get_field_index(text)
-                normal = normalize(b.column(at))[0].to_pylist()
-                if last:
-                    fixed = [t if t is None or LAYOUT.search(t) else " ".join(repair(t, bad, lex).split("\n")) for t in normal]
-                else:
-                    fixed = [t if t is None or LAYOUT.search(t) else ALPHA.sub(lambda m: bad.get(m.group(), m.group()), t) for t in normal]
-                cols = list(b.columns)
-                cols[at] = pa.array(fixed, pa.string())
-                yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = lexicon.value
+        for b in batches:
+            normal = normalize(b.column(text))[0].to_pylist()
+            fixed = []
+            for t, own in zip(normal, b.column("fixes").to_pylist()):
+                if t is not None and not LAYOUT.search(t):
+                    t = " ".join(repair(t, lex.meant | dict(own) if own else lex.meant, lex).split("\n"))
+                fixed.append(t)
+            yield pa.RecordBatch.from_arrays([pa.array(fixed, pa.string()) if c == text else b.column(c) for c in keep], names=keep)
 
-        rows = rows.mapInArrow(run, schema)
-    return rows
+    return rows.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in keep))
 
 
 LAYOUT = re.compile(r"\|\s*:?-{2,}|<t[dr]\b")
@@ -622,7 +712,7 @@ def without_noise(text: str, page: bool, lines: list[str], parts: list[str]) ->
     rows = text.split("\n")
     if lines:
         keys = set(lines)
-        if len(text) < 240 and line_key(" ".join(x for x in rows if x.strip())) in keys:
+        if joined_key([line_key(x) for x in rows if x.strip()]) in keys:
             return ""
         rows = [x for x in rows if not x.strip() or line_key(x) not in keys]
     if parts:
@@ -688,8 +778,9 @@ def reflowed(artifacts: DataFrame, candidates: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     noise = headers.select("row_key", "at", "mask", "lines", "parts").unionByName(marked.filter(F.col("mask").bitwiseAND(PAGE) != 0).select("row_key", "at", "mask", none.alias("lines"), none.alias("parts")))
     noise = noise.groupBy(F.col("row_key").alias("artifact_id")).agg(F.collect_list(F.struct("at", "mask", "lines", "parts")).alias("noise"))
-    kept = cleared(base.join(noise, "artifact_id", "left")).filter("text is not null and trim(text) <> ''")
-    fixed = repaired(kept, "text", wrong, lexicon)
+    both = base.join(noise, "artifact_id", "left").join(fixes(base, "artifact_id", "text", wrong, lexicon), "artifact_id", "left")
+    kept = cleared(both).filter("text is not null and trim(text) <> ''")
+    fixed = repaired(kept, "text", lexicon)
     w = Window.partitionBy("document_id", "engine_id", "page_number").orderBy("ordinal", "artifact_id")
     before, kind = F.lag("text").over(w), F.lag("element_type").over(w)
     starts = before.isNull() | before.rlike("[.!?:;]\\s*$") | (kind != F.col("element_type")) | ~F.col("text").rlike("^\\s*[a-zà-ú]")
@@ -697,3 +788,24 @@ def reflowed(artifacts: DataFrame, candidates: DataFrame) -> DataFrame:
     parts = para.groupBy("document_id", "engine_id", "page_number", "paragraph_no").agg(F.array_sort(F.collect_list(F.struct("ordinal", "artifact_id", "text"))).alias("p"))
     text = F.regexp_replace(F.array_join(F.transform("p", lambda x: x["text"]), " "), "([a-zà-ú])[-‐¬] ([a-zà-ú])", "$1$2")
     return parts.select("document_id", "engine_id", "page_number", "paragraph_no", text.alias("paragraph"))
+
+
+def repaired_fields(artifacts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(source_table, row_key, field_name, repaired_text): line_text and context_text of the latest delivery of every candidate.
+
+    Headers of the candidate's document and page numbers are taken out, cut and misread words repaired; null stays null.
+    """
+    _, headers, wrong, lexicon = analysed(artifacts, candidates)
+    at = F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(-(2**62)).cast("long"))
+    base = candidates.groupBy(F.col("cand_id").alias("row_key")).agg(F.max(F.struct(at.alias("at"), "document_id", *CAND_FIELDS)).alias("r")).select("row_key", "r.*")
+    fields = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in CAND_FIELDS])
+    long = base.select("row_key", "at", "document_id", F.explode(fields).alias("x")).select("row_key", "at", "document_id", "x.*").withColumn("id", F.concat_ws(":", "row_key", "field_name"))
+    inside = header_fields(base, headers, CAND_FIELDS)
+    hit = F.array_compact(F.array(*[F.when(F.col("mask").bitwiseAND(HEADER << (i * BITS)) != 0, F.lit(f)) for i, f in enumerate(CAND_FIELDS)]))
+    noise = inside.select(F.explode(hit).alias("field_name"), "row_key", F.struct("at", F.lit(HEADER | PAGE).cast("long").alias("mask"), "lines", "parts").alias("n"))
+    noise = noise.groupBy(F.concat_ws(":", "row_key", "field_name").alias("id")).agg(F.collect_list("n").alias("noise"))
+    none = F.array().cast("array<string>")
+    every = F.array(F.struct(F.col("at"), F.lit(PAGE).cast("long").alias("mask"), none.alias("lines"), none.alias("parts")))  # page numbers are looked for in every field
+    both = long.join(noise, "id", "left").withColumn("noise", F.coalesce("noise", every)).join(fixes(long.filter("text is not null"), "id", "text", wrong, lexicon), "id", "left")
+    done = repaired(cleared(both.drop("document_id", "id")), "text", lexicon)
+    return done.select(F.lit("candidates").alias("source_table"), "row_key", "field_name", F.col("text").alias("repaired_text"))

@@ -53,6 +53,10 @@ def p3_reflowed(spark: SparkSession, sf: str) -> DataFrame:
     return ocr.reflowed(table(spark, sf, "raw_artifacts"), table(spark, sf, "candidates"))
 
 
+def p3_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    return ocr.repaired_fields(table(spark, sf, "raw_artifacts"), table(spark, sf, "candidates"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     a = unicode_forms.found(table(spark, sf, "raw_artifacts"), "artifact_id", "text", "raw_artifacts")
     b = unicode_forms.found(table(spark, sf, "candidates"), "cand_id", "value", "candidates")
