@@ -52,7 +52,7 @@ MISREAD_AS = {
 #: One sign for glyphs that are taken for each other; glyphs that are taken for two are first written as two.
 TO_CLASS = str.maketrans("el1!|tfj0qQ5$689 4y".replace(" ", ""), "ciiiiiiioooss" + "bbg" + "av")
 TO_TWO = (("m", "rn"), ("n", "ii"), ("u", "ii"), ("w", "vv"))
-ALPHA = re.compile(r"(?<![\w!|])[^\W\d_]{3,}(?:-[^\W\d_]+)*(?![\w!|])")
+ALPHA = re.compile(r"(?<![\w!|])(?<!\w-)[^\W\d_]{3,}(?:-[^\W\d_]+)*(?![\w!|])")
 MIXED = re.compile(r"(?<![\w!@.])(?=\w)(?=[\w!|]*[^\W\d_])(?=[\w!|]*[\d!|])[\w!|]{3,}(?![\w@])")
 HYPHEN = re.compile(r"([^\W\d_]+)[-‐¬]\s*\n\s*([^\W\d_]+)|([^\W\d_]+)[-‐¬] +([^\W\d_]+)")
 HYPHEN_END = re.compile(r"(?<![\w-])([^\W\d_]{2,})[-‐¬]\s*$")
@@ -367,10 +367,10 @@ def flags(df: DataFrame, key: str, fields: list[str], lexicon, layout: bool) ->
             if layout:
                 hit = np.flatnonzero(mask & BARE)
                 if len(hit):
-                    text, page, margin, kind = (b.column(c) for c in (fields[0], "page_number", "margin", "element_type"))
+                    text, page, margin, whole, kind = (b.column(c) for c in (fields[0], "page_number", "margin", "whole", "element_type"))
                     for i in map(int, hit):
                         mask[i] &= ~BARE
-                        if bare_page(text[i].as_py(), page[i].as_py(), margin[i].as_py(), kind[i].as_py()):
+                        if bare_page(text[i].as_py(), page[i].as_py(), margin[i].as_py(), whole[i].as_py(), kind[i].as_py()):
                             mask[i] |= PAGE
             else:
                 mask &= ~sum(BARE << (f * BITS) for f in range(len(fields)))
@@ -379,8 +379,8 @@ def flags(df: DataFrame, key: str, fields: list[str], lexicon, layout: bool) ->
     return df.mapInArrow(run, "row_key long, at long, mask long, rare array<string>")
 
 
-def bare_page(text: str, page: int | None, margin: bool | None, kind: str | None) -> bool:
-    """Is a number alone on its line the number of the page?"""
+def bare_page(text: str, page: int | None, margin: bool | None, whole: bool | None, kind: str | None) -> bool:
+    """Is a number alone on the last line of an element, or alone in it, the number of the page?"""
     line = text.rstrip().rsplit("\n", 1)[-1]
     m = BARE_PAGE.fullmatch(normalize(pa.array([line], pa.large_string()))[0][0].as_py())
     if not m:
@@ -388,7 +388,9 @@ def bare_page(text: str, page: int | None, margin: bool | None, kind: str | None
     n, total = int(m.group(1)), int(m.group(2)) if m.group(2) else None
     if total is not None and n > total:
         return False
-    place = margin or whole_page(text, kind) or (kind or "").strip().lower() == "foot"
+    if "\n" in text.strip() and not whole:
+        return False
+    place = margin or whole or (kind or "").strip().lower() == "foot"
     if page is None:
         return bool(place)
     if n != page:
@@ -396,17 +398,17 @@ def bare_page(text: str, page: int | None, margin: bool | None, kind: str | None
     return bool(place) or total is not None and margin is None
 
 
-def whole_page(text: str, kind: str | None) -> bool:
-    """Is an element a page that the engine gave in one piece: several lines that no layout label sets apart?"""
-    return "\n" in text.strip() and (kind or "text").strip().lower() in ("text", "para", "line", "")
-
-
 def margins(elements: DataFrame) -> DataFrame:
-    """elements with margin: is its box at the top or bottom of the page? Null where it has no box."""
+    """elements with margin (is its box at the top or bottom of the page? null where it has no box) and whole.
+
+    whole: a page, or a large part of one, given in one piece: several lines that no layout label sets apart, or in a tall box.
+    """
     height = elements.select(F.percentile_approx(F.col("bounding_box.y") + F.coalesce("bounding_box.h", F.lit(0.0)), 0.99, 10_000).alias("h")).first()[0]
     y = F.col("bounding_box.y")
     flat = F.coalesce(F.col("bounding_box.h"), F.lit(0.0)) < 0.1 * (height or 0)
-    return elements.withColumn("margin", ((y < TOP * (height or 0)) | (y > BOTTOM * (height or 0))) & flat)
+    kind = F.lower(F.trim(F.coalesce("element_type", F.lit(""))))
+    whole = F.coalesce(F.instr(F.trim("text"), "\n") > 0, F.lit(False)) & (kind.isin("", "text") | ~flat)
+    return elements.withColumn("margin", ((y < TOP * (height or 0)) | (y > BOTTOM * (height or 0))) & flat).withColumn("whole", whole)
 
 
 def header_keys(elements: DataFrame) -> DataFrame:
@@ -416,8 +418,8 @@ def header_keys(elements: DataFrame) -> DataFrame:
         for b in batches:
             normal = normalize(b.column("text"))[0].to_pylist()
             at, keys, boxed, formed = [], [], [], []
-            for i, (t, m) in enumerate(zip(normal, b.column("margin").to_pylist())):
-                for k, box, form in edge_keys(t, bool(m)):
+            for i, (t, m, w) in enumerate(zip(normal, b.column("margin").to_pylist(), b.column("whole").to_pylist())):
+                for k, box, form in edge_keys(t, bool(m), bool(w)):
                     at.append(i)
                     keys.append(k)
                     boxed.append(box)
@@ -426,7 +428,7 @@ def header_keys(elements: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(idx) for c in ("document_id", "engine_id", "page_number")), pa.array(keys, pa.string()), pa.array(boxed, pa.bool_()), pa.array(formed, pa.bool_())], names=["document_id", "engine_id", "page_number", "key", "boxed", "formed"])
 
     how = F.max("boxed").alias("boxed"), F.min("formed").alias("formed")
-    edge = elements.filter("text is not null and (margin or instr(trim(text), '\n') > 0)").select("document_id", "engine_id", "page_number", "text", "margin")
+    edge = elements.filter("text is not null and (margin or whole)").select("document_id", "engine_id", "page_number", "text", "margin", "whole")
     seen = edge.mapInArrow(run, "document_id string, engine_id string, page_number int, key string, boxed boolean, formed boolean").groupBy("document_id", "engine_id", "page_number", "key").agg(*how)
     # an element without a page is on another page than those that the same engine has numbered
     by_engine = seen.groupBy("document_id", "engine_id", "key").agg(F.count("*").alias("n"), *how).select("document_id", "key", "n", "boxed", "formed")
@@ -440,14 +442,12 @@ def header_keys(elements: DataFrame) -> DataFrame:
 BODY_LINE = re.compile(r"R\$|\d,\d{2}(?!\d)|\d ?%|^\s*(?:[-*•=#|>{]|\\|<h\d|[a-zà-ú])|[a-zà-ú\d]{3}[.;]\W*$|[,:\-‐¬]\s*$")
 
 
-def edge_keys(text: str | None, margin: bool) -> list[tuple[str, bool, bool]]:
+def edge_keys(text: str | None, margin: bool, whole: bool) -> list[tuple[str, bool, bool]]:
     """(key, in the margin by its box, in form a header) of the lines of a text that may be running headers."""
     if not text or not text.strip():
         return []
     lines = [x for x in text.split("\n") if x.strip()]
-    if margin:
-        chosen = [(" ".join(lines), True, True)]
-    elif len(lines) > 1:
+    if whole and len(lines) > 1:
         last = -1 if line_key(lines[-1]) not in ("", "#") else -2
         # a line that goes on in the next one is wrapped text
         first_form = not BODY_LINE.search(lines[0]) and not lines[1].lstrip()[:1].islower()
@@ -455,6 +455,8 @@ def edge_keys(text: str | None, margin: bool) -> list[tuple[str, bool, bool]]:
         if len(lines) + last > 0:
             last_form = not BODY_LINE.search(lines[last]) and not re.search(r"\d", lines[last]) and bool(re.search(r"[.!?:;]\W*$|\d\W*$", lines[last - 1]))
             chosen.append((lines[last], False, last_form))
+    elif margin:
+        chosen = [(" ".join(lines), True, True)]
     else:
         return []
     out: dict[str, tuple[str, bool, bool]] = {}
@@ -605,7 +607,7 @@ def analysed(artifacts: DataFrame, candidates: DataFrame) -> tuple[DataFrame, Da
 
 
 def element_flags(elements: DataFrame, lexicon) -> DataFrame:
-    return cut(flags(elements.select("row_key", "at", "text", "page_number", "margin", "element_type"), "row_key", ["text"], lexicon, True))
+    return cut(flags(elements.select("row_key", "at", "text", "page_number", "margin", "whole", "element_type"), "row_key", ["text"], lexicon, True))
 
 
 def found(artifacts: DataFrame, candidates: DataFrame) -> DataFrame:
