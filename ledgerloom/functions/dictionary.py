@@ -1,124 +1,73 @@
-"""The canonical fields and what is known of them. Every table is a parameter of its operator."""
+"""Configuration as data: fields, labels, patterns, weights, phrases. Every operator takes a Config; DEFAULT is the file beside the package."""
 
-# field: (category, type, required)
-FIELDS = {
-    "nfse_number": ("note_identification", "string", True),
-    "verification_code": ("note_identification", "string", True),
-    "issue_date": ("note_identification", "date", True),
-    "competence_date": ("note_identification", "date", False),
-    "provider_name": ("provider", "string", True),
-    "provider_document": ("provider", "document_id", True),
-    "provider_municipal_registration": ("provider", "string", False),
-    "provider_address": ("provider", "string", True),
-    "provider_email": ("provider", "email", False),
-    "provider_uf": ("provider", "string", True),
-    "provider_phone": ("provider", "phone", False),
-    "recipient_name": ("recipient", "string", True),
-    "recipient_document": ("recipient", "document_id", False),
-    "recipient_municipal_registration": ("recipient", "string", False),
-    "recipient_address": ("recipient", "string", True),
-    "recipient_email": ("recipient", "email", False),
-    "recipient_uf": ("recipient", "string", True),
-    "recipient_phone": ("recipient", "phone", False),
-    "service_description": ("service", "string", True),
-    "service_code": ("service", "string", False),
-    "service_city": ("service", "string", False),
-    "operation_nature": ("service", "string", True),
-    "gross_amount": ("taxation_values", "decimal", True),
-    "taxable_amount": ("taxation_values", "decimal", False),
-    "iss_rate": ("taxation_values", "percentage", False),
-    "iss_amount": ("taxation_values", "decimal", False),
-    "unconditional_discount": ("discounts_retentions", "decimal", False),
-    "conditional_discount": ("discounts_retentions", "decimal", False),
-    "pis_withheld_amount": ("discounts_retentions", "decimal", False),
-    "cofins_withheld_amount": ("discounts_retentions", "decimal", False),
-    "inss_withheld_amount": ("discounts_retentions", "decimal", False),
-    "ir_withheld_amount": ("discounts_retentions", "decimal", False),
-    "csll_withheld_amount": ("discounts_retentions", "decimal", False),
-    "iss_withheld_amount": ("discounts_retentions", "decimal", False),
-    "other_retentions_amount": ("discounts_retentions", "decimal", False),
-    "deductions_amount": ("discounts_retentions", "decimal", False),
-    "net_amount": ("net_amount", "decimal", True),
-}
-CRITICAL = ["nfse_number", "verification_code", "issue_date", "provider_name", "provider_document", "recipient_name", "service_description", "gross_amount", "net_amount"]
-ALIASES = {
-    "nfse_number": ["numero_nota", "numero_nfse", "numero da nota", "numero da nota fiscal", "numero da nfs-e", "nota no", "nota numero", "nro nota"],
-    "verification_code": ["codigo_verificacao", "codigo de verificacao", "codigo verificador", "autenticidade", "certificacao", "codigo de autenticacao"],
-    "issue_date": ["data_emissao", "data de emissao", "emissao", "issued_at"],
-    "competence_date": ["competencia", "data_competencia", "periodo_competencia"],
-    "provider_name": ["prestador", "razao_social_prestador", "nome_prestador", "razao social prestador"],
-    "provider_document": ["cnpj_prestador", "cpf_prestador", "documento_prestador"],
-    "provider_address": ["endereco_prestador", "endereco do prestador", "logradouro_prestador"],
-    "provider_email": ["email_prestador", "e-mail prestador"],
-    "provider_uf": ["uf_prestador", "uf do prestador", "estado_prestador"],
-    "provider_phone": ["telefone_prestador", "fone_prestador"],
-    "recipient_name": ["tomador", "razao_social_tomador", "nome_tomador", "razao social tomador"],
-    "recipient_document": ["cnpj_tomador", "cpf_tomador", "documento_tomador"],
-    "recipient_address": ["endereco_tomador", "endereco do tomador", "logradouro_tomador"],
-    "recipient_email": ["email_tomador", "e-mail tomador"],
-    "recipient_uf": ["uf_tomador", "uf do tomador", "estado_tomador"],
-    "recipient_phone": ["telefone_tomador", "fone_tomador"],
-    "service_description": ["discriminacao", "discriminacao do servico", "discriminacao dos servicos", "descricao do servico", "descricao dos servicos"],
-    "service_code": ["codigo_servico", "codigo do servico", "item da lista de servico", "subitem", "atividade"],
-    "service_city": ["municipio_prestacao", "municipio de incidencia", "local de prestacao", "local da prestacao", "local do recolhimento"],
-    "operation_nature": ["natureza_operacao", "natureza da operacao", "natureza de operacao", "natureza", "tributacao"],
-    "gross_amount": ["valor_servicos", "valor_bruto", "valor total do servico", "valor total dos servicos", "valor do servico", "valor dos servicos", "valor bruto"],
-    "taxable_amount": ["base_calculo", "base de calculo", "base_iss"],
-    "iss_rate": ["aliquota_iss", "aliquota", "taxa_iss"],
-    "iss_amount": ["valor_iss", "imposto_iss", "valor do imposto"],
-    "unconditional_discount": ["desconto_incondicionado", "desconto incondicionado", "desconto incondicional"],
-    "conditional_discount": ["desconto_condicionado", "desconto condicionado", "desconto condicional"],
-    "other_retentions_amount": ["outras_retencoes", "outras retencoes"],
-    "deductions_amount": ["valor_deducoes", "valor deducoes", "deducoes"],
-    "net_amount": ["valor_liquido", "valor liquido", "valor liquido da nfse", "liquido_nfse"],
-}
-MONEY = r"\d{1,3}(?:\.\d{3})*,\d{2}\b"
-PATTERNS = {
-    "nfse_number": [r"\b\d{1,12}\b"],
-    "issue_date": [r"\b\d{2}/\d{2}/\d{4}\b"],
-    "competence_date": [r"\b\d{2}/\d{4}\b"],
-    "provider_document": [r"\b\d{2}\.\d{3}\.\d{3}/\d{4}-\d{2}\b", r"\b\d{14}\b", r"\b\d{3}\.\d{3}\.\d{3}-\d{2}\b", r"\b\d{11}\b"],
-    "provider_email": [r"\b[^@\s]+@[^@\s]+\.[^@\s]+\b"],
-    "provider_uf": [r"\b[A-Z]{2}\b"],
-    "provider_phone": [r"\b\(?\d{2}\)?\s?\d{4,5}-?\d{4}\b"],
-    "verification_code": [r"\b[A-Z0-9]{5,12}(?:-[A-Z0-9]{2,12}){0,3}\b"],
-    "service_code": [r"\b\d{2}\.\d{2}\.\d{2}\b", r"\b\d{1,2}\.\d{2}\b", r"\b\d{3,4}\b"],
-    "gross_amount": [r"\b" + MONEY, r"\b\d+(?:\.\d{2})\b"],
-    "iss_rate": [r"\b\d{1,2}(?:,\d{1,4})?%?\b"],
-}
-PATTERNS |= {f.replace("provider", "recipient"): p for f, p in PATTERNS.items() if f.startswith("provider")}
-PATTERNS |= {f: PATTERNS["gross_amount"] for f, (_, t, _r) in FIELDS.items() if t == "decimal"}
-SECTION_KEYWORDS = {
-    "provider": ["prestador", "emitente", "fornecedor"],
-    "recipient": ["tomador", "destinatario", "cliente", "sacado"],
-    "service": ["servico", "discriminacao", "descricao"],
-    "taxation_values": ["valor", "tribut", "imposto", "iss", "retenc"],
-    "discounts_retentions": ["desconto", "retenc", "pis", "cofins", "inss", "ir", "csll"],
-    "note_identification": ["nota", "nfse", "verificacao", "emissao", "competencia"],
-    "net_amount": ["liquido", "valor liquido"],
-}
-WEIGHTS = {"alias": 0.35, "pattern": 0.25, "positional": 0.20, "section": 0.20, "engine": 0.50, "conflict": 0.15, "same_block": 0.75}
-MINIMUM_CONFIDENCE, AMBIGUITY = 0.60, 0.10
-# section: phrase -> score
-PHRASES = {
-    "ignored_billing": {"autenticacao mecanica": 5, "beneficiario": 3, "boleto": 5, "carteira": 3, "cedente": 3, "codigo beneficiario": 4, "especie moeda": 4, "linha digitavel": 5, "local de pagamento": 5, "nosso numero": 5, "pagador": 3, "recibo do sacado": 5, "sacado": 3, "valor cobrado": 4, "valor do documento": 5, "vencimento": 3},
-    "provider": {"dados do prestador": 7, "prestador": 6, "prestador de servicos": 8},
-    "recipient": {"dados do tomador": 7, "destinatario": 4, "tomador": 6, "tomador de servicos": 8, "tomador do servico": 8},
-    "service": {"atividade": 3, "codigo do servico": 5, "descricao do servico": 6, "descricao dos servicos": 6, "discriminacao do servico": 7, "discriminacao dos servicos": 7, "local da prestacao": 4, "local do recolhimento": 4, "municipio de incidencia": 4, "natureza da operacao": 5, "recolhimento": 2, "servicos prestados": 5, "subitem": 3, "subitens": 3, "tributacao": 4},
-    "values": {"aliquota": 3, "base de calculo": 5, "deducoes": 3, "desconto": 3, "impostos adicionais": 3, "iss retido": 4, "outras retencoes": 4, "retencoes": 3, "valor bruto": 5, "valor iss": 4, "valor liquido": 5, "valor servico": 4, "valor total": 4},
-    "header": {"data emissao": 2, "emissao": 2, "municipio de": 2, "nota fiscal": 4, "nfs e": 4, "nfse": 4, "nota no": 2, "numero da nota": 4, "prefeitura": 3, "secretaria": 2},
-}
-PARTY_DETAIL = ["cnpj", "cpf", "email", "endereco", "e mail", "insc municipal", "inscricao municipal", "municipio", "nome fantasia", "nome razao social", "razao social", "telefone", "uf"]
-SERVICE_DETAIL = ["codigo do servico", "item da lista", "local da prestacao", "local do recolhimento", "municipio de incidencia", "natureza", "servico", "servicos"]
-VALUE_DETAIL = ["aliquota", "base de calculo", "cofins", "deducoes", "desconto", "inss", "iss", "pis", "retencoes", "valor"]
-MONEY_FIELDS = [f for f, (_, t, _r) in FIELDS.items() if t == "decimal"]
-SINGLETONS = ["issue_date", "nfse_number", "verification_code", *MONEY_FIELDS, "iss_rate"]
-REVIEW_THRESHOLDS = {
-    **{f: 0.85 for f in ["nfse_number", "issue_date", "verification_code", "service_code", *MONEY_FIELDS, "iss_rate"]},
-    **{f: 0.88 for f in ["provider_document", "recipient_document"]},
-    **{f"{p}_{x}": 0.75 for p in ("provider", "recipient") for x in ("email", "name", "address", "phone", "uf")},
-    "service_description": 0.75,
-}
-REVIEW_DEFAULT = 0.70
-UFS = "AC AL AP AM BA CE DF ES GO MA MT MS MG PA PB PR PE PI RJ RN RS RO RR SC SP SE TO".split()
-MEDIA_TYPES = {"pdf": "application/pdf", "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "tif": "image/tiff", "tiff": "image/tiff"}
+from __future__ import annotations
+
+import json
+import os
+from dataclasses import dataclass, field
+from functools import cached_property
+
+HERE = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "config", "default.json")
+
+
+@dataclass(frozen=True)
+class Config:
+    """Tables of one configuration file. Names are those of the file."""
+
+    fields: dict[str, dict]
+    extra_labels: dict[str, list[str]]
+    patterns: dict[str, list[str]]
+    critical: list[str]
+    weights: dict[str, float]
+    section_keywords: dict[str, list[str]]
+    thresholds: dict[str, float]
+    line_phrases: dict[str, dict[str, int]]
+    party_detail: list[str] = field(default_factory=list)
+    service_detail: list[str] = field(default_factory=list)
+    value_detail: list[str] = field(default_factory=list)
+    review_thresholds: dict[str, float] = field(default_factory=dict)
+    review_default: float = 0.70
+    states: list[str] = field(default_factory=list)
+    media_types: dict[str, str] = field(default_factory=dict)
+
+    @cached_property
+    def money_fields(self) -> list[str]:
+        return [f for f, d in self.fields.items() if d["type"] == "decimal"]
+
+    @cached_property
+    def singletons(self) -> list[str]:
+        """Fields of which a document has one value."""
+        return ["issue_date", "nfse_number", "verification_code", *self.money_fields, "iss_rate"]
+
+    @cached_property
+    def known_labels(self) -> dict[str, list[str]]:
+        """Every label of a field: its own, then the extra ones, once each."""
+        return {f: list(dict.fromkeys([*d["labels"], *self.extra_labels.get(f, [])])) for f, d in self.fields.items()}
+
+
+def load(path: str = HERE) -> Config:
+    """A configuration file in JSON or (where a parser is there) YAML; unknown keys are an error, so that slips do not pass."""
+    with open(path, encoding="utf-8") as f:
+        if path.endswith((".yaml", ".yml")):
+            import yaml
+
+            raw = yaml.safe_load(f) or {}
+        else:
+            raw = json.load(f)
+    raw.pop("note", None)
+    return Config(**raw)
+
+
+DEFAULT = load()
+FIELDS = {f: (d["category"], d["type"], d["required"]) for f, d in DEFAULT.fields.items()}
+CRITICAL = DEFAULT.critical
+ALIASES = DEFAULT.extra_labels
+PATTERNS = DEFAULT.patterns
+SECTION_KEYWORDS = DEFAULT.section_keywords
+WEIGHTS = DEFAULT.weights
+MINIMUM_CONFIDENCE, AMBIGUITY = DEFAULT.thresholds["minimum_field_confidence"], 0.10
+PHRASES = DEFAULT.line_phrases
+PARTY_DETAIL, SERVICE_DETAIL, VALUE_DETAIL = DEFAULT.party_detail, DEFAULT.service_detail, DEFAULT.value_detail
+MONEY_FIELDS, SINGLETONS = DEFAULT.money_fields, DEFAULT.singletons
+REVIEW_THRESHOLDS, REVIEW_DEFAULT = DEFAULT.review_thresholds, DEFAULT.review_default
+UFS, MEDIA_TYPES = DEFAULT.states, DEFAULT.media_types

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dictionary import ALIASES, MONEY_FIELDS, REVIEW_DEFAULT, REVIEW_THRESHOLDS, SINGLETONS
 from ..functions.text import digits, norm, tokens
 from ..functions.values import all_matches, clamp, document_mask, first_match
+from .lines import in_parts
 
 # Forms of values (without look-around, so that every engine reads them alike).
 MONEY = r"(?:R\$\s*)?\b\d{1,3}(?:\.\d{3})*,\d{2}\b"
@@ -66,18 +67,19 @@ def repaired_email(text: Column) -> Column:
 
 def following(lines: DataFrame, keys: list[str], order: str, most: int, value: Column) -> DataFrame:
     """lines with nearby: the first value on the next `most` lines, and how far it was."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    lines = lines.withColumn("_v", value)
+    parts, key = in_parts(lines.withColumn("_v", value), most, keys, order)
+    w = Window.partitionBy(*key).orderBy(order)
     ahead = [F.lead("_v", k).over(w) for k in range(1, most + 1)]
     away = reduce(lambda acc, k: acc.when(ahead[k].isNotNull(), F.lit(k + 1)), range(1, most), F.when(ahead[0].isNotNull(), F.lit(1)))
-    return lines.withColumn("nearby", F.coalesce(*ahead)).withColumn("distance", away).drop("_v")
+    return parts.withColumn("nearby", F.coalesce(*ahead)).withColumn("distance", away).filter("own").drop("_v", "part", "own")
 
 
 def nearby_text(lines: DataFrame, keys: list[str], order: str, most: int = 3) -> DataFrame:
     """lines with the joined text of the next lines, for windows of 1 to most lines."""
-    w = Window.partitionBy(*keys).orderBy(order)
+    parts, key = in_parts(lines, most, keys, order)
+    w = Window.partitionBy(*key).orderBy(order)
     nexts = [F.lead("text", k).over(w) for k in range(1, most + 1)]
-    return lines.withColumns({f"next_{n}": F.concat_ws(" ", *nexts[:n]) for n in range(1, most + 1)})
+    return parts.withColumns({f"next_{n}": F.concat_ws(" ", *nexts[:n]) for n in range(1, most + 1)}).filter("own").drop("part", "own")
 
 
 def value_table(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -22,20 +22,54 @@ BLOCK = 2_000
 def build_lines(elements: DataFrame) -> DataFrame:
     """Lines of elements: by (page, block, line) where both are known, else by a twelve-point step of y.
 
-    Within a line elements go by x; lines go by page, top, left, first element. The ordinal settles ties.
+    Within a line elements go by x; lines go by page, top, left, first element. The ordinal settles ties. Lines are
+    numbered page by page and pages by a running sum of their line counts, so a long document is spread over its
+    pages. words holds the elements of a line, n_lines the lines of its document.
     """
     box = F.col("bounding_box")
     e = elements.filter(~is_blank(F.col("text"))).withColumn("page", F.coalesce("page_number", F.lit(1)))
     hinted = F.col("block_num").isNotNull() & F.col("line_num").isNotNull()
     e = e.withColumn("b", F.when(hinted, F.col("block_num"))).withColumn("l", F.when(hinted, F.col("line_num")).otherwise(F.bround(F.coalesce(box.y, F.lit(0.0)) / 12).cast("int")))
-    word = F.struct(F.coalesce(box.x, F.lit(0.0)).alias("x"), "ordinal", F.trim(F.regexp_replace("text", r"(?U)^\s+|\s+$", "")).alias("text"), "confidence")
+    element_id = F.col("element_id") if "element_id" in elements.columns else F.lit(None).cast("string")
+    word = F.struct(F.coalesce(box.x, F.lit(0.0)).alias("x"), "ordinal", F.trim(F.regexp_replace("text", r"(?U)^\s+|\s+$", "")).alias("text"), "confidence", element_id.alias("element_id"))
     g = e.groupBy(*KEY, "page", "b", "l").agg(
         F.array_sort(F.collect_list(word)).alias("words"), F.min(F.coalesce(box.y, F.lit(0.0))).alias("top"), F.min(F.coalesce(box.x, F.lit(0.0))).alias("left"),
         F.min("ordinal").alias("first"), F.min(box.x).alias("bx"), F.min(box.y).alias("by"), F.max(box.x + box.w).alias("br"), F.max(box.y + box.h).alias("bb"), F.avg("confidence").alias("confidence"),
     )
-    w = Window.partitionBy(*KEY).orderBy("page", "top", "left", "first", "b", "l")
+    w = Window.partitionBy(*KEY, "page").orderBy("top", "left", "first", "b", "l")
+    on_page = g.withColumn("at", F.row_number().over(w)).withColumn("on_page", F.count("*").over(Window.partitionBy(*KEY, "page")))
+    # one row a page: how many lines stand before it
+    pages = on_page.filter("at = 1").select(*KEY, "page", "on_page")
+    sums = Window.partitionBy(*KEY).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    pages = pages.select(*KEY, "page", F.coalesce(F.sum("on_page").over(sums), F.lit(0)).alias("before"), F.sum("on_page").over(Window.partitionBy(*KEY)).alias("n_lines"))
+    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"p.{k}")) for k in (*KEY, "page")]
+    g = on_page.alias("g").join(pages.alias("p"), same).select("g.*", "p.before", "p.n_lines")
     union = F.when(F.col("bx").isNotNull(), F.struct(F.col("bx").alias("x"), F.col("by").alias("y"), (F.col("br") - F.col("bx")).alias("w"), (F.col("bb") - F.col("by")).alias("h")))
-    return g.select(*KEY, (F.row_number().over(w) - 1).alias("line_index"), F.col("page").alias("page_number"), F.col("b").alias("block_num"), F.array_join(F.transform("words", lambda x: x["text"]), " ").alias("text"), F.size("words").alias("n_words"), union.alias("bounding_box"), "confidence")
+    number = (F.col("before") + F.col("at") - 1).cast("int")
+    return g.select(*KEY, number.alias("line_index"), F.col("page").alias("page_number"), F.col("b").alias("block_num"), F.array_join(F.transform("words", lambda x: x["text"]), " ").alias("text"), F.size("words").alias("n_words"), union.alias("bounding_box"), "confidence", "words", F.col("n_lines").cast("int").alias("n_lines"))
+
+
+#: Lines of one part of a document where windows look ahead or back.
+PART = 1_024
+
+
+def in_parts(lines: DataFrame, ahead: int, keys: list[str] | None = None, order: str = "line_index") -> tuple[DataFrame, list[str]]:
+    """(lines with part and own, keys of a part): each part of PART lines with the first `ahead` lines of the next one.
+
+    Windows over a part see what they need; rows that are not own are dropped afterwards. A long document is many parts.
+    """
+    keys = keys or KEY
+    here = F.floor(F.col(order) / PART).cast("int")
+    borrowed = F.when((F.col(order) % PART < ahead) & (here > 0), F.array(F.struct(here.alias("part"), F.lit(True).alias("own")), F.struct((here - 1).alias("part"), F.lit(False).alias("own"))))
+    both = F.coalesce(borrowed, F.array(F.struct(here.alias("part"), F.lit(True).alias("own"))))
+    return lines.withColumn("_p", F.explode(both)).select(*[c for c in lines.columns], "_p.part", "_p.own"), [*keys, "part"]
+
+
+def with_next(lines: DataFrame, most: int, columns: list[str]) -> DataFrame:
+    """lines with next: the given columns of the following lines, at most `most`, in order."""
+    parts, keys = in_parts(lines, most)
+    w = Window.partitionBy(*keys).orderBy("line_index").rowsBetween(1, most)
+    return parts.withColumn("next", F.collect_list(F.struct(*columns)).over(w)).filter("own").drop("part", "own")
 
 
 def section_scores(normal: Column) -> dict[str, Column]:
@@ -50,13 +84,21 @@ def section_scores(normal: Column) -> dict[str, Column]:
 
 
 def score_sections(lines: DataFrame) -> DataFrame:
-    """lines with normal, section_explicit and section_score; a line of score 0 is header."""
+    """lines with normal, section_explicit, section_score and section_phrases (what spoke for it); a line of score 0 is header."""
     lines = lines.withColumn("normal", norm(F.col("text")))
     scores = section_scores(F.col("normal"))
     lines = lines.withColumns({f"s_{s}": c for s, c in scores.items()})
     best = F.greatest(*[F.col(f"s_{s}") for s in SECTIONS])
     pick = reduce(lambda acc, s: acc.when(F.col(f"s_{s}") == best, F.lit(s)), SECTIONS[1:], F.when(best == 0, F.lit("header")).when(F.col(f"s_{SECTIONS[0]}") == best, F.lit(SECTIONS[0])))
-    return lines.withColumn("section_explicit", pick).withColumn("section_score", best).drop(*[f"s_{s}" for s in SECTIONS])
+    lines = lines.withColumn("section_explicit", pick).withColumn("section_score", best).drop(*[f"s_{s}" for s in SECTIONS])
+    n = F.col("normal")
+    dense = (digit_density(n) > 0.55) & (n.contains("vencimento") | n.contains("documento") | n.contains("pagamento"))
+    spoke = reduce(
+        lambda acc, s: acc.when(F.col("section_explicit") == s, F.array_compact(F.array(*[F.when(has_phrase(n, p), F.lit(p)) for p in PHRASES[s]], *([F.when(dense, F.lit("numeric_billing_density"))] if s == "ignored_billing" else [])))),
+        SECTIONS[1:],
+        F.when(F.col("section_score") == 0, F.array().cast("array<string>")).when(F.col("section_explicit") == SECTIONS[0], F.array_compact(F.array(*[F.when(has_phrase(n, p), F.lit(p)) for p in PHRASES[SECTIONS[0]]], F.when(dense, F.lit("numeric_billing_density"))))),
+    )
+    return lines.withColumn("section_phrases", spoke)
 
 
 def line_features(lines: DataFrame) -> DataFrame:
@@ -108,11 +150,11 @@ FEATURES = ["section_explicit", "section_score", "party", "service_like", "value
 
 
 def classify_sections(lines: DataFrame, block: int = BLOCK) -> DataFrame:
-    """lines with section, section_confidence and section_rule: an ordered fold over each document.
+    """lines with section, section_confidence, section_rule and section_reasons: an ordered fold over each document.
 
-    There are 24 states, so a block of lines is a map from states to states. Blocks are folded in parallel,
-    their maps are composed along the document (one short row a block), and each block is run again from its
-    own first state: a document of any length never stands in one task.
+    There are 24 states, so a block of lines is a map from states to states. The blocks of long documents are folded
+    in parallel, their maps (one short row a block) are composed along the document in one ordered stream, and each
+    block is run again from its own first state: a document of any length never stands in one task.
     """
     scored = line_features(score_sections(lines)).withColumn("block_no", (F.col("line_index") / block).cast("int"))
     key = [*KEY, "block_no"]
@@ -133,12 +175,22 @@ def classify_sections(lines: DataFrame, block: int = BLOCK) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.list_(pa.int32()))], names=[*key, "next"])
 
     # only documents of several blocks need maps; the first block of any begins at the start
-    several = scored.groupBy(*KEY).agg(F.max("block_no").alias("last")).filter("last > 0").select(*KEY)
-    cells = scored.select(*key, "line_index", *FEATURES).join(several, KEY, "left_semi")
+    cells = scored.filter(F.col("n_lines") > block).select(*key, "line_index", *FEATURES)
     maps = cells.repartition(*key).sortWithinPartitions(*key, "line_index").drop("line_index").mapInArrow(tables, "document_id string, engine_id string, block_no int, next array<int>")
-    w = Window.partitionBy(*KEY).orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.aggregate(F.collect_list("next").over(w), F.lit(STATES.index(START)), lambda acc, m: F.element_at(m, acc + 1))
-    begins = maps.select(*key, first.alias("state"))
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, state = None, 0
+        for b in batches:
+            begin = []
+            for k0, k1, m in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist()):
+                if (k0, k1) != doc:
+                    doc, state = (k0, k1), STATES.index(START)
+                begin.append(state)
+                state = m[state]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(begin, pa.int32())], names=[*key, "state"])
+
+    begins = maps.repartition(*KEY).sortWithinPartitions(*key).mapInArrow(chain, "document_id string, engine_id string, block_no int, state int")
+    keep = [c for c in scored.columns if c not in ("block_no", "party", "service_like", "value_like", "municipal")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, state = None, START
@@ -152,18 +204,31 @@ def classify_sections(lines: DataFrame, block: int = BLOCK) -> DataFrame:
                 sections.append(r[0])
                 confidences.append(r[1])
                 rules.append(r[2])
-            kept = [b.column(c) for c in [*KEY, "line_index", "page_number", "text", "section_explicit", "section_score"]]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sections, pa.string()), pa.array(confidences, pa.float64()), pa.array(rules, pa.string())], names=[*KEY, "line_index", "page_number", "text", "section_explicit", "section_score", "section", "section_confidence", "section_rule"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(sections, pa.string()), pa.array(confidences, pa.float64()), pa.array(rules, pa.string())], names=[*keep, "section", "section_confidence", "section_rule"])
 
-    schema = "document_id string, engine_id string, line_index int, page_number int, text string, section_explicit string, section_score int, section string, section_confidence double, section_rule string"
+    kinds = dict(scored.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", section string, section_confidence double, section_rule string"
     ready = scored.join(begins, key, "left").withColumn("state", F.coalesce("state", F.lit(STATES.index(START))))
-    ready = ready.select(*key, "line_index", "page_number", "text", *FEATURES, "state")
-    return ready.repartition(*key).sortWithinPartitions(*key, "line_index").mapInArrow(run, schema)
+    ready = ready.select(*dict.fromkeys([*key, "line_index", *keep, *FEATURES, "state"]))
+    out = ready.repartition(*key).sortWithinPartitions(*key, "line_index").mapInArrow(run, schema)
+    # the phrases of a line's own section, then the rule that kept it elsewhere
+    rule = F.when(F.col("section_rule") != "", F.array("section_rule")).otherwise(F.array().cast("array<string>"))
+    return out.withColumn("section_reasons", F.array_distinct(F.concat("section_phrases", rule))).drop("section_phrases")
 
 
 def party_marker(lines: DataFrame) -> DataFrame:
-    """lines with party: the nearest provider or recipient heading at or before each (a backward as-of)."""
+    """lines with party: the nearest provider or recipient heading at or before each (a backward as-of).
+
+    Within parts of a document by window; what a part ends with is carried on over the parts (one row a part).
+    """
     n = norm(F.col("text"))
     mark = F.when(n.startswith("prestador"), F.lit("provider")).when(n.startswith("tomador"), F.lit("recipient"))
-    w = Window.partitionBy(*KEY).orderBy("line_index").rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn("party", F.last(mark, ignorenulls=True).over(w))
+    lines = lines.withColumn("part", F.floor(F.col("line_index") / PART).cast("int")).withColumn("_mark", mark)
+    w = Window.partitionBy(*KEY, "part").orderBy("line_index")
+    lines = lines.withColumn("party", F.last("_mark", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = lines.groupBy(*KEY, "part").agg(F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("line_index"))).alias("_end"))
+    before = Window.partitionBy(*KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*KEY, "part", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in (*KEY, "part")]
+    out = lines.alias("a").join(ends.alias("b"), same).select("a.*", "b._carried")
+    return out.withColumn("party", F.coalesce("party", "_carried")).drop("_mark", "_carried", "part")

@@ -171,7 +171,7 @@ def line_section_score(s, sf):
 
 @query()
 def line_section_fold(s, sf):
-    return lines.classify_sections(element_lines(s, sf)).drop("text")
+    return lines.classify_sections(element_lines(s, sf)).select("document_id", "engine_id", "line_index", "section_explicit", "section_score", "section", "section_confidence", F.array_join("section_reasons", "|").alias("section_reasons"))
 
 
 @query(f"""with {LINES}, m as (select document_id, engine_id, line_index, case when starts_with({n_('text')},'prestador') then 'provider' when starts_with({n_('text')},'tomador') then 'recipient' end k from li)
