@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dictionary import ALIASES, MONEY_FIELDS, REVIEW_DEFAULT, REVIEW_THRESHOLDS, SINGLETONS
+from ..functions.extract import NO_CODE
 from ..functions.text import digits, norm, tokens
 from ..functions.values import all_matches, clamp, document_mask, first_match
 from .lines import in_parts
@@ -29,13 +30,16 @@ def alias_table(spark) -> DataFrame:
 
 
 def label_matches(lines: DataFrame, key: list[str], aliases: DataFrame) -> DataFrame:
-    """(key, field_name, alias, start_token, end_token): the last label of every field on every line.
+    """(key, field_name, alias, start_token, end_token): of every field the label that ends last on every line.
+
+    Of an alias that is there several times the first place counts; of aliases that end alike the longer.
 
     An equi-join on the alias' first word, then a check of the rest: no line meets every alias.
     """
     t = lines.select(*key, tokens(norm(F.col("text"))).alias("toks")).select(*key, "toks", F.posexplode("toks").alias("start_token", "first"))
     hit = t.join(F.broadcast(aliases), "first").filter(F.array_join(F.slice(F.col("toks"), F.col("start_token") + 1, F.col("n_tokens")), " ") == F.col("alias"))
     hit = hit.withColumn("end_token", F.col("start_token") + F.col("n_tokens") - 1)
+    hit = hit.groupBy(*key, "field_name", "alias", "n_tokens").agg(F.min("start_token").alias("start_token"), F.min("end_token").alias("end_token"))
     best = F.max_by(F.struct("alias", "start_token", "end_token"), F.struct("end_token", "n_tokens", (-F.col("start_token")).alias("s"))).alias("m")
     return hit.groupBy(*key, "field_name").agg(best).select(*key, "field_name", "m.*")
 
@@ -129,7 +133,7 @@ def rank_score(c: DataFrame) -> Column:
     base = F.coalesce("confidence", F.lit(0.0))
     dates = add(says(label, "emissao") | says(line, "emissao", "data hora"), 0.45) + add(says(line, "autorizacao", "fato gerador", "rps", "vencimento"), -0.65)
     number = add(says(line, "numero da nota", "numero da nfs", "numero da nf", "nota no"), 0.45) + add(says(line, "rps", "recibo provisorio"), -0.55) - F.least(F.length(digits(value)), F.lit(12)) * 0.005
-    code = add(says(line, "codigo de verificacao", "codigo verificador", "certificacao"), 0.5) + add(value.contains("-"), 0.2)
+    code = add(says(line, "codigo de verificacao", "codigo verificador", "certificacao"), 0.5) + add(value.contains("-"), 0.2) + add(F.upper(norm(value)).isin(NO_CODE), -1.0)
     src = F.coalesce("value_source", F.lit(""))
     common = F.when(src == "financial_table", 0.35).when(src == "next_line_table", 0.15).otherwise(0.0) + add(says(line, "credito", "trib federais", "total trib"), -0.45)
     own = (
@@ -151,9 +155,12 @@ def best_singletons(c: DataFrame) -> DataFrame:
     return s.groupBy(*CAND_KEY).agg(F.max_by(F.struct("cand_id", "value", "rank_score"), order).alias("r")).select(*CAND_KEY, "r.*")
 
 
-def review_flags(c: DataFrame) -> DataFrame:
-    """c with review_reasons (in rule order) and review_status."""
-    counts = distinct_values(c)
+def review_flags(c: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """c with review_reasons (in rule order), review_status and the threshold and count they rest on.
+
+    counts: distinct_values of the candidates before duplicates were dropped; of c where it is not given.
+    """
+    counts = distinct_values(c) if counts is None else counts
     field, value, src = F.col("field_name"), F.coalesce("value", F.lit("")), F.coalesce("value_source", F.lit(""))
     limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in REVIEW_THRESHOLDS.items() for x in p]), field), F.lit(REVIEW_DEFAULT))
     line = norm(F.col("line_text"))
@@ -173,5 +180,10 @@ def review_flags(c: DataFrame) -> DataFrame:
         (money & ~src.isin("label_tail", "next_line", "next_line_table", "inline") & merged, "merged_financial_context"),
     ]
     reasons = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for cond, name in rules]))
-    out = c.drop("review_reasons", "review_status").join(counts, CAND_KEY, "left").withColumn("review_reasons", reasons)
-    return out.withColumn("review_status", F.when(F.size("review_reasons") > 0, "needs_review").otherwise("accepted"))
+    own = ["review_reasons", "review_status", "manual_review_required", "review_confidence_threshold", "candidate_conflict_count"]
+    out = c.drop(*own).join(counts, CAND_KEY, "left").withColumn("review_reasons", reasons)
+    flagged = F.size("review_reasons") > 0
+    return out.withColumns({
+        "review_status": F.when(flagged, "needs_review").otherwise("accepted"), "manual_review_required": flagged, "review_confidence_threshold": limit,
+        "candidate_conflict_count": F.when(F.col("n_values") > 1, F.col("n_values")),
+    })

@@ -309,7 +309,7 @@ def _alias_values() -> str:
 @query(f"""with {CA}, t as (select cand_id, regexp_extract_all({n_('line_text')},'[a-z0-9]+') k from ca where line_text is not null),
 x as (select cand_id, k, unnest(range(1,len(k)+1)) i from t),
 h as (select cand_id, field_name, alias, i-1 as start_token, i-2+len(string_split(alias,' ')) as end_token, len(string_split(alias,' ')) n from x join {_alias_values()} on split_part(alias,' ',1)=k[i] and array_to_string(k[i:i+len(string_split(alias,' '))-1],' ')=alias)
-select cand_id, field_name, alias, cast(start_token as int) as start_token, cast(end_token as int) as end_token from h qualify row_number() over (partition by cand_id, field_name order by end_token desc, n desc, start_token)=1""")
+select cand_id, field_name, alias, cast(start_token as int) as start_token, cast(end_token as int) as end_token from (select cand_id, field_name, alias, n, min(start_token) start_token, min(end_token) end_token from h group by all) qualify row_number() over (partition by cand_id, field_name order by end_token desc, n desc, start_token)=1""")
 def alias_label_match(s, sf):
     c = S.candidates(s, sf).filter("line_text is not null").select("cand_id", F.col("line_text").alias("text"))
     return C.label_matches(c, ["cand_id"], C.alias_table(s))
@@ -360,7 +360,7 @@ def _rank_sql() -> str:
     others = ",".join(f"'{f}'" for f in D.MONEY_FIELDS if f not in ("gross_amount", "taxable_amount", "iss_amount", "net_amount", "iss_withheld_amount"))
     date = f"{add(has('lb', 'emissao') + ' or ' + has('ln', 'emissao', 'data hora'), 0.45)}+{add(has('ln', 'autorizacao', 'fato gerador', 'rps', 'vencimento'), -0.65)}"
     num = f"{add(has('ln', 'numero da nota', 'numero da nfs', 'numero da nf', 'nota no'), 0.45)}+{add(has('ln', 'rps', 'recibo provisorio'), -0.55)}-least(length(regexp_replace(v,'[^0-9]','','g')),12)*0.005"
-    code = f"{add(has('ln', 'codigo de verificacao', 'codigo verificador', 'certificacao'), 0.5)}+{add('contains(v,' + chr(39) + '-' + chr(39) + ')', 0.2)}"
+    code = f"{add(has('ln', 'codigo de verificacao', 'codigo verificador', 'certificacao'), 0.5)}+{add('contains(v,' + chr(39) + '-' + chr(39) + ')', 0.2)}+{add("upper(" + n_("v") + ") in ('ASSINATURA','AUTENTICACAO','AUTENTICIDADE','CERTIFICACAO','CODIGO','CONTROLE','DIGITAL','DOCUMENTO','ELETRONICA','ELETRONICO','ELETRONICANFSE','FISCAL','MODELO','NFSE','NFS','NOTA','PRESTADOR','RPS','SERVICO','SERVICOS','VALIDACAO','VERIFICACAO')", -1.0)}"
     common = f"case coalesce(value_source,'') when 'financial_table' then 0.35 when 'next_line_table' then 0.15 else 0.0 end+{add(has('ln', 'credito', 'trib federais', 'total trib'), -0.45)}"
     own = f"case when field_name='gross_amount' then {add(has('lb', 'valor bruto', 'valor total', 'valor servico'), 0.25)} when field_name='taxable_amount' then {add(has('lb', 'base'), 0.25)} when field_name='iss_rate' then {add(has('lb', 'aliquota'), 0.25)}+{add(zero, -0.85)}+{add('right(v,1)=' + chr(39) + '%' + chr(39), 0.10)} when field_name='iss_amount' then {add(has('lb', 'valor iss', 'issqn devido'), 0.25)} when field_name='net_amount' then {add(has('lb', 'valor liquido'), 0.25)}+{add(has('ln', 'credito'), -0.55)} when field_name in ({others}) then {add(zero, 0.08)} else 0.0 end"
     return f"coalesce(confidence,0)+case when field_name='issue_date' then {date} when field_name='nfse_number' then {num} when field_name='verification_code' then {code} when field_name in ({money}) then {common}+{own} else 0.0 end"
