@@ -13,6 +13,7 @@ from ..functions import extract as X
 from ..functions.dictionary import DEFAULT, Config
 from ..functions.text import norm, tokens
 from ..functions.values import all_matches, clamp, document_mask
+from ..sources.shared import cut
 from . import candidates as C
 from . import fintable
 from .lines import KEY, build_lines, classify_sections, with_next
@@ -323,6 +324,7 @@ def candidates_from_lines(lines: DataFrame, config: Config = DEFAULT) -> DataFra
 
 def chosen(found: DataFrame) -> DataFrame:
     """Candidates after duplicates, with one for each singleton field, and their review flags; in order of field and line number as text."""
+    found = cut(found)  # used three times
     counts = C.distinct_values(found)
     once = C.deduplicated(found).withColumn("candidate_ordinal", F.col("first_ordinal")).drop("first_ordinal")
     best = C.best_singletons(once).select(*KEY, "field_name", F.col("cand_id").alias("_id"))

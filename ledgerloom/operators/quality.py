@@ -42,9 +42,62 @@ def value_issues(field: Column, value: Column, as_of: str) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in rules]))
 
 
+#: Checks in order, with what they say. {f} is the field. An error where the field is required if severity is None.
+CHECKS = [
+    ("required_field_missing", "error", "Required field {f} is missing."),
+    ("field_conflict", None, "Field {f} has competing values."),
+    ("required_field_unresolved", "error", "Required field {f} has no safe value."),
+    ("field_missing", "warning", "Field {f} is marked as missing."),
+    ("invalid_document_id", None, "Field {f} holds no valid CPF or CNPJ."),
+    ("invalid_email", "warning", "Field {f} holds no valid mailbox."),
+    ("invalid_phone", "warning", "Field {f} holds no plausible phone number."),
+    ("invalid_uf", "warning", "Field {f} holds no state of the country."),
+    ("invalid_date_format", "error", "Field {f} holds no valid date."),
+    ("implausible_future_date", "warning", "Field {f} is later than the day of processing."),
+    ("implausible_historic_date", "warning", "Field {f} is implausibly early."),
+    ("invalid_service_code", "warning", "Field {f} holds no valid service code."),
+    ("invalid_monetary_value", None, "Field {f} holds no valid amount."),
+    ("negative_monetary_value", None, "Field {f} holds a negative amount."),
+    ("invalid_percentage", "warning", "Field {f} holds no valid share."),
+    ("implausible_percentage", "warning", "Field {f} holds a share outside 0 to 100."),
+    ("provider_recipient_document_equal", "warning", "Provider and recipient have one document number."),
+]
+
+
 def issues(fields: DataFrame, keys: list[str], as_of: str) -> DataFrame:
-    """(keys, field_name, code): one row for each thing wrong with a value."""
-    return fields.filter("value is not null and trim(value) <> ''").select(*keys, "field_name", F.explode(value_issues(F.col("field_name"), F.col("value"), as_of)).alias("code"))
+    """(keys, field_name, code): one row for each thing wrong with a resolved value. Conflicts are not looked into."""
+    sound = "value is not null and trim(value) <> ''" + (" and status = 'resolved'" if "status" in fields.columns else "")
+    return fields.filter(sound).select(*keys, "field_name", F.explode(value_issues(F.col("field_name"), F.col("value"), as_of)).alias("code"))
+
+
+def validation(fields: DataFrame, keys: list[str], as_of: str) -> DataFrame:
+    """(keys, rule_order, field_name, code, severity, message) of every check: missing fields first, then by field, then between fields.
+
+    fields: with status (resolved, conflict, missing) and value. A field in conflict, marked missing, or required and blank is not looked into further.
+    """
+    spark = fields.sparkSession
+    known = F.broadcast(dictionary(spark).select("field_name", "required", F.monotonically_increasing_id().alias("_no")))  # the dictionary: tens of rows
+    docs = fields.select(*keys).distinct()
+    grid = docs.crossJoin(F.broadcast(dictionary(spark).filter("required").select("field_name")))
+    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"f.{k}")) for k in (*keys, "field_name")]
+    absent = grid.alias("g").join(fields.select(*keys, "field_name").distinct().alias("f"), same, "left_anti").withColumn("code", F.lit("required_field_missing"))
+    d = fields.join(known, "field_name", "left")
+    required, blank = F.coalesce("required", F.lit(False)), F.col("value").isNull() | (F.trim("value") == "")
+    first = (
+        F.when(F.col("status") == "conflict", "field_conflict").when((F.col("status") == "missing") & required, "required_field_unresolved").when(F.col("status") == "missing", "field_missing")
+        .when(required & blank, "required_field_unresolved")
+    )
+    codes = F.when(first.isNotNull(), F.array(first)).when(~blank, value_issues(F.col("field_name"), F.trim("value"), as_of))
+    own = d.select(*keys, "field_name", F.explode(codes).alias("code"))
+    doc = lambda f: F.max(F.when((F.col("field_name") == f) & (F.col("status") == "resolved"), F.nullif(digits(F.col("value")), F.lit(""))))
+    both = fields.groupBy(*keys).agg(doc("provider_document").alias("p"), doc("recipient_document").alias("r")).filter("p = r")
+    equal = both.select(*keys, F.lit("recipient_document").alias("field_name"), F.lit("provider_recipient_document_equal").alias("code"))
+    rules = F.broadcast(spark.createDataFrame([(i, c, s, m) for i, (c, s, m) in enumerate(CHECKS)], "_rule int, code string, severity string, message string"))
+    every = absent.select(*keys, "field_name", "code").unionByName(own).unionByName(equal).join(rules, "code").join(known, "field_name", "left")
+    severity = F.coalesce("severity", F.when(F.coalesce("required", F.lit(False)), "error").otherwise("warning"))
+    block = F.when(F.col("code") == "required_field_missing", 0).when(F.col("code") == "provider_recipient_document_equal", 2).otherwise(1)
+    order = F.format_string("%d:%s:%02d", block, F.col("field_name"), F.col("_rule"))
+    return every.select(*keys, order.alias("rule_order"), "field_name", "code", severity.alias("severity"), F.replace(F.col("message"), F.lit("{f}"), F.col("field_name")).alias("message"))
 
 
 def last_corrections(corrections: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from ..functions import text as T
 from ..functions import values as V
 from ..operators import candidates as C
 from ..operators import experiment as E
-from ..operators import integrity, layout, lines, quality, resolve
+from ..functions import extract as X
+from ..operators import fintable, generate, integrity, layout, lines, quality, report, resolve
 from ..sources import sinks
 from ..sources import tables as S
 from ..streaming import streams
@@ -419,31 +420,34 @@ def resolve_cross_score(s, sf):
     return resolve.scored(S.candidates(s, sf)).select("cand_id", "field_name", F.round("score", 6).alias("score"))
 
 
-@query(f"""with {_SCORES}, k as (select *, row_number() over w rn, lead(score) over w s2, lead(coalesce(confidence,0)) over w c2, count(*) over (partition by document_id, engine_id, field_name) n from sc window w as (partition by document_id, engine_id, field_name order by score desc, candidate_ordinal, cand_id))
-select document_id, engine_id, field_name, cand_id as selected_id, case when not (coalesce(abs(score-s2)<=0.1 and abs(coalesce(confidence,0)-c2)<=0.1,false) or score<0.6) then value end as value,
-case when coalesce(abs(score-s2)<=0.1 and abs(coalesce(confidence,0)-c2)<=0.1,false) or score<0.6 then 'conflict' else 'resolved' end as status, round(score,6) as confidence, n as n_candidates from k where rn=1""")
+_RESOLVED = f"""{_SCORES}, k as (select *, row_number() over w rn, lead(score) over w s2, lead(coalesce(confidence,0)) over w c2, count(*) over (partition by document_id, engine_id, field_name) n from sc window w as (partition by document_id, engine_id, field_name order by score desc, candidate_ordinal, cand_id)),
+bf as (select document_id, engine_id, field_name, cand_id as selected_id, case when not (coalesce(abs(score-s2)<=0.1 and abs(coalesce(confidence,0)-c2)<=0.1,false) or score<0.6) then value end as value,
+case when coalesce(abs(score-s2)<=0.1 and abs(coalesce(confidence,0)-c2)<=0.1,false) or score<0.6 then 'conflict' else 'resolved' end as status, score as confidence, n as n_candidates from k where rn=1)"""
+
+
+@query(f"with {_RESOLVED} select document_id, engine_id, field_name, selected_id, value, status, round(confidence,6) as confidence, n_candidates from bf")
 def resolve_fields(s, sf):
-    r = resolve.resolved(resolve.scored(S.candidates(s, sf)))
+    r = resolve.resolved(resolve.scored(S.candidates(s, sf)), count=True)
     return r.select("document_id", "engine_id", "field_name", "selected_id", "value", "status", F.round("confidence", 6).alias("confidence"), "n_candidates")
 
 
-_BEST_SQL = f"{CA}, bf as (select document_id, engine_id, field_name, value, confidence, case when confidence>=0.6 then 'resolved' else 'conflict' end status from ca qualify row_number() over (partition by document_id, engine_id, field_name order by coalesce(confidence,0) desc, candidate_ordinal, cand_id)=1)"
+@query(f"with {_SCORES} select document_id, engine_id, field_name, cast(row_number() over (partition by document_id, engine_id, field_name order by score desc, candidate_ordinal, cand_id) as int) as place, cand_id, round(score,6) as score from sc")
+def resolve_alternatives(s, sf):
+    r = resolve.places(resolve.scored(S.candidates(s, sf)))
+    return r.select("document_id", "engine_id", "field_name", "place", "cand_id", F.round("score", 6).alias("score"))
 
 
-def best_fields(s: SparkSession, sf: str) -> DataFrame:
-    """The most confident candidate of every document, engine and field."""
-    c = S.candidates(s, sf)
-    o = F.struct(F.coalesce("confidence", F.lit(0.0)).alias("c"), (-F.col("candidate_ordinal")).alias("o"), (-F.col("cand_id")).alias("i"))
-    g = c.groupBy("document_id", "engine_id", "field_name").agg(F.max_by(F.struct("value", "confidence"), o).alias("r"))
-    return g.select("document_id", "engine_id", "field_name", "r.*", F.when(F.col("r.confidence") >= 0.6, "resolved").otherwise("conflict").alias("status"))
+def resolved_fields(s: SparkSession, sf: str) -> DataFrame:
+    """The resolved fields of every document and engine, as all later steps take them."""
+    return resolve.resolved(resolve.scored(S.candidates(s, sf))).select("document_id", "engine_id", "field_name", "value", "status", "confidence")
 
 
 _REQ = ",".join(f"('{f}')" for f, (_, _, r) in D.FIELDS.items() if r)
 
 
-@query(f"with {_BEST_SQL} select d.document_id, d.engine_id, r.field_name from (select distinct document_id, engine_id from bf) d cross join (values {_REQ}) r(field_name) where not exists (select 1 from bf where bf.document_id is not distinct from d.document_id and bf.engine_id is not distinct from d.engine_id and bf.field_name=r.field_name and bf.value is not null and trim(bf.value)<>'')")
+@query(f"with {_RESOLVED} select d.document_id, d.engine_id, r.field_name from (select distinct document_id, engine_id from bf) d cross join (values {_REQ}) r(field_name) where not exists (select 1 from bf where bf.document_id is not distinct from d.document_id and bf.engine_id is not distinct from d.engine_id and bf.field_name=r.field_name and bf.value is not null and trim(bf.value)<>'')")
 def required_missing(s, sf):
-    f = best_fields(s, sf)
+    f = resolved_fields(s, sf)
     return quality.missing_fields(f, f, ["document_id", "engine_id"], quality.dictionary(s))
 
 
@@ -457,12 +461,12 @@ def _issue_sql() -> str:
         ("field_name like '%\\_phone' escape '\\' and length(regexp_replace(value,'[^0-9]','','g')) not between 10 and 13", "invalid_phone"), (f"field_name like '%\\_uf' escape '\\' and upper(trim(value)) not in ({','.join(lit(u) for u in D.UFS)})", "invalid_uf"),
     ]
     codes = "[" + ",".join(f"case when {c} then '{n}' end" for c, n in rules) + "]"
-    return f"with {_BEST_SQL}, x as (select *, {kind} k, {dt} d, {_decimal_sql('value')} m, {_decimal_sql(chr(114) + 'eplace(value,' + lit('%') + ',' + lit('') + ')')} p from bf where value is not null and trim(value)<>''), y as (select document_id, engine_id, field_name, unnest({codes}) code from x) select * from y where code is not null"
+    return f"with {_RESOLVED}, x as (select *, {kind} k, {dt} d, {_decimal_sql('value')} m, {_decimal_sql(chr(114) + 'eplace(value,' + lit('%') + ',' + lit('') + ')')} p from bf where status='resolved' and value is not null and trim(value)<>''), y as (select document_id, engine_id, field_name, unnest({codes}) code from x) select * from y where code is not null"
 
 
 @query(_issue_sql())
 def field_value_issues(s, sf):
-    return quality.issues(best_fields(s, sf), ["document_id", "engine_id"], AS_OF)
+    return quality.issues(resolved_fields(s, sf), ["document_id", "engine_id"], AS_OF)
 
 
 _CORR = """co as (select document_id, field_name, max_by(corrected_value, (coalesce(epoch(coalesce(try_strptime(reviewed_at,'%Y-%m-%d %H:%M:%S'),try_strptime(reviewed_at,'%Y-%m-%dT%H:%M:%S'),try_strptime(reviewed_at,'%Y-%m-%d'),try_strptime(reviewed_at,'%d/%m/%Y %H:%M'),try_strptime(reviewed_at,'%d/%m/%Y'))),0), corrected_value)) as corrected_value
@@ -474,43 +478,107 @@ def last_corrections(s, sf):
     return quality.last_corrections(S.table(s, sf, "corrections"))
 
 
-@query(f"""with {CA}, {_CORR}, b as (select document_id, field_name, value, confidence, case when confidence>=0.6 then 'resolved' else 'conflict' end status from ca qualify row_number() over (partition by document_id, field_name order by coalesce(confidence,0) desc, candidate_ordinal, cand_id)=1)
+@query(f"""with {_RESOLVED}, {_CORR}, b as (select document_id, field_name, value, confidence, status from bf where engine_id='tesseract')
 select coalesce(b.document_id,co.document_id) document_id, coalesce(b.field_name,co.field_name) field_name, coalesce(corrected_value,value) as value, case when corrected_value is not null then 'resolved' else status end as status, case when corrected_value is null then round(confidence,6) end as confidence, case when corrected_value is not null then value end as previous_value from b full join co on b.document_id=co.document_id and b.field_name=co.field_name""")
 def apply_corrections(s, sf):
-    c = S.candidates(s, sf)
-    o = F.struct(F.coalesce("confidence", F.lit(0.0)).alias("c"), (-F.col("candidate_ordinal")).alias("o"), (-F.col("cand_id")).alias("i"))
-    g = c.groupBy("document_id", "field_name").agg(F.max_by(F.struct("value", "confidence"), o).alias("r"))
-    f = g.select("document_id", "field_name", "r.value", F.round("r.confidence", 6).alias("confidence"), F.when(F.col("r.confidence") >= 0.6, "resolved").otherwise("conflict").alias("status"))
+    f = resolved_fields(s, sf).filter("engine_id = 'tesseract'").drop("engine_id").withColumn("confidence", F.round("confidence", 6))
     return quality.corrected(f, quality.last_corrections(S.table(s, sf, "corrections")))
 
 
+def _validation_sql() -> str:
+    """All checks: missing, by field (the first finding of the state ends it), between fields."""
+    required = ",".join(f"'{f}'" for f, (_, _, r) in D.FIELDS.items() if r)
+    kind = "case field_name " + " ".join(f"when '{f}' then '{t}'" for f, (_, t, _r) in D.FIELDS.items()) + " end"
+    dt = "case when regexp_matches(v,'^\\d{1,2}/\\d{1,2}/\\d{4}$') then cast(try_strptime(v,'%d/%m/%Y') as date) when regexp_matches(v,'^\\d{4}-\\d{1,2}-\\d{1,2}$') then cast(try_strptime(v,'%Y-%m-%d') as date) when regexp_matches(v,'^\\d{1,2}/\\d{4}$') then cast(try_strptime('1/'||v,'%d/%m/%Y') as date) end"
+    own = "case when req then 'error' else 'warning' end"
+    rules = [
+        (f"k='document_id' and not ({_valid_sql('v')})", "invalid_document_id", own, 4), ("field_name like '%\\_email' escape '\\' and not regexp_matches(v,'^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$')", "invalid_email", "'warning'", 5),
+        ("field_name like '%\\_phone' escape '\\' and length(regexp_replace(v,'[^0-9]','','g')) not between 10 and 13", "invalid_phone", "'warning'", 6), (f"field_name like '%\\_uf' escape '\\' and upper(trim(v)) not in ({','.join(lit(u) for u in D.UFS)})", "invalid_uf", "'warning'", 7),
+        ("k='date' and d is null", "invalid_date_format", "'error'", 8), (f"k='date' and d>date '{AS_OF}'", "implausible_future_date", "'warning'", 9), ("k='date' and year(d)<2000", "implausible_historic_date", "'warning'", 10),
+        ("field_name='service_code' and not regexp_matches(v,'^\\d{1,4}(\\.\\d{1,2})?$')", "invalid_service_code", "'warning'", 11), ("k='decimal' and m is null", "invalid_monetary_value", own, 12), ("k='decimal' and m<0", "negative_monetary_value", own, 13),
+        ("k='percentage' and p is null", "invalid_percentage", "'warning'", 14), ("k='percentage' and (p<0 or p>100)", "implausible_percentage", "'warning'", 15),
+    ]
+    found = "[" + ",".join(f"case when {c} then {{'code':'{n}','severity':{sv},'o':{o}}} end" for c, n, sv, o in rules) + "]"
+    return f"""with {_RESOLVED}, t as (select *, trim(value) v, field_name in ({required}) req, {kind} k from bf), u as (select *, {dt} d, {_decimal_sql('v')} m, {_decimal_sql("replace(v,'%','')")} p from t),
+y as (select document_id, engine_id, field_name, case when status='conflict' then [{{'code':'field_conflict','severity':{own},'o':1}}] when req and (value is null or v='') then [{{'code':'required_field_unresolved','severity':'error','o':2}}] when value is not null and v<>'' then {found} end c from u),
+z as (select document_id, engine_id, field_name, unnest(c) e from y),
+rq as (select unnest([{required}]) field_name),
+every as (select document_id, engine_id, field_name, e.code code, e.severity severity, 1 b, e.o o from z where e is not null
+ union all select d.document_id, d.engine_id, rq.field_name, 'required_field_missing', 'error', 0, 0 from (select distinct document_id, engine_id from bf) d cross join rq where not exists (select 1 from bf where bf.document_id is not distinct from d.document_id and bf.engine_id is not distinct from d.engine_id and bf.field_name=rq.field_name)
+ union all select document_id, engine_id, 'recipient_document', 'provider_recipient_document_equal', 'warning', 2, 16 from (select document_id, engine_id, max(case when field_name='provider_document' and status='resolved' then nullif(regexp_replace(value,'[^0-9]','','g'),'') end) pd, max(case when field_name='recipient_document' and status='resolved' then nullif(regexp_replace(value,'[^0-9]','','g'),'') end) rd from bf group by all) where pd=rd)"""
+
+
+@query(_validation_sql() + " select document_id, engine_id, b||':'||field_name||':'||lpad(cast(o as varchar),2,'0') as rule_order, field_name, code, severity from every")
+def validation_issues(s, sf):
+    return quality.validation(resolved_fields(s, sf), ["document_id", "engine_id"], AS_OF).drop("message")
+
+
+@query(_validation_sql() + """, f as (select document_id, engine_id, count(*) filter (status='resolved') resolved, count(*) filter (status='missing') missing, count(*) filter (status='conflict') conflict from bf group by all),
+i as (select document_id, engine_id, count(*) filter (severity='info') info, count(*) filter (severity='warning') warning, count(*) filter (severity='error') error from every group by all)
+select f.*, coalesce(info,0) info, coalesce(warning,0) warning, coalesce(error,0) error, case when coalesce(error,0)>0 then 'error' when conflict>0 then 'conflict' else 'processed' end document_status from f left join i on f.document_id is not distinct from i.document_id and f.engine_id is not distinct from i.engine_id""")
+def document_summary(s, sf):
+    f = resolved_fields(s, sf)
+    return report.document_summary(f, quality.validation(f, ["document_id", "engine_id"], AS_OF))
+
+
+@query(_validation_sql() + """, a as (select document_id, engine_id, field_name, case when status='resolved' and value is not null and confidence<0.6 then 1 else 0 end l, case when status='conflict' then 1 else 0 end c, 0 i from bf union all select document_id, engine_id, field_name, 0, 0, 1 from every)
+select document_id, engine_id, sum(l)::bigint low_confidence_fields, sum(c)::bigint conflicts, sum(i)::bigint validation_issues, string_agg(distinct field_name, ',' order by field_name) filter (l+c+i>0) review_candidates, count(*) filter (l+c+i>0)>0 review_required from a group by all""")
+def manual_review_sheet(s, sf):
+    f = resolved_fields(s, sf)
+    r = report.review_sheet(f, quality.validation(f, ["document_id", "engine_id"], AS_OF)).drop("corrections_template")
+    return r.withColumn("review_candidates", F.nullif(F.array_join("review_candidates", ","), F.lit("")))
+
+
+_CRIT = ",".join(f"'{f}'" for f in D.CRITICAL)
+
+
+@query(f"""with {_RESOLVED}, g as (select document_id, engine_id, count(*) filter (field_name in ({_CRIT}) and status='resolved' and value is not null and trim(value)<>'')/9.0 coverage, avg(confidence) filter (status='resolved' and value is not null and trim(value)<>'') average_confidence from bf group by all),
+cs as (select document_id, max(least(greatest(completeness_score,0.0),1.0)) completeness from source_documents where completeness_score is not null group by all)
+select document_id, engine_id, round(coverage,6) coverage, round(average_confidence,6) average_confidence, round(completeness,6) completeness, round((coverage+coalesce(average_confidence,0)+coalesce(completeness,0))/(1+case when average_confidence is null then 0 else 1 end+case when completeness is null then 0 else 1 end),6) score from g left join cs using (document_id)""")
+def document_scores(s, sf):
+    done = S.table(s, sf, "source_documents").filter("completeness_score is not null").select("document_id", F.col("completeness_score").alias("completeness"))
+    r = report.document_scores(resolved_fields(s, sf), done)
+    return r.select("document_id", "engine_id", *[F.round(c, 6).alias(c) for c in ("coverage", "average_confidence", "completeness", "score")])
+
+
+_ORDER = "(values " + ",".join(f"({i},'{f}','{c}',{str(f in D.CRITICAL).lower()})" for i, (f, (c, _, _r)) in enumerate(D.FIELDS.items())) + ") o(place, field_name, category, critical)"
+
+
+@query(f"with {_RESOLVED} select document_id, engine_id, cast(place as int) place, category, field_name, critical, value, status from bf join {_ORDER} using (field_name)")
+def detail_view(s, sf):
+    return report.detail(resolved_fields(s, sf))
+
+
 # ---- experiments and reports -------------------------------------------------------------------
 
 _EXP = "ex as (select document_id, field_name, max(expected_value) expected_value from expected_values where expected_value is not null group by all)"
 _FILLED = "status='resolved' and value is not null and trim(value)<>''"
 
 
-@query(f"""with {_BEST_SQL}, {_EXP}, dn as (select engine_id, count(distinct document_id) documents from bf group by all),
+@query(f"""with {_RESOLVED}, {_EXP}, dn as (select engine_id, count(distinct document_id) documents from bf group by all),
 j as (select bf.*, expected_value from bf left join ex using (document_id, field_name)),
 sm as (select engine_id, field_name, count(*) filter ({_FILLED}) n_filled, count(*) filter (status='conflict') n_conflict, count(*) filter (expected_value is not null) n_evaluated, count(*) filter (expected_value is not null and {_FILLED} and {n_('value')}={n_('expected_value')}) n_correct from j group by all)
 select dn.engine_id, f.field_name, documents, coalesce(n_filled,0) n_filled, coalesce(n_conflict,0) n_conflict, coalesce(n_evaluated,0) n_evaluated, coalesce(n_correct,0) n_correct, round(coalesce(n_filled,0)/greatest(documents,1),6) fill_rate, round(coalesce(n_conflict,0)/greatest(documents,1),6) conflict_rate, round(coalesce(n_correct,0)/nullif(n_evaluated,0),6) correctness_rate
 from dn cross join (values {",".join(f"('{f}')" for f in D.FIELDS)}) f(field_name) left join sm using (engine_id, field_name)""")
 def experiment_field_metrics(s, sf):
-    f = best_fields(s, sf)
+    f = resolved_fields(s, sf)
     x = S.table(s, sf, "expected_values").filter("expected_value is not null").groupBy("document_id", "field_name").agg(F.max("expected_value").alias("expected_value"))
     m = E.field_metrics(f, f.select("engine_id", "document_id"), x, lambda a, b: T.norm(a) == T.norm(b))
     return m.withColumns({c: F.round(c, 6) for c in ("fill_rate", "conflict_rate", "correctness_rate")})
 
 
-@query(f"with {_BEST_SQL} select engine_id, document_id, round(count(*) filter ({_FILLED})/{len(D.FIELDS)}.0,6) as fill_rate, count(*) filter (status='conflict') as conflicts from bf group by all")
+@query(f"with {_RESOLVED} select engine_id, document_id, round(count(*) filter ({_FILLED})/{len(D.FIELDS)}.0,6) as fill_rate, count(*) filter (status='conflict') as conflicts from bf group by all")
 def document_fill_rate(s, sf):
-    return E.document_fill(best_fields(s, sf)).withColumn("fill_rate", F.round("fill_rate", 6))
+    return E.document_fill(resolved_fields(s, sf)).withColumn("fill_rate", F.round("fill_rate", 6))
 
 
-@query(f"with {_BEST_SQL}, d as (select engine_id, document_id, count(*) filter ({_FILLED})/{len(D.FIELDS)}.0 fill, count(*) filter (status='conflict') conflicts from bf group by all) select engine_id, count(*) as documents, round(avg(fill),6) as average_fill, round(avg(case when conflicts>0 then 1.0 else 0.0 end),6) as conflict_share from d group by all")
+@query(_validation_sql() + """, f as (select document_id, engine_id, count(*) filter (status='resolved') resolved, count(*) filter (status='conflict') conflict from bf group by all), i as (select document_id, engine_id, count(*) filter (severity='error') error from every group by all),
+d as (select f.engine_id, resolved, case when coalesce(error,0)>0 then 'error' when conflict>0 then 'conflict' else 'processed' end st from f left join i on f.document_id is not distinct from i.document_id and f.engine_id is not distinct from i.engine_id)
+select engine_id, count(*) documents, round(avg(resolved),6) average_resolved, round(avg(case when st<>'processed' then 1.0 else 0.0 end),6) review_rate, count(*) filter (st='error') documents_error, count(*) filter (st='conflict') documents_conflict, count(*) filter (st='processed') documents_processed from d group by all""")
 def experiment_engine_summary(s, sf):
-    d = E.document_fill(best_fields(s, sf))
-    return d.groupBy("engine_id").agg(F.count("*").alias("documents"), F.round(F.avg("fill_rate"), 6).alias("average_fill"), F.round(F.avg(F.when(F.col("conflicts") > 0, 1.0).otherwise(0.0)), 6).alias("conflict_share"))
+    f = resolved_fields(s, sf)
+    r = report.engine_summary(f, report.document_summary(f, quality.validation(f, ["document_id", "engine_id"], AS_OF)))
+    return r.withColumns({c: F.round(c, 6) for c in ("average_resolved", "review_rate")})
 
 
 @query(f"with {CA} select engine_id, field_name, count(*) as n, round(avg(confidence),6) as mean from ca group by grouping sets ((engine_id, field_name),(engine_id),())")
@@ -521,9 +589,11 @@ def experiment_rollup(s, sf):
 _HAS = ", ".join(f"max(case when field_name='{f}' and value is not null and trim(value)<>'' then 1 else 0 end) as has_{f}" for f in D.CRITICAL)
 
 
-@query(f"with {_BEST_SQL}, h as (select engine_id, document_id, {_HAS} from bf group by all) select *, round(({'+'.join('has_' + f for f in D.CRITICAL)})/9.0,6) as coverage from h")
+@query(f"with {_RESOLVED}, h as (select engine_id, document_id, {_HAS} from bf group by all) select *, round(({'+'.join('has_' + f for f in D.CRITICAL)})/9.0,6) as coverage, ({'+'.join('has_' + f for f in D.CRITICAL)})||'/9' as found from h")
 def critical_coverage_pivot(s, sf):
-    return E.critical_coverage(best_fields(s, sf)).withColumn("coverage", F.round("coverage", 6))
+    c = E.critical_coverage(resolved_fields(s, sf))
+    n = sum((F.col(f"has_{f}") for f in D.CRITICAL), F.lit(0))
+    return c.withColumn("coverage", F.round("coverage", 6)).withColumn("found", F.concat(n.cast("string"), F.lit(f"/{len(D.CRITICAL)}")))
 
 
 @query(f"with {CA} select field_name, count(*) as n, count(*) filter (review_status='needs_review') as needs_review from ca group by all")
