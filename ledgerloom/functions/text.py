@@ -53,6 +53,11 @@ def digit_density(normal: Column) -> Column:
     return F.coalesce(F.length(digits(compact)) / F.nullif(F.length(compact), F.lit(0)), F.lit(0.0))
 
 
+def strip(c: Column) -> Column:
+    """Without blanks of any kind at its ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def is_blank(c: Column) -> Column:
     return c.isNull() | ~c.rlike(r"(?U)\S")
 

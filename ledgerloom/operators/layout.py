@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 
 
 def resized(w: Column, h: Column, most: int = 1280, least: int = 28) -> Column:
@@ -27,15 +29,15 @@ TYPED = r"\b\d{2}/\d{2}/\d{4}\b|\b\d{2}/\d{4}\b|\b\d{2}[.,]\d{3}\.\d{3}/\d{4}-\d
 def typed_split(text: Column) -> Column:
     """A text of label and value as both, cut where a typed value begins; as it is where no letters stand before one."""
     head = F.split(text, TYPED, 2)[0]
-    label = F.trim(head)
+    label = strip(head)
     cut = (F.length(head) < F.length(text)) & label.rlike(r"\p{L}")
-    return F.when(cut, F.array(label, F.trim(F.substring(text, F.length(head) + 1, F.length(text))))).otherwise(F.array(text))
+    return F.when(cut, F.array(label, strip(F.substring(text, F.length(head) + 1, F.length(text))))).otherwise(F.array(text))
 
 
 def cells_of(row: Column) -> Column:
     """The labels and values of a row: cut at double blanks, each part at its first colon and blank, or where a typed value begins."""
-    parts = F.filter(F.split(row, "  "), lambda p: F.trim(p) != "")
-    both = lambda p: F.when(p.contains(": "), F.transform(F.split(p, ": ", 2), F.trim)).otherwise(typed_split(p))
+    parts = F.filter(F.split(row, "  "), lambda p: strip(p) != "")
+    both = lambda p: F.when(p.contains(": "), F.transform(F.split(p, ": ", 2), strip)).otherwise(typed_split(p))
     return F.filter(F.flatten(F.transform(parts, both)), lambda x: x != "")
 
 

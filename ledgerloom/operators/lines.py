@@ -13,6 +13,8 @@ from ..functions.dictionary import PARTY_DETAIL, PHRASES, SERVICE_DETAIL, VALUE_
 from ..functions.text import any_phrase, digit_density, has_phrase, is_blank, norm
 
 KEY = ["document_id", "engine_id"]
+#: What lines are made of.
+COLUMNS = ["document_id", "engine_id", "ordinal", "element_id", "text", "page_number", "bounding_box", "confidence", "block_num", "line_num"]
 #: Sections in the order that settles equal scores.
 SECTIONS = ["ignored_billing", "provider", "recipient", "service", "values", "header"]
 #: Lines of one block of the section fold.

@@ -64,8 +64,8 @@ KEY = ["document_id", "engine_id", "field_name"]
 
 
 def places(scores: DataFrame) -> DataFrame:
-    """scores with place: the candidates of a field from the best; ties go to the earlier candidate."""
-    w = Window.partitionBy(*KEY).orderBy(F.desc("score"), F.asc_nulls_last("candidate_ordinal"), "cand_id")
+    """scores with place: the candidates of a field from the best; ties (up to the noise of doubles) go to the earlier candidate."""
+    w = Window.partitionBy(*KEY).orderBy(F.desc(F.round("score", 9)), F.asc_nulls_last("candidate_ordinal"), "cand_id")
     return scores.withColumn("place", F.row_number().over(w))
 
 

@@ -17,6 +17,7 @@ from ..functions import extract as X
 from ..operators import fintable, generate, integrity, layout, lines, quality, report, resolve
 from ..sources import sinks
 from ..sources import tables as S
+from ..sources.shared import cut, shared_dir
 from ..streaming import streams
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -52,6 +53,7 @@ def ascii_(x: str) -> str:
 
 
 SPACE = r"[\s\p{Z}\x{85}]"
+NOT_BLANK = r"[^\s\p{Z}\x{85}]"
 LINES = rf"""{EL},
 w as (select *, coalesce(page_number,1) p, case when block_num is not null and line_num is not null then block_num end b,
   case when block_num is not null and line_num is not null then line_num else cast(round_even(coalesce(bounding_box.y,0)/12,0) as int) end l,
@@ -62,7 +64,7 @@ li as (select document_id, engine_id, cast(row_number() over (partition by docum
 
 
 def element_lines(s: SparkSession, sf: str) -> DataFrame:
-    return lines.build_lines(S.elements(s, sf))
+    return lines.build_lines(S.elements(s, sf, *lines.COLUMNS))
 
 
 # ---- sources -----------------------------------------------------------------------------------
@@ -87,41 +89,45 @@ def uri_path(s, sf):
     return S.table(s, sf, "source_documents").filter("source_uri is not null").select("source_uri", S.uri_path(F.col("source_uri")).alias("path")).distinct()
 
 
-@query(f"""with {EL}, p as (select document_id, engine_id, page_number, ordinal, text, confidence from el where document_id is not null)
-select document_id, engine_id, coalesce(page_number,-1) page_number, trim(text) as text, round(confidence,6) as confidence, count(*) as n from p where regexp_matches(text,'[^\\s\\p{{Z}}\\x{{85}}]') group by all""")
+@query(f"""with {EL}, k as (select document_id, engine_id, coalesce(page_number,-1) page, text, confidence, bounding_box b, row_number() over (partition by document_id, engine_id, page_number order by ordinal, artifact_id)-1 i from el where document_id is not null)
+select document_id, engine_id, page, cast(i as int) as ordinal, trim(text) as text, round(confidence,6) confidence, case when b.x is not null and b.y is not null and b.w is not null and b.h is not null then round(b.x+b.y+b.w+b.h,4) end box from k where regexp_matches(text,'{NOT_BLANK}')""")
 def ocr_columns_to_rows(s, sf):
-    e = S.elements(s, sf).filter("document_id is not null")
+    e = S.elements(s, sf, "document_id", "engine_id", "page_number", "ordinal", "text", "confidence", "bounding_box").filter("document_id is not null")
+    # pages as an engine delivers them: one array a column; blanks keep their number
     pack = F.array_sort(F.collect_list(F.struct("ordinal", "artifact_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("confidence") * 100, F.lit(-1.0)).alias("conf"), "bounding_box")))
-    pages = e.groupBy("document_id", "engine_id", "page_number").agg(pack.alias("w"))
-    arr = lambda f: F.transform("w", f)
-    b = lambda k: arr(lambda x: x["bounding_box"][k])
-    cols = pages.select(F.concat_ws("|", "document_id", "engine_id").alias("document_id"), "page_number", arr(lambda x: x["text"]).alias("text"), arr(lambda x: x["conf"]).alias("conf"), b("x").alias("left"), b("y").alias("top"), b("w").alias("width"), b("h").alias("height"))
-    r = S.column_pages(cols)
+    pages = e.groupBy("document_id", "engine_id", F.coalesce("page_number", F.lit(-1)).alias("page_number")).agg(pack.alias("w"))
+    b = lambda k: F.transform("w", lambda x: x["bounding_box"][k])
+    cols = pages.select(F.concat_ws("|", "document_id", "engine_id").alias("document_id"), "page_number", F.transform("w", lambda x: x["text"]).alias("text"), F.transform("w", lambda x: x["conf"]).alias("conf"), b("x").alias("left"), b("y").alias("top"), b("w").alias("width"), b("h").alias("height"))
     k = F.split("document_id", r"\|")
-    return r.groupBy(k[0].alias("document_id"), k[1].alias("engine_id"), F.coalesce("page_number", F.lit(-1)).alias("page_number"), "text", F.round("confidence", 6).alias("confidence")).agg(F.count("*").alias("n"))
+    box = F.round(F.col("bounding_box.x") + F.col("bounding_box.y") + F.col("bounding_box.w") + F.col("bounding_box.h"), 4)
+    return S.column_pages(cols).select(k[0].alias("document_id"), k[1].alias("engine_id"), F.col("page_number").alias("page"), "ordinal", "text", F.round("confidence", 6).alias("confidence"), box.alias("box"))
 
 
-@query(f"with {EL} select artifact_id, text, round(confidence,6) confidence, page_number, coalesce(element_type,'text') element_type from el")
+@query(f"with {EL} select artifact_id, text, round(confidence,6) confidence, page_number, coalesce(nullif(element_type,''),'text') element_type, case when bounding_box.x is not null and bounding_box.y is not null and bounding_box.w is not null and bounding_box.h is not null then round(bounding_box.x+bounding_box.y+bounding_box.w+bounding_box.h,4) end box from el")
 def json_key_aliases(s, sf):
-    e = S.elements(s, sf)
+    e = S.elements(s, sf, "text", "confidence", "page_number", "element_type", "bounding_box")
     odd = F.pmod("artifact_id", F.lit(3))
+    b = F.array(*[F.col(f"bounding_box.{k}") for k in "xywh"])
+    b = F.when(F.forall(b, lambda x: x.isNotNull()), b)
     payload = (
-        F.when(odd == 0, F.to_json(F.struct("text", "confidence", "page_number", F.col("element_type").alias("type"))))
-        .when(odd == 1, F.to_json(F.struct(F.col("text").alias("content"), (F.col("confidence") * 1).alias("score"), F.col("page_number").alias("page"), F.col("element_type").alias("label"))))
-        .otherwise(F.to_json(F.struct(F.col("text").alias("raw_text"), F.col("confidence").alias("probability"), F.col("page_number").alias("page_num"), "element_type")))
+        F.when(odd == 0, F.to_json(F.struct("text", "confidence", "page_number", F.col("element_type").alias("type"), b.alias("bbox"))))
+        .when(odd == 1, F.to_json(F.struct(F.col("text").alias("content"), (F.col("confidence") * 1).alias("score"), F.col("page_number").alias("page"), F.col("element_type").alias("label"), b.alias("box"))))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("raw_text"), F.col("confidence").alias("probability"), F.col("page_number").alias("page_num"), "element_type", b.alias("bounding_box"))))
     )
-    return S.json_elements(e.select("artifact_id", payload.alias("payload"))).withColumn("confidence", F.round("confidence", 6))
+    r = S.json_elements(e.select("artifact_id", payload.alias("payload")))
+    box = F.round(F.col("bounding_box.x") + F.col("bounding_box.y") + F.col("bounding_box.w") + F.col("bounding_box.h"), 4)
+    return r.withColumn("confidence", F.round("confidence", 6)).withColumn("box", box).drop("bounding_box")
 
 
 @query(f"with {CA} select document_id, field_name, max_by(value, (candidate_ordinal, cand_id)) as value from ca where value is not null group by all")
 def last_wins_field_map(s, sf):
-    c = S.candidates(s, sf).filter("value is not null")
+    c = S.candidates(s, sf, "document_id", "field_name", "value", "candidate_ordinal").filter("value is not null")
     return S.last_wins(c, ["document_id", "field_name"], "value", ["candidate_ordinal", "cand_id"])
 
 
-@query("select distinct document_id from source_documents where document_id is not null and document_id not in (select document_id from raw_artifacts where document_id is not null)")
+@query("select distinct document_id from source_documents where document_id is not null and document_id not in (select document_id from raw_artifacts where document_id is not null and engine_id='dolphin')")
 def cache_misses(s, sf):
-    return S.cache_misses(S.table(s, sf, "source_documents").select("document_id").distinct(), S.table(s, sf, "raw_artifacts"))
+    return S.cache_misses(S.table(s, sf, "source_documents").select("document_id").distinct(), S.table(s, sf, "raw_artifacts").filter("engine_id = 'dolphin'"))
 
 
 @query(r"select distinct file_name, coalesce(nullif(regexp_replace(file_name,'[^\p{L}\p{N}_-]','_','g'),''),'document') as safe from source_documents")
@@ -131,21 +137,22 @@ def safe_name(s, sf):
 
 @query(f"with {CA} select document_id, engine_id, '{{\"candidates\":'||count(*)||',\"fields\":'||count(distinct field_name)||'}}' as summary from ca group by all")
 def bundle_summary(s, sf):
-    g = S.candidates(s, sf).groupBy("document_id", "engine_id").agg(F.count("*").alias("candidates"), F.countDistinct("field_name").alias("fields"))
+    g = S.candidates(s, sf, "document_id", "engine_id", "field_name").groupBy("document_id", "engine_id").agg(F.count("*").alias("candidates"), F.countDistinct("field_name").alias("fields"))
     return g.select("document_id", "engine_id", sinks.sorted_json(g, ["candidates", "fields"]).alias("summary"))
 
 
 # ---- elements, lines, layout -------------------------------------------------------------------
 
 
-@query(rf"with {EL} select engine_id, count(*) as n from el where regexp_matches(text,'[^\s\p{{Z}}\x{{85}}]') group by all")
+@query(rf"with {EL} select artifact_id, engine_id from el where regexp_matches(text,'[^\s\p{{Z}}\x{{85}}]')")
 def element_blank_filter(s, sf):
-    return S.elements(s, sf).filter(~T.is_blank(F.col("text"))).groupBy("engine_id").agg(F.count("*").alias("n"))
+    e = S.table(s, sf, "raw_artifacts").select("artifact_id", "loaded_at", "engine_id", T.is_blank(F.col("text")).alias("blank"))
+    return S.latest(e, "artifact_id").filter("not blank").select("artifact_id", "engine_id")
 
 
 @query(f"with {EL} select artifact_id, coalesce(nullif(source_engine,''),'unknown') as source_engine, element_type as source_element_type, text as raw_text, block_num as block_hint, line_num as line_hint, nullif(trim(raw_label),'') as label_hint from el")
 def raw_artifact_projection(s, sf):
-    return S.elements(s, sf).select("artifact_id", F.coalesce(F.nullif("source_engine", F.lit("")), F.lit("unknown")).alias("source_engine"), F.col("element_type").alias("source_element_type"), F.col("text").alias("raw_text"), F.col("block_num").alias("block_hint"), F.col("line_num").alias("line_hint"), F.nullif(F.trim("raw_label"), F.lit("")).alias("label_hint"))
+    return S.elements(s, sf, "source_engine", "element_type", "text", "block_num", "line_num", "word_num", "raw_label").select("artifact_id", F.coalesce(F.nullif("source_engine", F.lit("")), F.lit("unknown")).alias("source_engine"), F.col("element_type").alias("source_element_type"), F.col("text").alias("raw_text"), F.col("block_num").alias("block_hint"), F.col("line_num").alias("line_hint"), F.nullif(F.trim("raw_label"), F.lit("")).alias("label_hint"))
 
 
 @query(f"with {LINES} select document_id, engine_id, line_index, page_number, text, n_words from li")
@@ -170,9 +177,26 @@ def line_section_score(s, sf):
     return lines.score_sections(element_lines(s, sf)).select("document_id", "engine_id", "line_index", "section_explicit", "section_score")
 
 
-@query()
+_RULES = [
+    ("ex='ignored_billing' and sv>=3", "'ignored_billing'", 0.95), ("ex in ('provider','recipient','service','values') and sv>=3", "ex", 0.92), ("cur='ignored_billing' and ex not in ('header','provider','recipient','service')", "'ignored_billing'", 0.75),
+    ("p and cur in ('provider','recipient')", "cur", 0.78), ("p and cur='header' and not r and not s and not mun", "'provider'", 0.72), ("svc and cur='service'", "'service'", 0.72), ("val and cur in ('service','values')", "'values'", 0.72),
+    ("ex='header' and sv>=2", "'header'", 0.85), ("sv>0 and ex in ('provider','recipient','service','values')", "ex", 0.62),
+]
+_STEP = "case " + " ".join(f"when {c} then {x}" for c, x, _ in _RULES) + " when cur='ignored_billing' then 'header' else cur end"
+_CONF = "cast(case " + " ".join(f"when {c} then {k}" for c, _, k in _RULES) + " else 0.55 end as double)"
+
+
+def _any_sql(words: list[str]) -> str:
+    return "(" + " or ".join(f"contains(' '||n||' ',' {w} ')" for w in words) + ")"
+
+
+@query(f"""with recursive {LINES}, t as (select document_id, engine_id, line_index, {n_('text')} n from li), sc as (select *, {_SECTION_SQL} from t),
+ft as materialized (select document_id, engine_id, line_index, {_PICK} as ex, cast({_BEST} as int) as sv, {_any_sql(D.PARTY_DETAIL)} p, {_any_sql(D.SERVICE_DETAIL)} svc, {_any_sql(D.VALUE_DETAIL)} val, contains(n,'prefeitura') or contains(n,'secretaria') or starts_with(n,'municipio de ') mun from sc),
+st as (select document_id, engine_id, line_index, ex, sv, p, svc, val, mun, 'header' cur, false r, false s from ft where line_index=0
+ union all select f.document_id, f.engine_id, f.line_index, f.ex, f.sv, f.p, f.svc, f.val, f.mun, g.sec, g.r or g.sec='recipient', g.s or g.sec='service' from (select *, {{step}} sec from st) g join ft f on f.document_id is not distinct from g.document_id and f.engine_id is not distinct from g.engine_id and f.line_index=g.line_index+1)
+select document_id, engine_id, line_index, ex as section_explicit, sv as section_score, {{step}} as section, {{conf}} as section_confidence from st""".replace("{step}", _STEP).replace("{conf}", _CONF))
 def line_section_fold(s, sf):
-    return lines.classify_sections(element_lines(s, sf)).select("document_id", "engine_id", "line_index", "section_explicit", "section_score", "section", "section_confidence", F.array_join("section_reasons", "|").alias("section_reasons"))
+    return lines.classify_sections(element_lines(s, sf)).select("document_id", "engine_id", "line_index", "section_explicit", "section_score", "section", "section_confidence")
 
 
 @query(f"""with {LINES}, m as (select document_id, engine_id, line_index, case when starts_with({n_('text')},'prestador') then 'provider' when starts_with({n_('text')},'tomador') then 'recipient' end k from li)
@@ -183,7 +207,7 @@ def party_marker_asof(s, sf):
 
 @query(f"with {EL} select document_id, engine_id, page_number, min(bounding_box.x) x, min(bounding_box.y) y, max(bounding_box.x+bounding_box.w)-min(bounding_box.x) w, max(bounding_box.y+bounding_box.h)-min(bounding_box.y) h from el group by all")
 def bbox_union(s, sf):
-    return layout.union_box(S.elements(s, sf), ["document_id", "engine_id", "page_number"])
+    return layout.union_box(S.elements(s, sf, "document_id", "engine_id", "page_number", "bounding_box"), ["document_id", "engine_id", "page_number"])
 
 
 _OVER = f"""with {EL}, b as (select document_id, engine_id, page_number, artifact_id, bounding_box.x x, bounding_box.y y, bounding_box.w w, bounding_box.h h from el where page_number is not null and bounding_box.x is not null and bounding_box.y is not null and bounding_box.w is not null and bounding_box.h is not null),
@@ -194,7 +218,7 @@ select document_id, engine_id, page_number, count(*) boxes, count(hit.artifact_i
 
 @query(_OVER)
 def bbox_overlap(s, sf):
-    e = S.elements(s, sf).filter("page_number is not null")
+    e = S.elements(s, sf, "document_id", "engine_id", "page_number", "bounding_box").filter("page_number is not null")
     return layout.overlaps(e, ["document_id", "engine_id", "page_number"], "artifact_id")
 
 
@@ -202,7 +226,7 @@ def bbox_overlap(s, sf):
 greatest(least(cast(trunc((bounding_box.x+bounding_box.w)*0.5) as int),640), least(greatest(cast(trunc(bounding_box.x*0.5) as int),0),639)+1) x2,
 greatest(least(cast(trunc((bounding_box.y+bounding_box.h)*0.5) as int),900), least(greatest(cast(trunc(bounding_box.y*0.5) as int),0),899)+1) y2 from el where bounding_box.x is not null and bounding_box.y is not null""")
 def box_scale(s, sf):
-    e = S.elements(s, sf).filter("bounding_box.x is not null and bounding_box.y is not null")
+    e = S.elements(s, sf, "bounding_box").filter("bounding_box.x is not null and bounding_box.y is not null")
     return e.select("artifact_id", layout.scaled(F.col("bounding_box"), 0.5, 0.5, 640, 900).alias("p")).select("artifact_id", "p.*")
 
 
@@ -210,19 +234,19 @@ def box_scale(s, sf):
 c as (select artifact_id, cast(row_no as int) row_no, list_filter(list_transform(regexp_extract_all(row,'(?is)<t[dh][^>]*>(.*?)</t[dh]>',1), lambda x: trim(regexp_replace(regexp_replace(x,'<[^>]*>',' ','g'),'\\s+',' ','g'))), lambda x: x<>'') k from r)
 select artifact_id, row_no, array_to_string(k,'  ') as row_text, cast(len(k) as int) as n_cells from c""")
 def html_row_decompose(s, sf):
-    return layout.table_rows(S.elements(s, sf), "artifact_id", "text")
+    return layout.table_rows(S.elements(s, sf, "text"), "artifact_id", "text")
 
 
 @query(f"""with {EL}, p as (select artifact_id, list_filter(regexp_split_to_array(text,'  +'), lambda x: trim(x)<>'') k from el where text is not null),
 u as (select artifact_id, unnest(k) piece, generate_subscripts(k,1)-1 piece_no from p)
 select artifact_id, cast(piece_no as int) piece_no, piece, round(coalesce(sum(length(piece)) over (partition by artifact_id order by piece_no rows between unbounded preceding and 1 preceding),0)/sum(length(piece)) over (partition by artifact_id),6) as x_share from u""")
 def row_cell_split(s, sf):
-    return layout.row_pieces(S.elements(s, sf), "artifact_id", "text").withColumn("x_share", F.round("x_share", 6))
+    return layout.row_pieces(S.elements(s, sf, "text"), "artifact_id", "text").withColumn("x_share", F.round("x_share", 6))
 
 
 @query(f"with {EL} select document_id, engine_id, round(coalesce(least(exp(avg(case when confidence>0 then ln(confidence) end)),1.0),0.92),6) as confidence from el group by all")
 def token_geomean_confidence(s, sf):
-    return layout.sequence_confidence(S.elements(s, sf), ["document_id", "engine_id"], "confidence").withColumn("confidence", F.round("confidence", 6))
+    return layout.sequence_confidence(S.elements(s, sf, "document_id", "engine_id", "confidence"), ["document_id", "engine_id"], "confidence").withColumn("confidence", F.round("confidence", 6))
 
 
 # ---- text functions and extractors -------------------------------------------------------------
@@ -230,7 +254,7 @@ def token_geomean_confidence(s, sf):
 
 @query(f"with {CA}, v as (select distinct value from ca where value is not null), t as (select value, {n_('value')} n from v) select value, n as normal, cast(len(regexp_extract_all(n,'[a-z0-9]+')) as int) as n_tokens, round(case when length(replace(n,' ',''))>0 then length(regexp_replace(n,'[^0-9]','','g'))/length(replace(n,' ','')) else 0 end,6) as density from t")
 def text_normalize(s, sf):
-    v = S.candidates(s, sf).filter("value is not null").select("value").distinct()
+    v = S.candidates(s, sf, "value").filter("value is not null").select("value").distinct()
     n = T.norm(F.col("value"))
     return v.select("value", n.alias("normal"), F.size(T.tokens(n)).alias("n_tokens"), F.round(T.digit_density(n), 6).alias("density"))
 
@@ -244,24 +268,73 @@ def _typed_sql() -> str:
 
 @query(f"with {CA} select cand_id, {_typed_sql()} from ca where line_text is not null")
 def typed_extract(s, sf):
-    c = S.candidates(s, sf).filter("line_text is not null")
+    c = S.candidates(s, sf, "line_text").filter("line_text is not null")
     return c.select("cand_id", *[v.alias(k) for k, v in C.typed_values(F.col("line_text")).items()])
 
 
 @query(f"with {EL}, m as (select artifact_id, regexp_extract_all(text,{lit(C.MONEY)}) k from el where text is not null) select artifact_id, cast(generate_subscripts(k,1)-1 as int) as match_no, unnest(k) as value from m")
 def extract_money(s, sf):
-    return C.all_values(S.elements(s, sf).filter("text is not null"), "artifact_id", "text", C.MONEY)
+    return C.all_values(S.elements(s, sf, "text").filter("text is not null"), "artifact_id", "text", C.MONEY)
 
 
 @query(f"with {EL}, m as (select artifact_id, regexp_extract_all(text,{lit(C.EMAIL)}) k from el where text is not null) select artifact_id, cast(generate_subscripts(k,1)-1 as int) as match_no, unnest(k) as value from m")
 def extract_email(s, sf):
-    return C.all_values(S.elements(s, sf).filter("text is not null"), "artifact_id", "text", C.EMAIL)
+    return C.all_values(S.elements(s, sf, "text").filter("text is not null"), "artifact_id", "text", C.EMAIL)
+
+
+_X = ascii_(f"regexp_replace(regexp_replace(v,'^[ :\\-\\t\\r\\n]+|[ :\\-\\t\\r\\n]+$','','g'),'{SPACE}+',' ','g')")
+
+
+def _code_sql(p: str) -> str:
+    code, after = f"regexp_extract(x,'({p})([^\n]?)',1)", f"regexp_extract(x,'({p})([^\n]?)',2)"
+    return f"case when {code}<>'' and {after} not in (',','/','.') and not ({code}='116' and contains({n_('v')},'lei complementar')) and not (regexp_full_match({code},'\\d+') and coalesce(try_cast({code} as int) between 1900 and 2099,false)) then {code} end"
+
+
+@query(f"""with {CA}, t as (select distinct line_text v from ca where line_text is not null), u as (select v, {_X} x from t),
+w as (select v, x, nullif(regexp_extract(trim(regexp_replace(x,'(?is)\\b(?:insc\\.?\\s*estadual|inscricao\\s+estadual|estadual)\\b.*$','')),'(?i)\\b(?:isento|[A-Z0-9][A-Z0-9.\\-/]{{1,20}})\\b'),'') r, regexp_extract(x,'\\b\\d{{2}}/\\d{{2}}/\\d{{4}}\\b') d from u)
+select v as line_text, nullif(regexp_extract(upper(x),'\\b[A-Z]{{2}}\\b'),'') as state, nullif(array_to_string(regexp_extract_all(replace(x,'/',' '),'\\b0?\\d{{7,11}}\\b'),' '),'') as phones,
+ coalesce(nullif(regexp_extract(x,'\\b\\d{{2}}/\\d{{4}}\\b'),''),nullif(d,'')) as competence, nullif(regexp_extract(x,'\\b(?:\\d{{1,2}},\\d{{1,4}}%?|\\d{{1,2}}%)'),'') as rate,
+ trim(list_filter(regexp_extract_all(x,'(?:(?:R\\$\\s*)?\\b\\d{{1,3}}(?:\\.\\d{{3}})*,\\d{{2}}\\b|\\b\\d+\\.\\d{{2}}\\b)%?'), lambda m: right(m,1)<>'%')[1]) as money,
+ coalesce({_code_sql('\\b\\d{2}\\.\\d{2}\\.\\d{2}\\b')},{_code_sql('\\b\\d{1,2}\\.\\d{2}\\b')},{_code_sql('\\b\\d{4}\\b')},{_code_sql('\\b\\d{3}\\b')}) as service_code from w""")
+def typed_fields(s, sf):
+    v = S.candidates(s, sf, "line_text").filter("line_text is not null").select("line_text").distinct()
+    x = X.cleaned(F.col("line_text"))
+    return v.select("line_text", X.state(x).alias("state"), X.phones(x).alias("phones"), X.competence(x).alias("competence"), V.first_match(x, X.RATE).alias("rate"), X.money(x).alias("money"), X.service_code(x).alias("service_code"))
+
+
+_NO_CODE = "('ASSINATURA','AUTENTICACAO','AUTENTICIDADE','CERTIFICACAO','CODIGO','CONTROLE','DIGITAL','DOCUMENTO','ELETRONICA','ELETRONICO','ELETRONICANFSE','FISCAL','MODELO','NFSE','NFS','NOTA','PRESTADOR','RPS','SERVICO','SERVICOS','VALIDACAO','VERIFICACAO')"
+
+
+@query(f"""with {CA}, t as (select distinct line_text v from ca where line_text is not null), u as (select v, {_X} x from t),
+k as (select v, x, list_filter(list_transform(regexp_extract_all(regexp_replace(regexp_replace(upper(x),'-\\s+','-','g'),'\\s+-','-','g'),'\\b(?:[A-Z0-9]{{4,12}}-[A-Z0-9]{{2,12}}(?:-[A-Z0-9]{{2,12}}){{0,4}}|[A-Z0-9]{{5,12}})\\b'), lambda c: trim(c,'-')),
+ lambda c: replace(c,'-','') not in {_NO_CODE} and len(list_filter(string_split(c,'-'), lambda p: p in {_NO_CODE}))=0 and length(replace(c,'-',''))>=5 and regexp_matches(c,'\\d') and not regexp_full_match(replace(c,'-',''),'\\d+') and (contains(c,'-') or regexp_matches(c,'[A-Z]')))[1] code,
+ regexp_extract(x,'\\b\\d{{2}}/\\d{{2}}/\\d{{4}}\\b') d from u),
+n as (select *, case when d<>'' then trim(substr(x,1,strpos(x,d)-1)) else x end h from k),
+m as (select *, regexp_extract_all(h,'\\b\\d[\\d.]{{0,11}}\\b') every from n)
+select v as line_text, case when not contains(lower(x),'http') and not contains(x,'/') then code end as verification_code,
+ case when h<>'' and not contains(h,'/') then coalesce(list_filter(every, lambda q: regexp_full_match(q,'\\d+'))[-1], every[-1]) end as note_number from m""")
+def typed_codes(s, sf):
+    v = S.candidates(s, sf, "line_text").filter("line_text is not null").select("line_text").distinct()
+    x = X.cleaned(F.col("line_text"))
+    return v.select("line_text", X.verification_code(x).alias("verification_code"), X.note_number(x).alias("note_number"))
 
 
 @query()
+def typed_texts(s, sf):
+    v = S.candidates(s, sf, "line_text").filter("line_text is not null").select("line_text").distinct()
+    t = F.col("line_text")
+    names = ("provider_name", "provider_municipal_registration", "operation_nature", "service_city", "service_description")
+    return v.select("line_text", *[X.typed(F.lit(n), t).alias(n) for n in names], X.inline_party_name(t).alias("inline_name"), X.inline_state(t).alias("inline_state"))
+
+
+@query(f"""with {CA}, t as (select distinct value v from ca where value is not null), u as (select v, {ascii_("regexp_replace(trim(v),'" + SPACE + "+',' ','g')")} x from t),
+a as (select v, regexp_extract(x,'\\b([A-Za-z0-9._%+-]{{2,}}?)\\s+[OQ0]([A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+)\\b',1) u1, regexp_extract(x,'\\b([A-Za-z0-9._%+-]{{2,}}?)\\s+[OQ0]([A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+)\\b',2) h1,
+ regexp_extract(x,'\\b([A-Za-z0-9._%+-]{{2,}}?)[OQ0][)\\]]?([A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+)\\b',1) u2, regexp_extract(x,'\\b([A-Za-z0-9._%+-]{{2,}}?)[OQ0][)\\]]?([A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+)\\b',2) h2 from u),
+b as (select v, coalesce(case when u1<>'' and not starts_with(lower(h1),'www.') then lower(u1||'@'||h1) end, case when u2<>'' and not starts_with(lower(h2),'www.') then lower(u2||'@'||h2) end) email from a)
+select v as value, email from b where email is not null""")
 def repair_email(s, sf):
-    e = S.elements(s, sf).select("artifact_id", C.repaired_email(F.col("text")).alias("email"))
-    return e.filter("email is not null")
+    v = S.candidates(s, sf, "value").filter("value is not null").select("value").distinct()
+    return v.select("value", X.repaired_email(F.col("value")).alias("email")).filter("email is not null")
 
 
 def _valid_sql(v: str) -> str:
@@ -275,7 +348,7 @@ def _valid_sql(v: str) -> str:
 
 @query(f"with {CA}, v as (select distinct value from ca where field_name like '%\\_document' escape '\\' and value is not null) select value, {_valid_sql('value')} as valid, case length(regexp_replace(value,'[^0-9]','','g')) when 14 then regexp_replace(regexp_replace(value,'[^0-9]','','g'),'^(..)(...)(...)(....)(..)$','\\1.\\2.\\3/\\4-\\5') when 11 then regexp_replace(regexp_replace(value,'[^0-9]','','g'),'^(...)(...)(...)(..)$','\\1.\\2.\\3-\\4') end as masked from v")
 def document_checkdigits(s, sf):
-    v = S.candidates(s, sf).filter(F.col("field_name").endswith("_document") & F.col("value").isNotNull()).select("value").distinct()
+    v = S.candidates(s, sf, "field_name", "value").filter(F.col("field_name").endswith("_document") & F.col("value").isNotNull()).select("value").distinct()
     return v.select("value", V.valid_document(F.col("value")).alias("valid"), V.document_mask(F.col("value")).alias("masked"))
 
 
@@ -287,7 +360,7 @@ def _decimal_sql(v: str) -> str:
 
 @query(f"with {CA}, v as (select distinct value from ca where field_name like '%\\_amount' escape '\\' and value is not null) select value, {_decimal_sql('value')} as amount from v")
 def decimal_parse(s, sf):
-    v = S.candidates(s, sf).filter(F.col("field_name").endswith("_amount") & F.col("value").isNotNull()).select("value").distinct()
+    v = S.candidates(s, sf, "field_name", "value").filter(F.col("field_name").endswith("_amount") & F.col("value").isNotNull()).select("value").distinct()
     return v.select("value", V.decimal(F.col("value")).alias("amount"))
 
 
@@ -295,7 +368,7 @@ def decimal_parse(s, sf):
 select value, case when regexp_matches(x,'^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}$') then cast(try_strptime(x,'%d/%m/%Y') as date) when regexp_matches(x,'^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}$') then cast(try_strptime(x,'%Y-%m-%d') as date)
  when regexp_matches(x,'^\\d{{1,2}}/\\d{{4}}$') then cast(try_strptime('1/'||x,'%d/%m/%Y') as date) end as day from v""")
 def date_parse(s, sf):
-    v = S.candidates(s, sf).filter("field_name = 'issue_date' and value is not null").select("value").distinct()
+    v = S.candidates(s, sf, "field_name", "value").filter("field_name = 'issue_date' and value is not null").select("value").distinct()
     return v.select("value", V.date(F.col("value")).alias("day"))
 
 
@@ -312,7 +385,7 @@ x as (select cand_id, k, unnest(range(1,len(k)+1)) i from t),
 h as (select cand_id, field_name, alias, i-1 as start_token, i-2+len(string_split(alias,' ')) as end_token, len(string_split(alias,' ')) n from x join {_alias_values()} on split_part(alias,' ',1)=k[i] and array_to_string(k[i:i+len(string_split(alias,' '))-1],' ')=alias)
 select cand_id, field_name, alias, cast(start_token as int) as start_token, cast(end_token as int) as end_token from (select cand_id, field_name, alias, n, min(start_token) start_token, min(end_token) end_token from h group by all) qualify row_number() over (partition by cand_id, field_name order by end_token desc, n desc, start_token)=1""")
 def alias_label_match(s, sf):
-    c = S.candidates(s, sf).filter("line_text is not null").select("cand_id", F.col("line_text").alias("text"))
+    c = S.candidates(s, sf, "line_text").filter("line_text is not null").select("cand_id", F.col("line_text").alias("text"))
     return C.label_matches(c, ["cand_id"], C.alias_table(s))
 
 
@@ -333,24 +406,24 @@ t as (select artifact_id, k, list_filter(k, lambda x: not regexp_matches(x,'^(?:
 f as (select * from t where len(labels)>=2 and len(labels)=len(vals) and k[1:len(labels)]=labels)
 select artifact_id, cast(generate_subscripts(labels,1)-1 as int) as column_no, unnest(labels) as label, unnest(vals) as value from f""")
 def financial_table_align(s, sf):
-    return C.value_table(S.elements(s, sf).filter("text is not null"), "artifact_id", "text")
+    return C.value_table(S.elements(s, sf, "text").filter("text is not null"), "artifact_id", "text")
 
 
 @query(f"""with {CA} select cand_id, concat_ws(':',document_id,'normalizer',field_name,cast(line_index as varchar),cast(len(source_element_ids) as varchar),substr(sha1(coalesce(value,'')),1,12)) as computed_id,
 round(case when value_source='ocr_corrected_email' then least(least(greatest(coalesce(confidence,0.5)+0.08,0),1)*0.75,0.7) else least(greatest(coalesce(confidence,0.5)+case value_source when 'financial_table' then 0.10 when 'regex' then 0.03 else 0.08 end,0),1) end,6) as boosted from ca""")
 def candidate_confidence_id(s, sf):
-    c = S.candidates(s, sf)
+    c = S.candidates(s, sf, "document_id", "field_name", "line_index", "source_element_ids", "value", "confidence", "value_source")
     return c.select("cand_id", C.candidate_id(F.col("document_id"), F.col("field_name"), F.col("line_index"), F.when(F.col("source_element_ids").isNotNull(), F.size("source_element_ids")), F.col("value")).alias("computed_id"), F.round(C.boosted(F.col("confidence"), F.col("value_source")), 6).alias("boosted"))
 
 
 @query(f"with {CA} select document_id, engine_id, field_name, count(distinct {n_('value')}) as n_values from ca where value is not null group by all")
 def candidate_distinct_values(s, sf):
-    return C.distinct_values(S.candidates(s, sf))
+    return C.distinct_values(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value"))
 
 
 @query(f"with {CA} select document_id, engine_id, field_name, cand_id, value, min(candidate_ordinal) over k as first_ordinal from ca window k as (partition by document_id, engine_id, field_name, {n_('value')}, coalesce(section_name,'')) qualify row_number() over (partition by document_id, engine_id, field_name, {n_('value')}, coalesce(section_name,'') order by coalesce(confidence,0) desc, candidate_ordinal, cand_id)=1")
 def candidate_dedupe(s, sf):
-    return C.deduplicated(S.candidates(s, sf)).select("document_id", "engine_id", "field_name", "cand_id", "value", "first_ordinal")
+    return C.deduplicated(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "section_name", "confidence", "candidate_ordinal")).select("document_id", "engine_id", "field_name", "cand_id", "value", "first_ordinal")
 
 
 def _rank_sql() -> str:
@@ -372,7 +445,7 @@ _SINGLE = ",".join(f"'{f}'" for f in D.SINGLETONS)
 
 @query(f"with {CA}, t as (select *, coalesce(value,'') v, {n_('line_text')} ln, {n_('label_text')} lb from ca where field_name in ({_SINGLE})), r as (select *, round(cast({_rank_sql()} as double),6) rank_score from t) select document_id, engine_id, field_name, cand_id, value, rank_score from r qualify row_number() over (partition by document_id, engine_id, field_name order by rank_score desc, coalesce(confidence,0) desc, coalesce(line_index,0), candidate_ordinal, cand_id)=1")
 def candidate_singleton_rank(s, sf):
-    return C.best_singletons(S.candidates(s, sf))
+    return C.best_singletons(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "label_text", "line_text", "value_source", "confidence", "line_index", "candidate_ordinal"))
 
 
 def _limit_sql() -> str:
@@ -389,7 +462,102 @@ case when field_name like '%\\_email' escape '\\' and ocr_correction_applied the
 case when field_name in ({",".join(f"'{f}'" for f in [*D.MONEY_FIELDS, "iss_rate"])}) and coalesce(value_source,'') not in ('label_tail','next_line','next_line_table','inline') and ({_MERGED}) then 'merged_financial_context' end) as reasons
 from ca left join nv using (document_id, engine_id, field_name)""")
 def candidate_review_flags(s, sf):
-    return C.review_flags(S.candidates(s, sf)).select("cand_id", F.array_join("review_reasons", ",").alias("reasons"))
+    return C.review_flags(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "line_text", "value_source", "confidence", "section_confidence", "section_override_applied", "ocr_correction_applied")).select("cand_id", F.array_join("review_reasons", ",").alias("reasons"))
+
+
+# ---- candidates made from lines ----------------------------------------------------------------
+
+
+@query("select field_name, words, n_words from (" + " union all ".join(f"select '{f}' field_name, '{w}' words, {len(w.split())} n_words" for _, f, _l, w, _n, _p in generate.label_table() if f) + ")")
+def candidate_label_table(s, sf):
+    rows = [(f, w, n) for _, f, _label, w, n, _p in generate.label_table() if f]
+    return s.createDataFrame(rows, "field_name string, words string, n_words int")
+
+
+def _classified(s: SparkSession, sf: str) -> DataFrame:
+    return lines.classify_sections(element_lines(s, sf))
+
+
+@query()
+def line_labels(s, sf):
+    d = generate.label_hits(_classified(s, sf))
+    return d.select("document_id", "engine_id", "line_index", F.posexplode("labels").alias("place", "m")).select("document_id", "engine_id", "line_index", "place", "m.field", F.col("m.stop").alias("last_element"), "m.n")
+
+
+@query()
+def line_candidates(s, sf):
+    """Every candidate that the steps give, with its source."""
+    return generate.candidates_from_lines(_classified(s, sf)).drop("bounding_box", "section_reasons", "source_element_ids")
+
+
+@query()
+def pattern_candidates(s, sf):
+    c = generate.built(generate.from_patterns(generate.prepared(_classified(s, sf))))
+    return c.select("document_id", "engine_id", "line_index", "field_name", "value", "label_text", "section_name", "raw_section_name", F.round("confidence", 6).alias("confidence"))
+
+
+@query()
+def generated_candidates(s, sf):
+    """From elements to the chosen candidates with their review flags."""
+    c = generate.candidates(S.elements(s, sf, *lines.COLUMNS))
+    return c.select("document_id", "engine_id", "field_name", "value", "line_index", "value_source", "section_name", F.round("confidence", 6).alias("confidence"), "review_status", F.array_join("review_reasons", ",").alias("review_reasons"))
+
+
+@query()
+def generated_fields(s, sf):
+    """The whole way: elements, lines, sections, candidates, resolved fields."""
+    c = cut(generate.candidates(S.elements(s, sf, *lines.COLUMNS)))
+    r = resolve.resolved(resolve.scored(c))
+    return r.select("document_id", "engine_id", "field_name", "value", "status", F.round("confidence", 6).alias("confidence"))
+
+
+@query()
+def value_table_columns(s, sf):
+    d = fintable.next_of(_classified(s, sf))
+    return d.select("document_id", "engine_id", "line_index", F.posexplode("fin_columns").alias("column_no", "c")).select("document_id", "engine_id", "line_index", "column_no", "c.*")
+
+
+@query()
+def value_table_map(s, sf):
+    d = fintable.next_of(_classified(s, sf).select("document_id", "engine_id", "line_index", "text", "section", "n_lines"))
+    t = fintable.tables(lines.with_next(d, 3, ["section", "normal", "text", "has_columns"]))
+    return generate.kept(t, F.size("mapped") > 0).select("document_id", "engine_id", "line_index", F.posexplode("mapped").alias("no", "m")).select("document_id", "engine_id", "line_index", "no", "m.*")
+
+
+@query(rf"""with {EL}, t as (select distinct text v from el where text is not null), u as (select v, {ascii_('v')} x from t),
+w as (select v, x, regexp_extract(x,'^((?s:.)*?)(?:\b\d{{2}}/\d{{2}}/\d{{4}}\b|\b\d{{2}}/\d{{4}}\b|\b\d{{2}}[.,]\d{{3}}\.\d{{3}}/\d{{4}}-\d{{2}}\b|\b\d{{3}}\.\d{{3}}\.\d{{3}}-\d{{2}}\b|R\$\s*\d|\b\d{{1,3}}(?:\.\d{{3}})+,\d{{2}}\b|\b\d{{5}}-\d{{3}}\b|\b\d{{4,}}\b)',1) h from u)
+select v as text, case when h<>'' and regexp_matches(substr(v,1,length(h)),'\p{{L}}') then regexp_replace(substr(v,1,length(h)),'^{SPACE}+|{SPACE}+$','','g') else v end as label, case when h<>'' and regexp_matches(substr(v,1,length(h)),'\p{{L}}') then regexp_replace(substr(v,length(h)+1),'^{SPACE}+|{SPACE}+$','','g') end as value from w""")
+def typed_value_split(s, sf):
+    v = S.elements(s, sf, "text").filter("text is not null").select("text").distinct()
+    p = layout.typed_split(F.col("text"))
+    return v.select("text", F.get(p, F.lit(0)).alias("label"), F.get(p, F.lit(1)).alias("value"))
+
+
+@query(f"with {EL} select artifact_id, bounding_box.x x1, bounding_box.y y1, bounding_box.x+bounding_box.w x2, bounding_box.y+bounding_box.h y2, element_type as label from el where bounding_box.x is not null and bounding_box.y is not null and bounding_box.w is not null and bounding_box.h is not null and trim(element_type)<>''")
+def layout_strings(s, sf):
+    e = S.elements(s, sf, "bounding_box", "element_type").filter("bounding_box.x is not null and bounding_box.y is not null and bounding_box.w is not null and bounding_box.h is not null and trim(element_type) <> ''")
+    b = F.col("bounding_box")
+    num = lambda c: F.format_string("%.4f", c)
+    text = F.concat(F.lit("["), F.concat_ws(",", num(b.x), num(b.y), num(b.x + b.w), num(b.y + b.h)), F.lit("]["), F.trim("element_type"), F.lit("][tag][PAIR_SEP] noise [RELATION_SEP]"))
+    r = layout.layout_items(e.select("artifact_id", text.alias("layout")), "artifact_id", "layout")
+    return r.select("artifact_id", *[F.round(c, 4).alias(c) for c in ("x1", "y1", "x2", "y2")], "label")
+
+
+@query(f"""with w as (select unnest(range(20,6000,13)) w), t as (select w, cast((w*7)%4001+20 as int) h from w), a as (select w, h, case when greatest(w,h)>1280 then case when w>=h then 1280 else cast(trunc(w*1280/h) as int) end else w end w1, case when greatest(w,h)>1280 then case when w>=h then cast(trunc(h*1280/w) as int) else 1280 end else h end h1 from t)
+select cast(w as int) w, h, cast(case when least(w1,h1)<28 then case when w1<=h1 then 28 else trunc(w1*28/h1) end else w1 end as int) new_w, cast(case when least(w1,h1)<28 then case when w1<=h1 then trunc(h1*28/w1) else 28 end else h1 end as int) new_h from a""")
+def page_resize(s, sf):
+    d = s.range(20, 6000, 13).select(F.col("id").cast("int").alias("w"), ((F.col("id") * 7) % 4001 + 20).cast("int").alias("h"))
+    return d.select("w", "h", layout.resized(F.col("w"), F.col("h")).alias("r")).select("w", "h", F.col("r.w").alias("new_w"), F.col("r.h").alias("new_h"))
+
+
+@query(f"with {EL} select artifact_id, text from el where text is not null union all select -artifact_id, text from el where text is not null and artifact_id%4 in (1,2)")
+def payload_forms(s, sf):
+    e = S.elements(s, sf, "text").filter("text is not null")
+    k = F.pmod("artifact_id", F.lit(4))
+    one = F.struct(F.col("text"))
+    form = F.when(k == 0, F.to_json(one)).when(k == 1, F.to_json(F.array(one, one))).when(k == 2, F.to_json(F.struct(F.struct(F.array(one, one).alias("items")).alias("x"), F.array(one, one).alias("elements")))).otherwise(F.to_json(F.struct(F.array(one).alias("tokens"))))
+    r = S.json_elements(S.payload_items(e.select("artifact_id", form.alias("payload"))), "item")
+    return r.select(F.when(F.col("item_no") == 0, F.col("artifact_id")).otherwise(-F.col("artifact_id")).alias("artifact_id"), "text")
 
 
 # ---- resolution and quality --------------------------------------------------------------------
@@ -417,29 +585,29 @@ sx as (select document_id, engine_id, cand_id, candidate_ordinal, confidence, va
 
 @query(f"with {_SCORES} select cand_id, field_name, round(score,6) as score from sc")
 def resolve_cross_score(s, sf):
-    return resolve.scored(S.candidates(s, sf)).select("cand_id", "field_name", F.round("score", 6).alias("score"))
+    return resolve.scored(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "confidence", "candidate_ordinal", "label_text", "section_name", "context_text", "same_block_as_label", "block_num", "label_block_num")).select("cand_id", "field_name", F.round("score", 6).alias("score"))
 
 
-_RESOLVED = f"""{_SCORES}, k as (select *, row_number() over w rn, lead(score) over w s2, lead(coalesce(confidence,0)) over w c2, count(*) over (partition by document_id, engine_id, field_name) n from sc window w as (partition by document_id, engine_id, field_name order by score desc, candidate_ordinal, cand_id)),
+_RESOLVED = f"""{_SCORES}, k as (select *, row_number() over w rn, lead(score) over w s2, lead(coalesce(confidence,0)) over w c2, count(*) over (partition by document_id, engine_id, field_name) n from sc window w as (partition by document_id, engine_id, field_name order by round(score,9) desc, candidate_ordinal, cand_id)),
 bf as (select document_id, engine_id, field_name, cand_id as selected_id, case when not (coalesce(abs(score-s2)<=0.1 and abs(coalesce(confidence,0)-c2)<=0.1,false) or score<0.6) then value end as value,
 case when coalesce(abs(score-s2)<=0.1 and abs(coalesce(confidence,0)-c2)<=0.1,false) or score<0.6 then 'conflict' else 'resolved' end as status, score as confidence, n as n_candidates from k where rn=1)"""
 
 
 @query(f"with {_RESOLVED} select document_id, engine_id, field_name, selected_id, value, status, round(confidence,6) as confidence, n_candidates from bf")
 def resolve_fields(s, sf):
-    r = resolve.resolved(resolve.scored(S.candidates(s, sf)), count=True)
+    r = resolve.resolved(resolve.scored(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "confidence", "candidate_ordinal", "label_text", "section_name", "context_text", "same_block_as_label", "block_num", "label_block_num")), count=True)
     return r.select("document_id", "engine_id", "field_name", "selected_id", "value", "status", F.round("confidence", 6).alias("confidence"), "n_candidates")
 
 
-@query(f"with {_SCORES} select document_id, engine_id, field_name, cast(row_number() over (partition by document_id, engine_id, field_name order by score desc, candidate_ordinal, cand_id) as int) as place, cand_id, round(score,6) as score from sc")
+@query(f"with {_SCORES} select document_id, engine_id, field_name, cast(row_number() over (partition by document_id, engine_id, field_name order by round(score,9) desc, candidate_ordinal, cand_id) as int) as place, cand_id, round(score,6) as score from sc")
 def resolve_alternatives(s, sf):
-    r = resolve.places(resolve.scored(S.candidates(s, sf)))
+    r = resolve.places(resolve.scored(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "confidence", "candidate_ordinal", "label_text", "section_name", "context_text", "same_block_as_label", "block_num", "label_block_num")))
     return r.select("document_id", "engine_id", "field_name", "place", "cand_id", F.round("score", 6).alias("score"))
 
 
 def resolved_fields(s: SparkSession, sf: str) -> DataFrame:
     """The resolved fields of every document and engine, as all later steps take them."""
-    return resolve.resolved(resolve.scored(S.candidates(s, sf))).select("document_id", "engine_id", "field_name", "value", "status", "confidence")
+    return resolve.resolved(resolve.scored(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "confidence", "candidate_ordinal", "label_text", "section_name", "context_text", "same_block_as_label", "block_num", "label_block_num"))).select("document_id", "engine_id", "field_name", "value", "status", "confidence")
 
 
 _REQ = ",".join(f"('{f}')" for f, (_, _, r) in D.FIELDS.items() if r)
@@ -534,11 +702,11 @@ _CRIT = ",".join(f"'{f}'" for f in D.CRITICAL)
 
 @query(f"""with {_RESOLVED}, g as (select document_id, engine_id, count(*) filter (field_name in ({_CRIT}) and status='resolved' and value is not null and trim(value)<>'')/9.0 coverage, avg(confidence) filter (status='resolved' and value is not null and trim(value)<>'') average_confidence from bf group by all),
 cs as (select document_id, max(least(greatest(completeness_score,0.0),1.0)) completeness from source_documents where completeness_score is not null group by all)
-select document_id, engine_id, round(coverage,6) coverage, round(average_confidence,6) average_confidence, round(completeness,6) completeness, round((coverage+coalesce(average_confidence,0)+coalesce(completeness,0))/(1+case when average_confidence is null then 0 else 1 end+case when completeness is null then 0 else 1 end),6) score from g left join cs using (document_id)""")
+select document_id, engine_id, round(coverage,4) coverage, round(average_confidence,4) average_confidence, round(completeness,4) completeness, round((coverage+coalesce(average_confidence,0)+coalesce(completeness,0))/(1+case when average_confidence is null then 0 else 1 end+case when completeness is null then 0 else 1 end),4) score from g left join cs using (document_id)""")
 def document_scores(s, sf):
     done = S.table(s, sf, "source_documents").filter("completeness_score is not null").select("document_id", F.col("completeness_score").alias("completeness"))
     r = report.document_scores(resolved_fields(s, sf), done)
-    return r.select("document_id", "engine_id", *[F.round(c, 6).alias(c) for c in ("coverage", "average_confidence", "completeness", "score")])
+    return r.select("document_id", "engine_id", *[F.round(c, 4).alias(c) for c in ("coverage", "average_confidence", "completeness", "score")])
 
 
 _ORDER = "(values " + ",".join(f"({i},'{f}','{c}',{str(f in D.CRITICAL).lower()})" for i, (f, (c, _, _r)) in enumerate(D.FIELDS.items())) + ") o(place, field_name, category, critical)"
@@ -583,7 +751,7 @@ def experiment_engine_summary(s, sf):
 
 @query(f"with {CA} select engine_id, field_name, count(*) as n, round(avg(confidence),6) as mean from ca group by grouping sets ((engine_id, field_name),(engine_id),())")
 def experiment_rollup(s, sf):
-    return S.candidates(s, sf).rollup("engine_id", "field_name").agg(F.count("*").alias("n"), F.round(F.avg("confidence"), 6).alias("mean"))
+    return S.candidates(s, sf, "engine_id", "field_name", "confidence").rollup("engine_id", "field_name").agg(F.count("*").alias("n"), F.round(F.avg("confidence"), 6).alias("mean"))
 
 
 _HAS = ", ".join(f"max(case when field_name='{f}' and value is not null and trim(value)<>'' then 1 else 0 end) as has_{f}" for f in D.CRITICAL)
@@ -598,18 +766,18 @@ def critical_coverage_pivot(s, sf):
 
 @query(f"with {CA} select field_name, count(*) as n, count(*) filter (review_status='needs_review') as needs_review from ca group by all")
 def review_status_counts(s, sf):
-    return S.candidates(s, sf).groupBy("field_name").agg(F.count("*").alias("n"), F.count_if(F.col("review_status") == "needs_review").alias("needs_review"))
+    return S.candidates(s, sf, "field_name", "review_status").groupBy("field_name").agg(F.count("*").alias("n"), F.count_if(F.col("review_status") == "needs_review").alias("needs_review"))
 
 
 @query(f"with {CA} select cand_id, document_id, field_name, value, confidence from ca where confidence is not null order by confidence desc, cand_id limit 25")
 def topk_candidates(s, sf):
-    return S.candidates(s, sf).filter("confidence is not null").orderBy(F.desc("confidence"), "cand_id").limit(25).select("cand_id", "document_id", "field_name", "value", "confidence")
+    return S.candidates(s, sf, "document_id", "field_name", "value", "confidence").filter("confidence is not null").orderBy(F.desc("confidence"), "cand_id").limit(25).select("cand_id", "document_id", "field_name", "value", "confidence")
 
 
 @query(f"with {CA}, r as (select document_id, engine_id, field_name, cand_id, confidence, row_number() over (partition by document_id, engine_id, field_name order by confidence desc nulls last, cand_id) as place from ca) select document_id, engine_id, field_name, cand_id, cast(place as int) as place from r where place<=3")
 def topk_per_field(s, sf):
     w = Window.partitionBy("document_id", "engine_id", "field_name").orderBy(F.desc_nulls_last("confidence"), "cand_id")
-    return S.candidates(s, sf).withColumn("place", F.row_number().over(w)).filter("place <= 3").select("document_id", "engine_id", "field_name", "cand_id", "place")
+    return S.candidates(s, sf, "document_id", "engine_id", "field_name", "confidence").withColumn("place", F.row_number().over(w)).filter("place <= 3").select("document_id", "engine_id", "field_name", "cand_id", "place")
 
 
 _COLL = "(values " + ",".join(f"('{a.strip().lower()}','{f}')" for f, xs in D.ALIASES.items() for a in xs) + ") a(name, field)"
@@ -622,8 +790,7 @@ def config_integrity(s, sf):
 
 @query("select date_trunc('hour',ts) as start, event_type, count(*) as n, round(sum(value),4) as total from events group by 1,2 having date_trunc('hour',min(ts))+interval 1 hour <= (select max(ts)-interval 2 day from events)")
 def stream_throughput(s, sf):
-    base = s.conf.get("spark.checkpoint.dir", None) or "/tmp/ledgerloom-checkpoints"
-    at = f"{base}/stream-{uuid.uuid4().hex}"
+    at = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
     schema = S.table(s, sf, "events").schema
     events = s.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     out = streams.throughput(events.withColumn("ts", F.col("ts").cast("timestamp")))
