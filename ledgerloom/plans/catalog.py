@@ -480,7 +480,7 @@ def _classified(s: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def line_labels(s, sf):
-    d = generate.label_hits(_classified(s, sf))
+    d = generate.kept(generate.label_hits(_classified(s, sf)), F.size("labels") > 0)
     return d.select("document_id", "engine_id", "line_index", F.posexplode("labels").alias("place", "m")).select("document_id", "engine_id", "line_index", "place", "m.field", F.col("m.stop").alias("last_element"), "m.n")
 
 
@@ -702,11 +702,11 @@ _CRIT = ",".join(f"'{f}'" for f in D.CRITICAL)
 
 @query(f"""with {_RESOLVED}, g as (select document_id, engine_id, count(*) filter (field_name in ({_CRIT}) and status='resolved' and value is not null and trim(value)<>'')/9.0 coverage, avg(confidence) filter (status='resolved' and value is not null and trim(value)<>'') average_confidence from bf group by all),
 cs as (select document_id, max(least(greatest(completeness_score,0.0),1.0)) completeness from source_documents where completeness_score is not null group by all)
-select document_id, engine_id, round(coverage,4) coverage, round(average_confidence,4) average_confidence, round(completeness,4) completeness, round((coverage+coalesce(average_confidence,0)+coalesce(completeness,0))/(1+case when average_confidence is null then 0 else 1 end+case when completeness is null then 0 else 1 end),4) score from g left join cs using (document_id)""")
+select document_id, engine_id, round(coverage+1e-9,4) coverage, round(average_confidence+1e-9,4) average_confidence, round(completeness+1e-9,4) completeness, round((coverage+coalesce(average_confidence,0)+coalesce(completeness,0))/(1+case when average_confidence is null then 0 else 1 end+case when completeness is null then 0 else 1 end)+1e-9,4) score from g left join cs using (document_id)""")
 def document_scores(s, sf):
     done = S.table(s, sf, "source_documents").filter("completeness_score is not null").select("document_id", F.col("completeness_score").alias("completeness"))
     r = report.document_scores(resolved_fields(s, sf), done)
-    return r.select("document_id", "engine_id", *[F.round(c, 4).alias(c) for c in ("coverage", "average_confidence", "completeness", "score")])
+    return r.select("document_id", "engine_id", *[F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("coverage", "average_confidence", "completeness", "score")])
 
 
 _ORDER = "(values " + ",".join(f"({i},'{f}','{c}',{str(f in D.CRITICAL).lower()})" for i, (f, (c, _, _r)) in enumerate(D.FIELDS.items())) + ") o(place, field_name, category, critical)"
