@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import pkgutil
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -45,8 +46,12 @@ class Config:
         return {f: list(dict.fromkeys([*d["labels"], *self.extra_labels.get(f, [])])) for f, d in self.fields.items()}
 
 
-def load(path: str = HERE) -> Config:
-    """A configuration file in JSON or (where a parser is there) YAML; unknown keys are an error, so that slips do not pass."""
+def load(path: str | None = None) -> Config:
+    """A configuration file in JSON or (where a parser is there) YAML, else the package's own; unknown keys are an error, so that slips do not pass."""
+    if path is None:  # also within an archive
+        raw = json.loads(pkgutil.get_data(__package__.rpartition(".")[0], "config/default.json"))
+        raw.pop("note", None)
+        return Config(**raw)
     with open(path, encoding="utf-8") as f:
         if path.endswith((".yaml", ".yml")):
             import yaml

@@ -14,7 +14,8 @@ def problems(spark: SparkSession, fields: list[str], aliases: dict[str, list[str
     pairs = spark.createDataFrame([(a.strip().lower(), f) for f, xs in aliases.items() for a in xs], "name string, field string").distinct()
     collide = pairs.groupBy("name").agg(F.array_join(F.array_sort(F.collect_set("field")), ",").alias("detail"), F.count("*").alias("n")).filter("n > 1").select(F.lit("alias_collision").alias("kind"), "name", "detail")
     nums = spark.createDataFrame([("weight", k, float(v)) for k, v in weights.items()] + [("threshold", k, float(v)) for k, v in thresholds.items()], "what string, name string, v double")
-    bad = nums.filter("v < 0 or (what = 'threshold' and v > 1)").select(F.concat_ws("_", F.lit("bad"), "what").alias("kind"), "name", F.col("v").cast("string").alias("detail"))
+    # counts may be any whole number from 0, shares lie within 0 and 1
+    bad = nums.filter("v < 0 or (what = 'threshold' and name not like 'maximum%' and v > 1) or (what = 'threshold' and name like 'maximum%' and v <> floor(v))").select(F.concat_ws("_", F.lit("bad"), "what").alias("kind"), "name", F.col("v").cast("string").alias("detail"))
     return unknown.unionByName(collide).unionByName(bad)
 
 

@@ -48,7 +48,7 @@ def row_elements(df: DataFrame, key: str, text: str, box: str | None = None) ->
     total = F.aggregate(F.transform("_c", F.length), F.lit(0), lambda a, n: a + n)
     before = lambda i: F.aggregate(F.transform(F.slice(F.col("_c"), 1, i), F.length), F.lit(0), lambda a, n: a + n)
     cell = F.transform("_c", lambda c, i: F.struct(c.alias("cell"), (F.col("_b.x") + F.col("_b.w") * before(i) / total).alias("x"), (F.col("_b.w") * F.length(c) / total).alias("w")))
-    return df.filter("size(_c) > 0").select(key, F.posexplode(cell).alias("cell_no", "s")).select(key, "cell_no", "s.*")
+    return df.filter("_c[0] is not null").select(key, F.posexplode(cell).alias("cell_no", "s")).select(key, "cell_no", "s.*")
 
 
 def layout_items(df: DataFrame, key: str, layout: str) -> DataFrame:

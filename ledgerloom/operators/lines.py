@@ -21,6 +21,17 @@ SECTIONS = ["ignored_billing", "provider", "recipient", "service", "values", "he
 BLOCK = 2_000
 
 
+def normalized(elements: DataFrame, key: str = "element_id") -> DataFrame:
+    """Elements of any engine under common names: hints as numbers (blank ones null), an unnamed engine as unknown; trace holds what they were made of."""
+    number = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).try_cast("int")
+    label = F.nullif(F.trim("raw_label"), F.lit(""))
+    trace = F.to_json(F.struct(*sorted(c for c in elements.columns if c != key)))
+    return elements.select(
+        key, F.coalesce(F.nullif("source_engine", F.lit("")), F.lit("unknown")).alias("source_engine"), F.col("element_type").alias("source_element_type"), F.col("text").alias("raw_text"),
+        number("block_num").alias("block_hint"), number("line_num").alias("line_hint"), number("word_num").alias("word_hint"), label.alias("label_hint"), trace.alias("trace"),
+    )
+
+
 def build_lines(elements: DataFrame) -> DataFrame:
     """Lines of elements: by (page, block, line) where both are known, else by a twelve-point step of y.
 

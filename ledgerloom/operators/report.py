@@ -88,5 +88,5 @@ def detail(fields: DataFrame, config: Config = DEFAULT) -> DataFrame:
 def report_lines(metrics: DataFrame) -> DataFrame:
     """(engine_id, line): one line of text for each field of an engine that was filled, in conflict or scored."""
     seen = metrics.filter("n_filled > 0 or n_conflict > 0 or n_evaluated > 0")
-    line = F.format_string("%-32s fill %5.1f%% conflict %5.1f%% correct %s", "field_name", F.col("fill_rate") * 100, F.col("conflict_rate") * 100, F.coalesce(F.format_string("%5.1f%%", F.col("correctness_rate") * 100), F.lit("n/a")))
+    line = F.format_string("%-32s fill %5.1f%% conflict %5.1f%% correct %s", "field_name", F.col("fill_rate") * 100, F.col("conflict_rate") * 100, F.when(F.col("correctness_rate").isNotNull(), F.format_string("%5.1f%%", F.col("correctness_rate") * 100)).otherwise("n/a"))
     return seen.select("engine_id", line.alias("line"))

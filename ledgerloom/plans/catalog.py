@@ -150,9 +150,11 @@ def element_blank_filter(s, sf):
     return S.latest(e, "artifact_id").filter("not blank").select("artifact_id", "engine_id")
 
 
-@query(f"with {EL} select artifact_id, coalesce(nullif(source_engine,''),'unknown') as source_engine, element_type as source_element_type, text as raw_text, block_num as block_hint, line_num as line_hint, nullif(trim(raw_label),'') as label_hint from el")
+@query(f"with {EL} select artifact_id, coalesce(nullif(source_engine,''),'unknown') as source_engine, element_type as source_element_type, text as raw_text, block_num as block_hint, line_num as line_hint, word_num as word_hint, nullif(trim(raw_label),'') as label_hint from el")
 def raw_artifact_projection(s, sf):
-    return S.elements(s, sf, "source_engine", "element_type", "text", "block_num", "line_num", "word_num", "raw_label").select("artifact_id", F.coalesce(F.nullif("source_engine", F.lit("")), F.lit("unknown")).alias("source_engine"), F.col("element_type").alias("source_element_type"), F.col("text").alias("raw_text"), F.col("block_num").alias("block_hint"), F.col("line_num").alias("line_hint"), F.nullif(F.trim("raw_label"), F.lit("")).alias("label_hint"))
+    e = S.elements(s, sf, "source_engine", "element_type", "text", "block_num", "line_num", "word_num", "raw_label")
+    hints = e.withColumns({c: F.col(c).cast("string") for c in ("block_num", "line_num", "word_num")})  # as engines deliver them
+    return lines.normalized(hints, "artifact_id").drop("trace")
 
 
 @query(f"with {LINES} select document_id, engine_id, line_index, page_number, text, n_words from li")
@@ -780,12 +782,23 @@ def topk_per_field(s, sf):
     return S.candidates(s, sf, "document_id", "engine_id", "field_name", "confidence").withColumn("place", F.row_number().over(w)).filter("place <= 3").select("document_id", "engine_id", "field_name", "cand_id", "place")
 
 
-_COLL = "(values " + ",".join(f"('{a.strip().lower()}','{f}')" for f, xs in D.ALIASES.items() for a in xs) + ") a(name, field)"
+#: A configuration with faults of every kind, for the query below.
+_FAULTY = (["a", "b", "c"], {"a": ["x", "y"], "b": ["y"], "d": ["z"]}, {"a": ["."], "e": ["."]}, ["a", "f"], {"good": 0.5, "below": -0.1}, {"share": 0.5, "above": 1.5, "maximum_warnings": 3.0, "maximum_errors": -1.0, "maximum_part": 0.5})
 
 
-@query(f"select 'alias_collision' as kind, name, string_agg(distinct field, ',' order by field) as detail from {_COLL} group by name having count(distinct field)>1 union all select 'unknown_critical_field','no_such_field','' union all select 'bad_threshold','broken','1.5'")
+@query("""with field(name) as (values ('a'),('b'),('c')), alias(field, label) as (values ('a','x'),('a','y'),('b','y'),('d','z')), pattern(name) as (values ('a'),('e')), crit(name) as (values ('a'),('f')), weight(name, v) as (values ('good',0.5),('below',-0.1)), threshold(name, v) as (values ('share',0.5),('above',1.5),('maximum_warnings',3.0),('maximum_errors',-1.0),('maximum_part',0.5))
+select 'unknown_alias_field' as kind, field as name, '' as detail from alias where field not in (select name from field) union all select 'unknown_pattern_field', name, '' from pattern where name not in (select name from field) union all select 'unknown_critical_field', name, '' from crit where name not in (select name from field)
+union all select 'alias_collision', label, string_agg(distinct field, ',' order by field) from alias group by label having count(distinct field)>1 union all select 'bad_weight', name, cast(cast(v as double) as varchar) from weight where v<0
+union all select 'bad_threshold', name, cast(cast(v as double) as varchar) from threshold where v<0 or (not starts_with(name,'maximum') and v>1) or (starts_with(name,'maximum') and v<>floor(v))""")
 def config_integrity(s, sf):
-    return integrity.problems(s, list(D.FIELDS), D.ALIASES, D.PATTERNS, [*D.CRITICAL, "no_such_field"], D.WEIGHTS, {"minimum": D.MINIMUM_CONFIDENCE, "broken": 1.5})
+    return integrity.problems(s, *_FAULTY)
+
+
+@query("select cast(0 as bigint) as problems from region limit 1")
+def config_sound(s, sf):
+    c = D.DEFAULT
+    weights = {k: v for k, v in c.weights.items()}
+    return integrity.problems(s, list(c.fields), c.extra_labels, c.patterns, c.critical, weights, c.thresholds).agg(F.count("*").alias("problems"))
 
 
 @query("select date_trunc('hour',ts) as start, event_type, count(*) as n, round(sum(value),4) as total from events group by 1,2 having date_trunc('hour',min(ts))+interval 1 hour <= (select max(ts)-interval 2 day from events)")
@@ -799,6 +812,22 @@ def stream_throughput(s, sf):
     return r.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
+@query(f"""with {_RESOLVED}, {_EXP}, j as (select bf.*, expected_value from bf left join ex using (document_id, field_name)),
+sm as (select engine_id, field_name, count(*) filter ({_FILLED}) n_filled, count(*) filter (status='conflict') n_conflict, count(*) filter (expected_value is not null) n_evaluated from j group by all)
+select engine_id, field_name from sm where n_filled>0 or n_conflict>0 or n_evaluated>0""")
+def report_fields(s, sf):
+    x = S.table(s, sf, "expected_values").filter("expected_value is not null").groupBy("document_id", "field_name").agg(F.max("expected_value").alias("expected_value"))
+    f = resolved_fields(s, sf)
+    m = E.field_metrics(f, f.select("engine_id", "document_id"), x, lambda a, b: T.norm(a) == T.norm(b))
+    return report.report_lines(m).select("engine_id", F.trim(F.substring("line", 1, 32)).alias("field_name"))
+
+
+@query("select count(*) n, count(distinct document_id) documents, sum(case when review_status='needs_review' and field_name in ('nfse_number','issue_date','net_amount') then 1 else 0 end)::bigint important_to_review from (select * from candidates qualify row_number() over (partition by cand_id order by loaded_at desc)=1)")
+def review_overview(s, sf):
+    c = S.candidates(s, sf, "document_id", "field_name", "review_status")
+    return c.agg(F.count("*").alias("n"), F.countDistinct("document_id").alias("documents"), F.count_if((F.col("review_status") == "needs_review") & F.col("field_name").isin("nfse_number", "issue_date", "net_amount")).alias("important_to_review"))
+
+
 def flagship(s: SparkSession, sf: str) -> DataFrame:
     """Which value of every field survives, and why others do not."""
     return resolve_fields(s, sf)
