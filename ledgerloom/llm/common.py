@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut  # noqa: F401
+
 #: Entries a worker keeps of texts it has already looked at; the memo only saves repeated work.
 MEMO = 60_000
 
@@ -18,23 +19,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the session's own setting, else (tests) a local one."""
-    own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not own:
-        own = "/tmp/ledgerloom-checkpoints"
-        os.makedirs(own, exist_ok=True)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(own)
-    return own
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage into the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def arrow_text(arr: pa.Array) -> pa.Array:
     return arr if pa.types.is_large_string(arr.type) else arr.cast(pa.large_string())
 

@@ -129,3 +129,12 @@ def packed(corpus: DataFrame, limits: DataFrame, path: str = VOCABULARY) -> Data
     """pack() over the texts of a corpus and the `pack` rows of size_limits."""
     caps = [(r[0], r[1]) for r in limits.filter("purpose = 'pack'").select("limit_id", "max_tokens").orderBy("limit_id").collect()]
     return pack(cut(sizes(corpus, path=path)), caps)
+
+
+def kept(placed: DataFrame, corpus: DataFrame, limits: DataFrame) -> DataFrame:
+    """(limit_id, documents, over_full, split_needlessly) of an assignment: documents placed, containers over their size, documents cut though they fit."""
+    caps = F.broadcast(limits.filter("purpose = 'pack'").select("limit_id", F.col("max_tokens").alias("cap")))  # a handful of rows
+    load = placed.groupBy("limit_id", "container_id").agg(F.sum("tokens").alias("load"), F.count("*").alias("n")).join(caps, "limit_id")
+    over = load.groupBy("limit_id").agg(F.count_if((F.col("load") > F.col("cap")) & (F.col("container_id") >= 0)).alias("over_full"))
+    docs = placed.groupBy("limit_id", "doc_id").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("parts")).join(caps, "limit_id")
+    return docs.groupBy("limit_id").agg(F.count("*").alias("documents"), F.count_if((F.col("parts") > 1) & (F.col("tokens") <= F.col("cap"))).alias("split_needlessly")).join(over, "limit_id")

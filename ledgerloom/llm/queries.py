@@ -94,6 +94,12 @@ def p7_packed(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed(table(spark, sf, "documents"), table(spark, sf, "size_limits"))
 
 
+def p7_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """What an assignment must keep: every document placed whole unless it exceeds the size, no container over it."""
+    docs, limits = table(spark, sf, "documents"), table(spark, sf, "size_limits")
+    return packing.kept(packing.packed(docs, limits), docs, limits)
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.found(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -102,6 +108,12 @@ def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.split(table(spark, sf, "documents"), table(spark, sf, "size_limits"))
 
 
+def p9_rebuilt(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document put together again from its pieces without their overlaps (for each limit; documents that fit, as they are): signs and digest, blanks aside."""
+    docs, limits = table(spark, sf, "documents"), table(spark, sf, "size_limits")
+    return splitting.rebuilt(splitting.split(docs, limits), docs, limits)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n[0] == "p" and n[1:2].isdigit() and callable(f)}
 

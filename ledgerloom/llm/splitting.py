@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .tok import CHUNK, VOCABULARY, encoding
 
@@ -231,3 +232,17 @@ def split(corpus: DataFrame, limits: DataFrame, path: str = VOCABULARY) -> DataF
     """pieces() over the `split` rows of size_limits."""
     rows = limits.filter("purpose = 'split'").select("limit_id", "max_tokens", "overlap_tokens").orderBy("limit_id").collect()
     return pieces(corpus, [tuple(r) for r in rows], path=path)
+
+
+def rebuilt(cut_up: DataFrame, corpus: DataFrame, limits: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(limit_id, doc_id, n_chars, digest) of every document and limit: the text put together from the pieces, without their overlaps and blanks.
+
+    A document that has no pieces under a limit fits it and is taken as it is. The parts of one document meet in one row, as its text did.
+    """
+    fresh = F.regexp_replace(F.substring(F.col("piece"), F.col("new_from") - F.col("begin") + 1, F.length("piece")), r"[\s\x{85}\p{Z}]+", "")
+    whole = cut_up.groupBy("limit_id", "doc_id").agg(F.array_sort(F.collect_list(F.struct("piece_no", fresh.alias("t")))).alias("p"))
+    whole = whole.select("limit_id", "doc_id", F.array_join(F.transform("p", lambda x: x["t"]), "").alias("joined"))
+    every = corpus.select(F.col(doc).cast("long").alias("doc_id"), "text").filter("text is not null").crossJoin(F.broadcast(limits.filter("purpose = 'split'").select("limit_id")))  # a handful of limits
+    both = every.join(whole, ["limit_id", "doc_id"], "left")
+    text = F.coalesce("joined", F.regexp_replace("text", r"[\s\x{85}\p{Z}]+", ""))
+    return both.select("limit_id", "doc_id", F.length(text).alias("n_chars"), F.md5(text.cast("binary")).alias("digest"))
