@@ -331,6 +331,11 @@ def rank_of(f: dict) -> tuple:
     return (*map(int, full), f["n"], f["key"])
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df by keys over three tasks for each core: the work on a spelling is large against its bytes, by which tasks would else be put together."""
+    return df.repartition(3 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def spellings(df: DataFrame, value: str = "value", unit: str = "document_id") -> DataFrame:
     """(value, n, key, kind, name, given, middle, biz, legal) of every distinct spelling that is a name.
 
@@ -351,7 +356,7 @@ def spellings(df: DataFrame, value: str = "value", unit: str = "document_id") ->
             yield pa.RecordBatch.from_arrays([b.column("value").take(at), b.column("n").take(at), keys, *cols], names=["value", "n", "key", *FIELDS])
 
     once = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("value"), F.col(unit)).distinct()
-    counted = once.groupBy("value").agg(F.count("*").alias("n"))
+    counted = spread(once.groupBy("value").agg(F.count("*").alias("n")), "value")
     return counted.mapInArrow(run, "value string, n long, key string, " + ", ".join(f"{c} string" for c in FIELDS))
 
 
@@ -370,9 +375,11 @@ def attach(forms: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(idx, pa.int64())) for c in cols), pa.array(keys, pa.string()), pa.array(asked, pa.bool_())], names=[*cols, "block", "asks"])
 
     form_type = "key string, n long, " + ", ".join(f"{c} string" for c in FIELDS)
-    blocked = cut(forms.select(*cols).mapInArrow(block, form_type + ", block string, asks boolean"))
-    left = blocked.filter("asks").drop("asks")
-    right = blocked.filter("not asks").select("block", *[F.col(c).alias("c_" + c) for c in cols])
+    # keys are joined by their hash: two keys of one hash only mean a comparison more
+    blocked = spread(forms.select(*cols), "key").mapInArrow(block, form_type + ", block string, asks boolean").withColumn("block", F.xxhash64("block"))
+    blocked = cut(blocked)
+    left = spread(blocked.filter("asks").drop("asks"), "block")
+    right = spread(blocked.filter("not asks").select("block", *[F.col(c).alias("c_" + c) for c in cols]), "block")
     # of the spellings under one key only those that could explain the other are compared
     pairs = left.join(right, "block").filter("key <> c_key and (kind = 'p' or (legal = '' or c_legal = '' or legal = c_legal))").drop("block")
 
