@@ -3,10 +3,11 @@
 Bulk-synchronous best-fit over classes of equal sizes. Documents are range-sorted by size, containers by
 gap. In each round the largest size that is left sweeps to its successor, the smallest gap that holds it;
 conflicts are settled by rank (the first documents of the class take the first containers of the gap), gaps
-are updated, and the round repeats. As equal sizes are interchangeable, a round moves whole classes: the
-histogram (at most one row for each size up to the capacity) is the only thing the driver sees, and a plan
-of rank intervals -> container intervals comes back; every document finds its container by its rank.
-The result is that of one-by-one best-fit decreasing, at a cost that does not grow with the documents.
+are updated, and the round repeats. As equal sizes are interchangeable, a round moves whole classes, of which
+there are at most as many as the capacity has tokens: the rounds of a capacity run where its classes are, on a worker,
+and what they give - rank intervals on container intervals - stays a table. Documents and intervals then sweep past
+each other in streams sorted by rank, in blocks of ranks, so that a size that a third of all documents have is many tasks.
+The result is that of one-by-one best-fit decreasing. Nothing is collected or broadcast but the few capacities.
 
 Odd input: null texts are no items; empty ones (no tokens) go to container 0; a text over the capacity is
 cut into full containers and a rest (part_no counts its parts); equal rows are items of their own.
@@ -82,18 +83,26 @@ def best_fit(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, int]
 
 def pack(docs: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
     """(limit_id, container_id, doc_id, part_no, tokens). docs: doc_id, tokens; limits: (limit_id, capacity)."""
-    spark = docs.sparkSession
     table = F.array(*[F.struct(F.lit(i).cast("int").alias("limit_id"), F.lit(c).cast("long").alias("cap")) for i, c in limits])
     held = docs.filter("tokens is not null").select("doc_id", "tokens", F.explode(table).alias("l")).select("l.*", "doc_id", "tokens")
     whole = held.filter("tokens <= cap").select("limit_id", "doc_id", F.lit(0).alias("part_no"), "tokens")
     long = held.filter("tokens > cap").select("limit_id", "doc_id", "cap", "tokens", F.explode(F.expr("sequence(0, cast((tokens - 1) div cap as int))")).alias("part_no"))
     parts = whole.unionByName(long.select("limit_id", "doc_id", "part_no", F.least("cap", F.col("tokens") - F.col("part_no") * F.col("cap")).alias("tokens")))
-    hist: dict[int, dict[int, int]] = {i: {} for i, _ in limits}
-    for r in parts.groupBy("limit_id", "tokens").count().collect():  # at most one row for each limit and size
-        hist[r[0]][r[1]] = r[2]
-    plans = {i: best_fit(hist[i], c)[0] for i, c in limits}
-    total = max((sum(h.values()) for h in hist.values()), default=0)
+    classes = cut(parts.groupBy("limit_id", "tokens").count())
+    total = classes.groupBy("limit_id").agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0] or 0
     blocks = max(1, total // BLOCK)
+    caps = dict(limits)
+
+    def rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hist: dict[int, dict[int, int]] = {}
+        for b in batches:
+            for i, size, n in zip(*(b.column(c).to_pylist() for c in ("limit_id", "tokens", "count"))):
+                hist.setdefault(i, {})[size] = n
+        for i, h in hist.items():
+            p = best_fit(h, caps[i])[0]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), i, np.int32)), *(pa.array(p[:, c]) for c in (0, 1, 2, 3))], names=["limit_id", "tokens", "rank", "n", "container_id"])
+
+    plan = classes.repartition(max(1, len(limits)), "limit_id").mapInArrow(rounds, "limit_id int, tokens long, rank long, n long, container_id long")
     # ranks: within a block by window, blocks by a running sum over their counts (blocks x sizes rows)
     parts = parts.withColumn("block", F.pmod(F.xxhash64("doc_id", "part_no"), F.lit(blocks)).cast("int"))
     key = ["limit_id", "tokens"]
@@ -102,27 +111,35 @@ def pack(docs: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
         counts = parts.groupBy(*key, "block").count()
         before = counts.withColumn("before", F.sum("count").over(Window.partitionBy(*key).orderBy("block")) - F.col("count"))
         local = local.join(before.drop("count"), [*key, "block"]).withColumn("r", F.col("r") + F.col("before"))
-    ready = {}
-    for i, p in plans.items():
-        o = np.lexsort((p[:, 1], p[:, 0]))
-        p = p[o]
-        ready[i] = (p, p[:, 0] * (2**40) + p[:, 1])
-    shared = spark.sparkContext.broadcast(ready)
+    rows = local.select("limit_id", F.col("tokens").cast("long").alias("tokens"), F.col("r").cast("long").alias("rank"), "doc_id", "part_no")
+    # a rank interval is there in every block of ranks that it meets
+    within = lambda r: F.floor(r / BLOCK).cast("long")
+    spans = plan.withColumn("ranks", F.explode(F.sequence(within(F.col("rank")), within(F.col("rank") + F.col("n") - 1))))
+    none = F.lit(None)
+    stream = spans.select("limit_id", "tokens", "ranks", "rank", F.lit(0).alias("turn"), "container_id", none.cast("long").alias("doc_id"), none.cast("int").alias("part_no"))
+    stream = stream.unionByName(rows.filter("tokens > 0").select("limit_id", "tokens", within(F.col("rank")).alias("ranks"), "rank", F.lit(1).alias("turn"), none.cast("long").alias("container_id"), "doc_id", "part_no"))
+    order = ["limit_id", "tokens", "ranks"]
+    stream = stream.repartition(*order).sortWithinPartitions(*order, "rank", "turn")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = shared.value
+        shift = 0  # container less rank of the interval in hand, also over the end of a batch
         for b in batches:
-            limit, size, rank = (np.asarray(b.column(c)) for c in ("limit_id", "tokens", "r"))
-            out = np.zeros(b.num_rows, np.int64)
-            for i, (p, keys) in plan.items():
-                m = np.flatnonzero((limit == i) & (size > 0))
-                if len(m):
-                    at = np.searchsorted(keys, size[m] * (2**40) + rank[m], side="right") - 1
-                    out[m] = p[at, 3] + rank[m] - p[at, 1]
-            yield pa.RecordBatch.from_arrays([b.column("limit_id"), pa.array(out), b.column("doc_id"), b.column("part_no"), b.column("tokens")], names=["limit_id", "container_id", "doc_id", "part_no", "tokens"])
-
-    rows = local.select("limit_id", "doc_id", "part_no", F.col("tokens").cast("long").alias("tokens"), F.col("r").cast("long").alias("r"))
-    return rows.mapInArrow(place, "limit_id int, container_id long, doc_id long, part_no int, tokens long")
+            if not b.num_rows:
+                continue
+            turn, rank = np.asarray(b.column("turn")), np.asarray(b.column("rank"))
+            to = np.asarray(b.column("container_id").fill_null(0)) - rank
+            starts = np.flatnonzero(turn == 0)
+            at = np.searchsorted(starts, np.arange(len(turn)), side="right") - 1
+            moved = np.where(at >= 0, to[starts[np.maximum(at, 0)]] if len(starts) else shift, shift)
+            if len(starts):
+                shift = int(to[starts[-1]])
+            docs = pa.array(np.flatnonzero(turn == 1))
+            c = pa.array(rank + moved)
+            yield pa.RecordBatch.from_arrays([b.column("limit_id").take(docs), c.take(docs), *(b.column(x).take(docs) for x in ("doc_id", "part_no", "tokens"))], names=["limit_id", "container_id", "doc_id", "part_no", "tokens"])
+
+    put = stream.mapInArrow(place, "limit_id int, container_id long, doc_id long, part_no int, tokens long")
+    empty = rows.filter("tokens = 0").select("limit_id", F.lit(0).cast("long").alias("container_id"), "doc_id", "part_no", "tokens")
+    return put.unionByName(empty)
 
 
 def packed(corpus: DataFrame, limits: DataFrame, path: str = VOCABULARY) -> DataFrame:
