@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.dictionary import ALIASES, MONEY_FIELDS, REVIEW_DEFAULT, REVIEW_THRESHOLDS, SINGLETONS
 from ..functions.extract import NO_CODE
 from ..functions.text import digits, norm, tokens
-from ..functions.values import all_matches, clamp, document_mask, first_match
+from ..functions.values import all_matches, clamp
 from .lines import in_parts
 
 # Forms of values (without look-around, so that every engine reads them alike).
 MONEY = r"(?:R\$\s*)?\b\d{1,3}(?:\.\d{3})*,\d{2}\b"
-RATE = r"\b\d{1,2}(?:,\d{1,4})?\s?%"
 DATE = r"\b\d{1,2}/\d{1,2}/\d{4}\b"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-DOCUMENT = r"\b(?:\d{2}[.,]\d{3}\.\d{3}/\d{4}-\d{2}|\d{14}|\d{3}[.,]\d{3}\.\d{3}-\d{2}|\d{11})\b"
-CODE = r"\b[A-Z0-9]{5}-[A-Z0-9]{4}\b|\b[A-Z0-9]{9}\b"
-SERVICE_CODE = r"\b(?:\d{2}\.\d{2}\.\d{2}|\d{1,2}\.\d{2})\b"
 
 
 def alias_table(spark) -> DataFrame:
@@ -44,19 +40,6 @@ def label_matches(lines: DataFrame, key: list[str], aliases: DataFrame) -> DataF
     return hit.groupBy(*key, "field_name").agg(best).select(*key, "field_name", "m.*")
 
 
-def typed_values(text: Column) -> dict[str, Column]:
-    """The first value of each type in a text."""
-    return {
-        "money": first_match(text, MONEY),
-        "rate": first_match(text, RATE),
-        "issue_date": first_match(text, DATE),
-        "email": first_match(text, EMAIL),
-        "document": document_mask(first_match(text, DOCUMENT)),
-        "service_code": first_match(text, SERVICE_CODE),
-        "verification_code": first_match(F.upper(text), CODE),
-    }
-
-
 def all_values(df: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
     """(key, match_no, value): every match of a pattern."""
     return df.select(key, F.posexplode(all_matches(F.col(text), pattern)).alias("match_no", "value"))
@@ -86,15 +69,6 @@ def nearby_text(lines: DataFrame, keys: list[str], order: str, most: int = 3) ->
     return parts.withColumns({f"next_{n}": F.concat_ws(" ", *nexts[:n]) for n in range(1, most + 1)}).filter("own").drop("part", "own")
 
 
-def value_table(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, column_no, label, value): labels and values of one flat row of n labels then n values, zipped."""
-    parts = F.filter(F.split(F.col(text), r"\s{2,}"), lambda p: p != "")
-    isval = lambda p: p.rlike(r"^(?:R\$\s*)?[\d.]*\d,\d+\s?%?$")
-    t = df.select(key, F.filter(parts, lambda p: ~isval(p)).alias("labels"), F.filter(parts, isval).alias("vals"), parts.alias("parts"))
-    tables = t.filter((F.size("labels") >= 2) & (F.size("vals") == F.size("labels")) & (F.array_join(F.slice("parts", 1, F.size("labels")), "|") == F.array_join("labels", "|")))
-    return tables.select(key, F.posexplode(F.arrays_zip("labels", "vals")).alias("column_no", "z")).select(key, "column_no", F.col("z.labels").alias("label"), F.col("z.vals").alias("value"))
-
-
 def candidate_id(doc: Column, field: Column, line: Column, n: Column, value: Column) -> Column:
     return F.concat_ws(":", doc, F.lit("normalizer"), field, line.cast("string"), n.cast("string"), F.substring(F.sha1(F.coalesce(value, F.lit(""))), 1, 12))
 

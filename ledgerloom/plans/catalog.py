@@ -261,25 +261,12 @@ def text_normalize(s, sf):
     return v.select("value", n.alias("normal"), F.size(T.tokens(n)).alias("n_tokens"), F.round(T.digit_density(n), 6).alias("density"))
 
 
-def _typed_sql() -> str:
-    f = lambda p, x="line_text": f"nullif(regexp_extract({x},{lit(p)}),'')"
-    doc = f"regexp_replace({f(C.DOCUMENT)},'[^0-9]','','g')"
-    mask = f"case length({doc}) when 14 then regexp_replace({doc},'^(..)(...)(...)(....)(..)$','\\1.\\2.\\3/\\4-\\5') when 11 then regexp_replace({doc},'^(...)(...)(...)(..)$','\\1.\\2.\\3-\\4') end"
-    return f"{f(C.MONEY)} as money, {f(C.RATE)} as rate, {f(C.DATE)} as issue_date, {f(C.EMAIL)} as email, {mask} as document, {f(C.SERVICE_CODE)} as service_code, {f(C.CODE, ascii_('upper(line_text)'))} as verification_code"
-
-
-@query(f"with {CA} select cand_id, {_typed_sql()} from ca where line_text is not null")
-def typed_extract(s, sf):
-    c = S.candidates(s, sf, "line_text").filter("line_text is not null")
-    return c.select("cand_id", *[v.alias(k) for k, v in C.typed_values(F.col("line_text")).items()])
-
-
-@query(f"with {EL}, m as (select artifact_id, regexp_extract_all(text,{lit(C.MONEY)}) k from el where text is not null) select artifact_id, cast(generate_subscripts(k,1)-1 as int) as match_no, unnest(k) as value from m")
+@query(f"with {EL}, m as (select artifact_id, regexp_extract_all(text,'(?:R\\$\\s*)?\\b\\d{{1,3}}(?:\\.\\d{{3}})*,\\d{{2}}\\b') k from el where text is not null) select artifact_id, cast(generate_subscripts(k,1)-1 as int) as match_no, unnest(k) as value from m")
 def extract_money(s, sf):
     return C.all_values(S.elements(s, sf, "text").filter("text is not null"), "artifact_id", "text", C.MONEY)
 
 
-@query(f"with {EL}, m as (select artifact_id, regexp_extract_all(text,{lit(C.EMAIL)}) k from el where text is not null) select artifact_id, cast(generate_subscripts(k,1)-1 as int) as match_no, unnest(k) as value from m")
+@query(f"with {EL}, m as (select artifact_id, regexp_extract_all(text,'[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+') k from el where text is not null) select artifact_id, cast(generate_subscripts(k,1)-1 as int) as match_no, unnest(k) as value from m")
 def extract_email(s, sf):
     return C.all_values(S.elements(s, sf, "text").filter("text is not null"), "artifact_id", "text", C.EMAIL)
 
@@ -391,7 +378,7 @@ def alias_label_match(s, sf):
     return C.label_matches(c, ["cand_id"], C.alias_table(s))
 
 
-@query(f"with {LINES}, v as (select *, nullif(regexp_extract(text,{lit(C.DATE)}),'') d from li), a as (select document_id, engine_id, line_index, lead(d,1) over w a1, lead(d,2) over w a2, lead(d,3) over w a3, lead(d,4) over w a4 from v window w as (partition by document_id, engine_id order by line_index)) select document_id, engine_id, line_index, coalesce(a1,a2,a3,a4) as nearby, case when a1 is not null then 1 when a2 is not null then 2 when a3 is not null then 3 when a4 is not null then 4 end as distance from a")
+@query(f"with {LINES}, v as (select *, nullif(regexp_extract(text,'\\b\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}\\b'),'') d from li), a as (select document_id, engine_id, line_index, lead(d,1) over w a1, lead(d,2) over w a2, lead(d,3) over w a3, lead(d,4) over w a4 from v window w as (partition by document_id, engine_id order by line_index)) select document_id, engine_id, line_index, coalesce(a1,a2,a3,a4) as nearby, case when a1 is not null then 1 when a2 is not null then 2 when a3 is not null then 3 when a4 is not null then 4 end as distance from a")
 def label_value_nearby(s, sf):
     li = element_lines(s, sf)
     f = C.following(li, ["document_id", "engine_id"], "line_index", 4, V.first_match(F.col("text"), C.DATE))
@@ -403,14 +390,6 @@ def nearby_window_concat(s, sf):
     return C.nearby_text(element_lines(s, sf), ["document_id", "engine_id"], "line_index").select("document_id", "engine_id", "line_index", "next_1", "next_2", "next_3")
 
 
-@query(f"""with {EL}, p as (select artifact_id, list_filter(regexp_split_to_array(text,'\\s{{2,}}'), lambda x: x<>'') k from el where text is not null),
-t as (select artifact_id, k, list_filter(k, lambda x: not regexp_matches(x,'^(?:R\\$\\s*)?[\\d.]*\\d,\\d+\\s?%?$')) labels, list_filter(k, lambda x: regexp_matches(x,'^(?:R\\$\\s*)?[\\d.]*\\d,\\d+\\s?%?$')) vals from p),
-f as (select * from t where len(labels)>=2 and len(labels)=len(vals) and k[1:len(labels)]=labels)
-select artifact_id, cast(generate_subscripts(labels,1)-1 as int) as column_no, unnest(labels) as label, unnest(vals) as value from f""")
-def financial_table_align(s, sf):
-    return C.value_table(S.elements(s, sf, "text").filter("text is not null"), "artifact_id", "text")
-
-
 @query(f"""with {CA} select cand_id, concat_ws(':',document_id,'normalizer',field_name,cast(line_index as varchar),cast(len(source_element_ids) as varchar),substr(sha1(coalesce(value,'')),1,12)) as computed_id,
 round(case when value_source='ocr_corrected_email' then least(least(greatest(coalesce(confidence,0.5)+0.08,0),1)*0.75,0.7) else least(greatest(coalesce(confidence,0.5)+case value_source when 'financial_table' then 0.10 when 'regex' then 0.03 else 0.08 end,0),1) end,6) as boosted from ca""")
 def candidate_confidence_id(s, sf):

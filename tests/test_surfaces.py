@@ -153,3 +153,24 @@ def test_configuration(tmp_path):
     yaml = pytest.importorskip("yaml")
     (tmp_path / "c.yaml").write_text(yaml.safe_dump(raw, allow_unicode=True))
     assert D.load(str(tmp_path / "c.yaml")).fields == D.DEFAULT.fields
+
+
+def test_only_wanted_columns_are_read(spark, tmp_path):
+    """Column pruning reaches the scan, and no text is shuffled where only a flag is wanted."""
+    from ledgerloom.plans import catalog
+
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    plan = catalog.queries()["element_blank_filter"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema: ") :].split("\n")[0]
+    assert set(schema.split("struct<")[1].rstrip(">").replace(":", " ").split(",")) <= {"artifact_id bigint", "engine_id string", "text string", "loaded_at timestamp_ntz", "loaded_at timestamp"}
+    shuffled = plan[plan.index("Exchange") :] if "Exchange" in plan else ""
+    assert "max_by" in plan and shuffled
+
+
+def test_latest(spark):
+    t = datetime.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, "a", None, t), (1, "b", 5, t + datetime.timedelta(1)), (2, "c", 7, None), (2, "c", 7, None)], "k int, a string, b int, loaded_at timestamp")
+    assert sorted(map(tuple, S.latest(df, "k", columns=["a"]).collect())) == [(1, "b"), (2, "c")]
+    assert S.latest(df.limit(0), "k").count() == 0
