@@ -372,16 +372,20 @@ def attach(forms: DataFrame) -> DataFrame:
                 idx += [i] * (len(asks) + len(answers))
                 keys += [*asks, *answers]
                 asked += [True] * len(asks) + [False] * len(answers)
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(idx, pa.int64())) for c in cols), pa.array(keys, pa.string()), pa.array(asked, pa.bool_())], names=[*cols, "block", "asks"])
+            yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(idx, pa.int64())), pa.array(keys, pa.string()), pa.array(asked, pa.bool_())], names=["id", "block", "asks"])
 
-    form_type = "key string, n long, " + ", ".join(f"{c} string" for c in FIELDS)
-    # keys are joined by their hash: two keys of one hash only mean a comparison more
-    blocked = spread(forms.select(*cols), "key").mapInArrow(block, form_type + ", block string, asks boolean").withColumn("block", F.xxhash64("block"))
-    blocked = cut(blocked)
+    # keys and forms are joined by their hashes (two keys of one hash only mean a comparison more); near-equal names share
+    # most of their keys, so pairs are made once before the forms are joined to them
+    known = cut(spread(forms.select(F.xxhash64("key").alias("id"), *cols), "id"))
+    blocked = known.select("id", *FIELDS).mapInArrow(block, "id long, block string, asks boolean").select("id", F.xxhash64("block").alias("block"), "asks")
+    blocked = cut(spread(blocked, "block"))
     left = spread(blocked.filter("asks").drop("asks"), "block")
-    right = spread(blocked.filter("not asks").select("block", *[F.col(c).alias("c_" + c) for c in cols]), "block")
+    right = spread(blocked.filter("not asks").select(F.col("id").alias("c_id"), "block"), "block")
+    once = left.join(right, "block").filter("id <> c_id").select("id", "c_id").distinct()
+    both = spread(once, "id").join(known, "id")
+    pairs = spread(both, "c_id").join(known.select(F.col("id").alias("c_id"), *[F.col(c).alias("c_" + c) for c in cols]), "c_id")
     # of the spellings under one key only those that could explain the other are compared
-    pairs = left.join(right, "block").filter("key <> c_key and (kind = 'p' or (legal = '' or c_legal = '' or legal = c_legal))").drop("block")
+    pairs = pairs.filter("key <> c_key and (kind = 'p' or (legal = '' or c_legal = '' or legal = c_legal))").select(*cols, *["c_" + c for c in cols])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
