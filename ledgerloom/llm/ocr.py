@@ -74,7 +74,7 @@ DASHED_FIRST = re.compile(r"^(?:- \d{1,4} -|\[\d{1,4}\]) (?=\S)")
 BARE_PAGE = re.compile(r"\W*(\d{1,5})(?:\s?/\s?(\d{1,4}))?\W*")
 #: What may stand between a page number and the rest of its line.
 SEPARATED, SEPARATES = re.compile(r"(?:^|[-–—|·•:;,(\[]|\s{2,})[\W_]*$"), re.compile(r"\W*$|\s*[-–—|·•:;,]|\s{3,}")
-SPOILT = re.compile(r"</?\w+[^>]*>|<!--.*?-->|&#?\w+;|\\(?:begin|end)\{\w+\}|\\[A-Za-z]+|[*#`|<>{}$\\]|'''|''|\[\[(?:[\w ]{1,30}\||Categoria:\w+)?|\]\]|\]\(#\w+\)")
+SPOILT = re.compile(r"</?\w+[^>]*>|<!--.*?-->|&#?\w+;|\\(?:begin|end)\{\w+\}|\\[A-Za-z]+|[*#`|<>{}$\\]|'''|''|\[\[(?:[\w ]+\||Categoria:\w+)?|\]\]|\]\(#\w+\)")
 
 
 def reversals(w: str) -> Iterator[str]:

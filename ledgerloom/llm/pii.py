@@ -153,6 +153,8 @@ ADDRESS = re.compile(
     r"|(?<![\w.,/-])\d{1,5}\s+(?:d[aeo]s?\s+)?(?:[^\W\d_]+\.?\s+){1,4}Street(?:,?\s*Suite\s+\d+)?",
     re.I,
 )
+# a street's name of any length, if it is written as a name
+ADDRESS_LONG = re.compile(r"(?<![\w.])(?i:rua|avenida|alameda|travessa|pra[çc]a|largo|rodovia|estrada|av\.|tv\.|p[çc]a\.)\s+(?:(?:[A-ZÀ-Ú][^\W\d_]*\.?|d[aeo]s?|D[AEO]S?|e|E)\s+)*+(?<=\s)(?:[A-ZÀ-Ú][^\W\d_]*\.?)?(?:(?<=[^\W\d_])\s*,\s*|\s*)(?:[nN][º°o]\.?\s*)?\d{1,5}\b(?!/\d)")
 # without a number the name must be written as a name
 ADDRESS_NAME = re.compile(r"(?<![\w.])(?:(?:Rua|Avenida|Alameda|Travessa|Praça|Pça\.|Rodovia|Estrada|Av\.|Tv\.)|(?:RUA|AVENIDA|ALAMEDA|TRAVESSA|PRAÇA|PÇA\.|RODOVIA|ESTRADA|AV\.|TV\.)) (?:(?:d[aeo]s?|D[AEO]S?) )?(?!(?:de|DE) )[A-ZÀ-Ú][\w.]+")
 ADDRESS_LABEL = re.compile(r"(?<!\w)(?:Endere[çc]o|End\.|ENDERE[ÇC]O|E[nm]c?[l1]?dere[çc]o|Endcre[çc]o|Enderc[çc]o|Endereç0)\s*(?::|-)?\s*((?!eletr)[^\W\d_][^:;?!|\d]+\d\w*|\d+ [^\W\d_]+ [^:;?!|\d]*)")
@@ -420,7 +422,7 @@ def spans(text: str, low: str | None = None, letters: str | None = None) -> list
             out.append((m.start(1), m.end(1), 1))
         out += ids
     if ADDRESS_HINT.search(low):
-        streets = [(m.start(), m.end()) for p in (ADDRESS, ADDRESS_NAME) for m in p.finditer(d) if d[m.start() : m.start() + 2] not in ("R.", "r.") or not _after_given(d, m.start())]
+        streets = [(m.start(), m.end()) for p in (ADDRESS, ADDRESS_LONG, ADDRESS_NAME) for m in p.finditer(d) if d[m.start() : m.start() + 2] not in ("R.", "r.") or not _after_given(d, m.start())]
         for m in ADDRESS_LABEL.finditer(d) if "en" in low else ():
             inner = [x.strip(".:,-()") for x in bare(m.group(1)).split()]
             if inner[0] not in PLAINS and inner[0] not in FIRMS and not any(_label_like(x) for x in inner) and not any(x in SENTENCE for x in inner):

@@ -105,6 +105,8 @@ def test_feistel_is_a_permutation():
 def test_long_pieces_are_found_whole():
     way = "Rua " + " ".join(["das Flores e dos Campos"] * 30) + ", 120"
     assert kinds(f"Endereço: {way}") == {"address"} and way not in pii.redact(f"Endereço: {way}", KEY)
+    plain = "Rua " + " ".join(["das Flores e dos Campos"] * 9) + ", 120"
+    assert re.fullmatch(r"Entregar na \[ADDRESS [a-z2-7]{26}\] hoje", pii.redact(f"Entregar na {plain} hoje", KEY))
     name = "Maria " + " ".join(["Aparecida dos Santos"] * 40)
     assert re.fullmatch(r"Falar com \[NAME [a-z2-7]{26}\]\.", pii.redact(f"Falar com {name}.", KEY))
     assert kinds("Silva Marcos " + "CPF 529.982.247-25 " * 9) == {"name", "id_number"}
