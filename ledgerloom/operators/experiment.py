@@ -30,6 +30,16 @@ def field_metrics(fields: DataFrame, docs: DataFrame, expected: DataFrame, same)
     return out.select("engine_id", "field_name", "documents", "n_filled", "n_conflict", "n_evaluated", "n_correct", (F.col("n_filled") / d).alias("fill_rate"), (F.col("n_conflict") / d).alias("conflict_rate"), (F.col("n_correct") / F.nullif("n_evaluated", F.lit(0))).alias("correctness_rate"))
 
 
+def grid(docs: DataFrame, processed: DataFrame) -> DataFrame:
+    """(document_id, engine_id, processed): every document with every engine. Engines are few: their number is checked before they are sent around."""
+    engines = processed.filter("engine_id is not null").select("engine_id").distinct()
+    if engines.limit(1_001).count() > 1_000:
+        raise ValueError("more than 1,000 engines")
+    every = docs.filter("document_id is not null").select("document_id").distinct().crossJoin(F.broadcast(engines))
+    seen = processed.select("document_id", "engine_id").distinct().withColumn("processed", F.lit(True))
+    return every.join(seen, ["document_id", "engine_id"], "left").withColumn("processed", F.coalesce("processed", F.lit(False)))
+
+
 def document_fill(fields: DataFrame) -> DataFrame:
     return fields.groupBy("engine_id", "document_id").agg((F.count_if(filled()) / len(FIELDS)).alias("fill_rate"), F.count_if(F.col("status") == "conflict").alias("conflicts"))
 

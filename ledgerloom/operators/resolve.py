@@ -17,8 +17,8 @@ def _any(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds, F.lit(False))
 
 
-def field_scores(config: Config = DEFAULT) -> Column:
-    """An array of (field_name, score) over the canonical fields, from columns f, label, section, context, value.
+def field_scores(config: Config = DEFAULT, evidence: bool = False) -> Column:
+    """An array of (field_name, score; with what it rests on if evidence) over the canonical fields, from columns f, label, section, context, value.
 
     A literal array instead of a join: the candidate's texts are normalised once, and no row is multiplied
     before its scores are known.
@@ -36,12 +36,16 @@ def field_scores(config: Config = DEFAULT) -> Column:
         section = F.col(f"k_{category}")
         conflict = {"provider": F.col("section").contains("tomador"), "recipient": F.col("section").contains("prestador")}.get(category, F.lit(False))
         total = alias * w["alias"] + pattern * w["pattern"] + F.col("pos") * w["positional"] + section * w["section"] + F.coalesce("confidence", F.lit(0.0)) * w["engine"] - F.when(conflict, w["conflict"]).otherwise(0.0)
-        out.append(F.struct(F.lit(name).alias("field_name"), F.greatest(F.least(total / top, F.lit(1.0)), F.lit(0.0)).alias("score")))
+        parts = [alias.alias("alias_match"), pattern.alias("pattern_match"), F.col("pos").alias("positional_match"), section.alias("section_match"), conflict.alias("section_conflict")] if evidence else []
+        out.append(F.struct(F.lit(name).alias("field_name"), F.greatest(F.least(total / top, F.lit(1.0)), F.lit(0.0)).alias("score"), *parts))
     return F.array(*out)
 
 
-def scored(candidates: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """(document_id, engine_id, cand_id, candidate_ordinal, confidence, value, field_name, score), score > 0.
+EVIDENCE = ["alias_match", "pattern_match", "positional_match", "section_match", "section_conflict"]
+
+
+def scored(candidates: DataFrame, config: Config = DEFAULT, evidence: bool = False) -> DataFrame:
+    """(document_id, engine_id, cand_id, candidate_ordinal, confidence, value, field_name, score; EVIDENCE if wanted), score > 0.
 
     A label_distance, where there is one, counts by its nearness within 200 points.
     """
@@ -56,8 +60,8 @@ def scored(candidates: DataFrame, config: Config = DEFAULT) -> DataFrame:
     lists = list({tuple(p): None for p in config.patterns.values()})
     c = c.withColumns({f"p{i}": F.when(_any([v.rlike(x) for x in p]), 1.0).otherwise(0.0) for i, p in enumerate(lists)})
     c = c.withColumns({f"k_{k}": F.when(_any([F.col("section").contains(x) for x in ws]), 1.0).when(_any([F.col("context").contains(x) for x in ws]), 0.5).otherwise(0.0) for k, ws in config.section_keywords.items()})
-    s = c.select("document_id", "engine_id", "cand_id", "candidate_ordinal", "confidence", "value", F.explode(F.filter(field_scores(config), lambda x: x["score"] > 0)).alias("s"))
-    return s.select("document_id", "engine_id", "cand_id", "candidate_ordinal", "confidence", "value", "s.field_name", "s.score")
+    s = c.select("document_id", "engine_id", "cand_id", "candidate_ordinal", "confidence", "value", F.explode(F.filter(field_scores(config, evidence), lambda x: x["score"] > 0)).alias("s"))
+    return s.select("document_id", "engine_id", "cand_id", "candidate_ordinal", "confidence", "value", "s.field_name", "s.score", *([f"s.{e}" for e in EVIDENCE] if evidence else []))
 
 
 KEY = ["document_id", "engine_id", "field_name"]

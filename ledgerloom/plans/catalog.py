@@ -192,11 +192,13 @@ def _any_sql(words: list[str]) -> str:
     return "(" + " or ".join(f"contains(' '||n||' ',' {w} ')" for w in words) + ")"
 
 
-@query(f"""with recursive {LINES}, t as (select document_id, engine_id, line_index, {n_('text')} n from li), sc as (select *, {_SECTION_SQL} from t),
+_FOLD = f"""with recursive {LINES}, t as (select document_id, engine_id, line_index, {n_('text')} n from li), sc as (select *, {_SECTION_SQL} from t),
 ft as materialized (select document_id, engine_id, line_index, {_PICK} as ex, cast({_BEST} as int) as sv, {_any_sql(D.PARTY_DETAIL)} p, {_any_sql(D.SERVICE_DETAIL)} svc, {_any_sql(D.VALUE_DETAIL)} val, contains(n,'prefeitura') or contains(n,'secretaria') or starts_with(n,'municipio de ') mun from sc),
 st as (select document_id, engine_id, line_index, ex, sv, p, svc, val, mun, 'header' cur, false r, false s from ft where line_index=0
- union all select f.document_id, f.engine_id, f.line_index, f.ex, f.sv, f.p, f.svc, f.val, f.mun, g.sec, g.r or g.sec='recipient', g.s or g.sec='service' from (select *, {{step}} sec from st) g join ft f on f.document_id is not distinct from g.document_id and f.engine_id is not distinct from g.engine_id and f.line_index=g.line_index+1)
-select document_id, engine_id, line_index, ex as section_explicit, sv as section_score, {{step}} as section, {{conf}} as section_confidence from st""".replace("{step}", _STEP).replace("{conf}", _CONF))
+ union all select f.document_id, f.engine_id, f.line_index, f.ex, f.sv, f.p, f.svc, f.val, f.mun, g.sec, g.r or g.sec='recipient', g.s or g.sec='service' from (select *, {{step}} sec from st) g join ft f on f.document_id is not distinct from g.document_id and f.engine_id is not distinct from g.engine_id and f.line_index=g.line_index+1)""".replace("{step}", _STEP)
+
+
+@query(_FOLD + f" select document_id, engine_id, line_index, ex as section_explicit, sv as section_score, {_STEP} as section, {_CONF} as section_confidence from st")
 def line_section_fold(s, sf):
     return lines.classify_sections(element_lines(s, sf)).select("document_id", "engine_id", "line_index", "section_explicit", "section_score", "section", "section_confidence")
 
@@ -492,7 +494,14 @@ def generated_fields(s, sf):
     return r.select("document_id", "engine_id", "field_name", "value", "status", F.round("confidence", 6).alias("confidence"))
 
 
-@query()
+_LABELS = "(values " + ",".join(f"({i},{lit(f) if f else 'null'},'{w}',{len(w.split())})" for i, (f, w) in enumerate(sorted(fintable.LABELS, key=lambda x: -len(x[1])))) + ") lb(rank, field, label, n)"
+
+
+@query(_FOLD + f""", vl as (select st.document_id, st.engine_id, st.line_index, string_split(sc.n,' ') w from st join sc on st.document_id is not distinct from sc.document_id and st.engine_id is not distinct from sc.engine_id and st.line_index=sc.line_index where {_STEP}='values'),
+wp as (select *, unnest(range(1,len(w)+1)) p from vl), ht as (select document_id, engine_id, line_index, [{{'field':field,'label':label,'start':p-1,'stop':p-1+n}}] h, rank, p from wp join {_LABELS} on w[p]=split_part(label,' ',1) and array_to_string(w[p:p+n-1],' ')=label),
+pl as (select document_id, engine_id, line_index, list_reduce(list(h order by rank, p), lambda acc, x: case when len(list_filter(acc, lambda y: y.start<x[1].stop and x[1].start<y.stop))=0 then acc||x else acc end) k from ht group by all),
+ex as (select document_id, engine_id, line_index, unnest(k) c from pl)
+select document_id, engine_id, line_index, cast(row_number() over (partition by document_id, engine_id, line_index order by c.start)-1 as int) as column_no, c.field field, c.label as label, cast(c.start as int) as start, cast(c.stop as int) stop from ex""")
 def value_table_columns(s, sf):
     d = fintable.next_of(_classified(s, sf))
     return d.select("document_id", "engine_id", "line_index", F.posexplode("fin_columns").alias("column_no", "c")).select("document_id", "engine_id", "line_index", "column_no", "c.*")
@@ -586,6 +595,24 @@ def resolve_alternatives(s, sf):
     return r.select("document_id", "engine_id", "field_name", "place", "cand_id", F.round("score", 6).alias("score"))
 
 
+def _evidence_case() -> str:
+    arms = []
+    for name, (cat, _, _) in D.FIELDS.items():
+        al = ",".join(f"'{a}'" for a in sorted({name, *[" ".join(a.lower().split()) for a in D.ALIASES.get(name, [])]}))
+        pat = "case when " + " or ".join(f"regexp_matches(v,{lit(p)})" for p in D.PATTERNS[name]) + " then 1.0 else 0.0 end" if name in D.PATTERNS else "0.0"
+        kw = D.SECTION_KEYWORDS[cat]
+        sec = "case when " + " or ".join(f"contains(section,'{k}')" for k in kw) + " then 1.0 when " + " or ".join(f"contains(context,'{k}')" for k in kw) + " then 0.5 else 0.0 end"
+        conf = {"provider": "contains(section,'tomador')", "recipient": "contains(section,'prestador')"}.get(cat, "false")
+        arms.append(f"{{'field_name':'{name}','a':cast(case when f in ({al}) or label in ({al}) then 1.0 when context in ({al}) then 0.7 else 0.0 end as double),'p':cast({pat} as double),'s':cast({sec} as double),'c':{conf}}}")
+    return "[" + ",".join(arms) + "]"
+
+
+@query(f"with {_SCORES}, ev as (select cand_id, cast(pos as double) pos, unnest({_evidence_case()}) u from c) select ev.cand_id, u.field_name as field_name, u.a as alias_match, u.p as pattern_match, pos as positional_match, u.s as section_match, u.c as section_conflict from ev join sc on sc.cand_id=ev.cand_id and sc.field_name=u.field_name")
+def resolve_evidence(s, sf):
+    r = resolve.scored(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "confidence", "candidate_ordinal", "label_text", "section_name", "context_text", "same_block_as_label", "block_num", "label_block_num"), evidence=True)
+    return r.select("cand_id", "field_name", *resolve.EVIDENCE)
+
+
 def resolved_fields(s: SparkSession, sf: str) -> DataFrame:
     """The resolved fields of every document and engine, as all later steps take them."""
     return resolve.resolved(resolve.scored(S.candidates(s, sf, "document_id", "engine_id", "field_name", "value", "confidence", "candidate_ordinal", "label_text", "section_name", "context_text", "same_block_as_label", "block_num", "label_block_num"))).select("document_id", "engine_id", "field_name", "value", "status", "confidence")
@@ -807,6 +834,20 @@ def review_overview(s, sf):
     return c.agg(F.count("*").alias("n"), F.countDistinct("document_id").alias("documents"), F.count_if((F.col("review_status") == "needs_review") & F.col("field_name").isin("nfse_number", "issue_date", "net_amount")).alias("important_to_review"))
 
 
+@query("with d as (select distinct document_id from source_documents where document_id is not null), e as (select distinct engine_id from raw_artifacts where engine_id is not null), p as (select distinct document_id, engine_id from raw_artifacts) select d.document_id, e.engine_id, p.document_id is not null as processed from d cross join e left join p on p.document_id=d.document_id and p.engine_id=e.engine_id")
+def experiment_grid(s, sf):
+    """Every document with every engine, and whether the engine has read it."""
+    a = S.table(s, sf, "raw_artifacts").select("document_id", "engine_id").distinct()
+    return E.grid(S.table(s, sf, "source_documents").select("document_id"), a)
+
+
+@query("with w as (select time_bucket(interval 30 minute, ts)-interval 30 minute*k as start, event_type, value from events, (values (0),(1)) x(k)) select start, event_type, count(*) n, round(sum(value),4) total from w group by all")
+def sliding_throughput(s, sf):
+    e = S.table(s, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    r = streams.throughput(e, slide="30 minutes")
+    return r.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
 def flagship(s: SparkSession, sf: str) -> DataFrame:
     """Which value of every field survives, and why others do not."""
     return resolve_fields(s, sf)
