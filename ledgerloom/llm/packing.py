@@ -110,7 +110,8 @@ def pack(docs: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
     if blocks > 1:
         counts = parts.groupBy(*key, "block").count()
         before = counts.withColumn("before", F.sum("count").over(Window.partitionBy(*key).orderBy("block")) - F.col("count"))
-        local = local.join(before.drop("count"), [*key, "block"]).withColumn("r", F.col("r") + F.col("before"))
+        local = local.join(before.drop("count").hint("merge"), [*key, "block"])  # sizes x blocks rows: never broadcast
+        local = local.withColumn("r", F.col("r") + F.col("before"))
     rows = local.select("limit_id", F.col("tokens").cast("long").alias("tokens"), F.col("r").cast("long").alias("rank"), "doc_id", "part_no")
     # a rank interval is there in every block of ranks that it meets
     within = lambda r: F.floor(r / BLOCK).cast("long")
