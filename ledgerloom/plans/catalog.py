@@ -281,12 +281,15 @@ def _code_sql(p: str) -> str:
     return f"case when {code}<>'' and {after} not in (',','/','.') and not ({code}='116' and contains({n_('v')},'lei complementar')) and not (regexp_full_match({code},'\\d+') and coalesce(try_cast({code} as int) between 1900 and 2099,false)) then {code} end"
 
 
+_CODES = "coalesce(" + ",".join(_code_sql(p) for p in (r"\b\d{2}\.\d{2}\.\d{2}\b", r"\b\d{1,2}\.\d{2}\b", r"\b\d{4}\b", r"\b\d{3}\b")) + ")"
+
+
 @query(f"""with {CA}, t as (select distinct line_text v from ca where line_text is not null), u as (select v, {_X} x from t),
 w as (select v, x, nullif(regexp_extract(trim(regexp_replace(x,'(?is)\\b(?:insc\\.?\\s*estadual|inscricao\\s+estadual|estadual)\\b.*$','')),'(?i)\\b(?:isento|[A-Z0-9][A-Z0-9.\\-/]{{1,20}})\\b'),'') r, regexp_extract(x,'\\b\\d{{2}}/\\d{{2}}/\\d{{4}}\\b') d from u)
 select v as line_text, nullif(regexp_extract(upper(x),'\\b[A-Z]{{2}}\\b'),'') as state, nullif(array_to_string(regexp_extract_all(replace(x,'/',' '),'\\b0?\\d{{7,11}}\\b'),' '),'') as phones,
  coalesce(nullif(regexp_extract(x,'\\b\\d{{2}}/\\d{{4}}\\b'),''),nullif(d,'')) as competence, nullif(regexp_extract(x,'\\b(?:\\d{{1,2}},\\d{{1,4}}%?|\\d{{1,2}}%)'),'') as rate,
  trim(list_filter(regexp_extract_all(x,'(?:(?:R\\$\\s*)?\\b\\d{{1,3}}(?:\\.\\d{{3}})*,\\d{{2}}\\b|\\b\\d+\\.\\d{{2}}\\b)%?'), lambda m: right(m,1)<>'%')[1]) as money,
- coalesce({_code_sql('\\b\\d{2}\\.\\d{2}\\.\\d{2}\\b')},{_code_sql('\\b\\d{1,2}\\.\\d{2}\\b')},{_code_sql('\\b\\d{4}\\b')},{_code_sql('\\b\\d{3}\\b')}) as service_code from w""")
+ {_CODES} as service_code from w""")
 def typed_fields(s, sf):
     v = S.candidates(s, sf, "line_text").filter("line_text is not null").select("line_text").distinct()
     x = X.cleaned(F.col("line_text"))
@@ -473,10 +476,33 @@ def line_candidates(s, sf):
     return generate.candidates_from_lines(_classified(s, sf)).drop("bounding_box", "section_reasons", "source_element_ids")
 
 
-@query()
+_ID = r"\b(?:\d{2}[.,]\d{3}\.\d{3}/\d{4}-\d{2}|\d{14}|\d{3}\.\d{3}\.\d{3}-\d{2}|\d{11})\b"
+_HAS = lambda x, *ws: "(" + " or ".join(f"contains({x},'{w}')" for w in ws) + ")"
+_WORD = lambda x, w: f"contains(' '||{x}||' ',' {w} ')"
+
+
+@query(_FOLD + rf""", cl as (select st.document_id, st.engine_id, st.line_index, {_STEP} sec, li.text as t, {ascii_('li.text')} x, {n_('li.text')} n from st join li on li.document_id is not distinct from st.document_id and li.engine_id is not distinct from st.engine_id and li.line_index=st.line_index),
+ok as (select * from cl where sec<>'ignored_billing'), sp as (select *, regexp_extract_all(x,{lit(_ID)}) ids, regexp_split_to_array(x,{lit(_ID)}) pc from ok where regexp_matches(x,{lit(_ID)})),
+ii as (select *, unnest(range(1,len(ids)+1)) k from sp), pp as (select *, length(list_reduce([''] || list_transform(range(1,k), lambda i: pc[i]||ids[i]), lambda a, b: a||b))+length(pc[k]) l from ii),
+qq as (select *, ids[k] v, {n_('substr(t,1,l)')} bf, {n_('substr(t,l+1+length(ids[k]))')} af, regexp_replace(ids[k],'[^0-9]','','g') dg from pp),
+idc as (select document_id, engine_id, line_index, case when length(dg)=14 then regexp_replace(dg,'^(..)(...)(...)(....)(..)$','\1.\2.\3/\4-\5') else regexp_replace(dg,'^(...)(...)(...)(..)$','\1.\2.\3-\4') end as value, sec,
+ case when sec not in ('provider','recipient') then sec when {_WORD('bf','tomador')} then 'recipient' when {_WORD('bf','prestador')} then 'provider'
+  when sec='recipient' and {_WORD('af','tomador')} and {_HAS('bf','cnpj','cpf')} and {_HAS('bf','bairro','e mail','email','endereco','fantasia','municipio','nome razao','pais','razao social','social','telefone')} then 'provider' else sec end who
+ from qq where ({_HAS('n','cnpj','cpf')} or (sec in ('provider','recipient') and not regexp_full_match(v,'\d+') and {_HAS('n','insc','inscricao','municipal','razao','social')})) and not (regexp_full_match(v,'\d{{11}}') and {_HAS('bf','telefone','fone','celular')})),
+every as (select document_id, engine_id, line_index, case when who='recipient' then 'recipient_document' else 'provider_document' end field_name, value, 'document pattern' label_text, sec from idc
+ union all select document_id, engine_id, line_index, 'issue_date', unnest(regexp_extract_all(x,'\b\d{{2}}/\d{{2}}/\d{{4}}\b')), 'date pattern', sec from ok where contains(n,'emissao')
+ union all select document_id, engine_id, line_index, 'service_code', value, 'service_code pattern', sec from (select document_id, engine_id, line_index, sec, {_CODES} as value from (select *, t v from ok) where sec='service' and {_HAS('n','atividade','cnae','cod servico','codigo atividade','codigo do servico','codigo servico','item da lista','lista de servico','subitem','subitens')}) where value is not null)
+select document_id, engine_id, line_index, field_name, value, label_text, case when starts_with(field_name,'provider_') then 'provider' when starts_with(field_name,'recipient_') then 'recipient' else sec end as section_name, sec as raw_section_name from every""")
 def pattern_candidates(s, sf):
-    c = generate.built(generate.from_patterns(generate.prepared(_classified(s, sf))))
-    return c.select("document_id", "engine_id", "line_index", "field_name", "value", "label_text", "section_name", "raw_section_name", F.round("confidence", 6).alias("confidence"))
+    """Identity numbers, dates of issue and service codes by form and context. Mailboxes have a query of their own (Unicode word limits)."""
+    c = generate.built(generate.from_patterns(generate.prepared(_classified(s, sf)))).filter("label_text <> 'email pattern'")
+    return c.select("document_id", "engine_id", "line_index", "field_name", "value", "label_text", "section_name", "raw_section_name")
+
+
+@query()
+def pattern_mailboxes(s, sf):
+    c = generate.built(generate.from_patterns(generate.prepared(_classified(s, sf)))).filter("label_text = 'email pattern'")
+    return c.select("document_id", "engine_id", "line_index", "field_name", "value", F.round("confidence", 6).alias("confidence"))
 
 
 @query()
