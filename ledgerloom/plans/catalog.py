@@ -273,6 +273,8 @@ def extract_email(s, sf):
     return C.all_values(S.elements(s, sf, "text").filter("text is not null"), "artifact_id", "text", C.EMAIL)
 
 
+_ID_FORM = r"\b(?:\d{2}[.,]\d{3}\.\d{3}/\d{4}-\d{2}|\d{14}|\d{3}\.\d{3}\.\d{3}-\d{2}|\d{11})\b"
+_HAS = lambda x, *ws: "(" + " or ".join(f"contains({x},'{w}')" for w in ws) + ")"
 _X = ascii_(f"regexp_replace(regexp_replace(v,'^[ :\\-\\t\\r\\n]+|[ :\\-\\t\\r\\n]+$','','g'),'{SPACE}+',' ','g')")
 
 
@@ -313,12 +315,46 @@ def typed_codes(s, sf):
     return v.select("line_text", X.verification_code(x).alias("verification_code"), X.note_number(x).alias("note_number"))
 
 
-@query()
+def _before(x: str, p: str) -> str:
+    """What stands before the first match; all where there is none."""
+    return f"case when regexp_matches({x},{lit(p)}) then regexp_extract({x},{lit('(?s)^(.*?)(?:' + p + ')')},1) else {x} end"
+
+
+_STRIP = lambda x: f"regexp_replace({x},'^[ :\\-\\t\\r\\n]+|[ :\\-\\t\\r\\n]+$','','g')"
+_NO_TEXT = "('de servicos','dos servicos','prestador de servicos','tomador de servicos','discriminacao do servico','discriminacao dos servicos','do servico','do servicos')"
+_AMOUNT = r"(?:R\$\s*)?\b\d{1,3}(?:\.\d{3})*,\d{2}\b|\b\d+\.\d{2}\b"
+_LETTERS = "length(replace(%s,' ',''))"
+
+
+@query(f"""with {CA}, t as (select distinct line_text v from ca where line_text is not null), u as (select v, regexp_replace({_STRIP('v')},'{SPACE}+',' ','g') c from t), w as (select v, c, {ascii_('c')} x from u where c<>''),
+nm as (select v, {_before('c', r"(?i)\b(?:cnpj|cpf|(?:nome|name)\s+fantasia|endere[çc]o|e\s*mail|email|fone|insc\.?|inscri[çc][aã]o|munic[íi]pio|telefone|uf)\b")} h from w),
+n2 as (select v, regexp_replace(regexp_replace({_STRIP("regexp_replace(regexp_replace(regexp_replace(regexp_replace(h," + lit(_ID_FORM) + ",'','g'),'\\b\\d{11,14}\\b$',''),'[\\s:,\\-]+\\d[\\d.\\s]*$',''),'" + SPACE + "+',' ','g')")},'^[ :,\\-]+',''),'[ :,\\-]+$','') h from nm),
+rg as (select v, trim(nullif(regexp_extract(trim({_before('x', r"(?i)\b(?:insc\.?\s*estadual|inscricao\s+estadual|estadual)\b")}),'(?i)\\b(?:isento|[A-Z0-9][A-Z0-9.\\-/]{{1,20}})\\b'),''),' .:-') r from w),
+na as (select v, {_STRIP(_before('c', r"(?i)\b(?:c[óo]digo|data|emiss[aã]o|local\s+d[aeo]|valor|base\s+de\s+c[aá]lculo)\b"))} h from w),
+ci as (select v, {_STRIP("regexp_replace(" + _STRIP(_before('c', r"(?i)\b(?:data|c[óo]digo|natureza|valor|base\s+de\s+c[aá]lculo|iss)\b")) + ",'^\\d{3,5}\\s+','')")} h from w),
+d1 as (select v, regexp_replace(c,'(?i)^(?:descri[cç][aã]o|discrimina[cç][aã]o)(?:\\s+d[oe]s?\\s+servi[çc]os?)?\\s*:?\\s*','') h from w),
+ds as (select v, {_STRIP(_before('h', r"(?i)\b(?:atividade|base\s+de\s+c[aá]lculo|c[óo]digo\s+do\s+servi[çc]o|informa[çc][õo]es\s+adicionais|local\s+d[aeo]|natureza|outras\s+informa[çc][õo]es|valor|vencimento)\b"))} h from d1),
+na2 as (select v, h, {n_('h')} n from na), ci2 as (select v, h, {n_('h')} n from ci), ds2 as (select v, h, {n_('h')} n, regexp_extract_all({n_('h')},'[a-z0-9]+') k from ds)
+select v as line_text, case when len(regexp_extract_all({n_('n2.h')},'[a-z0-9]+'))>=2 then n2.h end as provider_name, case when lower(r)='isento' then upper(r) else r end as provider_municipal_registration,
+ case when na2.n<>'' and na2.n not in {_NO_TEXT} and na2.n not in ('da operacao','de operacao') and {_LETTERS % "replace(na2.n,'@','')"}>=3 and not regexp_matches(na2.h,{lit(_AMOUNT)}) then na2.h end as operation_nature,
+ case when ci2.n<>'' and ci2.n not in {_NO_TEXT} and regexp_matches(replace(ci2.n,'@',''),'[a-z]') and ci2.n not in ('da prestacao do servico','de prestacao','do servico')
+  and not {_HAS('ci2.n', 'descricao do servico', 'descricao dos servicos', 'outras informacoes', 'servico local prestacao', 'aliquota', 'situacao trib', 'tributad', 'local de prestacao', 'prestacao do servico', 'servicos prestados', 'ervicos prestados')}
+  and {_LETTERS % "replace(ci2.n,'@','')"}>=3 and not regexp_matches(ci2.h,{lit(_AMOUNT)}) then replace(regexp_replace(ci2.h,'\\s*!\\s*','/','g'),' - ','/') end as service_city,
+ case when ds2.n<>'' and ds2.n not in {_NO_TEXT} and not {_HAS('ds2.n', 'aliquota', 'base de calculo', 'informacoes relevantes', 'servico local prestacao', 'valor iss', 'valor liquido', 'valor total')}
+  and (len(k)>=3 or len(k)>0 and len(list_filter(k, lambda q: not regexp_full_match(q,'[a-z]{{4,}}') or q in ('aliquota','base','codigo','cofins','deducoes','desconto','inss','iss','item','local','municipio','natureza','pis','retencoes','valor','valores')))=0) then ds2.h end as service_description
+from t left join n2 using (v) left join rg using (v) left join na2 using (v) left join ci2 using (v) left join ds2 using (v)""")
 def typed_texts(s, sf):
     v = S.candidates(s, sf, "line_text").filter("line_text is not null").select("line_text").distinct()
     t = F.col("line_text")
     names = ("provider_name", "provider_municipal_registration", "operation_nature", "service_city", "service_description")
-    return v.select("line_text", *[X.typed(F.lit(n), t).alias(n) for n in names], X.inline_party_name(t).alias("inline_name"), X.inline_state(t).alias("inline_state"))
+    return v.select("line_text", *[X.typed(F.lit(n), t).alias(n) for n in names])
+
+
+@query()
+def typed_inline(s, sf):
+    v = S.candidates(s, sf, "line_text").filter("line_text is not null").select("line_text").distinct()
+    t = F.col("line_text")
+    return v.select("line_text", X.inline_party_name(t).alias("inline_name"), X.inline_state(t).alias("inline_state")).filter("inline_name is not null or inline_state is not null")
 
 
 @query(f"""with {CA}, t as (select distinct value v from ca where value is not null), u as (select v, {ascii_("regexp_replace(trim(v),'" + SPACE + "+',' ','g')")} x from t),
@@ -476,13 +512,11 @@ def line_candidates(s, sf):
     return generate.candidates_from_lines(_classified(s, sf)).drop("bounding_box", "section_reasons", "source_element_ids")
 
 
-_ID = r"\b(?:\d{2}[.,]\d{3}\.\d{3}/\d{4}-\d{2}|\d{14}|\d{3}\.\d{3}\.\d{3}-\d{2}|\d{11})\b"
-_HAS = lambda x, *ws: "(" + " or ".join(f"contains({x},'{w}')" for w in ws) + ")"
 _WORD = lambda x, w: f"contains(' '||{x}||' ',' {w} ')"
 
 
 @query(_FOLD + rf""", cl as (select st.document_id, st.engine_id, st.line_index, {_STEP} sec, li.text as t, {ascii_('li.text')} x, {n_('li.text')} n from st join li on li.document_id is not distinct from st.document_id and li.engine_id is not distinct from st.engine_id and li.line_index=st.line_index),
-ok as (select * from cl where sec<>'ignored_billing'), sp as (select *, regexp_extract_all(x,{lit(_ID)}) ids, regexp_split_to_array(x,{lit(_ID)}) pc from ok where regexp_matches(x,{lit(_ID)})),
+ok as (select * from cl where sec<>'ignored_billing'), sp as (select *, regexp_extract_all(x,{lit(_ID_FORM)}) ids, regexp_split_to_array(x,{lit(_ID_FORM)}) pc from ok where regexp_matches(x,{lit(_ID_FORM)})),
 ii as (select *, unnest(range(1,len(ids)+1)) k from sp), pp as (select *, length(list_reduce([''] || list_transform(range(1,k), lambda i: pc[i]||ids[i]), lambda a, b: a||b))+length(pc[k]) l from ii),
 qq as (select *, ids[k] v, {n_('substr(t,1,l)')} bf, {n_('substr(t,l+1+length(ids[k]))')} af, regexp_replace(ids[k],'[^0-9]','','g') dg from pp),
 idc as (select document_id, engine_id, line_index, case when length(dg)=14 then regexp_replace(dg,'^(..)(...)(...)(....)(..)$','\1.\2.\3/\4-\5') else regexp_replace(dg,'^(...)(...)(...)(..)$','\1.\2.\3-\4') end as value, sec,
