@@ -500,7 +500,18 @@ def _classified(s: SparkSession, sf: str) -> DataFrame:
     return lines.classify_sections(element_lines(s, sf))
 
 
-@query()
+_LABEL_ROWS = "(values " + ",".join(f"({r},{lit(f) if f else 'null'},'{w}',{n},{lit(x) if x else 'null'})" for r, f, _l, w, n, x in generate.label_table()) + ") lt(rank, field, words, n, what)"
+
+
+@query(_FOLD + f""", g2 as (select *, row_number() over (partition by document_id, engine_id order by p, top, lft, ord, b nulls first, l nulls first)-1 lx from g),
+e2 as (select g2.document_id, g2.engine_id, g2.lx, row_number() over (partition by g2.document_id, g2.engine_id, g2.lx order by w.x, w.ordinal, w.t)-1 ei, regexp_extract_all({n_('w.t')},'[a-z0-9]+') k from w join g2 on w.document_id is not distinct from g2.document_id and w.engine_id is not distinct from g2.engine_id and w.p=g2.p and w.b is not distinct from g2.b and w.l=g2.l),
+tk as (select document_id, engine_id, lx, ei, unnest(k) tok, generate_subscripts(k,1) ti from e2), ar as (select document_id, engine_id, lx, list(tok order by ei, ti) wd, list(ei order by ei, ti) el from tk group by all), ps as (select *, unnest(range(1,len(wd)+1)) ap from ar),
+ht as (select document_id, engine_id, lx, wd, el, rank, field, what, n, min(ap) ap from ps join {_LABEL_ROWS} on wd[ap]=split_part(words,' ',1) and array_to_string(wd[ap:ap+n-1],' ')=words group by all),
+hs as (select ht.*, {_STEP} sec, coalesce(list_max(list_filter(range(1,ap+1), lambda i: wd[i]='prestador')),0) lp, coalesce(list_max(list_filter(range(1,ap+1), lambda i: wd[i]='tomador')),0) lr from ht join st on st.document_id is not distinct from ht.document_id and st.engine_id is not distinct from ht.engine_id and st.line_index=ht.lx),
+pt as (select *, case when sec not in ('provider','recipient') then sec when lp>lr then 'provider' when lr>lp then 'recipient' when sec='recipient' and coalesce(list_position(wd,'tomador'),0)>ap and what is not null then 'provider' else sec end party from hs),
+fd as (select document_id, engine_id, lx, rank, n, el[ap+n-1] stop, case when what is not null and party in ('provider','recipient') then party||'_'||what else field end f from pt),
+ch as (select *, min(rank) over (partition by document_id, engine_id, lx, f) r0 from fd where f is not null qualify row_number() over (partition by document_id, engine_id, lx, f order by case when f in ('operation_nature','service_city','service_description') then -n else -stop end, case when f in ('operation_nature','service_city','service_description') then stop else 0 end, rank)=1)
+select document_id, engine_id, cast(lx as int) as line_index, cast(row_number() over (partition by document_id, engine_id, lx order by stop, r0)-1 as int) as place, f as field, cast(stop as int) as last_element, n from ch""")
 def line_labels(s, sf):
     d = generate.kept(generate.label_hits(_classified(s, sf)), F.size("labels") > 0)
     return d.select("document_id", "engine_id", "line_index", F.posexplode("labels").alias("place", "m")).select("document_id", "engine_id", "line_index", "place", "m.field", F.col("m.stop").alias("last_element"), "m.n")
