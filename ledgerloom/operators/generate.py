@@ -6,6 +6,9 @@ only when the labels of a line are exploded. The first step that gives a value n
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,9 +63,6 @@ def label_table(config: Config = DEFAULT) -> list[tuple[int, str | None, str, st
 
 
 def _words(s: str) -> list[str]:
-    import re
-    import unicodedata
-
     s = "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
     return re.findall(r"[a-z0-9]+", s.lower())
 

@@ -21,6 +21,18 @@ def log_line(df: DataFrame, event: str) -> Column:
     return F.to_json(F.struct(*[F.lit(event).alias("event") if c == "event" else F.col(c) for c in sorted({*df.columns, "event"})]))
 
 
+def bundle(document: DataFrame, raw_elements: DataFrame, candidates: DataFrame, resolved_fields: DataFrame, validation_issues: DataFrame, document_scores: DataFrame) -> dict[str, DataFrame]:
+    """The tables of BUNDLE: those given, and a summary with how many rows of each a document and engine have."""
+    given = dict(zip(BUNDLE, (document, raw_elements, candidates, resolved_fields, validation_issues, document_scores)))
+    counted = [n for n, df in given.items() if {"document_id", "engine_id"} <= set(df.columns)]
+    every = None
+    for n in counted:
+        part = given[n].groupBy("document_id", "engine_id").agg(F.count("*").alias("n")).withColumn("what", F.lit(n))
+        every = part if every is None else every.unionByName(part)
+    summary = every.groupBy("document_id", "engine_id").agg(*[F.coalesce(F.sum(F.when(F.col("what") == n, F.col("n"))), F.lit(0)).alias(n) for n in counted])
+    return given | {BUNDLE[-1]: summary}
+
+
 def write_bundle(tables: dict[str, DataFrame], path: str, by: str = "engine_id", form: str = "parquet") -> None:
     """tables as path/name, partitioned by engine so that readers of one engine prune the others; path/manifest names them and their columns."""
     for name, df in tables.items():

@@ -89,6 +89,11 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("d", "e", 1)], "document_id string, engine_id string, n int")
     sinks.write_bundle({"document": df.drop("engine_id"), "candidates": df}, str(tmp_path / "b"))
     assert {r.name for r in spark.read.json(str(tmp_path / "b/manifest")).collect()} == {"document", "candidates"}
+    parts = sinks.bundle(df.drop("engine_id"), df, df.unionByName(df), df, df.limit(0), df)
+    sinks.write_bundle(parts, str(tmp_path / "all"))
+    assert list(parts) == sinks.BUNDLE and spark.read.json(str(tmp_path / "all/manifest")).count() == 7
+    r = spark.read.parquet(str(tmp_path / "all/summary")).first()
+    assert (r.candidates, r.raw_elements, r.validation_issues) == (2, 1, 0)
     sinks.write_log(df, str(tmp_path / "log"), "done")
     assert spark.read.text(str(tmp_path / "log")).first()[0] == '{"document_id":"d","engine_id":"e","event":"done","n":1}'
     sinks.write_json(df, str(tmp_path / "j"), ["engine_id"])
