@@ -13,7 +13,6 @@ a word longer than the size is cut between characters; repeated rows are cut ali
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +25,6 @@ MEMO = 400_000
 #: Strength of boundaries: word, clause, sentence, line, paragraph, heading.
 WORD, CLAUSE, SENTENCE, LINE, PARAGRAPH, HEADING = range(6)
 KINDS = ["word", "clause", "sentence", "line", "paragraph", "heading"]
-LEAD = re.compile(r"(\s*)(#{1,6}|={2,6})?")
 
 
 class Counter:
