@@ -578,7 +578,56 @@ def value_table_columns(s, sf):
     return d.select("document_id", "engine_id", "line_index", F.posexplode("fin_columns").alias("column_no", "c")).select("document_id", "engine_id", "line_index", "column_no", "c.*")
 
 
-@query()
+_VALUE = r"(?:R\$\s*-?\s*)?\d{1,3}(?:\.\d{3})*,\d{2,4}\s*%?|(?:R\$\s*-?\s*)?\d+,\d{2,4}\s*%?|\d{1,2}\s*%"
+_JOIN_NUMBERS = lambda x: rf"regexp_replace(regexp_replace({x},'\b(\d+)\s+,\s*(\d{{2,4}})\b','\1,\2','g'),'(R\$)\s+(-)\s+','\1 \2 ','g')"
+_SPLIT_END = r"'^\s*,\s*\d{2}\s*$'"
+_ZERO = lambda x: f"(regexp_matches({x},'\\d') and not regexp_matches({x},'[1-9]'))"
+_RATE_LIKE = lambda x: f"(right({x},1)='%' or not contains(upper({x}),'R$') and not {_ZERO(x)} and coalesce(try_cast(replace(replace(regexp_replace({x},'[^\\d,.\\-]','','g'),'.',''),',','.') as double)>0 and try_cast(replace(replace(regexp_replace({x},'[^\\d,.\\-]','','g'),'.',''),',','.') as double)<=100,false))"
+
+
+def _take(k: int) -> str:
+    """One step over the k-th next line: (ended, taken) after those before it."""
+    part, head = f"regexp_matches(t{k},{_SPLIT_END})", f"n{k} in {_NO_TEXT}"
+    has = f"(regexp_matches({_JOIN_NUMBERS(f't{k}')},{lit(_VALUE)}) or {part})"
+    end, had = (f"e{k - 1}", f"len(v{k - 1})") if k > 1 else ("false", "0")
+    old = f"v{k - 1}" if k > 1 else "[]::int[]"
+    stop = f"({end} or t{k} is null or s{k}<>'values' or (not {head} and {had}>0 and (h{k} or not {has})))"
+    take = f"(not {stop} and not {head} and {has})"
+    return f"coalesce({stop} or ({take} and {had}>=1 and not {part}),true) e{k}, case when {take} then {old} || [{k}] else {old} end v{k}"
+
+
+def _side_sql(c: str, m: str) -> str:
+    """Columns c and amounts m of one side as pairs."""
+    pair = lambda i, j: f"{{'f':{c}[{i}].field,'v':{m}[{j}],'l':{c}[{i}].label}}"
+    ends = f"[{pair(-1, -1)}]"
+    order = f"list_transform(range(1,len({c})+1), lambda i: {{'f':{c}[i].field,'v':{m}[i],'l':{c}[i].label}})"
+    base = f"list_transform(list_filter({c}, lambda y: y.field='taxable_amount')[1:1], lambda y: {{'f':y.field,'v':{m}[1],'l':y.label}})"
+    every = f"case when len({c})=0 or len({m})=0 then [] when len({m})>=len({c}) then {order} when len({m})=1 then case when len({c})<=2 then {base} else [] end when ({c}[1].field is null or {c}[1].field in ('deductions_amount','other_retentions_amount')) and {_ZERO(m + '[1]')} then [{pair(1, 1)}] || {ends} else {ends} end"
+    return f"list_filter({every}, lambda q: q.f is not null and case when q.f='iss_rate' then {_RATE_LIKE('q.v')} when q.f='deductions_amount' and not {_ZERO('q.v')} then false else right(q.v,1)<>'%' end)"
+
+
+_AMOUNTS = lambda v: f"list_filter({v}, lambda q: right(q,1)<>'%')"
+
+
+@query(_FOLD + f""", al as (select st.document_id, st.engine_id, st.line_index, {_STEP} sec, sc.n n, li.text as t from st join sc on st.document_id is not distinct from sc.document_id and st.engine_id is not distinct from sc.engine_id and st.line_index=sc.line_index join li on st.document_id is not distinct from li.document_id and st.engine_id is not distinct from li.engine_id and st.line_index=li.line_index),
+wp as (select document_id, engine_id, line_index, string_split(n,' ') w, unnest(range(1,len(string_split(n,' '))+1)) p from al where sec='values'), ht as (select document_id, engine_id, line_index, [{{'field':field,'label':label,'start':p-1,'stop':p-1+n}}] h, rank, p from wp join {_LABELS} on w[p]=split_part(label,' ',1) and array_to_string(w[p:p+n-1],' ')=label),
+pl as (select document_id, engine_id, line_index, list_reduce(list(h order by rank, p), lambda acc, x: case when len(list_filter(acc, lambda y: y.start<x[1].stop and x[1].start<y.stop))=0 then acc||x else acc end) k from ht group by all),
+cs as (select document_id, engine_id, line_index, list(c order by c.start) c from (select document_id, engine_id, line_index, unnest(k) c from pl) group by all),
+aw as (select al.*, cs.c c, cs.c is not null hc from al left join cs on al.document_id is not distinct from cs.document_id and al.engine_id is not distinct from cs.engine_id and al.line_index=cs.line_index),
+nx as (select *, {", ".join(f"lead({x},{k}) over o {y}{k}" for k in (1, 2, 3) for x, y in (("sec", "s"), ("n", "n"), ("t", "t"), ("hc", "h")))} from aw window o as (partition by document_id, engine_id order by line_index)),
+hd as (select * from nx where sec='values' and c is not null and not {_HAS('n', 'disp ret', 'igual ou menor', 'lei ', 'lei complementar', 'pgto', 'transparencia', 'valor aproximado')} and (len(list_filter(c, lambda y: y.field is not null))>=2 or len(c)>=2 and len(list_filter(c, lambda y: y.field='iss_rate'))>0)),
+s1 as (select *, {_take(1)} from hd), s2 as (select *, {_take(2)} from s1), s3 as (select *, {_take(3)} from s2),
+tx as (select *, array_to_string(list_transform(v3, lambda i: case i when 1 then t1 when 2 then t2 else t3 end),' ') x from s3 where len(v3)>0),
+vs as (select *, list_transform(regexp_extract_all({_JOIN_NUMBERS('x')},{lit(_VALUE)}), lambda q: regexp_replace(trim(regexp_replace(q,'\\s+',' ','g')),'\\s*%\\s*$','%')) v from tx),
+rp as (select *, list_position(list_transform(c, lambda y: coalesce(y.field,'')),'iss_rate') r, list_position(list_transform(v, lambda q: right(q,1)='%'),true) mk from vs where len(v)>0),
+kp as (select *, case when coalesce(r,0)>0 then case when coalesce(mk,0)>0 then mk when r<=len(v) and {_RATE_LIKE('v[r]')} then r end end k from rp),
+sd as (select *, case when k is null then c else c[1:r-1] end lc, case when k is null then {_AMOUNTS('v')} else {_AMOUNTS('v[1:k-1]')} end lm, case when k is null then [] else c[r+1:] end rc, case when k is null then [] else {_AMOUNTS('v[k+1:]')} end rm from kp),
+mp as (select *, {_side_sql('lc', 'lm')} a1, case when k is not null and {_RATE_LIKE('v[k]')} then [{{'f':'iss_rate','v':v[k],'l':c[r].label}}] else [] end a2, {_side_sql('rc', 'rm')} a3 from sd),
+m2 as (select *, a1 || a2 || a3 al from mp),
+m3 as (select document_id, engine_id, line_index, al || case when len(list_filter(al, lambda q: q.f='iss_amount'))>0 then [] when k is not null then case when len(rm)>0 then [{{'f':'iss_amount','v':rm[1],'l':'valor iss'}}] else [] end when len(list_filter(c, lambda y: y.field='taxable_amount'))>0 and len({_AMOUNTS('v')})>len(c) then [{{'f':'iss_amount','v':{_AMOUNTS('v')}[-1],'l':'valor iss'}}] else [] end al from m2),
+fl as (select document_id, engine_id, line_index, list_filter(al, lambda q, i: list_position(list_transform(al, lambda z: z.f), q.f)=i) al from m3),
+un as (select document_id, engine_id, line_index, generate_subscripts(al,1)-1 as pos, unnest(al) q from fl)
+select document_id, engine_id, line_index, cast(pos as int) as no, q.f as field, q.v as value, q.l as label from un""")
 def value_table_map(s, sf):
     d = fintable.next_of(_classified(s, sf).select("document_id", "engine_id", "line_index", "text", "section", "n_lines"))
     t = fintable.tables(lines.with_next(d, 3, ["section", "normal", "text", "has_columns"]))
