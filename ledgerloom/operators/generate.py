@@ -317,7 +317,8 @@ def built(rows: DataFrame) -> DataFrame:
 
 
 def candidates_from_lines(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """Every candidate of classified lines."""
+    """Every candidate of classified lines, which are written once: three ways lead on from them."""
+    lines = cut(lines)
     df = prepared(lines, config)
     return built(from_labels(df, config).unionByName(from_patterns(df)).unionByName(from_tables(df)))
 
