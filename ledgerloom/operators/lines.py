@@ -223,7 +223,9 @@ def classify_sections(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", section string, section_confidence double, section_rule string"
     ready = scored.join(begins, key, "left").withColumn("state", F.coalesce("state", F.lit(STATES.index(START))))
     ready = ready.select(*dict.fromkeys([*key, "line_index", *keep, *FEATURES, "state"]))
-    out = ready.repartition(*key).sortWithinPartitions(*key, "line_index").mapInArrow(run, schema)
+    # a shuffle of its own: one by the join's keys would be left out, and adaptive execution may spread the join's rows anew
+    own = ready.repartition(F.xxhash64(*key))
+    out = own.sortWithinPartitions(*key, "line_index").mapInArrow(run, schema)
     # the phrases of a line's own section, then the rule that kept it elsewhere
     rule = F.when(F.col("section_rule") != "", F.array("section_rule")).otherwise(F.array().cast("array<string>"))
     return out.withColumn("section_reasons", F.array_distinct(F.concat("section_phrases", rule))).drop("section_phrases")
