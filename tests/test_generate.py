@@ -85,3 +85,10 @@ def test_long_documents_are_cut_without_loss(spark, monkeypatch):
 
 def test_without_elements(spark):
     assert generate.candidates(elements(spark, {"a": [" "]}).filter(F.lit(False))).count() == 0
+
+
+def test_fold_has_a_shuffle_of_its_own(spark):
+    li = lines.classify_sections(lines.build_lines(elements(spark, {"a": ["Número da Nota|1"]})))
+    plan = li._jdf.queryExecution().executedPlan().toString()
+    fold = plan[plan.index("MapInArrow run") :]
+    assert fold.index("Exchange hashpartitioning") < fold.index("Join"), "adaptive execution may spread the rows of a join anew"
