@@ -1,8 +1,9 @@
 """Problem 8: passages of held-out items inside a corpus.
 
 A set join with a prefix filter. Texts are sets of three-word shingles in bare lower case. Only an item's
-own shingles count (those of exactly one item text: shared instructions, notices and stock phrases drop out;
-items of equal words are one text, and each of them is reported). They are ordered by rarity in the corpus; of
+own shingles count: those of one item text, or of several that are versions of one (see `versions`; each of them
+is reported). Shared instructions, notices and stock phrases stand in texts of other content and drop out. Items of
+equal words are one text, and each of them is reported. Shingles are ordered by rarity in the corpus; of
 every item-sized window all but its `need` - 1 most frequent shingles are the prefix, and a document that
 shares `need` shingles of a window has one of its prefix. Pairs that pass are bounded by length (distinct
 shared shingles) and by position (as many of them must follow each other in the item's order: the longest
@@ -14,7 +15,7 @@ the corpus is never shuffled, only (shingle, count) and the found pairs are.
 
 Odd input: null, empty and blank documents contain nothing; items too short for `words` words, or without
 own shingles, are found nowhere; very long texts are read whole; repeated documents count each; an item_id
-given twice with one text is one item.
+given twice, with one text or with two, is one item.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from .unicode_forms import Tables, decode, normalize
 SIZE = 3
 WORDS = 20
 NEED = 6
+ALIKE = 0.4  # of a text's shingles; as many are left when every fifth word has been changed
 MOST_CHARS = 10_000_000
 SLICE = 1_000_000  # characters that are held as numbers at once
 _M1, _M2, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -105,7 +107,7 @@ class Items:
     """Distinct item texts as arrays: their ids, tokens, words and own shingles."""
 
     def __init__(self, ids: list[list[int]], texts: list[str], own: np.ndarray) -> None:
-        """ids: the items of each text; own: sorted shingles that exactly one text of the whole benchmark has."""
+        """ids: the items of each text; own: sorted shingles that only one text of the whole benchmark, or versions of one, have."""
         self.ids = ids
         got = [item_tokens(t) for t in texts]
         self.tok, self.word, self.count = [g[0] for g in got], [g[1] for g in got], [g[2] for g in got]
@@ -115,14 +117,24 @@ class Items:
         # where in its item an own shingle stands first
         place = [np.array([int(np.argmax(s == k)) for k in m], np.int64) for s, m in zip(self.sh, mine)]
         keys = np.concatenate(mine) if mine else np.zeros(0, np.uint64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
+        order = np.argsort(keys, kind="stable")
+        # one number for each key; its texts, in rising order, are the places begin[number] to begin[number + 1] of who and place
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.begin = np.append(first, len(keys)).astype(np.int64)
         self.who = (np.concatenate(who) if who else np.zeros(0, np.int32))[order]
         self.place = (np.concatenate(place) if place else np.zeros(0, np.int64))[order]
 
+    def of_texts(self, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the key numbers j, place in who) for every text that has the key."""
+        n = self.begin[j + 1] - self.begin[j]
+        which = np.repeat(np.arange(len(j)), n)
+        return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + self.begin[j][which]
+
     def prefix(self, freq: np.ndarray, need: int) -> np.ndarray:
-        """Which own shingles are in the prefix of some window of their item, given their corpus frequency."""
-        out = np.zeros(len(self.keys), bool)
+        """Which own shingles, by place in who, are in the prefix of some window of their item, given their keys' corpus frequency."""
+        out = np.zeros(len(self.who), bool)
+        # rising, as places are ordered by key and text
+        pair = np.repeat(np.arange(len(self.keys)), np.diff(self.begin)) * len(self.ids) + self.who
         for i, s in enumerate(self.sh):
             at = np.searchsorted(self.keys, s)
             at = np.minimum(at, max(0, len(self.keys) - 1))
@@ -135,11 +147,11 @@ class Items:
                 inside = np.unique(inside)
                 if len(inside) >= need:
                     order = np.lexsort((inside, freq[inside]))
-                    out[inside[order[: len(inside) - need + 1]]] = True
+                    out[np.searchsorted(pair, inside[order[: len(inside) - need + 1]] * len(self.ids) + i)] = True
         return out
 
     def in_order(self, j: np.ndarray) -> int:
-        """The most shared shingles (numbers j, in the document's order) that follow each other in their item's order."""
+        """The most shared shingles (places j in who, in the document's order) that follow each other in their item's order."""
         ends: list[int] = []
         for p in self.place[j].tolist():
             k = bisect_left(ends, p)
@@ -228,7 +240,7 @@ def _chained(blocks: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
 
 
 def matches(arr: pa.Array, items: Items) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, tokens, row starts, token positions of own shingles, their numbers) by slices of a batch."""
+    """(first row, tokens, row starts, token positions of own shingles, their keys' numbers) by slices of a batch."""
     for at, part in slices(arr):
         h, start = tokens(part)
         s = shingles(h)
@@ -243,35 +255,98 @@ def matches(arr: pa.Array, items: Items) -> Iterator[tuple[int, np.ndarray, np.n
             yield at, h, start, pos, j[pos]
 
 
-def item_parts(benchmark: DataFrame, item: str, most: int) -> Iterator[Items]:
+def item_words(text: str) -> tuple[list[int], list[int], list[int]]:
+    """Hashes of the distinct words of an item: of all, of numbers and codes, of words with a capital that begin no sentence or line."""
+    said: dict[str, int] = {}  # 1: number or code, 2: name
+    for line in normalize(pa.array([text], pa.large_string()))[0][0].as_py().splitlines():
+        inside = False
+        for w in line.split():
+            kind = 1 if any(c.isdigit() for c in w) else 2 if inside and any(c.isupper() for c in w) else 0
+            said[w] = said.get(w, 0) | kind
+            inside = w[-1] not in ".!?:;"
+    h, start = tokens(pa.array(list(said), pa.large_string()))
+    every, numbers, names = set(), set(), set()
+    for kind, a, b in zip(said.values(), start[:-1].tolist(), start[1:].tolist()):
+        if a < b:
+            key = int.from_bytes(hashlib.sha256(h[a:b].tobytes()).digest()[:8], "little", signed=True)
+            every.add(key)
+            if kind & 1:
+                numbers.add(key)
+            if kind & 2:
+                names.add(key)
+    return sorted(every), sorted(numbers), sorted(names)
+
+
+def versions(a: dict[str, np.ndarray], b: dict[str, np.ndarray], need: int) -> bool:
+    """Is text a, the shorter one, a version of text b?
+
+    It is where both are texts of one item. Otherwise b must have `ALIKE` of its shingles. If then no window of a has `need`
+    shingles that b lacks, nothing could tell the two apart. Where they can be told apart, half of its numbers and codes and half
+    of its names must be in b: common wording with other numbers, codes and names makes no versions.
+    """
+    if np.isin(a["ids"], b["ids"]).any():
+        return True
+    keys, first = np.unique(a["run"], return_index=True)
+    apart = ~np.isin(keys, b["run"])
+    if len(keys) - apart.sum() < ALIKE * len(keys):
+        return False
+    at = np.sort(a["at"][first[apart]])
+    if (np.searchsorted(at, at + WORDS) - np.arange(len(at)) < need).all():
+        return True
+    return all(2 * np.isin(a[c], b["words"]).sum() >= len(a[c]) for c in ("numbers", "names"))
+
+
+def item_parts(benchmark: DataFrame, item: str, most: int, need: int = NEED) -> Iterator[Items]:
     """The benchmark in parts of about `most` characters (a longer item is a part of its own).
 
-    Which shingles are own is settled over all parts: a shingle of two texts of different parts is nobody's.
+    Which shingles are own is settled over all parts: those of one text, and those of several texts if every one is a version
+    of the longest of them; a shingle of two texts of other content is nobody's.
     """
     rows = benchmark.select(F.col(item).cast("long").alias("item"), F.coalesce("text", F.lit("")).alias("text"))
+    lists = ["run", "at", "words", "numbers", "names"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            same, key = [], []
+            same, got = [], []
             for t in b.column(1).to_pylist():
-                h = item_tokens(t)[0]
-                same.append(hashlib.sha256(h.tobytes()).hexdigest())
-                key.append(np.unique(shingles(h)).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.string()), b.column(1), pa.array(key, pa.list_(pa.int64()))], names=["item", "same", "text", "keys"])
+                h, word, _ = item_tokens(t)
+                run = shingles(h).view(np.int64)
+                # equal tokens that blanks part otherwise are other words: a text of its own
+                same.append(hashlib.sha256(h.tobytes() + word.tobytes()).hexdigest())
+                got.append([run, word[: len(run)], *item_words(t)])
+            more = [pa.array([g[k] for g in got], pa.list_(pa.int64())) for k in range(len(lists))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.string()), b.column(1), *more], names=["item", "same", "text", *lists])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            two = [{c.name: b.column(side).field(c.name) for c in b.column(side).type} for side in ("a", "b")]
+            keep = [not versions(*({c: np.asarray(v[k].values) for c, v in t.items()} for t in two), need) for k in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column("same"), b.column("top")], names=["same", "top"]).filter(pa.array(keep, pa.bool_()))
 
-    texts = rows.mapInArrow(cut, "item long, same string, text string, keys array<long>").groupBy("same").agg(F.array_sort(F.collect_set("item")).alias("ids"), F.min_by("text", "item").alias("text"), F.min_by("keys", "item").alias("keys"))
+    texts = rows.mapInArrow(cut, "item long, same string, text string" + "".join(f", {c} array<long>" for c in lists))
+    texts = texts.groupBy("same").agg(F.array_sort(F.collect_set("item")).alias("ids"), F.min_by(F.struct("text", *lists), "item").alias("first")).select("same", "ids", "first.*")
     texts = checkpointed(texts)
     chars, n = texts.agg(F.sum(F.length("text")), F.count("*")).first()
     parts = max(1, min(-(-(chars or 0) // most), n))
-    part = F.pmod(F.xxhash64("same"), F.lit(parts)).cast("int")
-    single = texts.select("same", F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"), F.min("same").alias("same")).filter("n = 1").select("key", part.alias("part"))
+    part = F.pmod(F.xxhash64("same"), F.lit(parts)).cast("int").alias("part")
+    held = texts.select("same", F.array_distinct("run").alias("keys")).select("same", F.size("keys").alias("size"), F.explode("keys").alias("key"))
+    tops = held.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("size", "same"))["same"].alias("top"))
+    shared = checkpointed(held.join(tops.filter("n > 1"), "key").select("key", "same", "top"))
+    # a text is compared with the longest one only: a notice of all items is no join of all with all
+    beside = shared.filter("same <> top").select("same", "top").distinct()
+    a = texts.select("same", F.struct("ids", "run", "at", "numbers", "names").alias("a"))
+    b = texts.select(F.col("same").alias("top"), F.struct("ids", "run", "words").alias("b"))
+    other = beside.join(a, "same").join(b, "top").mapInArrow(others, "same string, top string")
+    common = shared.join(other, ["same", "top"]).select("key").distinct()
+    single = tops.filter("n = 1").select("key", F.col("top").alias("same"))
+    own = single.unionByName(shared.join(common, "key", "left_anti").select("key", "same")).select("key", part).distinct()
     if parts > 1:
-        single = checkpointed(single)
+        own = checkpointed(own)
     for p in range(parts):
-        got = texts.withColumn("part", part).filter(F.col("part") == p).select("ids", "text").collect()
-        own = np.sort(np.array([r[0] for r in single.filter(F.col("part") == p).select("key").collect()], np.int64).view(np.uint64))
+        got = texts.select("ids", "text", part).filter(F.col("part") == p).select("ids", "text").collect()
+        keys = np.sort(np.array([r[0] for r in own.filter(F.col("part") == p).select("key").collect()], np.int64).view(np.uint64))
         got.sort(key=lambda r: r[0])
-        yield Items([list(r[0]) for r in got], [r[1] for r in got], own)
+        yield Items([list(r[0]) for r in got], [r[1] for r in got], keys)
 
 
 def found(corpus: DataFrame, benchmark: DataFrame, words: int = WORDS, need: int = NEED, doc: str = "doc_id", item: str = "item_id", most: int = MOST_CHARS) -> DataFrame:
@@ -281,10 +356,10 @@ def found(corpus: DataFrame, benchmark: DataFrame, words: int = WORDS, need: int
     """
     out: DataFrame | None = None
     texts = corpus.select(F.col(doc).cast("long").alias("doc_id"), "text").filter("text is not null")
-    for items in item_parts(benchmark, item, most):
+    for items in item_parts(benchmark, item, most, need):
         got = _search(texts, items, words, need)
         out = got if out is None else checkpointed(out.unionByName(got))
-    return out
+    return out.distinct()  # an item of two texts is found once
 
 
 def _search(texts: DataFrame, items: Items, words: int, need: int) -> DataFrame:
@@ -315,6 +390,8 @@ def _search(texts: DataFrame, items: Items, words: int, need: int) -> DataFrame:
             who: list[int] = []
             for at, h, start, pos, j in matches(arrow_text(b.column(1)), it):
                 row = np.searchsorted(start, pos, side="right") - 1
+                which, j = it.of_texts(j)
+                row, pos = row[which], pos[which]
                 pair = row.astype(np.int64) * len(it.ids) + it.who[j]
                 order = np.argsort(pair, kind="stable")
                 keys, begin, n = np.unique(pair[order], return_index=True, return_counts=True)

@@ -226,6 +226,32 @@ def test_leakage_of_equal_items_and_parts(spark):
         assert set(rows) == want and len(rows) == len(want)
 
 
+def test_leakage_of_versions_of_one_text(spark):
+    a, b, c, d, e, f = (item(k) for k in range(11, 17))
+    note = "Este documento foi gerado para conferencia interna e nao substitui a nota original que deve ser guardada pelo prazo previsto na lei."
+    form = "na conferencia da nota {} o auditor apontou {} campos vazios e o saldo de {} reais foi levado ao processo {} que a revisora guardou na pagina {} do lote {} para {} dias de consulta do setor"
+    fill = lambda k: form.format(*(f"{x}{k}" for x in range(71, 78)))
+    bench = [
+        (1, " ".join(a)), (2, " ".join(a[:30] + ["outra"] + a[31:])),  # one word is another
+        (3, " ".join(b[:30])), (4, " ".join(b[:30] + c)),  # one stands in the other
+        (5, "Leia o texto e responda.\n" + " ".join(d[:40]) + "\n" + note), (6, " ".join(d[:40]) + " qual era o valor pago no mes seguinte?"),  # other questions
+        (7, " ".join(e[:25] + f[:30])), (7, " ".join(e[:25] + f[30:])),  # one item, two texts
+        (8, ".".join(e[30:55])), (9, " ".join(e[30:55])),  # equal tokens; one word, and twenty-five
+        (10, fill(1)), (11, fill(2)), (12, note + " " + " ".join(item(17))),
+        (13, "quando o rio Tejo sobe a ponte velha fecha e os barcos esperam na margem de pedra ate que a agua baixe de novo em 1987 por tres dias"),
+        (14, "quando o rio Douro sobe a ponte velha fecha e os barcos esperam na margem de pedra ate que a agua baixe de novo em 2004 por tres dias"),  # too far from each other to tell them apart by
+    ]
+    docs = [
+        (1, " ".join(a)), (2, " ".join(b[:25])), (3, " ".join(c[:25])), (4, " ".join(d[5:35])), (5, " ".join(e[:25])), (6, " ".join(e[30:55])),
+        (7, fill(1)), (8, fill(3)), (9, note), (10, bench[-2][1]), (11, " ".join(f[:30] + e[:25] + f[30:])),
+    ]
+    x, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    want = {(1, 1), (1, 2), (2, 3), (2, 4), (3, 4), (4, 5), (4, 6), (5, 7), (6, 9), (7, 10), (10, 13), (10, 14), (11, 7)}
+    for most in (10_000_000, 700):
+        rows = [tuple(r) for r in leakage.found(x, q, most=most).collect()]
+        assert set(rows) == want and len(rows) == len(want)
+
+
 def test_chain_brute_force():
     rnd = random.Random(6)
     for _ in range(300):
