@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .dictionary import DEFAULT, Config
-from .text import norm, tokens
+from .text import let, norm, tokens
 from .values import document_mask, first_match
 
 # Forms of values.
@@ -62,7 +62,7 @@ def registration(v: Column) -> Column:
     """A municipal registration; what follows a label of the state's is cut off."""
     v = F.trim(_head(v, r"(?i)\b(?:insc\.?\s*estadual|inscricao\s+estadual|estadual)\b"))
     m = first_match(v, r"(?i)\b(?:isento|[A-Z0-9][A-Z0-9.\-/]{1,20})\b")
-    return F.when(F.lower(m) == "isento", F.upper(m)).otherwise(F.regexp_replace(m, r"^[ .:\-]+|[ .:\-]+$", ""))
+    return let(m, lambda m: F.when(F.lower(m) == "isento", F.upper(m)).otherwise(F.regexp_replace(m, r"^[ .:\-]+|[ .:\-]+$", "")))
 
 
 def party_name(v: Column) -> Column:
@@ -71,7 +71,7 @@ def party_name(v: Column) -> Column:
     v = F.regexp_replace(v, r"\b\d{11,14}\b$", "")
     v = F.regexp_replace(v, r"[\s:,\-]+\d[\d.\s]*$", "")
     v = F.regexp_replace(F.regexp_replace(v, r"(?U)\s+", " "), r"^[ :\-,\t\r\n]+|[ :\-,\t\r\n]+$", "")
-    return F.when(F.size(tokens(norm(v))) >= 2, v)
+    return let(v, lambda v: F.when(F.size(tokens(norm(v))) >= 2, v))
 
 
 def inline_party_name(line: Column) -> Column:
@@ -99,14 +99,16 @@ def competence(v: Column) -> Column:
 
 def service_code(v: Column) -> Column:
     """The first of four forms whose first match is no part of a number, no law and no year."""
-    law = norm(v).contains("lei complementar")
 
     def one(p: str) -> Column:
-        code, after = F.regexp_extract(v, f"({p})(.?)", 1), F.regexp_extract(v, f"({p})(.?)", 2)
-        year = code.rlike(r"^\d+$") & code.try_cast("int").between(1900, 2099)
-        return F.when((code != "") & ~after.isin(",", "/", ".") & ~((code == "116") & law) & ~year, code)
+        def good(m: Column) -> Column:
+            code, after = m["code"], m["after"]
+            year = code.rlike(r"^\d+$") & code.try_cast("int").between(1900, 2099)
+            return F.when((code != "") & ~after.isin(",", "/", ".") & ~((code == "116") & norm(v).contains("lei complementar")) & ~year, code)
 
-    return F.coalesce(*[one(p) for p in SERVICE_CODES])
+        return let(F.struct(F.regexp_extract(v, f"({p})(.?)", 1).alias("code"), F.regexp_extract(v, f"({p})(.?)", 2).alias("after")), good)
+
+    return F.when(v.rlike(r"\d(?:\d|\.)\d"), F.coalesce(*[one(p) for p in SERVICE_CODES]))  # each form has that
 
 
 def money_values(v: Column) -> Column:
@@ -128,9 +130,9 @@ def is_zero(v: Column) -> Column:
 def valid_code(code: Column) -> Column:
     """Has a digit and five signs, is more than digits unless parted by hyphens, and no part is an ordinary word."""
     plain = lambda x: F.upper(F.replace(norm(x), F.lit(" "), F.lit("")))
-    n = plain(code)
     words = F.exists(F.split(code, "-"), lambda x: plain(x).isin(NO_CODE))
-    return ~n.isin(NO_CODE) & ~words & (F.length(n) >= 5) & n.rlike(r"\d") & ~n.rlike(r"^\d+$") & (code.contains("-") | n.rlike("[A-Z]"))
+    good = lambda n: (F.length(n) >= 5) & n.rlike(r"\d") & ~n.rlike(r"^\d+$") & (code.contains("-") | n.rlike("[A-Z]")) & ~n.isin(NO_CODE)
+    return let(plain(code), good) & ~words
 
 
 def verification_code(v: Column) -> Column:
@@ -143,15 +145,18 @@ def verification_code(v: Column) -> Column:
 def note_number(v: Column) -> Column:
     """The last plain number before a date; numbers with points only where there is no other."""
     date = first_match(v, DATE)
-    v = F.when(date.isNotNull(), F.trim(F.substring(v, F.lit(1), F.position(date, v) - 1))).otherwise(v)
-    every = F.regexp_extract_all(v, F.lit(r"\b\d[\d.]{0,11}\b"), 0)
-    plain = F.filter(every, lambda x: x.rlike(r"^\d+$"))
-    return F.when((v != "") & ~v.contains("/"), F.coalesce(F.try_element_at(plain, F.lit(-1)), F.try_element_at(every, F.lit(-1))))
+    before = let(date, lambda d: F.when(d.isNotNull(), F.trim(F.substring(v, F.lit(1), F.position(d, v) - 1))).otherwise(v))
+
+    def last(v: Column) -> Column:
+        every = F.regexp_extract_all(v, F.lit(r"\b\d[\d.]{0,11}\b"), 0)
+        of = lambda every: F.coalesce(F.try_element_at(F.filter(every, lambda x: x.rlike(r"^\d+$")), F.lit(-1)), F.try_element_at(every, F.lit(-1)))
+        return F.when((v != "") & ~v.contains("/"), let(every, of))
 
+    return let(before, last)
 
-def _noise(name: str, normal: Column, value: Column) -> Column:
-    """Is a service text no such text?"""
-    toks = tokens(normal)
+
+def _noise(name: str, normal: Column, value: Column, toks: Column) -> Column:
+    """Is a service text, given with its words, no such text?"""
     letters = F.length(F.array_join(toks, ""))
     if name == "service_description":
         short = F.size(toks) < 3
@@ -171,11 +176,10 @@ def service_text(name: str, v: Column) -> Column:
     v = F.regexp_replace(_head(v, TEXT_STOPS[name]), EDGE, "")
     if name == "service_city":
         v = F.regexp_replace(F.regexp_replace(v, r"^\d{3,5}\s+", ""), EDGE, "")
-    n = norm(v)
-    ok = (n != "") & ~n.isin(HEADINGS) & ~_noise(name, n, v)
-    if name == "service_city":
-        v = F.replace(F.regexp_replace(v, r"\s*!\s*", "/"), F.lit(" - "), F.lit("/"))
-    return F.when(ok, v)
+    out = (lambda v: F.replace(F.regexp_replace(v, r"\s*!\s*", "/"), F.lit(" - "), F.lit("/"))) if name == "service_city" else (lambda v: v)
+    noise = lambda n, v: let(tokens(n), lambda toks: _noise(name, n, v, toks))
+    ok = lambda n, v: (n != "") & ~n.isin(HEADINGS) & ~noise(n, v)
+    return let(v, lambda v: F.when(let(norm(v), lambda n: ok(n, v)), out(v)))
 
 
 def repaired_email(v: Column) -> Column:
@@ -190,9 +194,8 @@ def repaired_email(v: Column) -> Column:
 
 def typed(name: Column, value: Column, config: Config = DEFAULT) -> Column:
     """The value of a field in a text by the field's kind; the text itself for fields of free text; null where it has none."""
-    v = cleaned(value)
     ends = lambda x: name.endswith(x)
-    return F.when(v != "", (
+    return let(cleaned(value), lambda v: F.when(v != "", (
         F.when(ends("_document"), document(v))
         .when(ends("_municipal_registration"), registration(v))
         .when(name.isin("provider_name", "recipient_name"), party_name(v))
@@ -210,4 +213,4 @@ def typed(name: Column, value: Column, config: Config = DEFAULT) -> Column:
         .when(name == "verification_code", verification_code(v))
         .when(name == "nfse_number", note_number(v))
         .otherwise(v)
-    ))
+    )))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ PLAIN_FROM = "".join(_FROM) + "ºª²³¹"
 PLAIN_TO = "".join(unicodedata.normalize("NFKD", c)[0] for c in _FROM) + "oa231"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once and not written out again at each of its uses."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def plain(c: Column) -> Column:
     """Lower case without accents and compatibility forms."""
     return F.lower(F.translate(F.regexp_replace(c, r"\p{Mn}", ""), PLAIN_FROM, PLAIN_TO))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.extract import HEADINGS, is_zero, says
-from ..functions.text import norm
+from ..functions.text import let, norm
 
 # Labels of columns; a column without a field holds a place.
 LABELS = [
@@ -46,13 +46,16 @@ def columns_of(normal: Column, specs: list[tuple[str | None, str]] = LABELS) ->
     for i, (name, label) in enumerate(ranked):
         by_first.setdefault(label.split()[0], []).append(F.struct(F.lit(i).alias("rank"), F.lit(name).cast("string").alias("field"), F.lit(label).alias("label"), F.lit(len(label.split())).alias("n")))
     table = F.create_map(*[y for w, xs in by_first.items() for y in (F.lit(w), F.array(*xs))])
-    words = F.split(normal, " ")
 
-    def at(word: Column, i: Column) -> Column:
-        fits = F.filter(F.coalesce(F.try_element_at(table, word), F.array().cast("array<struct<rank:int,field:string,label:string,n:int>>")), lambda x: F.array_join(F.slice(words, i + 1, x["n"]), " ") == x["label"])
-        return F.transform(fits, lambda x: F.struct(x["rank"].alias("rank"), i.alias("start"), (i + x["n"]).alias("stop"), x["field"].alias("field"), x["label"].alias("label")))
+    def hits_of(words: Column) -> Column:
+        def at(b: Column) -> Column:
+            fits = F.filter(F.coalesce(F.try_element_at(table, b["word"]), F.array().cast("array<struct<rank:int,field:string,label:string,n:int>>")), lambda x: F.array_join(F.slice(words, b["i"] + 1, x["n"]), " ") == x["label"])
+            return F.transform(fits, lambda x: F.struct(x["rank"].alias("rank"), b["i"].alias("start"), (b["i"] + x["n"]).alias("stop"), x["field"].alias("field"), x["label"].alias("label")))
 
-    hits = F.array_sort(F.flatten(F.transform(words, at)))
+        begins = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("i"))), lambda b: b["word"].isin(list(by_first)))
+        return F.flatten(F.transform(begins, at))
+
+    hits = F.array_sort(let(F.split(normal, " "), hits_of))
     free = lambda acc, h: ~F.exists(acc, lambda a: (a["start"] < h["stop"]) & (h["start"] < a["stop"]))
     one = lambda h: F.struct(h["start"].alias("start"), h["stop"].alias("stop"), h["field"].alias("field"), h["label"].alias("label"))
     placed = F.aggregate(hits, F.array().cast("array<struct<start:int,stop:int,field:string,label:string>>"), lambda acc, h: F.when(free(acc, h), F.array_append(acc, one(h))).otherwise(acc))
@@ -181,7 +184,8 @@ def tables(lines: DataFrame) -> DataFrame:
 
 def next_of(df: DataFrame) -> DataFrame:
     """Normal text and column flag of lines, as with_next needs them."""
-    df = df.withColumn("normal", norm(F.col("text"))).withColumn("fin_columns", F.when(F.col("section") == "values", columns_of(F.col("normal"))).otherwise(F.array().cast(HIT)))
+    df = df if "normal" in df.columns else df.withColumn("normal", norm(F.col("text")))
+    df = df.withColumn("fin_columns", F.when(F.col("section") == "values", columns_of(F.col("normal"))).otherwise(F.array().cast(HIT)))
     return df.withColumn("has_columns", F.size("fin_columns") > 0)
 
 

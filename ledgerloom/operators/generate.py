@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import extract as X
 from ..functions.dictionary import DEFAULT, Config
-from ..functions.text import norm, tokens
+from ..functions.text import let, norm, tokens
 from ..functions.values import all_matches, clamp, document_mask
 from ..sources.shared import cut
 from . import candidates as C
@@ -80,15 +80,15 @@ def party_at(section: Column, words: Column, at: Column, party_label: Column) ->
     """
     p, r = _last_at(words, "prestador", at), _last_at(words, "tomador", at)
     first = F.array_position(words, "tomador").cast("int") - 1
-    by = F.when(p > r, "provider").when(r > p, "recipient").when((section == "recipient") & (first > at) & party_label, "provider").otherwise(section)
-    return F.when(section.isin("provider", "recipient"), by).otherwise(section)
+    by = lambda x: F.when(x["p"] > x["r"], "provider").when(x["r"] > x["p"], "recipient").when((section == "recipient") & (first > at) & party_label, "provider").otherwise(section)
+    return F.when(section.isin("provider", "recipient"), let(F.struct(p.alias("p"), r.alias("r")), by)).otherwise(section)
 
 
 def label_hits(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """lines with labels: array of (field, label, stop, n) - one a field, by the word where the label ends.
 
     stop counts the elements (words) of the line. Words are looked up by the first word of a label, so no line meets
-    every label; of a label's places the first counts. A field keeps the label that ends last; service texts the
+    every label, and the elements are taken apart only where one stands; of a label's places the first counts. A field keeps the label that ends last; service texts the
     longest label, then the one that ends first.
     """
     by_first: dict[str, list[Column]] = {}
@@ -97,17 +97,20 @@ def label_hits(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
         by_first.setdefault(words.split()[0], []).append(entry)
     table = F.create_map(*[y for w, xs in by_first.items() for y in (F.lit(w), F.array(*xs))])
     entry_type = "array<struct<rank:int,field:string,label:string,words:string,n:int,what:string>>"
-    df = lines.withColumn("_t", F.flatten(F.transform("words", lambda w, i: F.transform(tokens(norm(w["text"])), lambda t: F.struct(t.alias("t"), i.alias("i"))))))
-    df = df.withColumn("_w", F.transform("_t", lambda x: x["t"]))
+    normal = F.col("normal") if "normal" in lines.columns else norm(F.col("text"))
+    df = lines.withColumn("_w", tokens(normal))
+    begins = F.filter(F.transform("_w", lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda x: x["t"].isin(list(by_first)))
     fits = lambda t, i: F.filter(F.coalesce(F.try_element_at(table, t), F.array().cast(entry_type)), lambda x: F.array_join(F.slice(F.col("_w"), i + 1, x["n"]), " ") == x["words"])
-    df = df.withColumn("_h", F.flatten(F.transform("_w", lambda t, i: F.transform(fits(t, i), lambda x: F.struct(x["rank"].alias("rank"), i.alias("at"), x.alias("x"))))))
+    df = df.withColumn("_h", F.flatten(F.transform(begins, lambda b: F.transform(fits(b["t"], b["i"]), lambda x: F.struct(x["rank"].alias("rank"), b["i"].alias("at"), x.alias("x"))))))
+    at = F.flatten(F.transform("words", lambda w, i: F.transform(tokens(norm(w["text"])), lambda t: i)))
+    df = df.withColumn("_t", F.when(F.size("_h") > 0, at))
     df = df.withColumn("_k", F.transform("_h", lambda h: h["rank"]))
     df = df.withColumn("_h", F.array_sort(F.filter("_h", lambda h, i: F.array_position(F.col("_k"), h["rank"]) == i + 1)))
 
     def scoped(h: Column) -> Column:
         party = party_at(F.col("section"), F.col("_w"), h["at"], h["x"]["what"].isNotNull())
-        own = F.when(h["x"]["what"].isNotNull() & party.isin("provider", "recipient"), F.concat(party, F.lit("_"), h["x"]["what"]))
-        stop = F.element_at("_t", h["at"] + h["x"]["n"])["i"]
+        own = F.when(h["x"]["what"].isNotNull(), let(party, lambda p: F.when(p.isin("provider", "recipient"), F.concat(p, F.lit("_"), h["x"]["what"]))))
+        stop = F.element_at("_t", h["at"] + h["x"]["n"])
         return F.struct(F.coalesce(own, h["x"]["field"]).alias("field"), h["x"]["label"].alias("label"), stop.cast("int").alias("stop"), h["x"]["n"].alias("n"), h["rank"].alias("rank"))
 
     df = df.withColumn("_m", F.filter(F.transform("_h", scoped), lambda m: m["field"].isNotNull()))
@@ -120,26 +123,28 @@ def label_hits(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
         return F.struct(top["stop"].alias("stop"), F.array_min(F.transform(mine, lambda m: m["rank"])).alias("first"), f.alias("field"), top["label"].alias("label"), top["n"].alias("n"))
 
     fields = F.array_distinct(F.transform("_m", lambda m: m["field"]))
-    return df.withColumn("labels", F.array_sort(F.transform(fields, best))).drop("_t", "_h", "_k", "_m")
+    return df.withColumn("labels", F.array_sort(F.transform(fields, best))).drop("_t", "_w", "_h", "_k", "_m")
+
+
+def labelled(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """Classified lines with their labels, normal text and columns of value tables."""
+    return label_hits(fintable.next_of(lines), config)
 
 
 def prepared(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """Classified lines with what the steps need of them, of their labels and of the next six lines."""
-    t = F.col("text")
-    df = fintable.next_of(lines)
-    code = X.service_code(t)
-    n = F.col("normal")
-    told = X.says(n, X.CODE_CONTEXT)
-    begins = F.regexp_replace(t, r"^[ (]+", "").startswith(code)
-    code_line = code.isNotNull() & (told | begins & (code.contains(".") | ~t.rlike(X.MONEY) & (F.length(code) == 4) & (F.size(tokens(n)) >= 4)))
-    df = df.withColumns({
-        "near_date": X.typed(F.lit("issue_date"), t, config), "near_code": X.verification_code(t), "near_nature": X.typed(F.lit("operation_nature"), t, config),
-        "near_service": F.when(code_line, code), "near_number": X.typed(F.lit("nfse_number"), t, config),
-        "near_money": X.money_values(t), "near_rate": all_matches(t, X.RATE),
-    })
-    df = label_hits(df, config)
-    seen = ["line_index", "section", "normal", "text", "words", "has_columns", "near_date", "near_code", "near_nature", "near_service", "near_number", "near_money", "near_rate"]
-    return fintable.tables(with_next(df, 6, seen))
+    """Classified or labelled lines with the next six lines and mapped value tables. What a step wants of a next line's text it works out itself: few lines need it."""
+    df = lines if "labels" in lines.columns else labelled(lines, config)
+    return fintable.tables(with_next(df, 6, ["line_index", "section", "normal", "text", "words", "has_columns"]))
+
+
+def near_code_of(text: Column, normal: Column) -> Column:
+    """The service code of a line that tells of one or begins with it."""
+
+    def told(code: Column) -> Column:
+        begins = F.regexp_replace(text, r"^[ (]+", "").startswith(code)
+        return F.when(code.isNotNull() & (X.says(normal, X.CODE_CONTEXT) | begins & (code.contains(".") | ~text.rlike(X.MONEY) & (F.length(code) == 4) & (F.size(tokens(normal)) >= 4))), code)
+
+    return let(X.service_code(text), told)
 
 
 def described(next_lines: Column, header: Column) -> Column:
@@ -152,33 +157,31 @@ def described(next_lines: Column, header: Column) -> Column:
     start = F.struct(F.lit(False).alias("done"), F.array().cast(part).alias("parts"))
 
     def step(acc: Column, i: Column) -> Column:
-        x = F.get(next_lines, i)
-        toks = tokens(x["normal"])
-        money = x["text"].rlike(X.MONEY)
+        over = lambda x: F.when(acc["done"] | (x["section"] != "service"), F.struct(F.lit(True).alias("done"), acc["parts"].alias("parts")))
+        return let(F.get(next_lines, i), lambda x: over(x).otherwise(let(F.struct(tokens(x["normal"]).alias("toks"), x["text"].rlike(X.MONEY).alias("money")), lambda y: further(acc, i, x, y["toks"], y["money"]))))
+
+    def further(acc: Column, i: Column, x: Column, toks: Column, money: Column) -> Column:
         over = x["normal"].isin(X.HEADINGS) | (F.size(toks) < 3) | F.get(toks, F.lit(0)).isin(X.DESCRIPTION_STOPS)
         prefix = F.split(x["text"], X.MONEY, 2)[0]
-        ptoks = tokens(norm(prefix))
-        prose = ~F.exists(ptoks, lambda w: w.isin(X.DESCRIPTION_STOPS)) & (F.size(F.filter(ptoks, lambda w: w.rlike("^[a-z]{3,}$"))) >= 2)
-        ended = acc["done"] | (x["section"] != "service")
-        take = ~ended & ~over & (~money | (F.size(acc["parts"]) == 0) & prose)
-        parts = F.when(take, F.array_append(acc["parts"], F.struct(F.when(money, prefix).otherwise(x["text"]).alias("text"), i.alias("place")))).otherwise(acc["parts"])
-        return F.struct((ended | ~over & money | (F.size(parts) >= 3)).alias("done"), parts.alias("parts"))
+        prose = let(tokens(norm(prefix)), lambda ptoks: ~F.exists(ptoks, lambda w: w.isin(X.DESCRIPTION_STOPS)) & (F.size(F.filter(ptoks, lambda w: w.rlike("^[a-z]{3,}$"))) >= 2))
+        take = ~over & (~money | (F.size(acc["parts"]) == 0) & prose)
+        more = F.when(take, F.array_append(acc["parts"], F.struct(F.when(money, prefix).otherwise(x["text"]).alias("text"), i.alias("place")))).otherwise(acc["parts"])
+        return let(more, lambda parts: F.struct((~over & money | (F.size(parts) >= 3)).alias("done"), parts.alias("parts")))
 
     places = F.slice(F.array(*map(F.lit, range(6))), 1, F.size(next_lines))
     got = F.aggregate(places, start, step)["parts"]
     heads = X.says(header, ["descricao", "discriminacao", "servicos prestados"])
-    return F.when(heads & (F.size(got) > 0), got)
+    return F.when(heads, let(got, lambda g: F.when(F.size(g) > 0, g)))
 
 
 def acceptable(name: Column, value: Column) -> Column:
     """No heading; as a description no amount and no financial phrase."""
-    n = norm(value)
-    return ~n.isin(X.HEADINGS) & ((name != "service_description") | ~value.rlike(X.MONEY) & ~X.says(n, FINANCE_WORDS))
+    return let(norm(value), lambda n: ~n.isin(X.HEADINGS) & ((name != "service_description") | ~value.rlike(X.MONEY) & ~X.says(n, FINANCE_WORDS)))
 
 
 def from_labels(df: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """One row for each label of a line that gives a value: field_name, value, value_source, used (elements), label_text, boost."""
-    rows = df.filter("section <> 'ignored_billing'").select("*", F.posexplode("labels").alias("at", "label"))
+    rows = df.filter((F.col("section") != "ignored_billing") & (F.size("labels") > 0)).select("*", F.posexplode("labels").alias("at", "label"))
     f, t, nx = F.col("label.field"), F.col("text"), F.col("next")
     rows = rows.filter(~f.isin(SERVICE_ONLY) | F.col("section").isin("service", "values"))
     # what stands after the label: up to the next label's end, or the first element that begins with a stop word
@@ -196,48 +199,56 @@ def from_labels(df: DataFrame, config: Config = DEFAULT) -> DataFrame:
     rows = rows.withColumn("v2", F.when(F.col("v1").isNull() & f.endswith("_email"), X.repaired_email(F.col("raw_value"))))
     # within the whole line
     inline = (
-        F.when(f.endswith("_uf"), X.inline_state(t)).when(f.isin("provider_name", "recipient_name"), X.inline_party_name(t)).when(f == "nfse_number", F.col("near_number"))
+        F.when(f.endswith("_uf"), X.inline_state(t)).when(f.isin("provider_name", "recipient_name"), X.inline_party_name(t)).when(f == "nfse_number", X.typed(F.lit("nfse_number"), t, config))
         .when(f == "service_description", X.typed(f, t, config)).when(f == "verification_code", X.verification_code(F.regexp_replace(t, X.DATE, "")))
     )
     rows = rows.withColumn("v3", F.when(F.coalesce("v1", "v2").isNull(), inline))
     # a code over the next three, two or one lines
     joined = lambda k: F.when(F.size(nx) >= k, X.verification_code(F.array_join(F.transform(F.slice(nx, 1, k), lambda x: x["text"]), " ")))
-    none = F.coalesce("v1", "v2", "v3").isNull()
-    rows = rows.withColumns({f"w{k}": F.when(none & (f == "verification_code"), joined(k)) for k in (3, 2, 1)})
+    rows = rows.withColumn("_coded", F.coalesce("v1", "v2", "v3").isNull() & (f == "verification_code"))
+    rows = rows.withColumns({f"w{k}": F.when(F.col("_coded"), joined(k)) for k in (3, 2, 1)})
     rows = rows.withColumn("v4", F.coalesce("w3", "w2", "w1"))
     width = F.when(F.col("w3").isNotNull(), 3).when(F.col("w2").isNotNull(), 2).when(F.col("w1").isNotNull(), 1).otherwise(0)
     # the value table of this header, else the k-th value below the k-th label
     in_table = F.filter("mapped", lambda p: p["field"] == f)
     others = F.filter("labels", lambda x: F.when(f == "iss_rate", x["field"] == "iss_rate").otherwise(x["field"].isin(config.money_fields)))
-    place = F.array_position(F.transform(others, lambda x: x["field"]), f).cast("int")
     below = F.get(nx, F.lit(0))
-    values = F.when(f == "iss_rate", below["near_rate"]).otherwise(below["near_money"])
-    kth = F.when(F.size(values) >= F.size(others), F.get(values, place - 1))
+    rows = rows.withColumn("_none", F.coalesce("v1", "v2", "v3", "v4").isNull())
+    none = F.col("_none")
+    values = F.when(f == "iss_rate", all_matches(below["text"], X.RATE)).otherwise(X.money_values(below["text"]))
+    rows = rows.withColumn("_others", F.when(none & money, others))
+    others = F.col("_others")
+    place = F.array_position(F.transform(others, lambda x: x["field"]), f).cast("int")
+    rows = rows.withColumn("_kth", F.when(none & money & (F.size(nx) > 0) & (F.size("mapped") == 0), let(values, lambda v: F.when(F.size(v) >= F.size(others), F.get(v, place - 1)))))
+    kth = F.col("_kth")
     bare = (f == "deductions_amount") & ~X.is_zero(kth) & (norm(F.col("label.label")) == "deducoes")
     kth = F.when(~((f == "iss_rate") & ~kth.contains("%")) & ~bare, kth)
     table = F.when(F.size(nx) > 0, F.when(F.size("mapped") > 0, F.get(in_table, F.lit(0))["value"]).otherwise(kth))
-    none = F.coalesce("v1", "v2", "v3", "v4").isNull()
     rows = rows.withColumn("v5", F.when(none & money, table))
-    rows = rows.withColumn("v6", F.when(none & (f == "nfse_number") & (below["section"] != "ignored_billing"), below["near_number"]))
+    rows = rows.withColumn("v6", F.when(none & (f == "nfse_number") & (below["section"] != "ignored_billing"), X.typed(F.lit("nfse_number"), below["text"], config)))
 
     def near(x: Column) -> Column:
-        own = F.when(f == "issue_date", x["near_date"]).when(f == "verification_code", x["near_code"])
+        own = F.when(f == "issue_date", X.typed(F.lit("issue_date"), x["text"], config)).when(f == "verification_code", X.verification_code(x["text"]))
         service = x["section"].isin("service", "values") & ~x["normal"].isin(X.HEADINGS)
-        return F.when(x["section"] != "ignored_billing", F.coalesce(own, F.when(service, F.when(f == "operation_nature", x["near_nature"]).when(f == "service_code", x["near_service"]))))
+        told = F.when(f == "operation_nature", X.typed(F.lit("operation_nature"), x["text"], config)).when(f == "service_code", near_code_of(x["text"], x["normal"]))
+        return F.when(x["section"] != "ignored_billing", F.coalesce(own, F.when(service, told)))
 
-    found = F.transform(F.slice(nx, 1, 4), near)
-    rows = rows.withColumn("_near", F.when(none & f.isin(NEARBY), F.array_position(F.transform(found, lambda v: v.isNotNull()), True).cast("int")))
-    rows = rows.withColumn("v7", F.get(found, F.col("_near") - 1))
+    rows = rows.withColumn("_found", F.when(none & f.isin(NEARBY), F.transform(F.slice(nx, 1, 4), near)))
+    rows = rows.withColumn("_near", F.array_position(F.transform("_found", lambda v: v.isNotNull()), True).cast("int"))
+    rows = rows.withColumn("v7", F.get("_found", F.col("_near") - 1))
     rows = rows.withColumn("_desc", F.when(f == "service_description", described(nx, F.col("normal"))))
     text = X.typed(F.lit("service_description"), F.array_join(F.transform("_desc", lambda x: x["text"]), " "), config)
-    rows = rows.withColumn("v9", F.when(F.col("_desc").isNotNull() & acceptable(F.lit("service_description"), text), text))
+    rows = rows.withColumn("_text", F.when(F.col("_desc").isNotNull(), text))
+    rows = rows.withColumn("v9", F.when(acceptable(F.lit("service_description"), F.col("_text")), F.col("_text")))
     # a net amount that belongs to another label
-    head = F.split(t, r"(?iu)\bvalor\s+l[ií]quido\b", 2)
+    rows = rows.withColumn("_head", F.when(f == "net_amount", F.split(t, r"(?iu)\bvalor\s+l[ií]quido\b", 2)))
+    head = F.col("_head")
     rows = rows.withColumn("_value", F.coalesce("v1", "v2", "v3", "v4", "v5", "v6", "v7"))
     credit = (F.size(head) == 2) & (norm(F.get(head, F.lit(1))).startswith("do credito") | X.is_zero(F.col("_value")))
     earlier = F.try_element_at(F.filter(X.money_values(F.get(head, F.lit(0))), lambda v: ~X.is_zero(v)), F.lit(-1))
     rows = rows.withColumn("_value", F.when((f == "net_amount") & credit, F.coalesce(earlier, F.col("_value"))).otherwise(F.col("_value")))
-    good = F.col("_value").isNotNull() & acceptable(f, F.col("_value"))
+    rows = rows.withColumn("_good", F.col("_value").isNotNull() & acceptable(f, F.col("_value")))
+    good = F.col("_good")
     after_header = ~good & (f == "service_description") & F.col("v9").isNotNull()
     source = (
         F.when(after_header, "following_service_lines").when(F.col("v1").isNotNull(), "same_line").when(F.col("v2").isNotNull(), "ocr_corrected_email").when(F.col("v3").isNotNull(), "same_line")
@@ -293,6 +304,7 @@ def from_patterns(df: DataFrame) -> DataFrame:
 
 def from_tables(df: DataFrame) -> DataFrame:
     """A candidate for each mapped value of a value table, with the elements of its value lines."""
+    df = df.filter((F.col("section") == "values") & (F.size("fin_columns") >= 2))  # no other line heads a table
     rows = kept(df, F.size("mapped") > 0).withColumn("value_source", F.lit("financial_table")).select("*", F.posexplode("mapped").alias("no", "m")).withColumn("value", F.col("m.value"))
     used = F.flatten(F.transform("fin_lines", lambda i: F.get("next", i)["words"]))
     return _row(rows, F.col("m.field"), "m.label", used, 0.10, 1, F.col("no"))
@@ -317,10 +329,10 @@ def built(rows: DataFrame) -> DataFrame:
 
 
 def candidates_from_lines(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """Every candidate of classified lines, which are written once: three ways lead on from them."""
-    lines = cut(lines)
+    """Every candidate of classified lines, which are written once, with their labels: three ways lead on from them."""
+    lines = cut(labelled(lines, config))
     df = prepared(lines, config)
-    return built(from_labels(df, config).unionByName(from_patterns(df)).unionByName(from_tables(df)))
+    return built(from_labels(df, config).unionByName(from_patterns(lines)).unionByName(from_tables(df)))
 
 
 def chosen(found: DataFrame) -> DataFrame:

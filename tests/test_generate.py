@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import extract as X
 from ledgerloom.operators import generate, lines
 
 CASES = {
@@ -92,3 +93,30 @@ def test_fold_has_a_shuffle_of_its_own(spark):
     plan = li._jdf.queryExecution().executedPlan().toString()
     fold = plan[plan.index("MapInArrow run") :]
     assert fold.index("Exchange hashpartitioning") < fold.index("Join"), "adaptive execution may spread the rows of a join anew"
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def test_values_are_worked_out_once(spark):
+    """A value that a rule uses again and again stands once in the plan; next lines carry texts, not values that few labels ask for."""
+    code = F.col("id").cast("string")
+    assert _plan(spark.range(1).select(X.valid_code(code).alias("x"))).count("translate(") == 2  # of the code and of its parts
+    assert _plan(spark.range(1).select(X.service_text("service_description", code).alias("x"))).count("translate(") == 1
+    found = lines.classify_sections(lines.build_lines(elements(spark, {"d": ["Data Emissão|Série", "Nada", "05/09/2021"]})))
+    ready = generate.prepared(found)
+    assert set(ready.schema["next"].dataType.elementType.names) == {"line_index", "section", "normal", "text", "words", "has_columns"}
+
+
+def test_labels_are_written_with_the_lines(spark):
+    """The ways that lead on from classified lines look up no label again."""
+    found = lines.classify_sections(lines.build_lines(elements(spark, {"d": ["Data Emissão|Série", "Nada", "05/09/2021"]})))
+    assert "razao social nome" not in _plan(generate.candidates_from_lines(found))
+
+
+def test_label_within_an_element(spark):
+    """Words of an element before a label's, and an element without words, do not move the place where the label ends."""
+    found = lines.classify_sections(lines.build_lines(elements(spark, {"d": ["Nota fiscal|-|Valor|líquido da nota|R$ 900,00"]})))
+    got = generate.label_hits(found).select(F.explode("labels").alias("m")).select("m.field", "m.stop").collect()
+    assert ("net_amount", 3) in [tuple(r) for r in got]
